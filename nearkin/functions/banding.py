@@ -31,15 +31,13 @@ def best_bands(threshold: float, num_perm: int) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def band_slices(signature: Column, bands: int, rows: int) -> list[Column]:
-    return [F.slice(signature, band * rows + 1, rows) for band in range(bands)]
-
-
 def band_keys(signature: Column, bands: int, rows: int) -> Column:
     """One 64-bit bucket key per band; trailing numbers that fill no band are unused."""
-    return F.array(*[F.xxhash64(part) for part in band_slices(signature, bands, rows)])
+    starts = F.sequence(F.lit(1), F.lit((bands - 1) * rows + 1), F.lit(rows))
+    return F.transform(starts, lambda at: F.xxhash64(F.slice(signature, at, rows)))
 
 
 def band_texts(signature: Column, bands: int, rows: int) -> Column:
     """The same buckets spelled out, for listings."""
-    return F.array(*[F.array_join(part.cast("array<string>"), "-") for part in band_slices(signature, bands, rows)])
+    starts = F.sequence(F.lit(1), F.lit((bands - 1) * rows + 1), F.lit(rows))
+    return F.transform(starts, lambda at: F.array_join(F.slice(signature, at, rows).cast("array<string>"), "-"))

@@ -28,6 +28,23 @@ def matrix(column: pa.Array | pa.ChunkedArray, dtype=np.float64) -> np.ndarray:
     return flat.reshape(len(column), width).astype(dtype, copy=False)
 
 
+def packed_column(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix of doubles as bytes; cheaper to pass through Spark than lists."""
+    values = np.ascontiguousarray(values, np.float64)
+    rows, width = values.shape
+    offsets = np.arange(rows + 1, dtype=np.int32) * (width * 8)
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The matrix behind a column of `packed_column`."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    flat = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.float64)
+    return flat.reshape(len(column), -1)
+
+
 def list_column(values: np.ndarray, arrow_type: pa.DataType) -> pa.ListArray:
     """The rows of a matrix as an Arrow list column."""
     rows, width = values.shape
@@ -173,11 +190,11 @@ class CodeDistanceScorer:
         return total
 
 
-def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the k best scores of one query and these scores; equal scores by id."""
+def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best scores of one query; scores within the tie width go by id."""
     usable = np.flatnonzero(scores > -np.inf)
+    ranked = np.round(scores[usable], TIE_DIGITS)
     if len(usable) > k:
-        s = scores[usable]
-        usable = usable[s >= np.partition(s, len(s) - k)[len(s) - k]]
-    order = np.lexsort((ids[usable], -scores[usable]))[:k]
-    return usable[order], scores[usable[order]]
+        best = ranked >= np.partition(ranked, len(ranked) - k)[len(ranked) - k]
+        usable, ranked = usable[best], ranked[best]
+    return usable[np.lexsort((ids[usable], -ranked))[:k]]

@@ -8,15 +8,30 @@ from pyspark.sql import DataFrame
 
 from nearkin.functions import kernels
 
-PARTIAL = "key int, v array<double>"
+PARTIAL = "key int, v binary"  # v: packed doubles
+
+BATCH_BYTES = 16 << 20
 
 
 def partial_rows(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int32()), kernels.list_column(sums, pa.float64())], names=["key", "v"]
+        [pa.array(keys, pa.int32()), kernels.packed_column(sums)], names=["key", "v"]
     )
 
 
+def partial_batches(keys: np.ndarray, sums: np.ndarray):
+    """The same in batches of some megabytes."""
+    step = max(1, BATCH_BYTES // (sums.shape[1] * 8))
+    for first in range(0, len(keys), step):
+        yield partial_rows(keys[first:first + step], sums[first:first + step])
+
+
+def summed(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and sums on the driver; only for a number of keys that does not grow with the data."""
+    table = sum_vectors(parts).toArrow()
+    return table.column("key").to_numpy(), kernels.unpacked(table.column("v"))
+
+
 def _added(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -35,12 +50,11 @@ def sum_vectors(parts: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = _added(batch.column(0).to_numpy(), kernels.matrix(batch.column(1)))
+            new = _added(batch.column(0).to_numpy(), kernels.unpacked(batch.column(1)))
             if total is not None:
                 new = _added(np.concatenate([total[0], new[0]]), np.concatenate([total[1], new[1]]))
             total = new
         if total is not None:
-            for first in range(0, len(total[0]), 4_096):
-                yield partial_rows(total[0][first:first + 4_096], total[1][first:first + 4_096])
+            yield from partial_batches(*total)
 
     return parts.repartition("key").mapInArrow(add, PARTIAL)

@@ -66,5 +66,5 @@ def hyperplane_topk(signed: DataFrame, queries: DataFrame, k: int = 10, exclude_
     if exclude_self:
         pairs = pairs.filter("qid <> doc_id")
     score = F.try_divide(dot(F.col("q_vector"), F.col("vector")), F.col("q_length") * F.col("length"))
-    score = F.round(F.coalesce(score, F.lit(0.0)), kernels.TIE_DIGITS)
-    return rank_topk(pairs.withColumn("score", score), k)
+    scored = pairs.withColumn("score", F.coalesce(score, F.lit(0.0)))
+    return rank_topk(scored, k, digits=kernels.TIE_DIGITS)

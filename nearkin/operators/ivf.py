@@ -101,12 +101,12 @@ def ivf_topk(
             yield as_arrow(best, pa.RecordBatch)
 
     probed = placed.filter(F.col("cell").isin([int(c) for c in by_cell]))
-    return rank_topk(probed.mapInArrow(scan, NEIGHBORS), k)
+    return rank_topk(probed.mapInArrow(scan, NEIGHBORS), k, digits=kernels.TIE_DIGITS)
 
 
 def _joined_topk(placed: DataFrame, asked: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     pairs = salted_join(placed, asked.withColumnRenamed("vector", "q_vector"), ["cell"], "doc_id")
     if exclude_self:
         pairs = pairs.filter("qid <> doc_id")
-    score = F.round(dot(F.col("q_vector"), F.col("vector")), kernels.TIE_DIGITS)
-    return rank_topk(pairs.withColumn("score", score), k)
+    scored = pairs.withColumn("score", dot(F.col("q_vector"), F.col("vector")))
+    return rank_topk(scored, k, digits=kernels.TIE_DIGITS)

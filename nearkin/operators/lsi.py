@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
-from nearkin.operators.adding import PARTIAL, partial_rows, sum_vectors
+from nearkin.operators.adding import PARTIAL, partial_batches, summed
 from nearkin.plans.scale import written
 
 OVERSAMPLES = 10
 MAX_BASIS_BYTES = 512 << 20
 DOCS_AT_ONCE = 128
+TERM_BLOCK = 64  # terms that travel in one row of a partial sum
 
 
 @dataclass
@@ -55,25 +56,27 @@ def _blocks(batch: pa.RecordBatch):
 
 
 def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) in one pass; each task adds up its rows, Spark adds up the tasks term by term."""
+    """A'(A basis) in one pass; each task adds up its rows, Spark adds up the tasks."""
     shared = rows.sparkSession.sparkContext.broadcast(basis)
+    terms, width = basis.shape
 
     def multiply(batches):
         q = shared.value
-        total, touched = np.zeros_like(q), np.zeros(len(q), bool)
+        total = np.zeros((-(-terms // TERM_BLOCK) * TERM_BLOCK, width))
+        used = False
         for batch in batches:
             for _, _, present, dense in _blocks(batch):
                 total[present] += dense.T @ (dense @ q[present])
-                touched[present] = True
-        at = np.flatnonzero(touched)
-        for first in range(0, len(at), 4_096):
-            part = at[first:first + 4_096]
-            yield partial_rows(part, total[part])
-
-    table = sum_vectors(rows.mapInArrow(multiply, PARTIAL)).toArrow()  # at most terms x width numbers
-    out = np.zeros_like(basis)
-    out[table.column("key").to_numpy()] = kernels.matrix(table.column("v"))
-    return out
+                used = True
+        if used:
+            blocks = total.reshape(-1, TERM_BLOCK * width)
+            hit = np.flatnonzero(blocks.any(axis=1))
+            yield from partial_batches(hit, blocks[hit])
+
+    keys, sums = summed(rows.mapInArrow(multiply, PARTIAL))  # at most terms x width numbers
+    out = np.zeros((-(-terms // TERM_BLOCK), TERM_BLOCK * width))
+    out[keys] = sums
+    return out.reshape(-1, width)[:terms]
 
 
 def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, power_steps: int = 5) -> LsiModel:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.functions.hashing import id_order
-from nearkin.operators.adding import PARTIAL, partial_rows, sum_vectors
+from nearkin.operators.adding import PARTIAL, partial_rows, summed
 from nearkin.operators.search import batch_topk
 
 CODEBOOK = "m int, code int, centroid array<double>"
@@ -50,10 +50,9 @@ def _step(vectors: DataFrame, codebooks: np.ndarray) -> np.ndarray:
         hit = np.flatnonzero(total[:, 0])
         yield partial_rows(hit, total[hit].reshape(len(hit), 1 + width))
 
-    table = sum_vectors(vectors.select("vector").mapInArrow(collect, PARTIAL)).toArrow()  # at most m * ks rows
-    sums = kernels.matrix(table.column("v"))
+    key, sums = summed(vectors.select("vector").mapInArrow(collect, PARTIAL))  # at most m * ks rows
     moved = codebooks.reshape(m * ks, width).copy()  # a centre without vectors stays where it is
-    moved[table.column("key").to_numpy()] = sums[:, 1:] / sums[:, :1]
+    moved[key] = sums[:, 1:] / sums[:, :1]
     return moved.reshape(m, ks, width)
 
 

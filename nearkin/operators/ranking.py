@@ -12,13 +12,14 @@ from nearkin.functions.hashing import id_order
 BUCKET_DIGITS = 4  # 65,536 buckets of ids: the list of their sizes is bounded
 
 
-def rank_topk(scored: DataFrame, k: int, ascending: bool = False) -> DataFrame:
+def rank_topk(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:
     """The k best rows (qid, doc_id, score, rank) of each query; equal scores by smaller id.
 
-    Spark keeps k rows per query and task before the shuffle (WindowGroupLimit).
+    With `digits`, scores that agree to so many digits count as equal. Spark keeps k rows per
+    query and task before the shuffle (WindowGroupLimit).
     """
-    score = F.col("score").asc() if ascending else F.col("score").desc()
-    order = Window.partitionBy("qid").orderBy(score, F.col("doc_id"))
+    score = F.col("score") if digits is None else F.round("score", digits)
+    order = Window.partitionBy("qid").orderBy(score.desc(), F.col("doc_id"))
     return (
         scored.select("qid", "doc_id", "score")
         .withColumn("rank", F.row_number().over(order))

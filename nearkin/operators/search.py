@@ -23,22 +23,21 @@ SCORES_AT_ONCE = 4_000_000
 
 def winners(qids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, exclude_self: bool) -> list[np.ndarray]:
     """The k best (qid, id, score) per query out of one block of scores."""
-    scores = np.round(scores, kernels.TIE_DIGITS)
     if exclude_self:
         column_of = {int(q): c for c, q in enumerate(qids)}
         for row in np.flatnonzero(np.isin(ids, qids)):
             scores[row, column_of[int(ids[row])]] = -np.inf
     found = []
     for column, qid in enumerate(qids):
-        place, best = kernels.best_rows(scores[:, column], ids, k)
-        found.append((np.full(len(place), qid), ids[place], best))
+        place = kernels.best_rows(scores[:, column], ids, k)
+        found.append((np.full(len(place), qid), ids[place], scores[place, column]))
     return [np.concatenate(part) for part in zip(*found)]
 
 
 def keep_best(best: list[np.ndarray], new: list[np.ndarray], k: int) -> list[np.ndarray]:
     """Merges two lists of winners and cuts each query to k."""
     qid, ids, score = (np.concatenate(pair) for pair in zip(best, new))
-    order = np.lexsort((ids, -score, qid))
+    order = np.lexsort((ids, -np.round(score, kernels.TIE_DIGITS), qid))
     qid, ids, score = qid[order], ids[order], score[order]
     first = np.flatnonzero(np.diff(qid, prepend=qid[:1] - 1))
     place = np.arange(len(qid)) - np.repeat(first, np.diff(np.append(first, len(qid))))
@@ -92,7 +91,7 @@ def batch_topk(
         if best is not None:
             yield as_arrow(best, pa.RecordBatch)
 
-    return rank_topk(corpus.mapInArrow(scan, NEIGHBORS), k)
+    return rank_topk(corpus.mapInArrow(scan, NEIGHBORS), k, digits=kernels.TIE_DIGITS)
 
 
 def block_topk(corpus, queries, make_scorer, k: int, exclude_self: bool = True) -> DataFrame:
@@ -121,7 +120,7 @@ def block_topk(corpus, queries, make_scorer, k: int, exclude_self: bool = True)
         return as_arrow(winners(qids, ids, scores, k, exclude_self), pa.Table)
 
     met = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(score, NEIGHBORS)
-    return rank_topk(met, k)
+    return rank_topk(met, k, digits=kernels.TIE_DIGITS)
 
 
 def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True, **options) -> DataFrame:
