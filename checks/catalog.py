@@ -15,7 +15,7 @@ from nearkin.functions.hashing import md5_number
 from nearkin.operators import hyperplane, ivf, lsh, lsi, pairs, pq, search, terms, words
 from nearkin.operators.ranking import as_queries, first_n, query_sample, rows_of
 from nearkin.plans import evaluate, features, pipeline, sweep
-from nearkin.plans.scale import written
+from nearkin.plans.scale import spread, written
 from nearkin.session import ship
 from nearkin.sources.text import union_by_name
 
@@ -36,7 +36,7 @@ def query(function: Query) -> Query:
 
 def documents(spark, sf_dir) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return features.spread(table, "doc_id")
+    return spread(table, "doc_id")
 
 
 def vectors(spark, sf_dir) -> DataFrame:
@@ -144,23 +144,23 @@ def vocabulary(spark, sf_dir):
     return terms.vocabulary(term_counts(spark, sf_dir), S.MAX_FEATURES)
 
 
-def tfidf_parts(spark, sf_dir):
+def weighing(spark, sf_dir):
+    """Term counts, vocabulary and number of documents."""
     counts = written(term_counts(spark, sf_dir))
     vocab = written(terms.vocabulary(counts, S.MAX_FEATURES))
-    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
-    return terms.tfidf(counts, vocab, n_docs, S.MAX_FEATURES), vocab
+    return counts, vocab, spark.read.parquet(f"{sf_dir}/documents.parquet").count(), S.MAX_FEATURES
 
 
 @query
 def tfidf(spark, sf_dir):
-    return rounded(tfidf_parts(spark, sf_dir)[0], "tfidf")
+    return rounded(terms.tfidf(*weighing(spark, sf_dir)), "tfidf")
 
 
 @query
 def lsi_embed(spark, sf_dir):
-    weights, vocab = tfidf_parts(spark, sf_dir)
+    rows, names = terms.tfidf_rows(*weighing(spark, sf_dir))
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return lsi.lsi_embed(weights, vocab, table, S.LSI_DIMS)[0]
+    return lsi.lsi_embed(rows, names, table, S.LSI_DIMS)[0]
 
 
 @query

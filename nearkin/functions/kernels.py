@@ -158,14 +158,15 @@ def distance_tables(queries: np.ndarray, codebooks: np.ndarray) -> np.ndarray:
     return ((codebooks[None] - parts) ** 2).sum(axis=3)
 
 
-# ---------------------------------------------------------------- scorers: higher is better
+# ---------------------------------------------------------------- scorers
+# One row per query, one column per corpus row; higher is better.
 
 class CosineScorer:
     def __init__(self, queries: np.ndarray):
         self.queries = unit_rows(queries)
 
     def __call__(self, corpus: np.ndarray) -> np.ndarray:
-        return unit_rows(corpus) @ self.queries.T
+        return self.queries @ unit_rows(corpus).T
 
 
 class InnerProductScorer:
@@ -173,28 +174,38 @@ class InnerProductScorer:
         self.queries = queries
 
     def __call__(self, corpus: np.ndarray) -> np.ndarray:
-        return corpus @ self.queries.T
+        return self.queries @ corpus.T
 
 
 class CodeDistanceScorer:
     """Negated distance between queries and coded rows, summed from the distance tables."""
 
     def __init__(self, queries: np.ndarray, codebooks: np.ndarray):
-        self.tables = np.ascontiguousarray(distance_tables(queries, codebooks).transpose(1, 2, 0))
+        self.tables = np.ascontiguousarray(distance_tables(queries, codebooks).transpose(1, 0, 2))
 
     def __call__(self, corpus: np.ndarray) -> np.ndarray:
         codes = corpus.astype(np.int64, copy=False)
-        total = np.zeros((len(codes), self.tables.shape[2]))
+        total = np.zeros((self.tables.shape[1], len(codes)))
         for part, table in enumerate(self.tables):
-            total -= table[codes[:, part]]
+            total -= np.take(table, codes[:, part], axis=1)
         return total
 
 
-def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best scores of one query; scores within the tie width go by id."""
-    usable = np.flatnonzero(scores > -np.inf)
-    ranked = np.round(scores[usable], TIE_DIGITS)
-    if len(usable) > k:
-        best = ranked >= np.partition(ranked, len(ranked) - k)[len(ranked) - k]
-        usable, ranked = usable[best], ranked[best]
-    return usable[np.lexsort((ids[usable], -ranked))[:k]]
+def first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best rows of every query, best first; scores within the tie width go by id."""
+    order = np.lexsort((ids, -np.round(scores, TIE_DIGITS), query))
+    sorted_query = query[order]
+    first = np.flatnonzero(np.diff(sorted_query, prepend=sorted_query[:1] - 1))
+    place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return order[place < k]
+
+
+def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query rows, corpus columns) of the k best scores of every row; -inf is left out."""
+    wanted = scores > -np.inf
+    if scores.shape[1] > k:
+        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        wanted &= scores >= (least - 2 * TIE)[:, None]
+    query, column = np.nonzero(wanted)
+    keep = first_k(query, ids[column], scores[query, column], k)
+    return query[keep], column[keep]

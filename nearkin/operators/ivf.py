@@ -94,7 +94,7 @@ def ivf_topk(
                     continue
                 qids, asked_vectors = shared.value[int(c)]
                 here = cell == c
-                scores = rows[here] @ asked_vectors.T
+                scores = asked_vectors @ rows[here].T
                 new = winners(qids, ids[here], scores, k, exclude_self)
                 best = new if best is None else keep_best(best, new, k)
         if best is not None:

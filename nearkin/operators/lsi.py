@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.operators.adding import PARTIAL, partial_batches, summed
-from nearkin.plans.scale import written
+from nearkin.plans.scale import spread, written
 
 OVERSAMPLES = 10
 MAX_BASIS_BYTES = 512 << 20
@@ -28,18 +28,6 @@ class LsiModel:
     singular_values: np.ndarray
 
 
-def sparse_rows(weights: DataFrame, vocab: DataFrame) -> tuple[DataFrame, list[str]]:
-    """TF-IDF (doc_id, term, tfidf) as rows (doc_id, idx, val), and the terms in index order.
-
-    The vocabulary is bounded by its cut, so its terms may pass through the driver.
-    """
-    terms = sorted(row["term"] for row in vocab.select("term").collect())
-    numbered = vocab.sparkSession.createDataFrame(list(enumerate(terms)), "at int, term string")
-    pairs = weights.join(F.broadcast(numbered), "term")
-    packed = pairs.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "tfidf"))).alias("p"))
-    return packed.select("doc_id", F.col("p.at").alias("idx"), F.col("p.tfidf").alias("val")), terms
-
-
 def _blocks(batch: pa.RecordBatch):
     """Dense pieces of a sparse batch: (row range, term numbers present, values)."""
     idx, val = batch.column(1), batch.column(2)
@@ -125,10 +113,9 @@ def project(rows: DataFrame, model: LsiModel, documents: DataFrame) -> DataFrame
 
 
 def lsi_embed(
-    weights: DataFrame, vocab: DataFrame, documents: DataFrame, k: int = 200, seed: int = 42, power_steps: int = 5
+    rows: DataFrame, terms: list[str], documents: DataFrame, k: int = 200, seed: int = 42, power_steps: int = 5
 ) -> tuple[DataFrame, LsiModel]:
-    """Embeddings of all documents and the fitted model, from TF-IDF and its vocabulary."""
-    rows, terms = sparse_rows(weights, vocab)
-    rows = written(rows)
+    """Embeddings of all documents and the fitted model, from sparse TF-IDF rows."""
+    rows = spread(written(rows), "doc_id")
     model = fit_lsi(rows, terms, k, seed, power_steps)
     return project(rows, model, documents), model

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from nearkin.functions.hashing import id_order
 
+MAX_LISTED_IDS = 4_096
 BUCKET_DIGITS = 4  # 65,536 buckets of ids: the list of their sizes is bounded
 
 
@@ -73,8 +74,14 @@ def ids_at_places(df: DataFrame, places: DataFrame, id_col: str = "doc_id") -> D
 
 
 def rows_of(df: DataFrame, sample: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows named by a bounded sample (qid). Apply it to the source, before costly features."""
-    return df.join(F.broadcast(sample.select(F.col("qid").alias(id_col))), id_col, "left_semi")
+    """The rows named by a sample (qid). Apply it to the source, before costly features.
+
+    A short list of ids becomes a filter that reaches the scan and skips row groups there.
+    """
+    ids = [row["qid"] for row in sample.select("qid").limit(MAX_LISTED_IDS + 1).collect()]
+    if len(ids) <= MAX_LISTED_IDS:
+        return df.filter(F.col(id_col).isin(ids))
+    return df.join(sample.select(F.col("qid").alias(id_col)), id_col, "left_semi")
 
 
 def as_queries(features: DataFrame) -> DataFrame:

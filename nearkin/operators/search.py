@@ -22,26 +22,20 @@ SCORES_AT_ONCE = 4_000_000
 
 
 def winners(qids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, exclude_self: bool) -> list[np.ndarray]:
-    """The k best (qid, id, score) per query out of one block of scores."""
+    """The k best (qid, id, score) per query out of one block of scores (queries x rows)."""
     if exclude_self:
-        column_of = {int(q): c for c, q in enumerate(qids)}
-        for row in np.flatnonzero(np.isin(ids, qids)):
-            scores[row, column_of[int(ids[row])]] = -np.inf
-    found = []
-    for column, qid in enumerate(qids):
-        place = kernels.best_rows(scores[:, column], ids, k)
-        found.append((np.full(len(place), qid), ids[place], scores[place, column]))
-    return [np.concatenate(part) for part in zip(*found)]
+        order = np.argsort(qids)
+        at = np.minimum(np.searchsorted(qids, ids, sorter=order), len(qids) - 1)
+        own = np.flatnonzero(qids[order[at]] == ids)
+        scores[order[at[own]], own] = -np.inf
+    query, row = kernels.best_of(scores, ids, k)
+    return [qids[query], ids[row], scores[query, row]]
 
 
 def keep_best(best: list[np.ndarray], new: list[np.ndarray], k: int) -> list[np.ndarray]:
     """Merges two lists of winners and cuts each query to k."""
     qid, ids, score = (np.concatenate(pair) for pair in zip(best, new))
-    order = np.lexsort((ids, -np.round(score, kernels.TIE_DIGITS), qid))
-    qid, ids, score = qid[order], ids[order], score[order]
-    first = np.flatnonzero(np.diff(qid, prepend=qid[:1] - 1))
-    place = np.arange(len(qid)) - np.repeat(first, np.diff(np.append(first, len(qid))))
-    keep = place < k
+    keep = kernels.first_k(qid, ids, score, k)
     return [qid[keep], ids[keep], score[keep]]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,20 +30,37 @@ def vocabulary(counts: DataFrame, max_features: int = 50_000) -> DataFrame:
     )
 
 
-def tfidf(counts: DataFrame, vocab: DataFrame, n_docs: int, max_features: int = 50_000) -> DataFrame:
-    """(doc_id, term, tfidf): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document.
+def _weighted(counts: DataFrame, vocab: DataFrame, n_docs: int, max_features: int, named: str) -> DataFrame:
+    """(doc_id, length, entries): all weights of a document together, to scale them by their length.
 
     The vocabulary has at most `max_features` rows, which decides whether it may be broadcast.
     """
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
-    weights = vocab.select("term", idf.alias("idf"))
+    weights = vocab.select("term", *([] if named == "term" else [named]), idf.alias("idf"))
     if max_features <= MAX_BROADCAST_ROWS:
         weights = F.broadcast(weights)
-    weighted = counts.join(weights, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    per_doc = weighted.groupBy("doc_id").agg(
+    weighted = counts.join(weights, "term").select("doc_id", named, (F.col("tf") * F.col("idf")).alias("w"))
+    return weighted.groupBy("doc_id").agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"),
-        F.collect_list(F.struct("term", "w")).alias("terms"),
+        F.collect_list(F.struct(named, "w")).alias("entries"),
     )
-    return per_doc.select("doc_id", "length", F.inline("terms")).select(
+
+
+def tfidf(counts: DataFrame, vocab: DataFrame, n_docs: int, max_features: int = 50_000) -> DataFrame:
+    """(doc_id, term, tfidf): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document."""
+    lists = _weighted(counts, vocab, n_docs, max_features, "term")
+    return lists.select("doc_id", "length", F.inline("entries")).select(
         "doc_id", "term", (F.col("w") / F.col("length")).alias("tfidf")
     )
+
+
+def tfidf_rows(
+    counts: DataFrame, vocab: DataFrame, n_docs: int, max_features: int = 50_000
+) -> tuple[DataFrame, list[str]]:
+    """The same weights as one sparse row (doc_id, idx, val) per document, and the terms by number."""
+    listed = vocab.orderBy("term").toArrow()  # at most max_features rows
+    terms = listed.column("term").to_pylist()
+    numbered = listed.append_column("at", pa.array(range(len(terms)), pa.int32()))
+    lists = _weighted(counts, vocab.sparkSession.createDataFrame(numbered), n_docs, max_features, "at")
+    scaled = F.zip_with("entries", F.array_repeat("length", F.size("entries")), lambda e, length: e["w"] / length)
+    return lists.select("doc_id", F.col("entries.at").alias("idx"), scaled.alias("val")), terms

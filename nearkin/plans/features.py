@@ -10,12 +10,6 @@ from nearkin.functions.banding import best_bands
 from nearkin.operators.lsh import minhash_signatures, with_keys
 
 
-def spread(df: DataFrame, id_col: str) -> DataFrame:
-    """Spreads an input with fewer splits than task slots; a large input is left as it was read."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, id_col) if df.rdd.getNumPartitions() < slots else df
-
-
 def tokens_of(documents: DataFrame, text_col: str = "text", stop_words=T.ENGLISH_STOP_WORDS) -> DataFrame:
     """(doc_id, tokens)"""
     return documents.select("doc_id", T.tokenize(F.col(text_col), stop_words).alias("tokens"))

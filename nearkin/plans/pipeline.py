@@ -15,8 +15,8 @@ from nearkin.operators import lsh, pq, search, terms
 from nearkin.operators.lsi import lsi_embed
 from nearkin.operators.ranking import as_queries, first_n, query_sample, rows_of
 from nearkin.plans import evaluate
-from nearkin.plans.features import lsh_features, spread, tokens_of, words_of
-from nearkin.plans.scale import scratch_folder, written
+from nearkin.plans.features import lsh_features, tokens_of, words_of
+from nearkin.plans.scale import scratch_folder, spread, written
 from nearkin.sources.metrics import write_json
 from nearkin.sources.tables import read_table, write_table
 from nearkin.sources.text import read_tokens, write_tokens
@@ -65,10 +65,10 @@ def run_pipeline(
     # latent semantic vectors
     counts = written(terms.term_counts(terms.by_document(tokens)))
     vocab = written(terms.vocabulary(counts, c.max_features))
-    weights = terms.tfidf(counts, vocab, n_docs, c.max_features)
-    dims = min(c.lsi_dims, vocab.count())
+    rows, names = terms.tfidf_rows(counts, vocab, n_docs, c.max_features)
+    dims = min(c.lsi_dims, len(names))
     dims -= dims % c.pq_m
-    embedded, _ = lsi_embed(weights, vocab, tokens, dims, power_steps=c.power_steps)
+    embedded, _ = lsi_embed(rows, names, tokens, dims, power_steps=c.power_steps)
     write_table(embedded, "embeddings", f"{out}/embeddings")
     vectors = read_table(spark, "embeddings", f"{out}/embeddings").withColumnRenamed("embedding", "vector")
 
