@@ -16,6 +16,7 @@ from nearkin.plans.scale import spread, written
 OVERSAMPLES = 10
 MAX_BASIS_BYTES = 512 << 20
 DOCS_AT_ONCE = 128
+MIN_DOCS_PER_TASK = 2_048
 TERM_BLOCK = 64  # terms that travel in one row of a partial sum
 
 
@@ -70,14 +71,17 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
 def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, power_steps: int = 5) -> LsiModel:
     """Randomized range finder on the term side, then a small eigenproblem.
 
-    One pass over the rows per step; the basis (terms x (k + 10)) depends on the vocabulary cut
+    One pass over the rows per step and one more at the end; the basis (terms x (k + 10)) depends on the vocabulary cut
     and not on the number of documents.
     """
     width = min(k + OVERSAMPLES, len(terms))
     if len(terms) * width * 8 > MAX_BASIS_BYTES:
         raise ValueError("the basis does not fit a task: lower max_features or k")
+    # every task gives off one partial sum as large as the basis: as few tasks as keep the slots busy
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    rows = rows.coalesce(int(min(-(-rows.count() // MIN_DOCS_PER_TASK) or 1, 2 * slots)))
     basis = np.linalg.qr(np.random.RandomState(seed).randn(len(terms), width))[0]
-    for _ in range(power_steps + 1):
+    for _ in range(power_steps):
         basis = np.linalg.qr(_gram_times(rows, basis))[0]
     small = basis.T @ _gram_times(rows, basis)
     values, turn = np.linalg.eigh((small + small.T) / 2)
