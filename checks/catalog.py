@@ -49,11 +49,16 @@ def tokens(spark, sf_dir) -> DataFrame:
 
 
 def document_sample(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
-    return written(query_sample(spark.read.parquet(f"{sf_dir}/documents.parquet"), n))
+    return listed(query_sample(spark.read.parquet(f"{sf_dir}/documents.parquet"), n))
 
 
 def vector_sample(spark, sf_dir) -> DataFrame:
-    return written(query_sample(vectors(spark, sf_dir), S.N_QUERIES))
+    return listed(query_sample(vectors(spark, sf_dir), S.N_QUERIES))
+
+
+def listed(sample: DataFrame) -> DataFrame:
+    """The ids of a sample as a table of literals, so that it is drawn once."""
+    return sample.sparkSession.createDataFrame(sample.toArrow())
 
 
 def asked_vectors(spark, sf_dir) -> DataFrame:

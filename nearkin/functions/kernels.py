@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from nearkin.functions.hashing import md5_number_of
 
@@ -13,6 +14,7 @@ MERSENNE_31 = (1 << 31) - 1  # prime; also the minimum of an empty document
 SHINGLE_BASE = 1_000_003  # multiplier that folds the words of a shingle into one number
 TIE = 1e-9  # numbers closer than this count as equal
 TIE_DIGITS = 9
+UNROLLED = 2_000_000
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype=np.float64) -> np.ndarray:
@@ -159,53 +161,96 @@ def distance_tables(queries: np.ndarray, codebooks: np.ndarray) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- scorers
-# One row per query, one column per corpus row; higher is better.
+# Built from the queries' Arrow column, called with a piece of the corpus' column: one row per
+# query, one column per corpus row, higher is better. `digits` says when scores count as equal.
 
 class CosineScorer:
-    def __init__(self, queries: np.ndarray):
-        self.queries = unit_rows(queries)
+    digits = TIE_DIGITS
 
-    def __call__(self, corpus: np.ndarray) -> np.ndarray:
-        return self.queries @ unit_rows(corpus).T
+    def __init__(self, queries: pa.Array):
+        self.queries = unit_rows(matrix(queries))
+
+    def __call__(self, corpus: pa.Array) -> np.ndarray:
+        return self.queries @ unit_rows(matrix(corpus)).T
 
 
 class InnerProductScorer:
-    def __init__(self, queries: np.ndarray):
-        self.queries = queries
+    digits = TIE_DIGITS
+
+    def __init__(self, queries: pa.Array):
+        self.queries = matrix(queries)
 
-    def __call__(self, corpus: np.ndarray) -> np.ndarray:
-        return self.queries @ corpus.T
+    def __call__(self, corpus: pa.Array) -> np.ndarray:
+        return self.queries @ matrix(corpus).T
 
 
 class CodeDistanceScorer:
     """Negated distance between queries and coded rows, summed from the distance tables."""
 
-    def __init__(self, queries: np.ndarray, codebooks: np.ndarray):
-        self.tables = np.ascontiguousarray(distance_tables(queries, codebooks).transpose(1, 0, 2))
+    digits = TIE_DIGITS
+
+    def __init__(self, queries: pa.Array, codebooks: np.ndarray):
+        self.tables = np.ascontiguousarray(distance_tables(matrix(queries), codebooks).transpose(1, 0, 2))
 
-    def __call__(self, corpus: np.ndarray) -> np.ndarray:
-        codes = corpus.astype(np.int64, copy=False)
+    def __call__(self, corpus: pa.Array) -> np.ndarray:
+        codes = matrix(corpus, np.int64)
         total = np.zeros((self.tables.shape[1], len(codes)))
         for part, table in enumerate(self.tables):
             total -= np.take(table, codes[:, part], axis=1)
         return total
 
 
-def first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best rows of every query, best first; scores within the tie width go by id."""
-    order = np.lexsort((ids, -np.round(scores, TIE_DIGITS), query))
+class JaccardScorer:
+    """Jaccard similarity of sets of words, through the lists of queries that hold a word."""
+
+    digits = None  # a division of two counts is the same number everywhere
+
+    def __init__(self, queries: pa.Array):
+        self.sizes = np.diff(np.asarray(queries.offsets)).astype(np.int64)
+        coded = queries.flatten().dictionary_encode()
+        self.words = coded.dictionary
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        holder = np.repeat(np.arange(len(queries)), self.sizes)
+        self.holders = holder[np.argsort(word, kind="stable")]
+        self.counts = np.bincount(word, minlength=len(self.words))
+        self.begins = np.cumsum(self.counts) - self.counts
+
+    def __call__(self, corpus: pa.Array) -> np.ndarray:
+        sizes = np.diff(np.asarray(corpus.offsets)).astype(np.int64)
+        found = pc.index_in(corpus.flatten(), value_set=self.words)
+        hit = found.is_valid().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(sizes)), sizes)[hit]
+        word = found.drop_null().to_numpy()
+        shared = np.zeros(len(self.sizes) * len(sizes))
+        lists = np.cumsum(self.counts[word]) if len(word) else np.zeros(0, np.int64)
+        # list entries are unrolled some millions at a time
+        cuts = np.searchsorted(lists, np.arange(1, lists[-1] // UNROLLED + 1) * UNROLLED) if len(lists) else []
+        for piece in np.split(np.arange(len(word)), np.asarray(cuts, np.int64)):
+            count = self.counts[word[piece]]
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            query = self.holders[np.repeat(self.begins[word[piece]], count) + within]
+            shared += np.bincount(query * len(sizes) + np.repeat(row[piece], count), minlength=len(shared))
+        shared = shared.reshape(len(self.sizes), len(sizes))
+        union = self.sizes[:, None] + sizes[None, :] - shared
+        return np.divide(shared, union, out=np.zeros_like(union), where=union > 0)
+
+
+def first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, digits: int | None) -> np.ndarray:
+    """Places of the k best rows of every query, best first; equal scores go by id."""
+    ranked = scores if digits is None else np.round(scores, digits)
+    order = np.lexsort((ids, -ranked, query))
     sorted_query = query[order]
     first = np.flatnonzero(np.diff(sorted_query, prepend=sorted_query[:1] - 1))
     place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     return order[place < k]
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def best_of(scores: np.ndarray, ids: np.ndarray, k: int, digits: int | None) -> tuple[np.ndarray, np.ndarray]:
     """(query rows, corpus columns) of the k best scores of every row; -inf is left out."""
     wanted = scores > -np.inf
     if scores.shape[1] > k:
         least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-        wanted &= scores >= (least - 2 * TIE)[:, None]
+        wanted &= scores >= (least if digits is None else least - 2 * TIE)[:, None]
     query, column = np.nonzero(wanted)
-    keep = first_k(query, ids[column], scores[query, column], k)
+    keep = first_k(query, ids[column], scores[query, column], k, digits)
     return query[keep], column[keep]

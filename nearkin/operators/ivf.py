@@ -95,8 +95,8 @@ def ivf_topk(
                 qids, asked_vectors = shared.value[int(c)]
                 here = cell == c
                 scores = asked_vectors @ rows[here].T
-                new = winners(qids, ids[here], scores, k, exclude_self)
-                best = new if best is None else keep_best(best, new, k)
+                new = winners(qids, ids[here], scores, k, exclude_self, kernels.TIE_DIGITS)
+                best = new if best is None else keep_best(best, new, k, kernels.TIE_DIGITS)
         if best is not None:
             yield as_arrow(best, pa.RecordBatch)
 

@@ -61,11 +61,12 @@ def candidates(keyed: DataFrame, queries: DataFrame, within: tuple[str, ...] = (
     """Pairs that share a bucket, each once: qid and the columns of `keyed`.
 
     `keyed` has doc_id and keys, `queries` has qid and q_keys; pairs must also agree on the
-    columns `within`. Other columns of `keyed` ride along. A pair is kept at its first shared
+    columns `within`. Other columns of `keyed` ride along; `queries` is a written table. A pair is kept at its first shared
     band only, which makes a distinct over the pairs needless.
     """
-    probes = written(queries.select("qid", "q_keys", *within, F.posexplode("q_keys").alias("band", "key")))
-    buckets = keyed.select("*", F.posexplode("keys").alias("band", "key"))
+    probes = queries.select("qid", "q_keys", *within, F.posexplode("q_keys").alias("band", "key"))
+    # the outer form: keys are never empty, and Spark would compute them twice to test that
+    buckets = keyed.select("*", F.posexplode_outer("keys").alias("band", "key"))
     # every probe row repeats the keys of its query
     met = checked_join(buckets, probes, [*within, "band", "key"], F.size("q_keys") * 8 + 64, "doc_id")
     return met.filter(F.col("band") == _first_shared_band("keys", "q_keys")).drop("band", "key", "keys", "q_keys")
@@ -73,6 +74,7 @@ def candidates(keyed: DataFrame, queries: DataFrame, within: tuple[str, ...] = (
 
 def lsh_candidates(keyed: DataFrame, queries: DataFrame) -> DataFrame:
     """(qid, doc_id) of all documents in a bucket of the query, the query itself included."""
+    queries = written(queries.select("qid", "q_keys"))
     return candidates(keyed.select("doc_id", "keys"), queries).select("qid", "doc_id")
 
 
@@ -80,7 +82,7 @@ def score_candidates(pairs: DataFrame, queries: DataFrame, exclude_self: bool =
     """Adds the Jaccard similarity of `words` and the query's `q_words` to candidate pairs."""
     if exclude_self:
         pairs = pairs.filter("qid <> doc_id")
-    asked = written(queries.select("qid", "q_words"))
+    asked = queries.select("qid", "q_words")
     row_bytes = F.length(F.array_join("q_words", " ")) + F.size("q_words") * 16 + 16
     met = checked_join(pairs, asked, ["qid"], row_bytes, "doc_id")
     return met.withColumn("score", jaccard(F.col("q_words"), F.col("words")))

@@ -124,10 +124,10 @@ def pq_topk(
     codes: DataFrame, codebooks: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True, **options
 ) -> DataFrame:
     """Top-k by coded distance, smallest first; the score is the squared distance."""
-    centres = codebook_array(codebooks)
-    shared = codes.sparkSession.sparkContext.broadcast(centres)
+    shared = codes.sparkSession.sparkContext.broadcast(codebook_array(codebooks))
     found = batch_topk(
-        codes.select("doc_id", F.col("codes").alias("vector")), queries,
+        codes.select("doc_id", F.col("codes").alias("item")),
+        queries.select("qid", F.col("vector").alias("item")),
         lambda vectors: kernels.CodeDistanceScorer(vectors, shared.value), k, exclude_self, **options,
     )
     return found.withColumn("score", F.abs("score"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.operators.ranking import rank_topk
-from nearkin.plans.scale import MAX_BROADCAST_BYTES, checked_join, written
+from nearkin.plans.scale import MAX_BROADCAST_BYTES
 
 NEIGHBORS = "qid bigint, doc_id bigint, score double"
 CORPUS_BLOCK = 8_192
@@ -21,21 +21,23 @@ MAX_QUERIES = 4_096
 SCORES_AT_ONCE = 4_000_000
 
 
-def winners(qids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, exclude_self: bool) -> list[np.ndarray]:
+def winners(
+    qids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, exclude_self: bool, digits: int | None
+) -> list[np.ndarray]:
     """The k best (qid, id, score) per query out of one block of scores (queries x rows)."""
     if exclude_self:
         order = np.argsort(qids)
         at = np.minimum(np.searchsorted(qids, ids, sorter=order), len(qids) - 1)
         own = np.flatnonzero(qids[order[at]] == ids)
         scores[order[at[own]], own] = -np.inf
-    query, row = kernels.best_of(scores, ids, k)
+    query, row = kernels.best_of(scores, ids, k, digits)
     return [qids[query], ids[row], scores[query, row]]
 
 
-def keep_best(best: list[np.ndarray], new: list[np.ndarray], k: int) -> list[np.ndarray]:
+def keep_best(best: list[np.ndarray], new: list[np.ndarray], k: int, digits: int | None) -> list[np.ndarray]:
     """Merges two lists of winners and cuts each query to k."""
     qid, ids, score = (np.concatenate(pair) for pair in zip(best, new))
-    keep = kernels.first_k(qid, ids, score, k)
+    keep = kernels.first_k(qid, ids, score, k, digits)
     return [qid[keep], ids[keep], score[keep]]
 
 
@@ -47,45 +49,54 @@ def as_arrow(best: list[np.ndarray], cls):
 def batch_topk(
     corpus: DataFrame,
     queries: DataFrame,
-    make_scorer: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]],
+    make_scorer: Callable[[pa.Array], Callable[[pa.Array], np.ndarray]],
     k: int,
     exclude_self: bool = True,
     max_queries: int = MAX_QUERIES,
 ) -> DataFrame:
-    """Top-k of corpus (doc_id, vector) for queries (qid, vector), higher scores first.
+    """Top-k of corpus (doc_id, item) for queries (qid, item), higher scores first.
 
     A query set of checked size goes to every task; each task keeps k rows per query while it
     reads its part of the corpus, so only winners are shuffled. A larger query set is cut into
     blocks that meet blocks of the corpus (see `block_topk`).
     """
-    corpus = corpus.select("doc_id", "vector").filter("vector is not null")
-    queries = written(queries.select("qid", "vector").filter("vector is not null"))
-    asked, size = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("vector") * 8), F.lit(0))).first()
-    if asked > max_queries or size > MAX_BROADCAST_BYTES:
+    corpus = corpus.select("doc_id", "item").filter("item is not null")
+    queries = queries.select("qid", "item").filter("item is not null")
+    table = queries.limit(max_queries + 1).toArrow()
+    if table.num_rows > max_queries or table.nbytes > MAX_BROADCAST_BYTES:
         return block_topk(corpus, queries, make_scorer, k, exclude_self)
-    table = queries.toArrow()
-    qids = table.column("qid").to_numpy()
-    shared = corpus.sparkSession.sparkContext.broadcast((qids, kernels.matrix(table.column("vector"))))
+    shared = corpus.sparkSession.sparkContext.broadcast(table.combine_chunks())
 
     def scan(batches):
-        qids, vectors = shared.value
-        if not len(qids):
+        asked = shared.value
+        if not asked.num_rows:
             return
-        scorer = make_scorer(vectors)
+        qids, scorer = asked.column("qid").to_numpy(), make_scorer(whole(asked.column("item")))
+        step = max(1, SCORES_AT_ONCE // len(qids))
         best = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, rows = batch.column(0).to_numpy(), kernels.matrix(batch.column(1))
-            step = max(1, SCORES_AT_ONCE // len(qids))
-            for at in range(0, len(ids), step):
-                scores = scorer(rows[at:at + step])
-                new = winners(qids, ids[at:at + step], scores, k, exclude_self)
-                best = new if best is None else keep_best(best, new, k)
+            ids, items = batch.column(0).to_numpy(), batch.column(1)
+            for at in range(0, batch.num_rows, step):
+                scores = scorer(items.slice(at, step))
+                new = winners(qids, ids[at:at + step], scores, k, exclude_self, scorer.digits)
+                best = new if best is None else keep_best(best, new, k, scorer.digits)
         if best is not None:
             yield as_arrow(best, pa.RecordBatch)
 
-    return rank_topk(corpus.mapInArrow(scan, NEIGHBORS), k, digits=kernels.TIE_DIGITS)
+    return rank_topk(corpus.mapInArrow(scan, NEIGHBORS), k, digits=digits_of(make_scorer))
+
+
+def whole(column: pa.ChunkedArray) -> pa.Array:
+    joined = column.combine_chunks()
+    return joined.chunk(0) if isinstance(joined, pa.ChunkedArray) else joined
+
+
+def digits_of(make_scorer) -> int | None:
+    return getattr(make_scorer, "digits", kernels.TIE_DIGITS)
+
+
+def _numbers(n: int):
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
 
 
 def block_topk(corpus, queries, make_scorer, k: int, exclude_self: bool = True) -> DataFrame:
@@ -94,72 +105,52 @@ def block_topk(corpus, queries, make_scorer, k: int, exclude_self: bool = True)
     corpus_blocks = max(1, math.ceil(n_corpus / CORPUS_BLOCK))
     query_blocks = max(1, math.ceil(n_queries / QUERY_BLOCK))
     left = corpus.select(
-        "doc_id", "vector",
+        "doc_id", "item",
         F.pmod(F.xxhash64("doc_id"), F.lit(corpus_blocks)).alias("c"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("bigint").alias("q"),
+        F.explode(_numbers(query_blocks)).alias("q"),
     )
     right = queries.select(
-        "qid", "vector",
-        F.explode(F.sequence(F.lit(0), F.lit(corpus_blocks - 1))).cast("bigint").alias("c"),
+        "qid", "item",
+        F.explode(_numbers(corpus_blocks)).alias("c"),
         F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).alias("q"),
     )
 
     def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if not rows.num_rows or not asked.num_rows:
-            return as_arrow(empty, pa.Table)
-        scorer = make_scorer(kernels.matrix(asked.column("vector")))
-        scores = scorer(kernels.matrix(rows.column("vector")))
+            return as_arrow([np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)], pa.Table)
+        scorer = make_scorer(whole(asked.column("item")))
+        scores = scorer(whole(rows.column("item")))
         ids, qids = rows.column("doc_id").to_numpy(), asked.column("qid").to_numpy()
-        return as_arrow(winners(qids, ids, scores, k, exclude_self), pa.Table)
+        return as_arrow(winners(qids, ids, scores, k, exclude_self, scorer.digits), pa.Table)
 
     met = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(score, NEIGHBORS)
-    return rank_topk(met, k, digits=kernels.TIE_DIGITS)
+    return rank_topk(met, k, digits=digits_of(make_scorer))
+
+
+def _items(df: DataFrame, key: str, column: str) -> DataFrame:
+    return df.select(key, F.col(column).alias("item"))
 
 
 def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True, **options) -> DataFrame:
-    """Exact cosine top-k; a zero vector scores 0."""
+    """Exact cosine top-k over `vector`; a zero vector scores 0."""
+    corpus, queries = _items(corpus, "doc_id", "vector"), _items(queries, "qid", "vector")
     return batch_topk(corpus, queries, kernels.CosineScorer, k, exclude_self, **options)
 
 
 def inner_product_topk(
     corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True, **options
 ) -> DataFrame:
-    """Exact inner-product top-k; over unit vectors this is the flat cosine index."""
+    """Exact inner-product top-k over `vector`; over unit vectors this is the flat cosine index."""
+    corpus, queries = _items(corpus, "doc_id", "vector"), _items(queries, "qid", "vector")
     return batch_topk(corpus, queries, kernels.InnerProductScorer, k, exclude_self, **options)
 
 
-def jaccard_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True) -> DataFrame:
-    """Exact Jaccard top-k of corpus (doc_id, words) for queries (qid, words), words distinct.
+def jaccard_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True, **options) -> DataFrame:
+    """Exact Jaccard top-k over `words`, arrays of distinct words.
 
-    Joins the words of the documents with the words of the queries and counts what they share.
-    Documents are spread by id first, so the count per pair needs no further shuffle. Documents
-    without a shared word score 0 and fill up the answer in id order.
+    Two empty sets score 0. Documents without a shared word score 0 and fill up the answer in id
+    order. The words stay with their document: a join on the word would shuffle one row per
+    document and query.
     """
-    queries = written(queries.select("qid", "words", F.size("words").alias("q_size")))
-    asked = queries.select("qid", "q_size", F.explode("words").alias("word"))
-    listed = (
-        corpus.repartition("doc_id")
-        .select("doc_id", F.size("words").alias("d_size"), F.explode("words").alias("word"))
-    )
-    met = checked_join(listed, asked, ["word"], F.length("word") + 24, "doc_id")
-    if exclude_self:
-        met = met.filter("qid <> doc_id")
-    shared = met.groupBy("doc_id", "d_size", "qid", "q_size").agg(F.count("*").alias("shared"))
-    scored = shared.select(
-        "qid", "doc_id",
-        (F.col("shared") / (F.col("d_size") + F.col("q_size") - F.col("shared"))).alias("score"),
-    )
-    best = written(rank_topk(scored, k))
-    # fewer than k documents share a word: the smallest other ids follow with score 0
-    short = queries.select("qid").join(best.groupBy("qid").agg(F.count("*").alias("n")), "qid", "left")
-    short = short.filter(F.coalesce("n", F.lit(0)) < k).select("qid")
-    smallest = corpus.select("doc_id").orderBy("doc_id").limit(k + 1)
-    fill = short.withColumn("list", F.lit(1)).join(
-        F.broadcast(smallest.agg(F.collect_list("doc_id").alias("ids")).withColumn("list", F.lit(1))), "list"
-    )
-    fill = fill.select("qid", F.explode("ids").alias("doc_id"))
-    if exclude_self:
-        fill = fill.filter("qid <> doc_id")
-    fill = fill.join(best, ["qid", "doc_id"], "left_anti").withColumn("score", F.lit(0.0))
-    return rank_topk(best.select("qid", "doc_id", "score").unionByName(fill), k)
+    corpus, queries = _items(corpus, "doc_id", "words"), _items(queries, "qid", "words")
+    return batch_topk(corpus, queries, kernels.JaccardScorer, k, exclude_self, **options)

@@ -16,7 +16,8 @@ def by_document(corpus: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def term_counts(tokens: DataFrame) -> DataFrame:
     """(doc_id, tokens) -> (doc_id, term, tf)."""
-    words = tokens.select("doc_id", F.explode("tokens").alias("term"))
+    # the outer form: Spark would push a test for empty lists, and so the tokenizing, down a second time
+    words = tokens.select("doc_id", F.explode_outer("tokens").alias("term")).filter("term is not null")
     return words.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
