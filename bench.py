@@ -13,7 +13,15 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from checks import catalog  # noqa: E402
 from checks.catalog import QUERIES  # noqa: E402
+from nearkin.functions.vectors import l2_normalize  # noqa: E402
+from nearkin.operators import lsh, pq, search  # noqa: E402
+from nearkin.operators.ranking import as_queries, query_sample, rows_of  # noqa: E402
+from nearkin.plans.features import lsh_features  # noqa: E402
+from nearkin.plans.scale import written  # noqa: E402
 from nearkin.session import local_session  # noqa: E402
 
 HEADLINE = (
@@ -24,12 +32,42 @@ HEADLINE = (
     "lsi_embed", "pipeline_metrics",
 )
 
+WARM_UP = ("hyperplane_signature", "term_counts", "cosine_topk", "lsh_topk")
+
+
+def throughput(spark, sf_dir: str) -> dict[str, float]:
+    """Queries per second of one batch job in which every vector, or 2,000 documents, is a query."""
+    vectors = written(catalog.vectors(spark, sf_dir))
+    asked = vectors.withColumnRenamed("doc_id", "qid")
+    unit = written(vectors.select("doc_id", l2_normalize(F.col("vector")).alias("vector")))
+    books = written(catalog.codebooks(spark, sf_dir))
+    codes = written(pq.encode(vectors, books))
+    tokens = written(catalog.tokens(spark, sf_dir))
+    corpus = written(lsh_features(tokens))
+    text_queries = written(as_queries(rows_of(corpus, query_sample(tokens, 2_000))))
+    words = corpus.select("doc_id", "words")
+    jobs = {
+        "flat": (vectors.count(), lambda: search.inner_product_topk(unit, unit.withColumnRenamed("doc_id", "qid"))),
+        "pq": (vectors.count(), lambda: pq.pq_topk(codes, books, asked)),
+        "lsh_candidates": (text_queries.count(), lambda: lsh.lsh_candidates(corpus, text_queries)),
+        "lsh_reranked": (text_queries.count(), lambda: lsh.lsh_topk(corpus, text_queries)),
+        "jaccard_exact": (text_queries.count(), lambda: search.jaccard_topk(
+            words, text_queries.select("qid", F.col("q_words").alias("words")))),
+    }
+    rates = {}
+    for name, (n, job) in jobs.items():
+        start = time.perf_counter()
+        job().write.format("noop").mode("overwrite").save()
+        rates[name] = round(n / (time.perf_counter() - start), 1)
+        print(f"{name:24} {rates[name]:8.1f} queries/s", file=sys.stderr, flush=True)
+    return rates
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
-    # starts the JVM's and Python's workers; not counted
-    QUERIES["hyperplane_signature"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    for name in WARM_UP:  # starts the workers and lets the JVM compile its hot paths; not counted
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times, methods = {}, []
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
@@ -45,6 +83,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "queries_per_second": {} if sys.argv[1:] else throughput(spark, sf_dir),
         "pipeline_methods": methods,
     }))
 

@@ -18,13 +18,14 @@ def best_bands(threshold: float, num_perm: int) -> tuple[int, int]:
     A pair of similarity s shares a band with probability 1 - (1 - s^rows)^bands. Below the
     threshold that is a false positive, above it the rest is a false negative; both weigh the same.
     """
-    low = (np.arange(STEPS) + 0.5) * threshold / STEPS
-    high = threshold + (np.arange(STEPS) + 0.5) * (1.0 - threshold) / STEPS
+    middle = (np.arange(STEPS) + 0.5) / STEPS
+    low, high = middle * threshold, threshold + middle * (1.0 - threshold)
     best = None
-    for bands in range(1, num_perm + 1):
-        for rows in range(1, num_perm // bands + 1):
-            wrong = np.mean(1.0 - (1.0 - low**rows) ** bands) * threshold
-            missed = np.mean((1.0 - high**rows) ** bands) * (1.0 - threshold)
+    for rows in range(1, num_perm + 1):
+        missing_low, missing_high = np.log1p(-(low**rows)), np.log1p(-(high**rows))
+        for bands in range(1, num_perm // rows + 1):
+            wrong = np.mean(1.0 - np.exp(bands * missing_low)) * threshold
+            missed = np.mean(np.exp(bands * missing_high)) * (1.0 - threshold)
             error = 0.5 * wrong + 0.5 * missed
             if best is None or error < best[0]:
                 best = (error, bands, rows)

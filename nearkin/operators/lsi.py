@@ -15,7 +15,7 @@ from nearkin.plans.scale import spread, written
 
 OVERSAMPLES = 10
 MAX_BASIS_BYTES = 512 << 20
-DOCS_AT_ONCE = 128
+DOCS_AT_ONCE = 64
 MIN_DOCS_PER_TASK = 2_048
 TERM_BLOCK = 64  # terms that travel in one row of a partial sum
 
@@ -68,6 +68,19 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     return out.reshape(-1, width)[:terms]
 
 
+def _orthonormal(columns: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the columns: Cholesky QR twice, Householder QR where that fails."""
+    basis = columns
+    try:
+        for _ in range(2):
+            basis = basis @ np.linalg.inv(np.linalg.cholesky(basis.T @ basis)).T
+    except np.linalg.LinAlgError:
+        return np.linalg.qr(columns)[0]
+    if np.abs(basis.T @ basis - np.eye(basis.shape[1])).max() > 1e-10:
+        return np.linalg.qr(columns)[0]
+    return basis
+
+
 def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, power_steps: int = 5) -> LsiModel:
     """Randomized range finder on the term side, then a small eigenproblem.
 
@@ -80,9 +93,9 @@ def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, pow
     # every task gives off one partial sum as large as the basis: as few tasks as keep the slots busy
     slots = rows.sparkSession.sparkContext.defaultParallelism
     rows = rows.coalesce(int(min(-(-rows.count() // MIN_DOCS_PER_TASK) or 1, 2 * slots)))
-    basis = np.linalg.qr(np.random.RandomState(seed).randn(len(terms), width))[0]
+    basis = _orthonormal(np.random.RandomState(seed).randn(len(terms), width))
     for _ in range(power_steps):
-        basis = np.linalg.qr(_gram_times(rows, basis))[0]
+        basis = _orthonormal(_gram_times(rows, basis))
     small = basis.T @ _gram_times(rows, basis)
     values, turn = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(-values)[:k]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.operators.ranking import rank_topk
-from nearkin.plans.scale import MAX_BROADCAST_BYTES
+from nearkin.plans.scale import MAX_BROADCAST_BYTES, collect_bounded
 
 NEIGHBORS = "qid bigint, doc_id bigint, score double"
 CORPUS_BLOCK = 8_192
@@ -53,6 +53,7 @@ def batch_topk(
     k: int,
     exclude_self: bool = True,
     max_queries: int = MAX_QUERIES,
+    max_query_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Top-k of corpus (doc_id, item) for queries (qid, item), higher scores first.
 
@@ -62,8 +63,8 @@ def batch_topk(
     """
     corpus = corpus.select("doc_id", "item").filter("item is not null")
     queries = queries.select("qid", "item").filter("item is not null")
-    table = queries.limit(max_queries + 1).toArrow()
-    if table.num_rows > max_queries or table.nbytes > MAX_BROADCAST_BYTES:
+    table = collect_bounded(queries, max_queries, max_query_bytes)
+    if table is None:
         return block_topk(corpus, queries, make_scorer, k, exclude_self)
     shared = corpus.sparkSession.sparkContext.broadcast(table.combine_chunks())
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,31 @@ def fits_broadcast(df: DataFrame, row_bytes: Column | int) -> bool:
     return rows <= MAX_BROADCAST_ROWS and total <= MAX_BROADCAST_BYTES
 
 
+def collect_bounded(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> pa.Table | None:
+    """The rows on the driver, or None when there are more than the bounds allow.
+
+    One task counts the bytes and stops passing rows on once there are too many, so the driver
+    never receives more than the bound.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def pass_on(batches):
+        total = 0
+        for batch in batches:
+            total += batch.nbytes
+            over = total > max_bytes
+            rows = batch.slice(0, 1) if over else batch
+            flag = pa.array([over] * rows.num_rows, pa.bool_())
+            yield pa.RecordBatch.from_arrays(rows.columns + [flag], names=rows.schema.names + ["_over"])
+            if over:
+                return
+
+    table = df.limit(max_rows + 1).mapInArrow(pass_on, f"{schema}, _over boolean").toArrow()
+    if table.num_rows > max_rows or pc.any(table.column("_over")).as_py():
+        return None
+    return table.drop_columns("_over")
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], salt_from: str, salts: int = SALTS) -> DataFrame:
     """Inner join in which a hot key is spread over several tasks.
 

@@ -46,6 +46,18 @@ def test_blocks_give_the_same_answer(spark, vectors, monkeypatch):
     assert answers(search.cosine_topk(vectors, queries, max_queries=1)) == answers(search.cosine_topk(vectors, queries))
 
 
+def test_large_queries_are_never_collected(spark, vectors):
+    from nearkin.plans.scale import collect_bounded
+
+    queries = asked(vectors)
+    assert collect_bounded(queries, 25).num_rows == 25
+    assert collect_bounded(queries, 24) is None
+    assert collect_bounded(queries, 25, 1_000) is None
+    assert answers(search.cosine_topk(vectors, queries, max_query_bytes=1_000)) == answers(
+        search.cosine_topk(vectors, queries)
+    )
+
+
 def test_zero_vector_ties_and_self(spark):
     rows = [(5, [1.0, 0.0]), (2, [1.0, 0.0]), (9, [2.0, 0.0]), (1, [0.0, 0.0]), (3, [0.0, 1.0])]
     df = spark.createDataFrame(rows, "doc_id bigint, vector array<double>")
