@@ -410,6 +410,11 @@ def lsh_sweep(spark, sf_dir):
     return rounded(sweep_table(spark, sf_dir), "recall")
 
 
+@query
+def lsh_sweep_times(spark, sf_dir):
+    return sweep.sweep_times(tokens(spark, sf_dir), document_sample(spark, sf_dir, S.SWEEP_QUERIES), S.K)
+
+
 @query
 def sweep_pivot(spark, sf_dir):
     return sweep.sweep_series(rounded(sweep_table(spark, sf_dir), "recall"))

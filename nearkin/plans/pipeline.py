@@ -30,6 +30,7 @@ class PipelineConfig:
     pq_m: int = 8
     pq_ks: int = 256
     pq_rounds: int = 5
+    pq_normalize: bool = False
     num_perm: int = 128
     threshold: float = 0.8
     shingle_n: int = 5
@@ -73,10 +74,12 @@ def run_pipeline(
     vectors = read_table(spark, "embeddings", f"{out}/embeddings").withColumnRenamed("embedding", "vector")
 
     # product quantization
+    unit = l2_normalize(F.col("vector")).alias("vector")
+    plain = vectors.select("doc_id", unit) if c.pq_normalize else vectors
     ks = min(c.pq_ks, n_docs)
-    write_table(pq.train_codebooks(vectors, c.pq_m, ks, c.pq_rounds), "codebooks", f"{out}/codebooks")
+    write_table(pq.train_codebooks(plain, c.pq_m, ks, c.pq_rounds), "codebooks", f"{out}/codebooks")
     codebooks = read_table(spark, "codebooks", f"{out}/codebooks")
-    write_table(pq.encode(vectors, codebooks), "codes", f"{out}/codes")
+    write_table(pq.encode(plain, codebooks), "codes", f"{out}/codes")
     codes = read_table(spark, "codes", f"{out}/codes")
 
     # signatures and buckets
@@ -96,13 +99,14 @@ def run_pipeline(
     sample = written(query_sample(tokens, c.n_queries))
     n = sample.count()
     asked = as_queries(rows_of(vectors, sample)).withColumnRenamed("q_vector", "vector")
+    asked_plain = asked.select("qid", unit) if c.pq_normalize else asked
     asked_flat = as_queries(rows_of(flat, sample)).withColumnRenamed("q_vector", "vector")
     asked_text = as_queries(rows_of(features, sample))
     truth_cosine = written(search.cosine_topk(vectors, asked, c.k))
     asked_words = asked_text.select("qid", F.col("q_words").alias("words"))
     truth_jaccard = written(search.jaccard_topk(words_of(tokens), asked_words, c.k))
     answers = {
-        "pq": (_timed(pq.pq_topk(codes, codebooks, asked, c.k), n), truth_cosine),
+        "pq": (_timed(pq.pq_topk(codes, codebooks, asked_plain, c.k), n), truth_cosine),
         "lsh": (_timed(lsh.lsh_topk(features, asked_text, c.k), n), truth_jaccard),
         "flat": (_timed(search.inner_product_topk(flat, asked_flat, c.k), n), truth_cosine),
     }

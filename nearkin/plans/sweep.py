@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import text as T
 from nearkin.functions.banding import band_keys, best_bands
-from nearkin.operators.lsh import candidates, minhash_signatures, score_candidates
+from nearkin.operators.lsh import candidates, lsh_candidates, lsh_topk, minhash_signatures, score_candidates
 from nearkin.operators.ranking import as_queries, rows_of
 from nearkin.plans.scale import written
 
@@ -81,3 +82,29 @@ def sweep_series(sweep: DataFrame, thresholds: Iterable[float] = THRESHOLDS, val
     table = sweep.groupBy("method", "num_perm").pivot("threshold", list(thresholds)).agg(F.first(value))
     names = [f"{value}_{round(t * 100)}" for t in thresholds]
     return table.toDF("method", "num_perm", *names)
+
+
+def sweep_times(
+    tokens: DataFrame, sample: DataFrame, k: int = 10,
+    settings: list[tuple[int, float]] | None = None, shingle_n: int = 3,
+) -> DataFrame:
+    """(method, num_perm, threshold, lookup_time, avg_time): seconds per query of one batch job each.
+
+    `lookup_time` finds the candidates, `avg_time` ranks them as well. Signatures are made once.
+    """
+    settings = settings or grid()
+    sample = written(sample)
+    n = max(sample.count(), 1)
+    corpus = written(sweep_features(tokens, settings, shingle_n))
+    queries = written(as_queries(rows_of(corpus, sample)))
+    rows = []
+    for i, (num_perm, threshold) in enumerate(settings):
+        keyed, asked = (df.filter(F.col("setting") == i).drop("setting") for df in (corpus, queries))
+        times = []
+        for job in (lsh_candidates, lambda a, b: lsh_topk(a, b, k)):
+            start = time.perf_counter()
+            job(keyed, asked).write.format("noop").mode("overwrite").save()
+            times.append((time.perf_counter() - start) / n)
+        rows.append(("lsh", num_perm, float(threshold), *times))
+    schema = "method string, num_perm int, threshold double, lookup_time double, avg_time double"
+    return tokens.sparkSession.createDataFrame(rows, schema)

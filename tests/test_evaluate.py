@@ -79,6 +79,9 @@ def test_sweep_matches_single_settings(spark, documents):
         found = lsh.lsh_topk(keyed(tokens), as_queries(keyed(rows_of(tokens, sample))))
         recall = evaluate.method_recall({"lsh": evaluate.recall_per_query(sample, truth, found)}).first()["recall"]
         assert got[n, t] == pytest.approx(recall)
+    times = sweep.sweep_times(tokens, sample, settings=settings).collect()
+    assert {(r["num_perm"], r["threshold"]) for r in times} == set(settings)
+    assert all(r["lookup_time"] > 0 and r["avg_time"] > 0 for r in times)
     fixed = spark.createDataFrame([("flat", 1.0)], "method string, recall double")
     both = sweep.with_fixed_methods(table, fixed, settings)
     assert both.count() == 4
@@ -87,7 +90,7 @@ def test_sweep_matches_single_settings(spark, documents):
 
 
 def test_pipeline(spark, documents, tmp_path):
-    config = PipelineConfig(lsi_dims=16, pq_ks=16, pq_rounds=2, num_perm=32, n_queries=20, max_docs=120, power_steps=2)
+    config = PipelineConfig(lsi_dims=16, pq_ks=16, pq_rounds=2, num_perm=32, n_queries=20, max_docs=120, power_steps=2, pq_normalize=True)
     metrics = {r["method"]: r for r in run_pipeline(spark, documents, config, str(tmp_path)).collect()}
     assert set(metrics) == {"pq", "lsh", "flat"}
     assert metrics["flat"]["recall"] == 1.0
