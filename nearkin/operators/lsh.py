@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -11,9 +13,10 @@ from nearkin.functions import kernels
 from nearkin.functions.banding import band_keys, band_texts
 from nearkin.functions.text import jaccard
 from nearkin.operators.ranking import rank_topk
-from nearkin.plans.scale import checked_join, salted_join, written
+from nearkin.plans.scale import checked_join, written
 
 HEAVY_BUCKET = 256
+SET_BLOCK = 4_096
 
 
 def minhash_signatures(corpus: DataFrame, num_perm: int = 128, shingle_n: int = 5, seed: int = 1) -> DataFrame:
@@ -98,32 +101,58 @@ def lsh_topk(keyed: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bo
     return rank_topk(score_candidates(pairs, queries, exclude_self), k)
 
 
+def _shared_weight(sets: DataFrame) -> DataFrame:
+    """(hot, n_big): weight of all sets (hot, w) that agree with a set in a hot bucket.
+
+    Blocks of sets meet in a cogroup and are compared there band by band; only sums come out.
+    """
+    blocks = max(1, math.ceil(sets.count() / SET_BLOCK))
+    own = F.pmod(F.xxhash64("hot"), F.lit(blocks))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
+    left = sets.select("hot", own.alias("c"), every.alias("q"))
+    right = sets.select("hot", "w", every.alias("c"), own.alias("q"))
+
+    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        names = ["hot", "n"]
+        if not ours.num_rows or not theirs.num_rows:
+            return pa.table([pa.array([], pa.list_(pa.int64())), pa.array([], pa.int64())], names=names)
+        a = kernels.matrix(ours.column("hot"), np.int64)
+        b = kernels.matrix(theirs.column("hot"), np.int64)
+        agree = np.zeros((len(a), len(b)), bool)
+        for band in range(a.shape[1]):
+            agree |= (a[:, band, None] == b[None, :, band]) & (a[:, band, None] != 0)
+        weight = theirs.column("w").to_numpy()
+        n = np.array([weight[row].sum() for row in agree], np.int64)
+        return pa.table([kernels.list_column(a, pa.int64()), pa.array(n)], names=names)
+
+    met = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(compare, "hot array<bigint>, n bigint")
+    return met.groupBy("hot").agg(F.sum("n").alias("n_big"))
+
+
 def candidate_counts(keyed: DataFrame, heavy: int = HEAVY_BUCKET) -> DataFrame:
-    """(doc_id copies as `weight`, n_candidates) for all documents at once, itself included.
+    """(gid, weight, n_candidates): candidates of all documents at once, itself included.
 
-    Documents with the same keys in all bands are first folded into one row with a weight, so
-    copies cost nothing. Buckets of more than `heavy` rows are never paired row by row: rows are
-    folded again by the set of their heavy buckets, and only these sets are compared, in salted
-    slices. Rows of small buckets are compared within them, leaving out what was counted before.
+    `weight` documents have the same keys in all bands and are folded into one row, so copies
+    cost nothing. Buckets of more than `heavy` rows are never paired row by row: rows are folded
+    again by the set of their hot buckets, and these sets are compared in blocks. Rows of small
+    buckets are paired within them, leaving out what was counted before.
     """
     groups = keyed.groupBy("keys").agg(F.min("doc_id").alias("gid"), F.count("*").alias("weight"))
     groups = written(groups)
-    rows = groups.select("gid", F.posexplode("keys").alias("band", "key"))
-    sizes = rows.groupBy("band", "key").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = rows.join(sizes, ["band", "key"])
-    place = F.struct("band", "key")
+    places = F.transform("keys", lambda key, band: F.xxhash64(band, key))
+    placed = groups.select("gid", "weight", places.alias("places"))
+    rows = placed.select("gid", F.explode_outer("places").alias("at"))
+    sizes = rows.groupBy("at").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = rows.join(sizes, "at")
     lists = shared.groupBy("gid").agg(
-        F.sort_array(F.collect_list(F.when(F.col("members") > heavy, place))).alias("big"),
-        F.sort_array(F.collect_list(F.when(F.col("members") <= heavy, place))).alias("small"),
+        F.sort_array(F.collect_list(F.when(F.col("members") > heavy, F.col("at")))).alias("big"),
+        F.sort_array(F.collect_list(F.when(F.col("members") <= heavy, F.col("at")))).alias("small"),
     )
-    info = written(groups.select("gid", "weight").join(lists, "gid"))
+    hot = F.transform("places", lambda at: F.when(F.array_contains("big", at), at).otherwise(F.lit(0)))
+    info = written(placed.join(lists, "gid").select("gid", "weight", "big", "small", hot.alias("hot")))
 
-    sets = written(info.filter(F.size("big") > 0).groupBy("big").agg(F.sum("weight").alias("w")))
-    left = sets.select("big", F.explode("big").alias("at"))
-    right = sets.select(F.col("big").alias("other"), F.col("w"), F.explode("big").alias("at"))
-    met = salted_join(left, right, ["at"], "big")
-    met = met.filter(F.element_at(F.array_intersect("big", "other"), 1) == F.col("at"))
-    big_counts = met.groupBy("big").agg(F.sum("w").alias("n_big"))
+    sets = written(info.filter(F.size("big") > 0).groupBy("hot").agg(F.sum("weight").alias("w")))
+    big_counts = _shared_weight(sets)
 
     left = info.select("gid", "big", "small", F.explode("small").alias("at"))
     right = info.select(
@@ -139,8 +168,8 @@ def candidate_counts(keyed: DataFrame, heavy: int = HEAVY_BUCKET) -> DataFrame:
 
     return (
         groups.select("gid", "weight")
-        .join(info.select("gid", "big"), "gid", "left")
-        .join(big_counts, "big", "left")
+        .join(info.select("gid", "hot"), "gid", "left")
+        .join(big_counts, "hot", "left")
         .join(small_counts, "gid", "left")
         .select(
             "gid", "weight",

@@ -101,8 +101,9 @@ def brute_counts(keys):
 
 
 @pytest.mark.parametrize("heavy", [1, 3, 10, 1000])
-def test_counts_with_hot_buckets(spark, heavy):
+def test_counts_with_hot_buckets(spark, heavy, monkeypatch):
     """A third of all rows shares buckets, partly as copies and partly as near copies."""
+    monkeypatch.setattr(lsh, "SET_BLOCK", 16)
     rng = np.random.RandomState(3)
     keys = {}
     for d in range(240):
