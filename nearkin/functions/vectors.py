@@ -26,11 +26,6 @@ def l2_normalize(vector: Column) -> Column:
     return F.zip_with(doubles, lengths, lambda x, length: F.when(length > 0, x / length).otherwise(x))
 
 
-def cosine(left: Column, right: Column) -> Column:
-    """Cosine similarity; 0 when a side has length 0."""
-    return F.coalesce(F.try_divide(dot(left, right), norm(left) * norm(right)), F.lit(0.0))
-
-
 def subvectors(vector: Column, m: int, dim: int) -> Column:
     """The vector cut into m equal parts."""
     if dim % m:

@@ -3,7 +3,6 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.functions.banding import best_bands
