@@ -4,6 +4,37 @@ from __future__ import annotations
 
 SQL = {}
 
+SQL["op1_quality_rules"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         string_split(coalesce(text, ''), chr(10)) AS all_lines
+  FROM documents
+), windows AS (
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (
+    SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 3)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + j) AS n FROM twice, range(3) g(j) GROUP BY r
+), s AS (
+  SELECT doc_id, text, len(all_lines) AS n_lines, len(w) AS n_words,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         len(regexp_extract_all(text, '\p{Lu}')) AS capitals,
+         len(list_filter(all_lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+           - len(list_distinct(list_filter(all_lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM t LEFT JOIN covered USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols * 10 > n_words
+            OR capitals * 10 > word_chars * 4 OR word_chars < n_words * 2 OR word_chars > n_words * 15
+            OR (n_dup_lines >= 4 AND n_dup_lines * 2 > n_lines)) AS kept
+FROM s
+"""
+
 SQL["op3_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS codes FROM embeddings

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, topk
+from nearkin.llm import bpe, quality, topk
 from nearkin.session import ship
 
 QUERIES = {}
@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality_rules(spark, sf_dir):
+    documents = quality.text_stats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text, counts = F.col("text"), {name: F.col(name) for name in quality.STATS}
+    base, more = quality.base_rules(counts), quality.more_rules(counts, text)
+    failed = base["few_words"] | base["repetition"]
+    order = quality.rule_order(quality.sample_rows(documents, "text"), more)
+    kept = ~failed & quality.cascade(more, order).isNull()
+    return documents.select("doc_id", *quality.STATS, failed.alias("base_failed"), kept.alias("kept"))
+
+
 @query
 def op3_topk(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
