@@ -49,3 +49,105 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
 ) WHERE rank <= 10
 """
+
+
+SQL["op6_url_filter"] = r"""
+WITH RECURSIVE rules(domain, start, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), p AS (
+  SELECT page_id, url, split_part(url, '#', 1) AS node, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root,
+         regexp_extract(url, '(?s)^(.*?://[^?#]*/)', 1) AS folder, html, row_number() OVER () AS r
+  FROM pages
+), raw AS (
+  SELECT *, unnest([
+    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)
+  ]) AS escaped FROM p WHERE contains(url, '://')
+), links AS (
+  SELECT node AS a, split_part(CASE
+      WHEN contains(link, '://') THEN link
+      WHEN starts_with(link, '//') THEN split_part(url, '://', 1) || ':' || link
+      WHEN starts_with(link, '/') THEN root || link
+      WHEN folder = '' OR ends_with(folder, '://') THEN root || '/' || link
+      ELSE folder || link END, '#', 1) AS b
+  FROM (SELECT *, replace(escaped, '&amp;', '&') AS link FROM raw WHERE escaped <> '')
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT a, a FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+), urls AS (
+  SELECT url FROM p UNION SELECT b FROM reach
+), parts AS (
+  SELECT url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM urls
+), best AS (
+  SELECT url, host, path, domain || start AS rule, action
+  FROM parts LEFT JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start)
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(domain || start) DESC, action) = 1
+), passed AS (
+  SELECT r.a AS node, bool_or(action = 'allow') AS allowed, bool_or(action = 'block') AS blocked
+  FROM reach r JOIN best ON best.url = r.b GROUP BY 1
+)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' END, 'allow') AS verdict
+FROM p JOIN best ON best.url IS NOT DISTINCT FROM p.url LEFT JOIN passed USING (node)
+"""
+
+
+def _urn(*parts: str) -> str:
+    """SQL for a record id: the md5 of the parts, one a line, as a UUID."""
+    x = "md5(" + " || chr(10) || ".join(parts) + ")"
+    return f"'<urn:uuid:' || regexp_replace({x}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '\\1-\\2-\\3-\\4-') || '>'"
+
+
+def _entities(text: str) -> str:
+    for name, character in (
+        ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("apos", "''"), ("copy", "©"), ("middot", "·"),
+        ("ndash", "–"), ("mdash", "—"), ("hellip", "…"), ("amp", "&"),
+    ):
+        text = f"replace({text}, '&{name};', '{character}')"
+    return text
+
+
+def _plain(html: str) -> str:
+    for pattern in (r"(?s)<!--.*?-->", *(rf"(?is)<{t}\b[^>]*>.*?</{t}\s*>" for t in ("script", "style", "noscript", "head"))):
+        html = f"regexp_replace({html}, '{pattern}', ' ', 'g')"
+    blocks = (r"(?i)</?(?:p|div|br|hr|h[1-6]|li|ul|ol|dl|dt|dd|tr|table|article|section|aside|main|nav|header|footer"
+              r"|blockquote|pre|form|body|html)\b[^>]*>")
+    html = rf"regexp_replace(regexp_replace({html}, '[ \t\r\n\f]+', ' ', 'g'), '{blocks}', chr(10), 'g')"
+    html = _entities(f"regexp_replace({html}, '<[^>]*>', '', 'g')")
+    return rf"regexp_replace(regexp_replace({html}, ' *\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g')"
+
+
+SQL["op7_warc_derivatives"] = rf"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS html, chr(13) || chr(10) AS eol FROM pages
+), r AS (
+  SELECT *, 'sha256:' || sha256(html) AS payload_digest,
+         'HTTP/1.1 200 OK' || eol || 'Content-Type: text/html; charset=utf-8' || eol || 'Content-Length: ' || strlen(html) AS http
+  FROM p
+), s AS (
+  SELECT *, {_urn("'response'", "coalesce(page_id::VARCHAR, '')", "target_uri", "payload_digest")} AS refers_to,
+         trim({_entities(r"regexp_replace(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title', 1), '[ \t\r\n\f]+', ' ', 'g')")}) AS title,
+         regexp_extract(html, '(?is)<html\b[^>]*\blang\s*=\s*["'']?([A-Za-z0-9-]+)', 1) AS lang
+  FROM r
+), d AS (
+  SELECT page_id, target_uri, payload_digest, refers_to, eol, 'conversion' AS warc_type, {_urn("'conversion'", "refers_to")} AS record_id,
+         'text/plain; charset=utf-8' AS content_type, {_plain("html")} AS block
+  FROM s
+  UNION ALL
+  SELECT page_id, target_uri, payload_digest, refers_to, eol, 'metadata', {_urn("'metadata'", "refers_to")}, 'application/warc-fields',
+         'title: ' || title || eol || 'language: ' || lang || eol || 'conversion: ' || {_urn("'conversion'", "refers_to")} || eol
+           || 'source-payload-digest: ' || payload_digest || eol || 'http-header: ' || replace(http, eol, eol || 'http-header: ') || eol
+  FROM s
+)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, payload_digest,
+       'sha256:' || sha256(block) AS block_digest, strlen(block) AS content_length,
+       'WARC/1.1' || eol || 'WARC-Type: ' || warc_type || eol || 'WARC-Record-ID: ' || record_id || eol
+         || 'WARC-Date: 1970-01-01T00:00:00Z' || eol || 'WARC-Target-URI: ' || target_uri || eol || 'WARC-Refers-To: ' || refers_to || eol
+         || 'WARC-Block-Digest: sha256:' || sha256(block) || eol || 'Content-Type: ' || content_type || eol
+         || 'Content-Length: ' || strlen(block) || eol || eol AS header
+FROM d
+"""

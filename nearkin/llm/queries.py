@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, quality, topk
+from nearkin.llm import bpe, mixing, quality, sharding, topk, urls, warc
 from nearkin.session import ship
 
 QUERIES = {}
@@ -38,6 +38,33 @@ def op3_topk(spark, sf_dir):
     return topk.topk(rows, rows.where(F.col("vec_id") % 100 == 0), "vec_id", "codes", k=10)
 
 
+@query
+def op4_sharding(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sharding.shuffled_shards(documents, sharding.size_of(F.col("text")), shards=8)
+    return rows.select(
+        "doc_id", sharding.size_of(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: The rules of the URL query as (host, path, action).
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return urls.judge(pages, rules, urls.page_links(pages))
+
+
+@query
+def op7_warc_derivatives(spark, sf_dir):
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))).select(
+        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "header", "payload_digest", "block_digest", "content_length")
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     import public_tokenizers
@@ -45,3 +72,13 @@ def op8_byte_bpe(spark, sf_dir):
     return bpe.encode(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
         keep=("doc_id",), ids=False, digests=True)
+
+
+def token_count(text):
+    return F.size(quality.words_of(text)).cast("bigint")
+
+
+@query
+def op10_temperature_mix(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", token_count(F.col("text")).alias("n_tokens"))
+    return mixing.temperature_mix(documents, "source", F.col("n_tokens"), repetition_limit=2.0).rows
