@@ -35,6 +35,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM s
 """
 
+SQL["op2_substring_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM t WHERE len(w) >= 20)
+), repeats AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1
+), removed AS (
+  SELECT DISTINCT doc_id, i + j AS p FROM repeats, range(20) g(j)
+), places AS (
+  SELECT doc_id, w[p] AS word, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM t)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM places ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN (SELECT doc_id, count(*) AS n FROM removed GROUP BY doc_id) USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 SQL["op3_topk"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS codes FROM embeddings

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, mixing, quality, sharding, topk, urls, warc
+from nearkin.llm import bpe, mixing, quality, sharding, substring, topk, urls, warc
 from nearkin.session import ship
 
 QUERIES = {}
@@ -32,6 +32,12 @@ def op1_quality_rules(spark, sf_dir):
     return documents.select("doc_id", *quality.STATS, failed.alias("base_failed"), kept.alias("kept"))
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(documents).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_topk(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
