@@ -70,6 +70,27 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 """
 
 
+SQL["op9_ngram_jaccard"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), o AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM t UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(l.n_links, 0) AS n_links
+FROM t LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) l USING (doc_id)
+"""
+
 SQL["op6_url_filter"] = r"""
 WITH RECURSIVE rules(domain, start, action) AS (
   VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')

@@ -24,18 +24,32 @@ def shard_count(df: DataFrame, text_col: str, shard_bytes: int = 32 << 20) -> in
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-int(total) // shard_bytes))
 
 
-def scatter(df: DataFrame, make: Callable, shards: int, columns: int = 2) -> DataFrame:
-    """df: node, text. make(column of texts) gives for a piece the row number and the further uint64 columns of each
-    posting, the key first. A node that a task meets again is passed over."""
+def fresh_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Nodes and texts (columns 0 and 1), piece by piece; a node that the task meets again is passed over."""
+    seen: set[int] = set()
+    for batch in batches:
+        for piece in slices(batch, 1):
+            nodes = np.asarray(piece.column(0))
+            fresh = np.zeros(len(nodes), bool)
+            for i, node in enumerate(nodes.tolist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh[i] = True
+            if fresh.any():
+                yield nodes[fresh], piece.column(1).filter(pa.array(fresh))
+
+
+def scatter(df: DataFrame, make: Callable, shards: int, columns: int = 1, shift: int = 0) -> DataFrame:
+    """df: node, text. make(texts) gives the row number of each posting, its key and `columns` - 1 more uint64 columns.
+    The key goes to a shard without its lowest `shift` bits. A node that a task meets again is passed over."""
     names = [f"c{i}" for i in range(columns + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         held, total = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             parts = [np.concatenate(x) for x in zip(*held)]
-            shard = (parts[0] % np.uint64(shards)).astype(np.int32)
+            shard = ((parts[0] >> np.uint64(shift)) % np.uint64(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
             parts, shard = [x[order] for x in parts], shard[order]
             cut = np.flatnonzero(np.diff(shard)) + 1
@@ -44,22 +58,13 @@ def scatter(df: DataFrame, make: Callable, shards: int, columns: int = 2) -> Dat
                 [pa.array(shard[first]), *[pa.array([x.tobytes() for x in np.split(p, cut)], pa.binary()) for p in parts]],
                 names=["shard", *names])
 
-        for batch in batches:
-            for piece in slices(batch, 1):
-                nodes = np.asarray(piece.column(0))
-                fresh = np.zeros(len(nodes), bool)
-                for i, node in enumerate(nodes.tolist()):
-                    if node not in seen:
-                        seen.add(node)
-                        fresh[i] = True
-                if not fresh.any():
-                    continue
-                row, key, *more = make(piece.column(1).filter(pa.array(fresh)))
-                held.append([key, nodes[fresh][row].view(np.uint64), *more])
-                total += len(key)
-                if total >= FLUSH:
-                    yield from flush()
-                    held, total = [], 0
+        for nodes, texts in fresh_pieces(batches):
+            row, key, *more = make(texts)
+            held.append([key, nodes[row].view(np.uint64), *more])
+            total += len(key)
+            if total >= FLUSH:
+                yield from flush()
+                held, total = [], 0
         if total:
             yield from flush()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, mixing, quality, sharding, substring, topk, urls, warc
+from nearkin.llm import bpe, jaccard, mixing, quality, sharding, substring, topk, urls, warc
 from nearkin.session import ship
 
 QUERIES = {}
@@ -80,6 +80,12 @@ def op8_byte_bpe(spark, sf_dir):
         keep=("doc_id",), ids=False, digests=True)
 
 
+@query
+def op9_ngram_jaccard(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_components(documents).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def token_count(text):
     return F.size(quality.words_of(text)).cast("bigint")
 
