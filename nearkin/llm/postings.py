@@ -24,6 +24,21 @@ def shard_count(df: DataFrame, text_col: str, shard_bytes: int = 32 << 20) -> in
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-int(total) // shard_bytes))
 
 
+def packed_schema(columns: int) -> str:
+    return ", ".join(["shard int", *[f"c{i} binary" for i in range(columns)]])
+
+
+def packed(shard: np.ndarray, parts: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each shard that occurs, with its part of each array as bytes."""
+    shard = shard.astype(np.int32)
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    cut = np.flatnonzero(np.diff(shard)) + 1
+    first = np.concatenate([[0], cut])[: len(shard)]
+    blobs = [pa.array([x.tobytes() for x in np.split(p[order], cut)][: len(first)], pa.binary()) for p in parts]
+    return pa.RecordBatch.from_arrays([pa.array(shard[first]), *blobs], names=["shard", *[f"c{i}" for i in range(len(parts))]])
+
+
 def fresh_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """Nodes and texts (columns 0 and 1), piece by piece; a node that the task meets again is passed over."""
     seen: set[int] = set()
@@ -42,55 +57,50 @@ def fresh_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray
 def scatter(df: DataFrame, make: Callable, shards: int, columns: int = 1, shift: int = 0) -> DataFrame:
     """df: node, text. make(texts) gives the row number of each posting, its key and `columns` - 1 more uint64 columns.
     The key goes to a shard without its lowest `shift` bits. A node that a task meets again is passed over."""
-    names = [f"c{i}" for i in range(columns + 1)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
             parts = [np.concatenate(x) for x in zip(*held)]
-            shard = ((parts[0] >> np.uint64(shift)) % np.uint64(shards)).astype(np.int32)
-            order = np.argsort(shard, kind="stable")
-            parts, shard = [x[order] for x in parts], shard[order]
-            cut = np.flatnonzero(np.diff(shard)) + 1
-            first = np.concatenate([[0], cut])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[first]), *[pa.array([x.tobytes() for x in np.split(p, cut)], pa.binary()) for p in parts]],
-                names=["shard", *names])
+            return packed((parts[0] >> np.uint64(shift)) % np.uint64(shards), parts)
 
         for nodes, texts in fresh_pieces(batches):
             row, key, *more = make(texts)
             held.append([key, nodes[row].view(np.uint64), *more])
             total += len(key)
             if total >= FLUSH:
-                yield from flush()
+                yield flush()
                 held, total = [], 0
         if total:
-            yield from flush()
-
-    schema = ", ".join(["shard int", *[f"{n} binary" for n in names]])
-    return df.select("node", "text").mapInArrow(run, schema)
+            yield flush()
 
+    return df.select("node", "text").mapInArrow(run, packed_schema(columns + 1))
 
-def gather(blobs: DataFrame, reduce: Callable, shards: int, schema: str) -> DataFrame:
-    """reduce(key, node, ...) on all postings of a shard, one shard at a time; it gives the columns of the schema."""
-    names = [f.split()[0] for f in schema.split(", ")]
-
-    def done(parts: list[list[bytes]]) -> pa.RecordBatch:
-        columns = [np.frombuffer(b"".join(p), np.uint64) for p in parts]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in reduce(*columns)], names=names)
 
+def by_shard(blobs: DataFrame, shards: int, handle: Callable, schema: str) -> DataFrame:
+    """handle(shard, columns) on the joined bytes of each column, one shard at a time; it gives record batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, None
+        now, parts = None, []
         for batch in batches:
             for shard, *blob in zip(*[c.to_pylist() for c in batch.columns]):
                 if shard != now:
                     if parts:
-                        yield done(parts)
+                        yield from handle(now, [b"".join(p) for p in parts])
                     now, parts = shard, [[] for _ in blob]
                 for to, data in zip(parts, blob):
                     to.append(data)
         if parts:
-            yield done(parts)
+            yield from handle(now, [b"".join(p) for p in parts])
 
     return blobs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+
+
+def gather(blobs: DataFrame, reduce: Callable, shards: int, schema: str) -> DataFrame:
+    """reduce(key, node, ...) on all postings of a shard; it gives the columns of the schema."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def handle(_: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        columns = reduce(*[np.frombuffer(p, np.uint64) for p in parts])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return by_shard(blobs, shards, handle, schema)

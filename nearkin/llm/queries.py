@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, jaccard, mixing, quality, sharding, substring, topk, urls, warc
+from nearkin.llm import bpe, jaccard, lm, mixing, quality, sharding, substring, topk, urls, warc
 from nearkin.session import ship
 
 QUERIES = {}
@@ -54,6 +54,13 @@ def op4_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op5_lm_scoring(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", lm.held_out("doc_id").alias("held_out"))
+    model = lm.train(documents.where(~F.col("held_out")), order=2)
+    return lm.score(documents, model, keep=("doc_id", "held_out")).withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
+
+
 #: The rules of the URL query as (host, path, action).
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
