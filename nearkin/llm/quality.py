@@ -34,9 +34,11 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     """df with more columns, each computed once per row however often it is used later.
 
     A plain projection is merged into whatever reads it, and its expressions are repeated in filters; a generator of
-    one row is not.
+    one row is not. A column of the same name is replaced.
     """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+    new = {name.lower() for name in columns}
+    old = [F.col(f"`{c}`") for c in df.columns if c.lower() not in new]
+    return df.select(*old, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -96,13 +98,14 @@ def text_counts(text: Column, words: Column) -> dict[str, Column]:
 
 
 def text_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with the counts STATS of each text as long columns."""
+    """df with the counts STATS of each text as long columns, in place of columns of these names."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = once(df, _words=words_of(text))
-    df = once(df, _hashes=window_hashes(F.col("_words")))
-    df = once(df, _starts=repeated_starts(F.col("_hashes")))
-    counts = text_counts(text, F.col("_words")) | {"n_repeat_words": covered_words(F.col("_starts"))}
-    return once(df, **{name: c.cast("bigint") for name, c in counts.items()}).drop("_words", "_hashes", "_starts")
+    words, hashes, starts = (unused(df, x) for x in ("_words", "_hashes", "_starts"))
+    df = once(df, **{words: words_of(text)})
+    df = once(df, **{hashes: window_hashes(F.col(words))})
+    df = once(df, **{starts: repeated_starts(F.col(hashes))})
+    counts = text_counts(text, F.col(words)) | {"n_repeat_words": covered_words(F.col(starts))}
+    return once(df, **{name: c.cast("bigint") for name, c in counts.items()}).drop(words, hashes, starts)
 
 
 def base_rules(counts: Mapping[str, Column]) -> dict[str, Column]:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearkin.llm.arrays import tidy
 from nearkin.plans.scale import written
 
 BLOCK_ROWS = 8192
@@ -77,6 +78,8 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
 
     def task(query_ids: np.ndarray, query_terms: dict):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if len(query_ids) == 0:
+                return
             groups = [{} for _ in range(0, len(query_ids), GROUP)]
             for term, (row, weight) in query_terms.value.items():
                 for g in np.unique(row // GROUP):
@@ -118,7 +121,7 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
         if isinstance(codes, pa.ChunkedArray):
             codes = codes.chunk(0) if codes.num_chunks else pa.array([], pa.list_(pa.int64()))
         sent = spark.sparkContext.broadcast(by_term(postings(codes)))
-        part = columns.mapInArrow(task(ids, sent), schema)
+        part = columns.mapInArrow(tidy(task(ids, sent)), schema)
         found = part if found is None else found.unionAll(part)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -21,7 +21,7 @@ PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def host_of(url: Column) -> Column:
