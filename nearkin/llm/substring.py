@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrays import Words, slices, windows, words_of
+from nearkin.llm.arrays import Words, slices, tidy, windows, words_of
 from nearkin.llm.postings import gather, scatter, shard_count
 from nearkin.llm.quality import unused
 from nearkin.plans.scale import written
 
 SHORT = 2
-TREE_ROWS = 20_000
-TREE_WINDOWS = 150_000
+TREE_ROWS = 10_000
+TREE_WINDOWS = 100_000
 
 
 def least_places(values: np.ndarray, n: int) -> np.ndarray:
@@ -127,17 +127,19 @@ def suffix_rows(n: int, k: int):
                 body, lo, hi = words.data.tobytes(), words.start[start], words.end[start + count + n - 2]
                 context = [body[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
                 order = np.lexsort((start, nodes[owner], ids[owner]))
-                met, kept = set(), np.ones(len(start), bool)
+                met, kept, same = {}, np.ones(len(start), bool), np.zeros(len(start), bool)
                 for i in order.tolist():
-                    if context[i] in met:
+                    own = (ids[owner[i]], nodes[owner[i]], start[i] - words.bound[owner[i]])
+                    first_met = met.setdefault(context[i], own)
+                    same[i] = first_met is not own and first_met == own  # the document again
+                    if first_met is not own:
                         context[i], kept[i] = None, False
-                    else:
-                        met.add(context[i])
                 prefix[~kept] = (grams[place[~kept]] + start[~kept].astype(np.uint64)).view(np.int64)  # anywhere
-                yield pa.RecordBatch.from_arrays([
+                made = pa.RecordBatch.from_arrays([
                     pa.array(prefix), pa.array(ids[owner]), pa.array(nodes[owner]),
                     pa.array((start - words.bound[owner]).astype(np.int64)), pa.array(count.astype(np.int64)),
                     pa.array(context, pa.binary())], names=names)
+                yield made.filter(pa.array(~same)) if same.any() else made
 
     return run, "prefix bigint, id bigint, node bigint, start bigint, count bigint, context binary"
 
@@ -161,7 +163,12 @@ def repeats_in_tree(ids: np.ndarray, nodes: np.ndarray, starts: np.ndarray, coun
         order = np.lexsort((starts[r] + number[mine], nodes[r], ids[r], *suffix.T[::-1]))
         suffix = suffix[order]
         depth = np.cumprod(suffix[1:] == suffix[:-1], axis=1).sum(axis=1)  # common prefix of neighbours, in words
-        found.append(mine[order[1:][depth >= n]])
+        deep = np.concatenate([[False], depth >= n])
+        first = np.maximum.accumulate(np.where(deep, 0, np.arange(len(order))))  # first leaf of each leaf's node
+        own, top = mine[order], mine[order[first]]
+        same = (ids[row[own]] == ids[row[top]]) & (nodes[row[own]] == nodes[row[top]])
+        same &= starts[row[own]] + number[own] == starts[row[top]] + number[top]  # the document again, not a repeat
+        found.append(own[deep & ~same])
     found = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return row[found], number[found]
 
@@ -206,13 +213,13 @@ def tree_marks(n: int):
     return run, "id bigint, node bigint, start bigint, count bigint"
 
 
-def without_repeats(fields: list[str], n: int):
-    """Rows (id, node, text, marks, others) to others, n_words, n_removed, kept."""
+def without_repeats(fields: list[str], place: int, n: int):
+    """Rows (marks, columns of the documents, id, node) to the columns and n_words, n_removed, kept. place: of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, 0):
+            for piece in slices(batch, 1 + place):
                 n_words, n_removed, kept = [], [], []
-                for text, marks in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                for text, marks in zip(piece.column(1 + place).to_pylist(), piece.column(0).to_pylist()):
                     words = (text or "").encode().split()  # on the same six characters
                     stay = None
                     if marks and len(words) >= n:
@@ -226,7 +233,7 @@ def without_repeats(fields: list[str], n: int):
                     n_removed.append(0 if stay is None else int(len(words) - stay.sum()))
                     kept.append(b" ".join(words if stay is None else compress(words, stay.tolist())).decode())
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[2:], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                    [*piece.columns[1:-2], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
                     names=fields)
 
     return run
@@ -235,11 +242,12 @@ def without_repeats(fields: list[str], n: int):
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 20, k: int = 8,
                    group_rows: int = 20_000) -> DataFrame:
     """The rows of df with n_words, n_removed and kept: the words left, joined by one space."""
-    id_name, node, text = (unused(df, x) for x in ("_id", "_node", "_text"))
-    docs = df.select("*", F.col(id_col).cast("bigint").alias(id_name), F.coalesce(F.col(text_col), F.lit("")).alias(text)) \
-        .withColumn(node, F.xxhash64(text))
+    id_name, node, mark = (unused(df, x) for x in ("_id", "_node", "_marks"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs = df.select("*", F.col(id_col).cast("bigint").alias(id_name), F.xxhash64(text).alias(node))
     named = docs.where(F.col(id_name).isNotNull())
-    slim = named.select(F.col(id_name).alias("id"), F.col(node).alias("node"), F.col(text).alias("text"))
+    slim = named.select(F.col(id_name).alias("id"), F.col(node).alias("node"), text.alias("text"))
     firsts = written(slim.groupBy("node").agg(F.min("id").alias("id")))
 
     shards = shard_count(slim, "text")
@@ -247,23 +255,24 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated = written(gather(blobs, repeated_anchors, shards, "node bigint, anchor bigint, short bigint"))
     crowded = repeated.groupBy("short").count().where(F.col("count") > group_rows).select("short", F.lit(True).alias("long"))
     wanted = repeated.join(crowded, "short", "left").join(firsts, "node").groupBy("id", "node").agg(
-        F.collect_list(F.struct("anchor", F.coalesce("long", F.lit(False)).alias("long"))).alias("wanted"))
+        F.collect_list(F.struct("anchor", F.coalesce("long", F.lit(False)).alias("long"))).alias(mark))
+
+    def to_docs(found: DataFrame, how: str) -> DataFrame:
+        """Both joins deal out the same columns of the documents in the same way, so that one exchange serves both."""
+        return named.join(found.select(F.col("id").alias(id_name), F.col("node").alias(node), mark), [id_name, node], how)
 
-    by_text = named.select(F.col(id_name).alias("id"), F.col(node).alias("node"), F.col(text).alias("text"))
     rows_of, rows_schema = suffix_rows(n, k)
-    rows = by_text.join(wanted, ["id", "node"]).select("id", "node", "text", "wanted").mapInArrow(rows_of, rows_schema)
+    rows = to_docs(wanted, "inner").select(id_name, node, F.col(text_col), mark, *columns).mapInArrow(tidy(rows_of), rows_schema)
     marks_of, marks_schema = tree_marks(n)
-    found = rows.repartition(shards, "prefix").sortWithinPartitions("prefix").mapInArrow(marks_of, marks_schema)
+    found = rows.repartition(shards, "prefix").sortWithinPartitions("prefix").mapInArrow(tidy(marks_of), marks_schema)
     copies = slim.select("id", "node").distinct().join(firsts.withColumnRenamed("id", "first"), "node").where(F.col("id") > F.col("first"))
     marks = found.unionByName(copies.select("id", "node", F.lit(0).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("count"))) \
-        .groupBy("id", "node").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
+        .groupBy("id", "node").agg(F.collect_list(F.struct("start", "count")).alias(mark))
 
-    columns = [F.col(f"`{c}`") for c in df.columns]
     added = [unused(df, c) for c in ("n_words", "n_removed", "kept")]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [
         f"`{added[0]}` bigint", f"`{added[1]}` bigint", f"`{added[2]}` string"]
-    marks = marks.select(F.col("id").alias(id_name), F.col("node").alias(node), F.col("marks").alias(unused(df, "_marks")))
-    empty = docs.where(F.col(id_name).isNull()).withColumn(unused(df, "_marks"), F.lit(None).cast("array<struct<start:bigint,count:bigint>>"))
-    both = named.join(marks, [id_name, node], "left").unionByName(empty)
-    both = both.select(text, unused(df, "_marks"), *columns)
-    return both.mapInArrow(without_repeats([*df.columns, *added], n), ", ".join(fields))
+    unnamed = docs.where(F.col(id_name).isNull()).withColumn(mark, F.lit(None).cast("array<struct<start:bigint,count:bigint>>"))
+    both = to_docs(marks, "left").unionByName(unnamed).select(mark, *columns, id_name, node)
+    place = [c.lower() for c in df.columns].index(text_col.lower())
+    return both.mapInArrow(tidy(without_repeats([*df.columns, *added], place, n)), ", ".join(fields))
