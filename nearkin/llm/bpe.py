@@ -13,23 +13,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from nearkin.llm.arrays import slices, text_bytes
+from nearkin.llm.arrays import slices, text_bytes, tidy
 
 #: Bytes that stand for themselves as characters: the printable ones of Latin-1.
 PRINTABLE = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
 
 
 #: Encoded pieces a worker remembers; beyond this it starts anew, which changes nothing but speed.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 300_000
 
 
 def byte_characters() -> list[str]:
@@ -63,22 +63,24 @@ class Codec:
         self.tokenizer = Tokenizer(model)
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pieces = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         from_char = {c: b for b, c in enumerate(to_char)}
         self.token = {rank: bytes(map(from_char.__getitem__, shown[t])) for t, rank in ranks.items()}
         self.decimal = {rank: str(rank) for rank in self.token}
         self.length = np.zeros(max(self.token) + 1, np.int64)
         self.length[list(self.token)] = [len(t) for t in self.token.values()]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts. Each piece that the pattern cuts out is encoded by itself, and once per batch at most."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts. Each piece that the pattern cuts out is encoded by itself, and once while it is known."""
         cut = [self.pieces(t) for t in texts]
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
         new = list({p for row in cut for p in row}.difference(self.known))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, (e.ids for e in found)))
-        return [list(chain.from_iterable(map(self.known.__getitem__, row))) for row in cut]
+        for at in range(0, len(new), 20_000):
+            some = new[at: at + 20_000]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.known.update(zip(some, (array("i", e.ids).tobytes() for e in found)))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, row)), np.int32) for row in cut]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the tokens; a character may be split over several tokens, so only the whole is text."""
@@ -111,24 +113,28 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path, pattern)
+        code.known.clear()
         for batch in batches:
             for piece in slices(batch, 0, 1 << 20):
                 rows = code.encode([t or "" for t in piece.column(0).to_pylist()])
                 columns = [*piece.columns[1:], pa.array(map(len, rows), pa.int64())]
                 if ids:
-                    columns.append(pa.array(rows, pa.list_(pa.int32())))
+                    bound = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+                    columns.append(pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(np.concatenate(rows))))
                 if offsets:
                     data, bound = text_bytes(piece.column(0))
                     spans = [code.offsets(r, data[bound[i]: bound[i + 1]]) for i, r in enumerate(rows)]
                     columns += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
                 if digests:
+                    rows = [r.tolist() for r in rows]
                     columns.append(pa.array([
                         hashlib.sha256(" ".join(map(code.decimal.__getitem__, r)).encode()).hexdigest() for r in rows
                     ], pa.string()))
                     columns.append(pa.array([hashlib.sha256(code.decode(r)).hexdigest() for r in rows], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0].strip("`") for f in fields])
+        code.known.clear()
 
-    return kept.mapInArrow(run, ", ".join(fields))
+    return kept.mapInArrow(tidy(run), ", ".join(fields))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -29,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrays import STEP, mixed, slices, words_of
+from nearkin.llm.arrays import STEP, mixed, slices, tidy, words_of
 from nearkin.llm.postings import by_shard, packed, packed_schema, shard_count
 from nearkin.plans.scale import scratch_folder, written
 
 #: Fixed value: stands for the end of a text among the word hashes.
 END = np.uint64(0x51ED270B0A2F1C37)
 OPEN_FILES = 512
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 1_500_000
 
 
 def model_folder(spark: SparkSession) -> str:
@@ -364,11 +364,11 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     texts = texts.select(F.col(text_col).alias("text"))
     shards = shard_count(texts, "text")
     handle, schema = add_words(folder, shards)
-    counted = written(by_shard(texts.mapInArrow(word_counts(shards), packed_schema(2)), shards, handle, schema))
+    counted = written(by_shard(texts.mapInArrow(tidy(word_counts(shards)), packed_schema(2)), shards, handle, schema))
     sizes = {row.shard: (row.words, row.tokens) for row in counted.collect()}
     offsets = np.concatenate([[0], np.cumsum([sizes.get(s, (0, 0))[0] for s in range(shards)])]).astype(np.int64)
     model = Model(folder, order, shards, offsets, sum(t for _, t in sizes.values()), {})
-    grams, found = texts.mapInArrow(gram_counts(model), packed_schema(order + 1)), {}
+    grams, found = texts.mapInArrow(tidy(gram_counts(model)), packed_schema(order + 1)), {}
     for j in range(order, 0, -1):
         handle, schema = add_grams(model, j)
         done = written(by_shard(grams, shards, handle, schema))
@@ -390,7 +390,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, 0, 4 << 20):
+            for piece in slices(batch, 0):
                 bound, logs, count = model.log_probabilities(piece.column(0))
                 base = np.log10((count + 1) / (model.tokens + int(model.offsets[-1]) + 1))
                 n = np.diff(bound)
@@ -398,7 +398,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
                 yield pa.RecordBatch.from_arrays([
                     *piece.columns[1:], pa.array(n), pa.array(known), pa.array(plain), pa.array(total), pa.array(10 ** (-total / n))], names=names)
 
-    return kept.mapInArrow(run, ", ".join(fields + ["n_tokens bigint, n_known bigint, base_score double, score double, perplexity double"]))
+    return kept.mapInArrow(tidy(run), ", ".join(fields + ["n_tokens bigint, n_known bigint, base_score double, score double, perplexity double"]))
 
 
 def held_out(id_col: str) -> Column:

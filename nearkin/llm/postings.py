@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrays import slices
+from nearkin.llm.arrays import slices, tidy
 
-FLUSH = 1_000_000
+FLUSH = 500_000
 
 
 def shard_count(df: DataFrame, text_col: str, shard_bytes: int = 32 << 20) -> int:
@@ -74,7 +74,7 @@ def scatter(df: DataFrame, make: Callable, shards: int, columns: int = 1, shift:
         if total:
             yield flush()
 
-    return df.select("node", "text").mapInArrow(run, packed_schema(columns + 1))
+    return df.select("node", "text").mapInArrow(tidy(run), packed_schema(columns + 1))
 
 
 def by_shard(blobs: DataFrame, shards: int, handle: Callable, schema: str) -> DataFrame:
@@ -92,7 +92,7 @@ def by_shard(blobs: DataFrame, shards: int, handle: Callable, schema: str) -> Da
         if parts:
             yield from handle(now, [b"".join(p) for p in parts])
 
-    return blobs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    return blobs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(tidy(run), schema)
 
 
 def gather(blobs: DataFrame, reduce: Callable, shards: int, schema: str) -> DataFrame:
