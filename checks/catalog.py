@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,10 @@ from nearkin.functions.hashing import md5_number
 from nearkin.operators import hyperplane, ivf, lsh, lsi, pairs, pq, search, terms, words
 from nearkin.operators.ranking import as_queries, first_n, query_sample, rows_of
 from nearkin.plans import evaluate, features, pipeline, sweep
-from nearkin.plans.scale import spread, written
+from nearkin.plans.scale import scratch_folder, spread, written
 from nearkin.session import ship
-from nearkin.sources.text import union_by_name
+from nearkin.sources.text import merge_csv as read_merged
+from nearkin.sources.text import union_by_name, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,8 +54,8 @@ def document_sample(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
     return listed(query_sample(spark.read.parquet(f"{sf_dir}/documents.parquet"), n))
 
 
-def vector_sample(spark, sf_dir) -> DataFrame:
-    return listed(query_sample(vectors(spark, sf_dir), S.N_QUERIES))
+def vector_sample(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
+    return listed(query_sample(vectors(spark, sf_dir), n))
 
 
 def listed(sample: DataFrame) -> DataFrame:
@@ -61,8 +63,8 @@ def listed(sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(sample.toArrow())
 
 
-def asked_vectors(spark, sf_dir) -> DataFrame:
-    return rows_of(vectors(spark, sf_dir), vector_sample(spark, sf_dir)).withColumnRenamed("doc_id", "qid")
+def asked_vectors(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
+    return rows_of(vectors(spark, sf_dir), vector_sample(spark, sf_dir, n)).withColumnRenamed("doc_id", "qid")
 
 
 def asked_words(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
@@ -141,7 +143,7 @@ def shingles(spark, sf_dir):
 
 @query
 def term_counts(spark, sf_dir):
-    return terms.term_counts(features.tokens_of(terms.by_document(documents(spark, sf_dir))))
+    return terms.term_counts(tokens(spark, sf_dir))
 
 
 @query
@@ -150,10 +152,9 @@ def vocabulary(spark, sf_dir):
 
 
 def weighing(spark, sf_dir):
-    """Term counts, vocabulary and number of documents."""
-    counts = written(term_counts(spark, sf_dir))
-    vocab = written(terms.vocabulary(counts, S.MAX_FEATURES))
-    return counts, vocab, spark.read.parquet(f"{sf_dir}/documents.parquet").count(), S.MAX_FEATURES
+    """Tokens, vocabulary and number of documents."""
+    vocab = written(vocabulary(spark, sf_dir))
+    return tokens(spark, sf_dir), vocab, spark.read.parquet(f"{sf_dir}/documents.parquet").count()
 
 
 @query
@@ -288,10 +289,40 @@ def pq_distance_table(spark, sf_dir):
     return table.select("qid", "m", rounded_list("distances"))
 
 
-def pq_answers(spark, sf_dir):
+def pq_answers(spark, sf_dir, n=S.N_QUERIES):
     books = written(codebooks(spark, sf_dir))
     codes = pq.encode(vectors(spark, sf_dir), books)
-    return pq.pq_topk(codes, books, asked_vectors(spark, sf_dir), S.K)
+    return pq.pq_topk(codes, books, asked_vectors(spark, sf_dir, n), S.K)
+
+
+def small_vectors(spark, sf_dir):
+    """Raw vectors scaled down: answers and codes must not depend on the size of the numbers."""
+    small = F.transform("vector", lambda x: x.cast("double") * S.SMALL)
+    return vectors(spark, sf_dir).select("doc_id", small.alias("vector"))
+
+
+@query
+def pq_encode_small(spark, sf_dir):
+    table = small_vectors(spark, sf_dir)
+    return pq.encode(table, pq.train_codebooks(table, S.PQ_M, S.PQ_KS, S.ROUNDS))
+
+
+@query
+def inner_product_topk_raw(spark, sf_dir):
+    table = small_vectors(spark, sf_dir)
+    asked = rows_of(table, vector_sample(spark, sf_dir)).withColumnRenamed("doc_id", "qid")
+    return search.inner_product_topk(table, asked, S.K).select("qid", "doc_id", "rank")
+
+
+@query
+def merge_csv(spark, sf_dir):
+    """Given tables written as CSV files of two headers and read back as one."""
+    folder = f"{scratch_folder(spark)}/csv-{uuid.uuid4().hex}"
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    for name, df in (("items", items), ("labels", labels), ("merged", items)):
+        write_csv(df, f"{folder}/{name}")
+    return read_merged(spark, f"{folder}/*/*.csv", f"{folder}/merged")
 
 
 @query
@@ -307,8 +338,8 @@ def ivf_topk(spark, sf_dir):
     return rounded(ivf.ivf_topk(placed, centres, asked_vectors(spark, sf_dir), S.K, S.NPROBE), "score")
 
 
-def cosine_truth(spark, sf_dir):
-    return search.cosine_topk(vectors(spark, sf_dir), asked_vectors(spark, sf_dir), S.K)
+def cosine_truth(spark, sf_dir, n=S.N_QUERIES):
+    return search.cosine_topk(vectors(spark, sf_dir), asked_vectors(spark, sf_dir, n), S.K)
 
 
 @query
@@ -316,10 +347,10 @@ def cosine_topk(spark, sf_dir):
     return rounded(cosine_truth(spark, sf_dir), "score")
 
 
-def flat_answers(spark, sf_dir):
+def flat_answers(spark, sf_dir, n=S.N_QUERIES):
     unit = V.l2_normalize(F.col("vector")).alias("vector")
     corpus = vectors(spark, sf_dir).select("doc_id", unit)
-    asked = asked_vectors(spark, sf_dir).select("qid", unit)
+    asked = asked_vectors(spark, sf_dir, n).select("qid", unit)
     return search.inner_product_topk(corpus, asked, S.K)
 
 
@@ -396,11 +427,12 @@ def jaccard_percentiles(spark, sf_dir):
 def sweep_table(spark, sf_dir):
     sample = document_sample(spark, sf_dir, S.SWEEP_QUERIES)
     table = sweep.lsh_sweep(tokens(spark, sf_dir), sample, jaccard_truth(spark, sf_dir, S.SWEEP_QUERIES), S.K)
-    asked = vector_sample(spark, sf_dir)
-    cosine = written(cosine_truth(spark, sf_dir))
+    n = S.SWEEP_QUERIES
+    asked = vector_sample(spark, sf_dir, n)
+    cosine = written(cosine_truth(spark, sf_dir, n))
     fixed = evaluate.method_recall({
-        "pq": evaluate.recall_per_query(asked, cosine, pq_answers(spark, sf_dir), S.K),
-        "flat": evaluate.recall_per_query(asked, cosine, flat_answers(spark, sf_dir), S.K),
+        "pq": evaluate.recall_per_query(asked, cosine, pq_answers(spark, sf_dir, n), S.K),
+        "flat": evaluate.recall_per_query(asked, cosine, flat_answers(spark, sf_dir, n), S.K),
     })
     return sweep.with_fixed_methods(table, fixed.select("method", "recall"))
 

@@ -14,15 +14,13 @@ from checks.catalog import QUERIES
 from checks.oracles import oracles
 from nearkin.session import local_session
 
-TABLES = ("documents", "embeddings", "pages", "benchmark")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
 
 
 def plain(value):
-    if value is None or isinstance(value, (int, str)):
-        return value
-    if isinstance(value, float):
-        return 0.0 if value == 0 else value
-    return tuple(plain(v) for v in value)
+    if isinstance(value, (list, tuple)):
+        return tuple(plain(v) for v in value)
+    return value
 
 
 def rows(names: list[str], data) -> list[tuple]:

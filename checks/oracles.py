@@ -21,7 +21,13 @@ def md5_order(column: str) -> str:
 
 
 def round_list(column: str) -> str:
-    return f"list_transform({column}, lambda y: round(y, 6))"
+    return f"list_transform({column}, lambda y: round(y, 6) + 0.0)"  # no negative zeros
+
+
+def significant(score: str) -> str:
+    """A score cut to nine significant digits."""
+    power = f"pow(10.0::DOUBLE, floor(log10(abs({score}))))"
+    return f"(CASE WHEN {score} = 0 THEN {score} ELSE round({score} / {power}, 8) * {power} END)"
 
 
 def select(parts: list[str], body: str) -> str:
@@ -102,6 +108,8 @@ def jaccard_parts(name: str, samples: str) -> list[str]:
 # ------------------------------------------------------------------ vectors
 
 VEC = "vec AS (SELECT vec_id AS doc_id, embedding::DOUBLE[] AS v FROM embeddings)"
+SMALL_VEC = f"""vec AS (SELECT vec_id AS doc_id, list_transform(embedding, lambda y: y::DOUBLE * {S.SMALL!r}::DOUBLE) AS v
+  FROM embeddings)"""
 LENGTH = "sqrt(list_dot_product(v, v))"
 UNIT = f"""unit AS (SELECT doc_id, CASE WHEN {LENGTH} > 0 THEN list_transform(v, lambda y: y / {LENGTH}) ELSE v END AS v
   FROM (SELECT doc_id, v FROM vec))"""
@@ -109,7 +117,7 @@ UNIT = f"""unit AS (SELECT doc_id, CASE WHEN {LENGTH} > 0 THEN list_transform(v,
 
 def vector_topk(name: str, table: str, score: str) -> str:
     return f"""{name} AS (SELECT * FROM (SELECT *,
-  row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id)::INTEGER AS rank
+  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id)::INTEGER AS rank
   FROM (SELECT s.qid, b.doc_id, {score} AS score FROM vec_sample s JOIN {table} a ON a.doc_id = s.qid
   CROSS JOIN {table} b WHERE s.qid <> b.doc_id)) WHERE rank <= {S.K})"""
 
@@ -146,8 +154,8 @@ def plane_pairs() -> list[str]:
 
 def nearest(name: str, sub: str, centres: str) -> str:
     return f"""{name} AS (SELECT doc_id, m, min(code)::INTEGER AS code FROM (SELECT *, min(d) OVER (PARTITION BY doc_id, m) AS low
-  FROM (SELECT s.doc_id, s.m, c.code, list_distance(s.x, c.c) ** 2 AS d
-  FROM {sub} s JOIN {centres} c USING (m))) WHERE d <= low + 1e-9 GROUP BY doc_id, m)"""
+  FROM (SELECT s.doc_id, s.m, c.code, list_distance(s.x, c.c) ** 2 AS d, list_dot_product(s.x, s.x) + list_dot_product(c.c, c.c) AS size
+  FROM {sub} s JOIN {centres} c USING (m))) WHERE d <= low + 1e-9 * size GROUP BY doc_id, m)"""
 
 
 def kmeans(prefix: str, table: str, m: int, ks: int, rounds: int) -> list[str]:
@@ -175,15 +183,15 @@ PQ_CODES = [*PQ_BOOKS, nearest("pq_code", "pq_sub", "pq_c")]
 PQ_TABLE = [VEC_SAMPLE, """pq_far AS (SELECT s.doc_id AS qid, m, code, list_distance(x, c) ** 2 AS d
   FROM pq_sub s JOIN pq_c USING (m) WHERE s.doc_id IN (SELECT qid FROM vec_sample))"""]
 PQ_TOPK = [*PQ_CODES, *PQ_TABLE, f"""pq_found AS (SELECT * FROM (SELECT *,
-  row_number() OVER (PARTITION BY qid ORDER BY round(score, 9), doc_id)::INTEGER AS rank FROM (
+  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')}, doc_id)::INTEGER AS rank FROM (
   SELECT qid, doc_id, sum(d) AS score FROM pq_code JOIN pq_far USING (m, code) WHERE qid <> doc_id GROUP BY qid, doc_id))
   WHERE rank <= {S.K})"""]
 IVF = [VEC, VEC_SAMPLE, UNIT, *kmeans("cell", "unit", 1, S.CELLS, S.ROUNDS), nearest("placed", "cell_sub", "cell_c"),
        f"""probes AS (SELECT qid, code FROM (SELECT s.doc_id AS qid, code, row_number() OVER (PARTITION BY s.doc_id
-  ORDER BY round(list_distance(x, c) ** 2, 9), code) AS place FROM cell_sub s CROSS JOIN cell_c
+  ORDER BY {significant('(list_distance(x, c) ** 2)')}, code) AS place FROM cell_sub s CROSS JOIN cell_c
   WHERE s.doc_id IN (SELECT qid FROM vec_sample)) WHERE place <= {S.NPROBE})""",
        f"""ivf_found AS (SELECT * FROM (SELECT *,
-  row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id)::INTEGER AS rank FROM (
+  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id)::INTEGER AS rank FROM (
   SELECT p.qid, b.doc_id, list_dot_product(a.v, b.v) AS score FROM probes p JOIN placed USING (code)
   JOIN unit b ON b.doc_id = placed.doc_id JOIN unit a ON a.doc_id = p.qid WHERE p.qid <> b.doc_id)) WHERE rank <= {S.K})"""]
 
@@ -241,7 +249,8 @@ SWEEP = [
   SELECT g.setting, s.qid, count(f.doc_id) AS hits FROM settings g CROSS JOIN sweep_sample s
   LEFT JOIN sweep_truth t ON t.qid = s.qid
   LEFT JOIN met_found f ON f.setting = g.setting AND f.qid = t.qid AND f.doc_id = t.doc_id GROUP BY ALL) GROUP BY setting)""",
-    *VECTOR_METHODS,
+    # the vector methods as elsewhere, for as many queries as the sweep asks
+    *[sample("vec_sample", "embeddings", "vec_id", S.SWEEP_QUERIES) if part is VEC_SAMPLE else part for part in VECTOR_METHODS],
     "fixed AS (SELECT method, avg(recall) AS recall FROM (" + " UNION ALL ".join([
         recall("pq", "vec_sample", "cosine_found", "pq_found"),
         recall("flat", "vec_sample", "cosine_found", "flat_found"),
@@ -265,6 +274,8 @@ def oracles() -> dict[str, str]:
         "union_by_name": """SELECT doc_id, text, lang, NULL::BIGINT AS item_id, NULL::BIGINT AS page_id, NULL::VARCHAR AS url FROM documents
   UNION ALL SELECT NULL, text, NULL, item_id, NULL, NULL FROM benchmark
   UNION ALL SELECT NULL, html, NULL, NULL, page_id, url FROM pages""",
+        "merge_csv": """SELECT item_id::VARCHAR AS item_id, text, NULL::VARCHAR AS doc_id, NULL::VARCHAR AS quality, NULL::VARCHAR AS toxic
+  FROM benchmark UNION ALL SELECT NULL, NULL, doc_id::VARCHAR, quality::VARCHAR, toxic::VARCHAR FROM labels""",
         "tokenize": select([TOK], "SELECT * FROM tok"),
         "joined_text": select([TOK], "SELECT doc_id, array_to_string(tokens, ' ') AS joined FROM tok"),
         "first_n_docs": select([TOK], f"SELECT * FROM tok ORDER BY doc_id LIMIT {S.MAX_DOCS}"),
@@ -302,13 +313,16 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "hyperplane_bucket_sizes": select(signed(S.N_BITS), "SELECT bucket, count(*) AS n_docs FROM signed GROUP BY bucket"),
         "hyperplane_candidates": select(plane_pairs(), "SELECT * FROM pairs"),
         "hyperplane_topk": select(plane_pairs(), f"""{found} (SELECT *,
-  row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id)::INTEGER AS rank FROM (
+  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id)::INTEGER AS rank FROM (
   SELECT qid, p.doc_id, {COSINE} AS score FROM pairs p JOIN vec a ON a.doc_id = qid JOIN vec b ON b.doc_id = p.doc_id
   WHERE qid <> p.doc_id)) WHERE rank <= {S.K}"""),
         "pq_subvectors": select([VEC], f"""SELECT doc_id, m::INTEGER AS m, {round_list(f'v[m * {S.DIM // S.PQ_M} + 1:(m + 1) * {S.DIM // S.PQ_M}]')} AS part
   FROM vec, range({S.PQ_M}) r(m)"""),
         "pq_train": select(PQ_BOOKS, f"SELECT m, code, {round_list('c')} AS centroid FROM pq_c"),
         "pq_encode": select(PQ_CODES, "SELECT doc_id, list(code ORDER BY m) AS codes FROM pq_code GROUP BY doc_id"),
+        "pq_encode_small": select([SMALL_VEC, *PQ_CODES[1:]], "SELECT doc_id, list(code ORDER BY m) AS codes FROM pq_code GROUP BY doc_id"),
+        "inner_product_topk_raw": select([SMALL_VEC, VEC_SAMPLE, vector_topk("raw_found", "vec", "list_dot_product(a.v, b.v)")],
+                                         "SELECT qid, doc_id, rank FROM raw_found"),
         "pq_distance_table": select([*PQ_CODES, *PQ_TABLE],
                                     "SELECT qid, m, list(round(d, 6) ORDER BY code) AS distances FROM pq_far GROUP BY qid, m"),
         "pq_topk": select(PQ_TOPK, f"{found} pq_found"),

@@ -23,3 +23,4 @@ NPROBE = 4
 ROUNDS = 5
 N_SAMPLES = 2_000
 SEED = 42
+SMALL = 0.00001

@@ -12,8 +12,8 @@ from nearkin.functions.hashing import md5_number_of
 
 MERSENNE_31 = (1 << 31) - 1  # prime; also the minimum of an empty document
 SHINGLE_BASE = 1_000_003  # multiplier that folds the words of a shingle into one number
-TIE = 1e-9  # numbers closer than this count as equal
-TIE_DIGITS = 9
+TIE = 1e-9  # numbers closer than this, in proportion to what they are made of, count as equal
+TIE_DIGITS = 9  # scores that agree to so many significant digits count as equal
 UNROLLED = 2_000_000
 
 
@@ -137,9 +137,10 @@ def hyperplanes(n_bits: int, dim: int, seed: int = 42) -> np.ndarray:
 
 
 def nearest_centre(block: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Number of the nearest centre; the lowest one within the tie width."""
-    distance = (centres * centres).sum(axis=1)[None, :] - 2.0 * (block @ centres.T)
-    return np.argmax(distance <= distance.min(axis=1, keepdims=True) + TIE, axis=1)
+    """Number of the nearest centre; the lowest one within the tie width, which grows with the vectors."""
+    scale = (block * block).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :]
+    distance = scale - 2.0 * (block @ centres.T)
+    return np.argmax(distance <= distance.min(axis=1, keepdims=True) + TIE * scale, axis=1)
 
 
 def nearest_codes(vectors: np.ndarray, codebooks: np.ndarray) -> np.ndarray:
@@ -235,9 +236,17 @@ class JaccardScorer:
         return np.divide(shared, union, out=np.zeros_like(union), where=union > 0)
 
 
+def significant(scores: np.ndarray, digits: int) -> np.ndarray:
+    """Scores cut to so many significant digits, so that the order does not depend on their size."""
+    size = np.abs(scores)
+    sound = (size > 0) & np.isfinite(size)
+    power = np.power(10.0, np.floor(np.log10(size, where=sound, out=np.zeros_like(size))))
+    return np.where(sound, np.round(scores / power, digits - 1) * power, scores)
+
+
 def first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, digits: int | None) -> np.ndarray:
     """Places of the k best rows of every query, best first; equal scores go by id."""
-    ranked = scores if digits is None else np.round(scores, digits)
+    ranked = scores if digits is None else significant(scores, digits)
     order = np.lexsort((ids, -ranked, query))
     sorted_query = query[order]
     first = np.flatnonzero(np.diff(sorted_query, prepend=sorted_query[:1] - 1))
@@ -246,11 +255,12 @@ def first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int, digi
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int, digits: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """(query rows, corpus columns) of the k best scores of every row; -inf is left out."""
+    """(query rows, corpus columns) of the k best scores of every row; -inf and what is not a number are left out."""
+    scores = np.where(np.isnan(scores), -np.inf, scores)
     wanted = scores > -np.inf
     if scores.shape[1] > k:
         least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-        wanted &= scores >= (least if digits is None else least - 2 * TIE)[:, None]
+        wanted &= scores >= (least if digits is None else least - 10.0 ** (2 - digits) * np.where(np.isfinite(least), np.abs(least), 0))[:, None]
     query, column = np.nonzero(wanted)
     keep = first_k(query, ids[column], scores[query, column], k, digits)
     return query[keep], column[keep]

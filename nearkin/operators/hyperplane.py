@@ -14,7 +14,8 @@ from nearkin.plans.scale import checked_join, written
 
 
 def hyperplane_signatures(vectors: DataFrame, n_bits: int = 128, seed: int = 42) -> DataFrame:
-    """Adds `bucket`: per plane '1' where the vector lies strictly on its positive side."""
+    """Adds `bucket`: per plane '1' where the vector lies strictly on its positive side. Null vectors are left out."""
+    vectors = vectors.filter("vector is not null")
     at = vectors.columns.index("vector")
 
     def sign(batches):

@@ -8,18 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
-from nearkin.functions.vectors import dot, l2_normalize
+from nearkin.functions.vectors import l2_normalize
 from nearkin.operators.pq import codebook_array, train_codebooks
 from nearkin.operators.ranking import rank_topk
-from nearkin.operators.search import NEIGHBORS, as_arrow, keep_best, winners
-from nearkin.plans.scale import fits_broadcast, salted_join, written
+from nearkin.operators.search import NEIGHBORS, as_arrow, keep_best, query_passes, winners
+from nearkin.plans.scale import MAX_BROADCAST_BYTES, written
 
 MAX_PROBES = 16_384
 
 
 def train_cells(vectors: DataFrame, cells: int = 16, rounds: int = 5) -> DataFrame:
     """Cell centres of the unit-length vectors, as a codebook with one sub-space."""
-    unit = vectors.select("doc_id", l2_normalize(F.col("vector")).alias("vector"))
+    unit = written(vectors.select("doc_id", l2_normalize(F.col("vector")).alias("vector")))
     return train_codebooks(unit, 1, cells, rounds)
 
 
@@ -49,7 +49,7 @@ def probes(queries: DataFrame, centres: DataFrame, nprobe: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 rows = kernels.unit_rows(kernels.matrix(batch.column(1)))
-                distance = np.round(kernels.distance_tables(rows, shared.value)[:, 0, :], kernels.TIE_DIGITS)
+                distance = kernels.significant(kernels.distance_tables(rows, shared.value)[:, 0, :], kernels.TIE_DIGITS)
                 cell = np.argsort(distance, axis=1, kind="stable")[:, :nprobe]
                 width = cell.shape[1]
                 yield pa.RecordBatch.from_arrays(
@@ -68,15 +68,21 @@ def ivf_topk(
 ) -> DataFrame:
     """Cosine top-k among the vectors of the probed cells.
 
-    Probes of checked size go to every task, which scores each cell of its rows against the
-    queries that probe it. The rows stay where they were read, so a cell with a third of all rows
-    is still scored by many tasks. More probes than that are joined on the cell in salted slices.
+    Probes go to every task, in passes of bounded size; a task scores each cell of its rows against the queries
+    that probe it. The rows stay where they were read, so a cell with a third of all rows is still scored by many
+    tasks.
     """
     asked = written(probes(queries, centres, nprobe))
     placed = placed.select("doc_id", "vector", "cell")
-    if asked.count() > MAX_PROBES or not fits_broadcast(asked, F.size("vector") * 8 + 16):
-        return _joined_topk(placed, asked, k, exclude_self)
-    table = asked.toArrow()
+    found = None
+    for table in query_passes(asked, MAX_PROBES, MAX_BROADCAST_BYTES):
+        part = _scan(placed, table, k, exclude_self)
+        found = part if found is None else found.unionAll(part)
+    return rank_topk(found, k, digits=kernels.TIE_DIGITS)
+
+
+def _scan(placed: DataFrame, table: pa.Table, k: int, exclude_self: bool) -> DataFrame:
+    """The k best rows per query and task for the probes of one pass."""
     cell_of, qid = table.column("cell").to_numpy(), table.column("qid").to_numpy()
     vectors = kernels.matrix(table.column("vector"))
     by_cell = {int(c): (qid[cell_of == c], vectors[cell_of == c]) for c in np.unique(cell_of)}
@@ -100,13 +106,4 @@ def ivf_topk(
         if best is not None:
             yield as_arrow(best, pa.RecordBatch)
 
-    probed = placed.filter(F.col("cell").isin([int(c) for c in by_cell]))
-    return rank_topk(probed.mapInArrow(scan, NEIGHBORS), k, digits=kernels.TIE_DIGITS)
-
-
-def _joined_topk(placed: DataFrame, asked: DataFrame, k: int, exclude_self: bool) -> DataFrame:
-    pairs = salted_join(placed, asked.withColumnRenamed("vector", "q_vector"), ["cell"], "doc_id")
-    if exclude_self:
-        pairs = pairs.filter("qid <> doc_id")
-    scored = pairs.withColumn("score", dot(F.col("q_vector"), F.col("vector")))
-    return rank_topk(scored, k, digits=kernels.TIE_DIGITS)
+    return placed.filter(F.col("cell").isin([int(c) for c in by_cell])).mapInArrow(scan, NEIGHBORS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearkin.functions.hashing import id_order
@@ -13,13 +13,21 @@ MAX_LISTED_IDS = 4_096
 BUCKET_DIGITS = 4  # 65,536 buckets of ids: the list of their sizes is bounded
 
 
+def significant(score: Column, digits: int) -> Column:
+    """The score cut to so many significant digits."""
+    power = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(score))))
+    return F.when(score == 0, score).otherwise(F.round(score / power, digits - 1) * power)
+
+
 def rank_topk(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:
     """The k best rows (qid, doc_id, score, rank) of each query; equal scores by smaller id.
 
-    With `digits`, scores that agree to so many digits count as equal. Spark keeps k rows per
-    query and task before the shuffle (WindowGroupLimit).
+    With `digits`, scores that agree to so many significant digits count as equal, whatever their size. Scores that
+    are null or not a number are no answers. Spark keeps k rows per query and task before the shuffle
+    (WindowGroupLimit).
     """
-    score = F.col("score") if digits is None else F.round("score", digits)
+    score = F.col("score") if digits is None else significant(F.col("score"), digits)
+    scored = scored.filter(~F.isnan("score"))
     order = Window.partitionBy("qid").orderBy(score.desc(), F.col("doc_id"))
     return (
         scored.select("qid", "doc_id", "score")

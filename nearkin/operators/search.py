@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +11,9 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.operators.ranking import rank_topk
-from nearkin.plans.scale import MAX_BROADCAST_BYTES, collect_bounded
+from nearkin.plans.scale import MAX_BROADCAST_BYTES, collect_bounded, written
 
 NEIGHBORS = "qid bigint, doc_id bigint, score double"
-CORPUS_BLOCK = 8_192
-QUERY_BLOCK = 1_024
 MAX_QUERIES = 4_096
 SCORES_AT_ONCE = 4_000_000
 
@@ -57,16 +54,41 @@ def batch_topk(
 ) -> DataFrame:
     """Top-k of corpus (doc_id, item) for queries (qid, item), higher scores first.
 
-    A query set of checked size goes to every task; each task keeps k rows per query while it
-    reads its part of the corpus, so only winners are shuffled. A larger query set is cut into
-    blocks that meet blocks of the corpus (see `block_topk`).
+    The query set goes out in passes of bounded rows and bytes. In a pass every task keeps k rows per query while it
+    reads its part of the corpus, so only winners are shuffled, and the corpus never is. One window merges all passes.
     """
     corpus = corpus.select("doc_id", "item").filter("item is not null")
     queries = queries.select("qid", "item").filter("item is not null")
     table = collect_bounded(queries, max_queries, max_query_bytes)
-    if table is None:
-        return block_topk(corpus, queries, make_scorer, k, exclude_self)
-    shared = corpus.sparkSession.sparkContext.broadcast(table.combine_chunks())
+    if table is not None:
+        passes = [table]
+    else:
+        passes = query_passes(written(queries), max_queries, max_query_bytes)
+    found = None
+    for table in passes:
+        part = _scan(corpus, table.combine_chunks(), make_scorer, k, exclude_self)
+        found = part if found is None else found.unionAll(part)
+    return rank_topk(found, k, digits=digits_of(make_scorer))
+
+
+def query_passes(queries: DataFrame, max_rows: int, max_bytes: int) -> Iterator[pa.Table]:
+    """A written query set in parts by the hash of the id, each within the bounds; a part that is not is cut in half."""
+    waiting = [(1, 0)]
+    while waiting:
+        parts, number = waiting.pop()
+        mine = queries.filter(F.pmod(F.xxhash64("qid"), F.lit(parts)) == number)
+        table = collect_bounded(mine, max_rows, max_bytes)
+        if table is not None:
+            yield table
+        elif parts >= 1 << 40:
+            raise ValueError("a single query is larger than max_query_bytes")
+        else:
+            waiting += [(2 * parts, number), (2 * parts, number + parts)]
+
+
+def _scan(corpus: DataFrame, table: pa.Table, make_scorer, k: int, exclude_self: bool) -> DataFrame:
+    """The k best rows per query and task for the queries of one pass."""
+    shared = corpus.sparkSession.sparkContext.broadcast(table)
 
     def scan(batches):
         asked = shared.value
@@ -84,7 +106,7 @@ def batch_topk(
         if best is not None:
             yield as_arrow(best, pa.RecordBatch)
 
-    return rank_topk(corpus.mapInArrow(scan, NEIGHBORS), k, digits=digits_of(make_scorer))
+    return corpus.mapInArrow(scan, NEIGHBORS)
 
 
 def whole(column: pa.ChunkedArray) -> pa.Array:
@@ -96,38 +118,6 @@ def digits_of(make_scorer) -> int | None:
     return getattr(make_scorer, "digits", kernels.TIE_DIGITS)
 
 
-def _numbers(n: int):
-    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
-
-
-def block_topk(corpus, queries, make_scorer, k: int, exclude_self: bool = True) -> DataFrame:
-    """The same result for a query set of any size: every task sees one block of each side."""
-    n_corpus, n_queries = corpus.count(), queries.count()
-    corpus_blocks = max(1, math.ceil(n_corpus / CORPUS_BLOCK))
-    query_blocks = max(1, math.ceil(n_queries / QUERY_BLOCK))
-    left = corpus.select(
-        "doc_id", "item",
-        F.pmod(F.xxhash64("doc_id"), F.lit(corpus_blocks)).alias("c"),
-        F.explode(_numbers(query_blocks)).alias("q"),
-    )
-    right = queries.select(
-        "qid", "item",
-        F.explode(_numbers(corpus_blocks)).alias("c"),
-        F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).alias("q"),
-    )
-
-    def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        if not rows.num_rows or not asked.num_rows:
-            return as_arrow([np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)], pa.Table)
-        scorer = make_scorer(whole(asked.column("item")))
-        scores = scorer(whole(rows.column("item")))
-        ids, qids = rows.column("doc_id").to_numpy(), asked.column("qid").to_numpy()
-        return as_arrow(winners(qids, ids, scores, k, exclude_self, scorer.digits), pa.Table)
-
-    met = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(score, NEIGHBORS)
-    return rank_topk(met, k, digits=digits_of(make_scorer))
-
-
 def _items(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(key, F.col(column).alias("item"))
 

@@ -15,7 +15,7 @@ from nearkin.operators import lsh, pq, search, terms
 from nearkin.operators.lsi import lsi_embed
 from nearkin.operators.ranking import as_queries, first_n, query_sample, rows_of
 from nearkin.plans import evaluate
-from nearkin.plans.features import lsh_features, tokens_of, words_of
+from nearkin.plans.features import tokens_of, words_of
 from nearkin.plans.scale import scratch_folder, spread, written
 from nearkin.sources.metrics import write_json
 from nearkin.sources.tables import read_table, write_table
@@ -64,20 +64,20 @@ def run_pipeline(
     n_docs = tokens.count()
 
     # latent semantic vectors
-    counts = written(terms.term_counts(terms.by_document(tokens)))
-    vocab = written(terms.vocabulary(counts, c.max_features))
-    rows, names = terms.tfidf_rows(counts, vocab, n_docs, c.max_features)
-    dims = min(c.lsi_dims, len(names))
-    dims -= dims % c.pq_m
-    embedded, _ = lsi_embed(rows, names, tokens, dims, power_steps=c.power_steps)
+    vocab = written(terms.vocabulary(terms.term_counts(tokens), c.max_features))
+    rows, names = terms.tfidf_rows(tokens, vocab, n_docs)
+    if c.lsi_dims > len(names) or c.lsi_dims % c.pq_m or c.pq_ks > n_docs:
+        raise ValueError(
+            f"{c.lsi_dims} dimensions need as many terms (there are {len(names)}) and a multiple of {c.pq_m} sub-vectors; "
+            f"{c.pq_ks} centres need as many documents (there are {n_docs})")
+    embedded, _ = lsi_embed(rows, names, tokens, c.lsi_dims, power_steps=c.power_steps)
     write_table(embedded, "embeddings", f"{out}/embeddings")
     vectors = read_table(spark, "embeddings", f"{out}/embeddings").withColumnRenamed("embedding", "vector")
 
     # product quantization
     unit = l2_normalize(F.col("vector")).alias("vector")
     plain = vectors.select("doc_id", unit) if c.pq_normalize else vectors
-    ks = min(c.pq_ks, n_docs)
-    write_table(pq.train_codebooks(plain, c.pq_m, ks, c.pq_rounds), "codebooks", f"{out}/codebooks")
+    write_table(pq.train_codebooks(plain, c.pq_m, c.pq_ks, c.pq_rounds), "codebooks", f"{out}/codebooks")
     codebooks = read_table(spark, "codebooks", f"{out}/codebooks")
     write_table(pq.encode(plain, codebooks), "codes", f"{out}/codes")
     codes = read_table(spark, "codes", f"{out}/codes")
@@ -88,7 +88,8 @@ def run_pipeline(
     signed = read_table(spark, "signatures", f"{out}/signatures")
     bands, rows = best_bands(c.threshold, c.num_perm)
     write_table(lsh.band_table(signed, bands, rows), "bands", f"{out}/bands")
-    features = written(lsh_features(tokens, c.num_perm, c.threshold, c.shingle_n))
+    words = words_of(tokens)
+    features = written(lsh.with_keys(signed.select("doc_id", "signature"), bands, rows).select("doc_id", "keys").join(words, "doc_id"))
 
     # flat index
     flat = vectors.select("doc_id", l2_normalize(F.col("vector")).alias("embedding"))
@@ -104,7 +105,7 @@ def run_pipeline(
     asked_text = as_queries(rows_of(features, sample))
     truth_cosine = written(search.cosine_topk(vectors, asked, c.k))
     asked_words = asked_text.select("qid", F.col("q_words").alias("words"))
-    truth_jaccard = written(search.jaccard_topk(words_of(tokens), asked_words, c.k))
+    truth_jaccard = written(search.jaccard_topk(features.select("doc_id", "words"), asked_words, c.k))
     answers = {
         "pq": (_timed(pq.pq_topk(codes, codebooks, asked_plain, c.k), n), truth_cosine),
         "lsh": (_timed(lsh.lsh_topk(features, asked_text, c.k), n), truth_jaccard),

@@ -18,10 +18,12 @@ _own_folder: dict[str, str] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of our own only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder. A folder of our own only where driver and executors are one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="nearkin-")

@@ -21,8 +21,8 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def read_csv(spark: SparkSession, path: str, missing: tuple[str, ...] = MISSING, multiline: bool = True) -> DataFrame:
-    """One CSV with a header, all columns as strings, missing values as NULL.
+def read_csv(spark: SparkSession, path: str | list[str], missing: tuple[str, ...] = MISSING, multiline: bool = True) -> DataFrame:
+    """One CSV with a header, or several with the same, all columns as strings, missing values as NULL.
 
     A quoted value may hold line breaks. Files without such values should be read with
     multiline=False: Spark can then split a large file.
@@ -39,15 +39,32 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def merge_csv(spark: SparkSession, pattern: str, target: str | None = None, **options) -> DataFrame:
-    """Unites all CSV files that match a path pattern, leaving out `target` and what lies below it."""
+    """Unites all CSV files that match a path pattern, leaving out the file or folder `target`.
+
+    `target` is a path; a relative one also names what ends in all of its parts. Files with the same header line are
+    read together, so the plan has one branch for each header and not for each file.
+    """
     listed = spark.read.format("binaryFile").load(pattern).select("path")
-    paths = sorted(row["path"] for row in listed.collect())  # one name per file
     if target:
-        own = target.split("://")[-1].split(":", 1)[-1].rstrip("/")
-        paths = [p for p in paths if not (p.rstrip("/").endswith(own) or f"{own}/" in p)]
-    if not paths:
+        parts = [x for x in target.split("://")[-1].split("/") if x]
+        own = F.split(F.regexp_replace(F.col("path"), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", ""), "/+")
+        n = len(parts)
+        at = F.transform(F.sequence(F.lit(1), F.size(own)), lambda i: F.slice(own, i, n))
+        named = F.array(*[F.lit(x) for x in parts])
+        absolute = target.startswith("/") or "://" in target
+        listed = listed.where(F.slice(own, 1, n) != named if absolute else ~F.exists(at, lambda x: x == named))
+    first = spark.read.text(pattern, wholetext=False).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("line"))
+    headers = first.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    key = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    path_key = F.regexp_replace(F.col("path"), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    groups = listed.join(headers.select(key.alias("key"), "header"), path_key == F.col("key"), "left") \
+        .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    rows = sorted(groups.collect(), key=lambda row: row["paths"][0])  # file names, by header
+    if not rows:
         raise FileNotFoundError(f"no CSV files match {pattern}")
-    return union_by_name([read_csv(spark, path, **options) for path in paths])
+    return union_by_name([read_csv(spark, row["paths"], **options) for row in rows])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -59,13 +76,17 @@ def read_documents(
 ) -> DataFrame:
     """(doc_id, text) from a table; fails when the text column is not there.
 
-    Without an id column ids are made up while reading. They are unique, but follow the splits of
-    the input: write the result once (`write_tokens`) and go on from there.
+    Without an id column a row's id is a hash of its text and its place among the rows of that text, so it does not
+    depend on how the input is split.
     """
     df = read_csv(spark, path) if format == "csv" else spark.read.format(format).load(path)
     require_columns(df, text_col, *([id_col] if id_col else []))
-    doc_id = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
-    return df.select(doc_id.alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if id_col:
+        return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    plain = df.select(F.col(text_col).cast("string").alias("text"))
+    folded = plain.groupBy("text").count()  # rows of one text are alike: a number for each is all that tells them apart
+    numbered = folded.select("text", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"))).alias("copy"))
+    return numbered.select(F.xxhash64("text", "copy").alias("doc_id"), "text")
 
 
 def write_tokens(tokens: DataFrame, path: str) -> None:

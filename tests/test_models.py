@@ -8,7 +8,7 @@ from nearkin.plans.features import tokens_of
 def small_matrix(spark, docs):
     counts = terms.term_counts(tokens_of(docs))
     vocab = terms.vocabulary(counts, 400)
-    rows, names = terms.tfidf_rows(counts, vocab, docs.count(), 400)
+    rows, names = terms.tfidf_rows(tokens_of(docs), vocab, docs.count())
     ids = sorted(r["doc_id"] for r in docs.collect())
     dense = np.zeros((len(ids), len(names)))
     for r in rows.collect():

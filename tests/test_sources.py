@@ -22,13 +22,32 @@ def test_merge_csv(spark, tmp_path):
         text.union_by_name([])
 
 
+def test_merge_leaves_out_the_target_alone(spark, tmp_path):
+    for name in ("a_movies.csv", "b_movies.csv", "movies.csv", "c+d e.csv"):
+        (tmp_path / name).write_text(f"x\n{name}\n")
+    for target in ("movies.csv", f"{tmp_path}/movies.csv", f"file://{tmp_path}/movies.csv"):
+        names = sorted(r["x"] for r in text.merge_csv(spark, f"{tmp_path}/*.csv", target).collect())
+        assert names == ["a_movies.csv", "b_movies.csv", "c+d e.csv"]
+
+
+def test_many_files_make_few_branches(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i}.csv").write_text(f"{'a,b' if i % 2 else 'a'}\n{'1,2' if i % 2 else '1'}\n")
+    merged = text.merge_csv(spark, f"{tmp_path}/*.csv")
+    assert merged.columns == ["a", "b"] and (merged.count(), merged.filter("b is null").count()) == (300, 150)
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
 def test_text_column_is_required(spark, tmp_path):
     (tmp_path / "x.csv").write_text("id,body\n7,hello\n")
     with pytest.raises(ValueError, match="plot.*available.*body"):
         text.read_documents(spark, f"{tmp_path}/x.csv", "plot", "id", "csv")
     rows = text.read_documents(spark, f"{tmp_path}/x.csv", "body", "id", "csv").collect()
     assert [tuple(r) for r in rows] == [(7, "hello")]
-    assert text.read_documents(spark, f"{tmp_path}/x.csv", "body", None, "csv").first()["doc_id"] == 0
+    (tmp_path / "y.csv").write_text("body\n" + "hello\nhello\n,\nother\n")
+    once = text.read_documents(spark, f"{tmp_path}/y.csv", "body", None, "csv").collect()
+    again = text.read_documents(spark, f"{tmp_path}/y.csv", "body", None, "csv").collect()
+    assert len({r["doc_id"] for r in once}) == len(once) == 4 and sorted(map(repr, once)) == sorted(map(repr, again))
 
 
 def test_tokens_round_trip(spark, documents, tmp_path):

@@ -78,13 +78,13 @@ def test_tfidf_matches_the_formula(spark):
     counts = terms.term_counts(tokens_of(docs))
     vocab = terms.vocabulary(counts)
     assert [r["term"] for r in vocab.collect()] == ["cat", "dog", "bird"]
-    found = {(r["doc_id"], r["term"]): r["tfidf"] for r in terms.tfidf(counts, vocab, 3).collect()}
+    found = {(r["doc_id"], r["term"]): r["tfidf"] for r in terms.tfidf(tokens_of(docs), vocab, 3).collect()}
     idf = {"cat": math.log(4 / 2) + 1, "dog": math.log(4 / 3) + 1, "bird": math.log(4 / 2) + 1}
     length = math.hypot(2 * idf["cat"], idf["dog"])
     assert found[1, "cat"] == pytest.approx(2 * idf["cat"] / length)
     assert found[1, "dog"] == pytest.approx(idf["dog"] / length)
     assert sum(v * v for (d, _), v in found.items() if d == 2) == pytest.approx(1)
-    rows, names = terms.tfidf_rows(counts, vocab, 3)
+    rows, names = terms.tfidf_rows(tokens_of(docs), vocab, 3)
     sparse = {(r["doc_id"], names[i]): v for r in rows.collect() for i, v in zip(r["idx"], r["val"])}
     assert sparse == pytest.approx(found)
 
@@ -93,4 +93,4 @@ def test_vocabulary_cut_drops_rare_terms(spark):
     docs = spark.createDataFrame([(1, "cat dog cat"), (2, "dog bird")], "doc_id bigint, text string")
     counts = terms.term_counts(tokens_of(docs))
     vocab = terms.vocabulary(counts, 2)
-    assert {r["term"] for r in terms.tfidf(counts, vocab, 2, 2).collect()} == {"cat", "dog"}
+    assert {r["term"] for r in terms.tfidf(tokens_of(docs), vocab, 2).collect()} == {"cat", "dog"}
