@@ -19,7 +19,9 @@ from nearkin.plans import evaluate, features, pipeline, sweep
 from nearkin.plans.scale import scratch_folder, spread, written
 from nearkin.session import ship
 from nearkin.sources.text import merge_csv as read_merged
-from nearkin.sources.text import union_by_name, write_csv
+from nearkin.sources.metrics import save_metrics, write_json
+from nearkin.sources.tables import read_signatures, read_table, signature_path, write_table
+from nearkin.sources.text import read_documents, read_tokens, union_by_name, write_csv, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -412,16 +414,19 @@ def query_report(spark, sf_dir):
     return union_by_name([df.withColumn("method", F.lit(m)) for m, df in reports.items()])
 
 
+def drawn_pairs(spark, sf_dir):
+    return pairs.jaccard_sample(
+        documents(spark, sf_dir), S.N_SAMPLES, make_words=lambda df: features.words_of(features.tokens_of(df)))
+
+
 @query
 def jaccard_sample(spark, sf_dir):
-    corpus = features.words_of(tokens(spark, sf_dir))
-    return pairs.jaccard_sample(corpus, S.N_SAMPLES)
+    return drawn_pairs(spark, sf_dir)
 
 
 @query
 def jaccard_percentiles(spark, sf_dir):
-    corpus = features.words_of(tokens(spark, sf_dir))
-    return rounded(pairs.percentiles(pairs.jaccard_sample(corpus, S.N_SAMPLES)), "value")
+    return rounded(pairs.percentiles(drawn_pairs(spark, sf_dir)), "value")
 
 
 def sweep_table(spark, sf_dir):
@@ -458,6 +463,91 @@ def pipeline_metrics(spark, sf_dir):
     return pipeline.run_pipeline(spark, table)
 
 
+@query
+def pipeline_recall(spark, sf_dir):
+    """The run's methods and queries, and the recall of those methods that involve no iteration."""
+    metrics = pipeline.run_pipeline(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    known = F.when(F.col("method") != "pq", F.round("recall", 6))
+    return metrics.select("method", "n_queries", known.alias("recall"))
+
+
+# ------------------------------------------------------------------ sinks: written and read back
+
+def folder_of(spark) -> str:
+    return f"{scratch_folder(spark)}/sink-{uuid.uuid4().hex}"
+
+
+@query
+def saved_documents(spark, sf_dir):
+    return read_documents(spark, f"{sf_dir}/documents.parquet")
+
+
+@query
+def saved_tokens(spark, sf_dir):
+    path = folder_of(spark)
+    write_tokens(tokens(spark, sf_dir), path)
+    return read_tokens(spark, path).select("doc_id", "joined")
+
+
+@query
+def saved_embeddings(spark, sf_dir):
+    path = folder_of(spark)
+    write_table(vectors(spark, sf_dir).withColumnRenamed("vector", "embedding"), "embeddings", path)
+    back = read_table(spark, "embeddings", path)
+    return back.select("doc_id", F.col("embedding").cast("array<double>").alias("embedding")).select("doc_id", rounded_list("embedding"))
+
+
+@query
+def saved_signatures(spark, sf_dir):
+    path = signature_path(folder_of(spark), S.NUM_PERM, S.SHINGLE_N)
+    write_table(lsh.minhash_signatures(tokens(spark, sf_dir), S.NUM_PERM, S.SHINGLE_N), "signatures", path)
+    return read_signatures(spark, path, S.NUM_PERM)
+
+
+@query
+def saved_bands(spark, sf_dir):
+    path = folder_of(spark)
+    signed = lsh.minhash_signatures(tokens(spark, sf_dir), S.NUM_PERM, S.SHINGLE_N)
+    write_table(lsh.band_table(signed, *best_bands(S.THRESHOLD, S.NUM_PERM)), "bands", path)
+    return read_table(spark, "bands", path)
+
+
+@query
+def saved_pq_index(spark, sf_dir):
+    path = folder_of(spark)
+    write_table(codebooks(spark, sf_dir), "codebooks", f"{path}/codebooks")
+    write_table(pq.encode(vectors(spark, sf_dir), read_table(spark, "codebooks", f"{path}/codebooks")), "codes", f"{path}/codes")
+    return read_table(spark, "codes", f"{path}/codes")
+
+
+@query
+def saved_metrics_json(spark, sf_dir):
+    path = folder_of(spark)
+    write_json(method_recall(spark, sf_dir), path)
+    return spark.read.schema("method string, n_queries bigint, recall double").json(path)
+
+
+@query
+def saved_metrics_csv(spark, sf_dir):
+    path = folder_of(spark)
+    counts = [{"table": t, "n_rows": spark.read.parquet(f"{sf_dir}/{t}.parquet").count()} for t in ("documents", "pages", "benchmark")]
+    save_metrics(spark, counts, path)
+    return spark.read.csv(path, header=True, schema="table string, n_rows bigint")
+
+
+@query
+def saved_jaccard_sample(spark, sf_dir):
+    path = folder_of(spark)
+    write_json(jaccard_sample(spark, sf_dir), path)
+    return spark.read.schema("draw bigint, a_id bigint, b_id bigint, jaccard double").json(path)
+
+
+@query
+def word2vec_vocabulary(spark, sf_dir):
+    """The words that training has kept, and how long their vectors are."""
+    return word2vec_train(spark, sf_dir).select("word", F.size("vector").alias("dim"))
+
+
 # names that would hide an imported function inside this module
 for name in ("union_by_name_", "query_sample_"):
     QUERIES[name.rstrip("_")] = QUERIES.pop(name)

@@ -331,6 +331,22 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "inner_product_topk": select([VEC, VEC_SAMPLE, *FLAT_TOPK], f"{found} flat_found"),
         "jaccard_topk": select([TOK, WORDS, DOC_SAMPLE, *jaccard_parts("jaccard_found", "doc_sample")],
                                "SELECT qid, doc_id, score, rank FROM jaccard_found"),
+        "pipeline_recall": select(RECALLS, """SELECT 'lsh' AS method, count(*) AS n_queries, round(avg(recall), 6) AS recall
+  FROM recalls WHERE method = 'lsh' UNION ALL SELECT 'flat', count(*), 1.0::DOUBLE FROM doc_sample
+  UNION ALL SELECT 'pq', count(*), NULL FROM doc_sample"""),
+        "saved_documents": "SELECT doc_id, text FROM documents",
+        "saved_tokens": select([TOK], "SELECT doc_id, array_to_string(tokens, ' ') AS joined FROM tok"),
+        "saved_embeddings": select([VEC], f"SELECT doc_id, {round_list('v')} AS embedding FROM vec"),
+        "saved_signatures": select(SIGNATURE, "SELECT doc_id, list(h::INTEGER ORDER BY i) AS signature FROM hashes GROUP BY doc_id"),
+        "saved_bands": select(BAND_TABLE, "SELECT doc_id, band, bucket FROM bands"),
+        "saved_pq_index": select(PQ_CODES, "SELECT doc_id, list(code ORDER BY m) AS codes FROM pq_code GROUP BY doc_id"),
+        "saved_metrics_json": select(RECALLS, """SELECT method, count(*) AS n_queries, round(avg(recall), 6) AS recall
+  FROM recalls GROUP BY method"""),
+        "saved_metrics_csv": """SELECT 'documents' AS "table", count(*) AS n_rows FROM documents
+  UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'benchmark', count(*) FROM benchmark""",
+        "saved_jaccard_sample": select(DRAWS, "SELECT draw, a_id, b_id, jaccard FROM drawn"),
+        "word2vec_vocabulary": select([TOK, TERMS], f"""SELECT term AS word, {S.W2V_SIZE}::INTEGER AS dim
+  FROM terms GROUP BY term HAVING sum(tf) >= {S.W2V_MIN_COUNT}"""),
         "query_sample": select([DOC_SAMPLE], "SELECT qid FROM doc_sample"),
         "recall_per_query": select(RECALLS, "SELECT method, qid, round(recall, 6) AS recall FROM recalls"),
         "method_recall": select(RECALLS, """SELECT method, count(*) AS n_queries, round(avg(recall), 6) AS recall

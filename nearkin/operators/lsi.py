@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.operators.adding import PARTIAL, partial_batches, summed
+from nearkin.operators.terms import tfidf_rows
 from nearkin.plans.scale import spread, written
 
 OVERSAMPLES = 10
@@ -63,6 +64,7 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
             yield from partial_batches(hit, blocks[hit])
 
     keys, sums = summed(rows.mapInArrow(multiply, PARTIAL))  # at most terms x width numbers
+    shared.unpersist()
     out = np.zeros((-(-terms // TERM_BLOCK), TERM_BLOCK * width))
     out[keys] = sums
     return out.reshape(-1, width)[:terms]
@@ -136,3 +138,26 @@ def lsi_embed(
     rows = spread(written(rows), "doc_id")
     model = fit_lsi(rows, terms, k, seed, power_steps)
     return project(rows, model, documents), model
+
+
+def embed_texts(tokens: DataFrame, vocab: DataFrame, n_docs: int, model: LsiModel) -> DataFrame:
+    """(doc_id, embedding) of texts (doc_id, tokens) outside the corpus, by the corpus' vocabulary and number of documents."""
+    rows, names = tfidf_rows(tokens, vocab, n_docs)
+    if names != model.terms:
+        raise ValueError("the vocabulary is not the one the model was fitted on")
+    return project(rows, model, tokens)
+
+
+def save_model(spark: SparkSession, model: LsiModel, path: str) -> None:
+    """The model as two tables: a row for each term, and the singular values."""
+    rows = pa.table({"at": np.arange(len(model.terms)), "term": model.terms,
+                     "direction": kernels.list_column(model.directions, pa.float64())})
+    spark.createDataFrame(rows).write.mode("overwrite").parquet(f"{path}/terms")
+    spark.createDataFrame(pa.table({"at": np.arange(len(model.singular_values)), "value": model.singular_values})).write.mode("overwrite").parquet(f"{path}/values")
+
+
+def load_model(spark: SparkSession, path: str) -> LsiModel:
+    """A saved model; its size was bounded when it was fitted."""
+    rows = spark.read.parquet(f"{path}/terms").orderBy("at").toArrow()
+    values = spark.read.parquet(f"{path}/values").orderBy("at").toArrow().column("value").to_numpy()
+    return LsiModel(rows.column("term").to_pylist(), kernels.matrix(rows.column("direction")), values)

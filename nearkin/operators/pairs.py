@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,13 @@ def _draws(spark, n_samples: int, n_docs: int, seed: int) -> DataFrame:
     return drawn.select("draw", F.explode(F.array(place("a"), place("b"))).alias("p")).select("draw", "p.side", "p.place")
 
 
-def jaccard_sample(corpus: DataFrame, n_samples: int = 2000, seed: int = 42) -> DataFrame:
+def jaccard_sample(
+    corpus: DataFrame, n_samples: int = 2000, seed: int = 42, make_words: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(draw, a_id, b_id, jaccard) for pairs drawn with replacement from (doc_id, words).
 
+    With `make_words` the corpus may be any table with doc_id: only the rows that were drawn are turned into (doc_id, words).
+
     A draw of the same document twice is left out, so there may be fewer rows than draws.
     """
     spark = corpus.sparkSession
@@ -33,8 +39,9 @@ def jaccard_sample(corpus: DataFrame, n_samples: int = 2000, seed: int = 42) ->
         return spark.createDataFrame([], "draw bigint, a_id bigint, b_id bigint, jaccard double")
     named = ids_at_places(corpus, _draws(spark, n_samples, n_docs, seed)).drop("place")
     named = written(named.withColumnRenamed("_id", "doc_id"))
-    # the drawn documents are picked out of the corpus before their words are needed
-    drawn = written(checked_join(corpus.select("doc_id", "words"), named.select("doc_id").distinct(), ["doc_id"], 16, "doc_id"))
+    rows = corpus if make_words else corpus.select("doc_id", "words")
+    drawn = written(checked_join(rows, written(named.select("doc_id").distinct()), ["doc_id"], 16, "doc_id"))
+    drawn = make_words(drawn).select("doc_id", "words") if make_words else drawn
     sided = checked_join(drawn, named, ["doc_id"], 32, "doc_id")
     pair = sided.groupBy("draw").agg(
         F.min(F.when(F.col("side") == "a", F.struct("doc_id", "words"))).alias("a"),

@@ -51,6 +51,7 @@ def _step(vectors: DataFrame, codebooks: np.ndarray) -> np.ndarray:
         yield partial_rows(hit, total[hit].reshape(len(hit), 1 + width))
 
     key, sums = summed(vectors.select("vector").mapInArrow(collect, PARTIAL))  # at most m * ks rows
+    shared.unpersist()
     moved = codebooks.reshape(m * ks, width).copy()  # a centre without vectors stays where it is
     moved[key] = sums[:, 1:] / sums[:, :1]
     return moved.reshape(m, ks, width)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,9 @@ class PipelineConfig:
     stop_words: tuple[str, ...] = field(default=ENGLISH_STOP_WORDS)
 
 
+METHODS = ("pq", "lsh", "flat")
+
+
 def _timed(df: DataFrame, n_queries: int) -> tuple[DataFrame, float]:
     """The written answers and the seconds per query of the job that made them."""
     start = time.perf_counter()
@@ -82,38 +86,58 @@ def run_pipeline(
     write_table(pq.encode(plain, codebooks), "codes", f"{out}/codes")
     codes = read_table(spark, "codes", f"{out}/codes")
 
-    # signatures and buckets
+    # signatures and buckets; answers are ranked on the token sets
     signed = lsh.minhash_signatures(tokens, c.num_perm, c.shingle_n)
     write_table(signed, "signatures", f"{out}/signatures")
     signed = read_table(spark, "signatures", f"{out}/signatures")
     bands, rows = best_bands(c.threshold, c.num_perm)
     write_table(lsh.band_table(signed, bands, rows), "bands", f"{out}/bands")
-    words = words_of(tokens)
-    features = written(lsh.with_keys(signed.select("doc_id", "signature"), bands, rows).select("doc_id", "keys").join(words, "doc_id"))
+    keyed = lsh.with_keys(signed, bands, rows).select("doc_id", "keys")
+    write_table(keyed.join(words_of(tokens), "doc_id"), "features", f"{out}/features")
 
     # flat index
-    flat = vectors.select("doc_id", l2_normalize(F.col("vector")).alias("embedding"))
-    write_table(flat, "embeddings", f"{out}/flat")
-    flat = read_table(spark, "embeddings", f"{out}/flat").withColumnRenamed("embedding", "vector")
+    write_table(vectors.select("doc_id", l2_normalize(F.col("vector")).alias("embedding")), "embeddings", f"{out}/flat")
+
+    metrics = evaluate_indices(spark, out, k=c.k, n_queries=c.n_queries, pq_normalize=c.pq_normalize)
+    write_json(metrics, f"{out}/metrics")
+    return metrics
+
 
-    # answers
-    sample = written(query_sample(tokens, c.n_queries))
+def evaluate_indices(
+    spark: SparkSession, folder: str, methods: Iterable[str] = METHODS, k: int = 10, n_queries: int = 200,
+    pq_normalize: bool = False,
+) -> DataFrame:
+    """(method, n_queries, avg_time, recall) of saved indices: the tables that `run_pipeline` has left in a folder."""
+    methods = tuple(methods)
+    if unknown := set(methods) - set(METHODS):
+        raise ValueError(f"unknown methods {sorted(unknown)}; there are {METHODS}")
+
+    def vectors_in(name: str) -> DataFrame:
+        return read_table(spark, "embeddings", f"{folder}/{name}").withColumnRenamed("embedding", "vector")
+
+    def asked_in(table: DataFrame) -> DataFrame:
+        return as_queries(rows_of(table, sample)).withColumnRenamed("q_vector", "vector")
+
+    features = read_table(spark, "features", f"{folder}/features")
+    sample = written(query_sample(features.select("doc_id"), n_queries))
     n = sample.count()
-    asked = as_queries(rows_of(vectors, sample)).withColumnRenamed("q_vector", "vector")
-    asked_plain = asked.select("qid", unit) if c.pq_normalize else asked
-    asked_flat = as_queries(rows_of(flat, sample)).withColumnRenamed("q_vector", "vector")
-    asked_text = as_queries(rows_of(features, sample))
-    truth_cosine = written(search.cosine_topk(vectors, asked, c.k))
-    asked_words = asked_text.select("qid", F.col("q_words").alias("words"))
-    truth_jaccard = written(search.jaccard_topk(features.select("doc_id", "words"), asked_words, c.k))
-    answers = {
-        "pq": (_timed(pq.pq_topk(codes, codebooks, asked_plain, c.k), n), truth_cosine),
-        "lsh": (_timed(lsh.lsh_topk(features, asked_text, c.k), n), truth_jaccard),
-        "flat": (_timed(search.inner_product_topk(flat, asked_flat, c.k), n), truth_cosine),
-    }
-    recalls = {m: evaluate.recall_per_query(sample, truth, found, c.k) for m, ((found, _), truth) in answers.items()}
+    truths, answers = {}, {}
+    if {"pq", "flat"} & set(methods):
+        truths["cosine"] = written(search.cosine_topk(vectors_in("embeddings"), asked_in(vectors_in("embeddings")), k))
+    if "pq" in methods:
+        codes, books = (read_table(spark, name, f"{folder}/{name}") for name in ("codes", "codebooks"))
+        asked = asked_in(vectors_in("embeddings"))
+        asked = asked.select("qid", l2_normalize(F.col("vector")).alias("vector")) if pq_normalize else asked
+        answers["pq"] = (_timed(pq.pq_topk(codes, books, asked, k), n), "cosine")
+    if "lsh" in methods:
+        asked = as_queries(rows_of(features, sample))
+        truths["jaccard"] = written(search.jaccard_topk(
+            features.select("doc_id", "words"), asked.select("qid", F.col("q_words").alias("words")), k))
+        answers["lsh"] = (_timed(lsh.lsh_topk(features, asked, k), n), "jaccard")
+    if "flat" in methods:
+        flat = vectors_in("flat")
+        answers["flat"] = (_timed(search.inner_product_topk(flat, asked_in(flat), k), n), "cosine")
+    recalls = {m: evaluate.recall_per_query(sample, truths[truth], found, k) for m, ((found, _), truth) in answers.items()}
     times = spark.createDataFrame([(m, t) for m, ((_, t), _) in answers.items()], "method string, avg_time double")
     metrics = evaluate.method_recall(recalls).join(F.broadcast(times), "method")
-    metrics = written(metrics.select("method", "n_queries", "avg_time", "recall"))
-    write_json(metrics, f"{out}/metrics")
-    return metrics
+    return written(metrics.select("method", "n_queries", "avg_time", "recall"))

@@ -11,6 +11,7 @@ from nearkin.sources.text import require_columns
 KINDS: dict[str, tuple[tuple[str, ...], str | None]] = {
     "embeddings": (("doc_id", "embedding"), None),
     "signatures": (("doc_id", "signature"), None),
+    "features": (("doc_id", "words", "keys"), None),
     "bands": (("doc_id", "band", "bucket"), "band"),
     "buckets": (("bucket", "doc_id"), None),
     "codebooks": (("m", "code", "centroid"), None),

@@ -5,7 +5,7 @@ from nearkin.operators import pairs, search
 from nearkin.operators.ranking import query_sample, rows_of
 from nearkin.plans import evaluate, sweep
 from nearkin.plans.features import tokens_of, words_of
-from nearkin.plans.pipeline import PipelineConfig, run_pipeline
+from nearkin.plans.pipeline import PipelineConfig, evaluate_indices, run_pipeline
 
 
 def neighbors(spark, rows):
@@ -99,3 +99,15 @@ def test_pipeline(spark, documents, tmp_path):
     assert saved.count() == 3
     assert spark.read.parquet(f"{tmp_path}/tokens").count() == 120
     assert spark.read.parquet(f"{tmp_path}/bands").select(F.countDistinct("doc_id")).first()[0] == 120
+
+
+def test_saved_indices_are_measured_again(spark, documents, tmp_path):
+    config = PipelineConfig(lsi_dims=16, pq_ks=16, pq_rounds=1, num_perm=32, n_queries=20, max_docs=80, power_steps=1)
+    first = {r["method"]: r["recall"] for r in run_pipeline(spark, documents, config, str(tmp_path)).collect()}
+    again = evaluate_indices(spark, str(tmp_path), ("flat", "lsh"), n_queries=20).collect()
+    assert {r["method"]: r["recall"] for r in again} == {m: first[m] for m in ("flat", "lsh")}
+    assert evaluate_indices(spark, str(tmp_path), ("flat",), k=3, n_queries=7).first()["n_queries"] == 7
+    with pytest.raises(ValueError, match="unknown"):
+        evaluate_indices(spark, str(tmp_path), ("graph",))
+    with pytest.raises(ValueError, match="multiple"):
+        run_pipeline(spark, documents, PipelineConfig(lsi_dims=15, pq_ks=16, max_docs=80), f"{tmp_path}/odd")

@@ -76,3 +76,17 @@ def test_word2vec_knows_frequent_words(spark, documents):
     counts = terms.term_counts(tokens).groupBy("term").sum("tf").filter("`sum(tf)` >= 2")
     assert vectors.count() == counts.count()
     assert all(len(r["vector"]) == 8 for r in vectors.limit(5).collect())
+
+
+def test_texts_outside_the_corpus(spark, documents, tmp_path):
+    tokens = tokens_of(documents.limit(60)).cache()
+    vocab, n = terms.vocabulary(terms.term_counts(tokens), 200).cache(), tokens.count()
+    rows, names = terms.tfidf_rows(tokens, vocab, n)
+    known, model = lsi.lsi_embed(rows, names, tokens, 8, power_steps=2)
+    lsi.save_model(spark, model, str(tmp_path))
+    again = lsi.embed_texts(tokens, vocab, n, lsi.load_model(spark, str(tmp_path)))
+    expected = {r["doc_id"]: r["embedding"] for r in known.collect()}
+    for r in again.collect():
+        assert np.allclose(r["embedding"], expected[r["doc_id"]])
+    strange = spark.createDataFrame([(1, ["nowhere"]), (2, [])], "doc_id bigint, tokens array<string>")
+    assert all(set(r["embedding"]) == {0.0} for r in lsi.embed_texts(strange, vocab, n, model).collect())
