@@ -449,7 +449,19 @@ def lsh_sweep(spark, sf_dir):
 
 @query
 def lsh_sweep_times(spark, sf_dir):
-    return sweep.sweep_times(tokens(spark, sf_dir), document_sample(spark, sf_dir, S.SWEEP_QUERIES), S.K)
+    n = S.SWEEP_QUERIES
+    books = written(codebooks(spark, sf_dir))
+    codes = written(pq.encode(vectors(spark, sf_dir), books))
+    asked = written(asked_vectors(spark, sf_dir, n))
+    fixed = sweep.fixed_times(spark, {
+        "pq": lambda: pq.pq_topk(codes, books, asked, S.K), "flat": lambda: flat_answers(spark, sf_dir, n)}, n)
+    return sweep.sweep_times(tokens(spark, sf_dir), document_sample(spark, sf_dir, n), S.K).unionByName(fixed)
+
+
+@query
+def sweep_time_pivot(spark, sf_dir):
+    """The time series beside the recall series: one row per method and number of hashes, one column per threshold."""
+    return sweep.sweep_series(lsh_sweep_times(spark, sf_dir), value="avg_time")
 
 
 @query

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nearkin.functions import text as T
@@ -108,3 +108,21 @@ def sweep_times(
         rows.append(("lsh", num_perm, float(threshold), *times))
     schema = "method string, num_perm int, threshold double, lookup_time double, avg_time double"
     return tokens.sparkSession.createDataFrame(rows, schema)
+
+
+def fixed_times(
+    spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], n_queries: int,
+    settings: list[tuple[int, float]] | None = None,
+) -> DataFrame:
+    """(method, num_perm, threshold, lookup_time, avg_time) of methods that take no swept setting: timed once, repeated for all.
+
+    They have no look-up apart from the ranking, so both times are the same.
+    """
+    rows = []
+    for method, job in jobs.items():
+        start = time.perf_counter()
+        job().write.format("noop").mode("overwrite").save()
+        seconds = (time.perf_counter() - start) / max(n_queries, 1)
+        rows += [(method, n, float(t), seconds, seconds) for n, t in settings or grid()]
+    schema = "method string, num_perm int, threshold double, lookup_time double, avg_time double"
+    return spark.createDataFrame(rows, schema)
