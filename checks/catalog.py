@@ -75,7 +75,8 @@ def asked_words(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
 
 
 def lsh_corpus(spark, sf_dir) -> DataFrame:
-    return features.lsh_features(tokens(spark, sf_dir), S.NUM_PERM, S.THRESHOLD, S.SHINGLE_N)
+    """Keys and words as a table: a search reads the columns it needs."""
+    return written(features.lsh_features(tokens(spark, sf_dir), S.NUM_PERM, S.THRESHOLD, S.SHINGLE_N))
 
 
 def lsh_queries(spark, sf_dir) -> DataFrame:

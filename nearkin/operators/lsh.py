@@ -81,10 +81,16 @@ def lsh_candidates(keyed: DataFrame, queries: DataFrame) -> DataFrame:
     return candidates(keyed.select("doc_id", "keys"), queries).select("qid", "doc_id")
 
 
-def score_candidates(pairs: DataFrame, queries: DataFrame, exclude_self: bool = True) -> DataFrame:
-    """Adds the Jaccard similarity of `words` and the query's `q_words` to candidate pairs."""
+def score_candidates(pairs: DataFrame, words: DataFrame, queries: DataFrame, exclude_self: bool = True) -> DataFrame:
+    """Adds the Jaccard similarity of `words` (doc_id, words) and the query's `q_words` to candidate pairs.
+
+    Words are fetched for the documents of a pair only. While candidates are looked for, nothing but keys is copied from
+    band to band.
+    """
     if exclude_self:
         pairs = pairs.filter("qid <> doc_id")
+    pairs = written(pairs)
+    pairs = checked_join(words.select("doc_id", "words"), pairs, ["doc_id"], 32, "doc_id")
     asked = queries.select("qid", "q_words")
     row_bytes = F.length(F.array_join("q_words", " ")) + F.size("q_words") * 16 + 16
     met = checked_join(pairs, asked, ["qid"], row_bytes, "doc_id")
@@ -97,8 +103,8 @@ def lsh_topk(keyed: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bo
     Needs keys and words on the corpus, q_keys and q_words on the queries.
     """
     queries = written(queries.select("qid", "q_keys", "q_words"))
-    pairs = candidates(keyed.select("doc_id", "keys", "words"), queries)
-    return rank_topk(score_candidates(pairs, queries, exclude_self), k)
+    pairs = candidates(keyed.select("doc_id", "keys"), queries.drop("q_words")).select("qid", "doc_id")
+    return rank_topk(score_candidates(pairs, keyed, queries, exclude_self), k)
 
 
 def _shared_weight(sets: DataFrame) -> DataFrame:

@@ -43,8 +43,10 @@ def lsh_sweep(
     sample = written(sample)
     corpus = sweep_features(tokens, settings, shingle_n)
     queries = written(as_queries(sweep_features(rows_of(tokens, sample), settings, shingle_n)))
-    pairs = candidates(corpus, queries.select("setting", "qid", "q_keys"), within=("setting",))
-    scored = score_candidates(pairs, queries.filter("setting = 0").select("qid", "q_words"))
+    keyed = corpus.select("setting", "doc_id", "keys")
+    pairs = candidates(keyed, queries.select("setting", "qid", "q_keys"), within=("setting",)).select("setting", "qid", "doc_id")
+    words = tokens.select("doc_id", T.token_set(F.col("tokens")).alias("words"))
+    scored = score_candidates(pairs, words, queries.filter("setting = 0").select("qid", "q_words"))
     order = Window.partitionBy("setting", "qid").orderBy(F.desc("score"), "doc_id")
     best = (
         scored.select("setting", "qid", "doc_id", "score")
