@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -128,7 +128,7 @@ def sliding_min(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(best[: len(best) - (n - span)], best[n - span:]) if n > span else best
 
 
-def slices(batch: pa.RecordBatch, text: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces whose texts (column number `text`) hold about max_bytes, one row at least."""
     if batch.num_rows == 0:
         return

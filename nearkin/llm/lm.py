@@ -36,7 +36,7 @@ from nearkin.plans.scale import scratch_folder, written
 #: Fixed value: stands for the end of a text among the word hashes.
 END = np.uint64(0x51ED270B0A2F1C37)
 OPEN_FILES = 512
-FLUSH_TOKENS = 1_500_000
+FLUSH_TOKENS = 1_000_000
 
 
 def model_folder(spark: SparkSession) -> str:

@@ -18,7 +18,7 @@ from nearkin.llm.arrays import slices, tidy
 FLUSH = 500_000
 
 
-def shard_count(df: DataFrame, text_col: str, shard_bytes: int = 32 << 20) -> int:
+def shard_count(df: DataFrame, text_col: str, shard_bytes: int = 8 << 20) -> int:
     """So many shards that each gets the postings of about shard_bytes of text."""
     total = df.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("bigint")), F.lit(0))).first()[0]
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-int(total) // shard_bytes))
@@ -82,7 +82,8 @@ def by_shard(blobs: DataFrame, shards: int, handle: Callable, schema: str) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
         for batch in batches:
-            for shard, *blob in zip(*[c.to_pylist() for c in batch.columns]):
+            for i in range(batch.num_rows):
+                shard, *blob = [c[i].as_py() for c in batch.columns]
                 if shard != now:
                     if parts:
                         yield from handle(now, [b"".join(p) for p in parts])
