@@ -35,16 +35,17 @@ def brute_force(train, texts, order):
         for gram, c in counts.items():
             followers[j][gram[:-1]].append(c)
 
+    sums = {j: {c: (sum(x), sum(d[j][min(i, 3)] for i in x)) for c, x in rows.items()} for j, rows in followers.items()}
+
     def p(context, word, j):
         if j == 0:
             return 1 / (len(words) + 1)
         below = p(context[1:], word, j - 1)
-        seen = followers[j].get(context[len(context) - j + 1:])
-        if not seen:
+        if context[len(context) - j + 1:] not in sums[j]:
             return below
+        total, taken = sums[j][context[len(context) - j + 1:]]
         c = grams[j][(*context[len(context) - j + 1:], word)]
-        taken = sum(d[j][min(x, 3)] for x in seen)
-        return (max(c - d[j][min(c, 3)], 0) + taken * below) / sum(seen)
+        return (max(c - d[j][min(c, 3)], 0) + taken * below) / total
 
     n, out = sum(words.values()), []
     for text in texts:
