@@ -5,8 +5,12 @@ entropy, or until no source is repeated more often than a limit. Each source is
 after epoch its blocks are put in a new seeded order and taken until the source's budget is used up; of the block in
 which that happens, the documents that still fit in are taken in hash order.
 
-A null source is a source of its own, a null token count counts as 0; a source without tokens has no weight and is left
-out; repeated rows are documents of their own. An empty table gives no rows.
+Budgets of sources are whole tokens, and only integers are compared. Where no budget is given, no source's is below its
+tokens, so that rounding costs no document.
+
+A null source is a source of its own, a null token count counts as 0. A source without tokens has no weight: it is left
+out where a budget is given, and taken once where none is, except that a table without any tokens has no entropy to meet and
+gives no rows for one. Repeated rows are documents of their own. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -79,7 +83,8 @@ def temperature_mix(
     marked = df.withColumn(n, F.coalesce(tokens.cast("bigint"), F.lit(0))) \
         .withColumn(source, F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))) \
         .withColumn(order, F.xxhash64(F.lit(seed), *simple))
-    totals = written(marked.groupBy(source).agg(F.sum(n).alias("tokens")).where(F.col("tokens") > 0))
+    sources = written(marked.groupBy(source).agg(F.sum(n).alias("tokens")))
+    totals = sources.where(F.col("tokens") > 0)
     whole = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     shares = totals.withColumn("share", F.col("tokens") / F.lit(float(max(whole, 1))))
     budget_share = budget / max(whole, 1) if budget else None
@@ -87,9 +92,14 @@ def temperature_mix(
     exponent = bisect_exponent(shares, goal) if whole else 1.0
     norm, least = shares.agg(F.sum(F.pow("share", F.lit(exponent))), F.min(F.pow("share", F.lit(exponent - 1)))).first()
     spent = budget if budget else float(whole) * norm / least if whole else 0.0
-    weights = written(shares.select(
-        source, "tokens", (F.pow("share", F.lit(exponent)) / F.lit(norm or 1.0)).alias("weight"),
-        F.ceil(F.col("tokens") / block_tokens).alias("blocks")).withColumn("budget", F.col("weight") * spent))
+    weighed = shares.select(source, "tokens", (F.pow("share", F.lit(exponent)) / F.lit(norm or 1.0)).alias("weight"))
+    if not budget and (whole or entropy is None):
+        weighed = weighed.unionAll(sources.where(F.col("tokens") <= 0).select(source, "tokens", F.lit(0.0)))
+    # what lies within rounding of a whole number of tokens is that number
+    share_of = F.floor(F.col("weight") * F.lit(float(spent)) * (1 + 1e-12) + 1e-6)
+    weights = written(weighed.select(
+        "*", F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1)).alias("blocks"),
+        (share_of if budget else F.greatest("tokens", share_of)).alias("budget")))
 
     small = fits_broadcast(weights, F.length(source) * 4 + 64)
     blocks_of = weights.select(source, "blocks")
@@ -97,12 +107,13 @@ def temperature_mix(
         .withColumn(block, F.pmod(F.col(order), F.col("blocks"))).drop("blocks")
     sizes = written(placed.groupBy(source, block).agg(F.sum(n).alias("size")))
     epochs = weights.select(source, "budget", F.explode(F.sequence(
-        F.lit(0), F.greatest(F.ceil(F.col("budget") / F.col("tokens")) - 1, F.lit(0)).cast("int"))).alias("epoch"), "tokens")
+        F.lit(0), F.expr("greatest(budget - 1, 0) div greatest(tokens, 1)").cast("int"))).alias("epoch"), "tokens")
     turns = sizes.join(epochs, source).withColumn("turn", F.xxhash64(F.lit(seed), source, "epoch", block))
     by_turn = Window.partitionBy(source, "epoch").orderBy("turn", block)
     taken = turns.withColumn("rank", F.row_number().over(by_turn).cast("int")) \
         .withColumn("before", F.col("epoch") * F.col("tokens") + F.sum("size").over(by_turn) - F.col("size"))
-    plan = written(taken.where(F.col("before") < F.col("budget")).select(
+    open_yet = (F.col("before") < F.col("budget")) | (F.col("epoch") == 0) & (F.col("before") <= F.col("budget"))
+    plan = written(taken.where(open_yet).select(
         source, block, F.col("epoch").alias(epoch), F.col("rank").alias(rank),
         F.when(F.col("before") + F.col("size") > F.col("budget"), F.col("budget") - F.col("before")).alias(unused(df, "_left"))))
     left = unused(df, "_left")

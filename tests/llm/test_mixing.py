@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -63,3 +64,23 @@ def test_odd_rows_and_empty_table(spark):
     assert Counter(tuple(r[: len(df.columns)]) for r in mix.rows.collect()).keys() == {tuple(r) for r in df.collect()}
     for empty in (df.where("false"), df.where("text = ''")):
         assert mixing.temperature_mix(empty, "source", tokens, entropy=0.5).rows.count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_no_document_is_lost_to_rounding(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.choice(["a"] * 30 + ["b"] * 9 + ["c"] * 3), rng.choice([0, 7, 11, 250])) for i in range(600)]
+    rows += [(1000 + i, s, 0) for i, s in enumerate(["d", "d", "a", "b", "c"] * 4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, n bigint").repartition(4)
+    for goal in ({"repetition_limit": 2.0}, {"repetition_limit": 1.5}, {"entropy": 0.9}):
+        mix = mixing.temperature_mix(df, "source", F.col("n"), block_tokens=300, seed=seed, **goal)
+        assert {r.doc_id for r in mix.rows.where("mix_epoch = 0").collect()} == {r[0] for r in rows}
+        weights = mix.weights.collect()
+        assert all(r.budget >= r.tokens and r.budget <= max(r.tokens, r.weight * mix.budget + 1e-3) for r in weights)
+        assert mix.weights.schema["budget"].dataType.typeName() == "long"
+
+
+def test_sources_without_tokens(spark):
+    df = spark.createDataFrame([(1, "a", 0), (2, "b", None)], "doc_id bigint, source string, n bigint")
+    assert {r.doc_id for r in mixing.temperature_mix(df, "source", F.col("n"), repetition_limit=2.0).rows.collect()} == {1, 2}
+    assert mixing.temperature_mix(df, "source", F.col("n"), repetition_limit=2.0, budget=9).rows.count() == 0
