@@ -3,6 +3,9 @@
 A task holds a block of rows as postings: for each term (component) the rows with a weight and the weights. For each
 term of the query rows, the weighted postings are added into dense score arrays, one per query of a group. The k best
 of a block are cut out by partition selection; a window merges the blocks' winners.
+
+Sums of longs are exact modulo 2**64, so a score is right if it fits a long. It does where the product of the two lengths
+(norms) is below 2**63; the scores of other pairs are summed in Python's integers, and one that does not fit is an error.
 """
 
 from __future__ import annotations
@@ -19,15 +22,19 @@ from nearkin.plans.scale import written
 
 BLOCK_ROWS = 8192
 GROUP = 64
-#: Products of two codes below this keep sums of up to 512 terms in a long.
-CODE_LIMIT = 1 << 27
+LIMIT = 1 << 63
 
 
 def integer_codes(vector: Column, scale: int = 1024) -> Column:
     """floor(scale * x) of each component as longs; null for vectors that are null or hold a null, a value that is not
-    finite or one whose code is not below 2**27 in size, as its sums might leave the range of a long."""
+    finite or one whose code is no long (scale * x below -2**63, or 2**63 and more)."""
     codes = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < CODE_LIMIT))
+
+    def fits(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return (scaled >= F.lit(-float(LIMIT))) & (scaled < F.lit(float(LIMIT)))
+
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & fits(x))
     return F.when(F.coalesce(sound, F.lit(False)), codes)
 
 
@@ -48,6 +55,23 @@ def by_term(parts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[int, tuple
     return {int(t[0]): (r, w) for t, r, w in zip(*(np.split(x, cut) for x in (term, row, weight))) if len(t)}
 
 
+def norms(row: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Length of each of n vectors, a little above the true one."""
+    return np.sqrt(np.bincount(row, weights=weight.astype(np.float64) ** 2, minlength=n)) * (1 + 1e-9)
+
+
+def wide_scores(number: int, terms: dict, posted: dict, asked: np.ndarray, n: int) -> np.ndarray:
+    """Scores of one query of a group with the asked ones of n rows, as Python integers."""
+    score = np.zeros(n, object)
+    for term, (query, weight) in terms.items():
+        own = weight[query == number]
+        if len(own) and term in posted:
+            row, posting = posted[term]
+            mine = asked[row]
+            score[row[mine]] += posting[mine].astype(object) * int(own[0])
+    return score[asked]
+
+
 def best(score: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k highest scores of one block, ties to smaller ids, the query's own id left out."""
     score, ids = score[ids != own], ids[ids != own]
@@ -66,7 +90,7 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
 
     A row is never a candidate for the query of its own id. Rows and queries without codes or id take no part; rows
     that repeat an id are candidates of their own, a repeated query counts once. Vectors of different lengths meet on
-    the terms that both have. No query or no row gives an empty table.
+    the terms that both have. No query or no row gives an empty table. A score that does not fit a long is an error.
 
     Queries go out in blocks of `block_queries`, a bound by rows; each block makes one pass over the rows, which
     are never shuffled: k rows per query and task are.
@@ -81,13 +105,16 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
             if len(query_ids) == 0:
                 return
             groups = [{} for _ in range(0, len(query_ids), GROUP)]
+            entries = list(query_terms.value.values()) or [(np.zeros(0, np.int64),) * 2]
+            query_norms = norms(*(np.concatenate(x) for x in zip(*entries)), len(query_ids))
             for term, (row, weight) in query_terms.value.items():
                 for g in np.unique(row // GROUP):
                     groups[g][term] = (row[row // GROUP == g] % GROUP, weight[row // GROUP == g])
             for batch in batches:
                 for at in range(0, batch.num_rows, BLOCK_ROWS):
                     block = batch.slice(at, BLOCK_ROWS)
-                    ids, posted = np.asarray(block.column(0)), by_term(postings(block.column(1)))
+                    ids, parts = np.asarray(block.column(0)), postings(block.column(1))
+                    posted, row_norms = by_term(parts), norms(parts[1], parts[2], len(ids))
                     out = [[], [], []]
                     for g, terms in enumerate(groups):
                         own = query_ids[g * GROUP: (g + 1) * GROUP]
@@ -102,6 +129,11 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
                                     for q, w in zip(query, weight):
                                         score[q, row] += posting * w
                         for q, query_id in enumerate(own):
+                            large = (row_norms * query_norms[g * GROUP + q] >= LIMIT) & (ids != query_id)
+                            if large.any():
+                                exact = wide_scores(q, terms, posted, large, len(ids))
+                                if max(exact) >= LIMIT or min(exact) < -LIMIT:
+                                    raise ValueError(f"scores of query {query_id} do not fit a long")
                             s, i = best(score[q], ids, query_id, k)
                             for to, part in zip(out, (np.full(len(s), query_id), i, s)):
                                 to.append(part)

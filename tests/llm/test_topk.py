@@ -33,3 +33,20 @@ def test_unsound_vectors_take_no_part(spark):
     assert [tuple(r) for r in topk.topk(coded, coded, "vec_id", "codes").orderBy("query_id").collect()] == [(0, 1, 6, 0), (6, 1, 0, 0)]
     assert topk.topk(coded, coded.where("false"), "vec_id", "codes").count() == 0
     assert topk.topk(coded.where("false"), coded, "vec_id", "codes").count() == 0
+
+
+def test_large_components_take_part(spark):
+    rows = [(0, [2e5, -2e5, 3.0]), (2, [1.0, -1.0, 3.0]), (3, [-131072.0, 131072.0, 0.0]),
+            (4, [2.0 ** 45, 2.0 ** 45, 0.5]), (5, [-1.5, 1.5, 7.0])]  # lengths of 4 and 0 multiply to more than 2**63
+    plain = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    expected = brute_force(plain, plain, 4)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(2)
+    coded = df.select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
+    assert {tuple(r) for r in topk.topk(coded, coded, "vec_id", "codes", k=4).collect()} == expected
+
+
+def test_a_score_beyond_a_long_is_an_error(spark):
+    df = spark.createDataFrame([(0, [2.0 ** 30]), (1, [2.0 ** 23])], "vec_id bigint, embedding array<double>")
+    coded = df.select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
+    with pytest.raises(Exception, match="do not fit a long"):
+        topk.topk(coded, coded, "vec_id", "codes").collect()
