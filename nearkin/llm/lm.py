@@ -357,7 +357,7 @@ def add_contexts(model: Model, j: int):
     return handle, "contexts bigint"
 
 
-def train(texts: DataFrame, text_col: str = "text", order: int = 2) -> Model:
+def train(texts: DataFrame, text_col: str = "text", order: int = 3) -> Model:
     """A model of all texts. Besides the sizes of the vocabulary's shards, sums alone reach the driver."""
     spark = texts.sparkSession
     folder = model_folder(spark)

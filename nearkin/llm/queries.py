@@ -57,7 +57,7 @@ def op4_sharding(spark, sf_dir):
 @query
 def op5_lm_scoring(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", lm.held_out("doc_id").alias("held_out"))
-    model = lm.train(documents.where(~F.col("held_out")), order=2)
+    model = lm.train(documents.where(~F.col("held_out")), order=3)
     return lm.score(documents, model, keep=("doc_id", "held_out")).withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
 
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from nearkin.llm import lm
+from nearkin.llm import lm, queries
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 TEXTS = [
@@ -94,3 +94,15 @@ def test_held_out_by_id(spark):
     ids = [*range(50), None]
     df = spark.createDataFrame([(i,) for i in ids], "doc_id bigint").select("doc_id", lm.held_out("doc_id").alias("h"))
     assert {r.doc_id: r.h for r in df.collect()} == {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids}
+
+
+def test_query_scores_by_more_than_one_word_of_context(spark, data, monkeypatch):
+    made, train = [], lm.train
+
+    def watched(*args, **options):
+        made.append(train(*args, **options))
+        return made[-1]
+
+    monkeypatch.setattr(lm, "train", watched)
+    queries.op5_lm_scoring(spark, data)
+    assert made[0].order == 3
