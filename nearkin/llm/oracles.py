@@ -191,3 +191,45 @@ SELECT page_id, warc_type, record_id, refers_to, target_uri, payload_digest,
          || 'Content-Length: ' || strlen(block) || eol || eol AS header
 FROM d
 """
+
+SQL["op13_importance_resampling"] = r"""
+WITH RECURSIVE steps(v, c, i) AS (
+  SELECT v::BIGINT, v::BIGINT, 0 FROM range(256) g(v)
+  UNION ALL SELECT v, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM steps WHERE i < 8
+), step AS (
+  SELECT list(c ORDER BY v) AS crc FROM steps WHERE i = 8
+), texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), text FROM benchmark
+), cut AS (
+  SELECT side, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), features AS (
+  SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM cut
+), counted AS (
+  SELECT side, r, feature, count(*) AS n FROM features GROUP BY ALL
+), bytes AS (
+  SELECT feature, list_transform(range(0, strlen(feature)), lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::BIGINT) AS b
+  FROM (SELECT DISTINCT feature FROM counted)
+), keyed AS (
+  SELECT feature, xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, step
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM counted JOIN keyed USING (feature) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM sums, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM sums)
+), weighed AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM counted JOIN keyed USING (feature) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM (SELECT row_number() OVER () AS r, doc_id FROM documents) JOIN (SELECT r, w FROM cut WHERE side = 'd') USING (r) LEFT JOIN weighed USING (r)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, jaccard, lm, mixing, quality, sharding, substring, topk, urls, warc
+from nearkin.llm import bpe, jaccard, lm, mixing, quality, resample, sharding, substring, topk, urls, warc
 from nearkin.session import ship
 
 QUERIES = {}
@@ -101,3 +101,10 @@ def token_count(text):
 def op10_temperature_mix(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", token_count(F.col("text")).alias("n_tokens"))
     return mixing.temperature_mix(documents, "source", F.col("n_tokens"), repetition_limit=2.0).rows
+
+
+@query
+def op13_importance_resampling(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.importance_resample(documents, table(spark, sf_dir, "benchmark").select("text")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
