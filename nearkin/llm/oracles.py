@@ -233,3 +233,36 @@ WITH RECURSIVE steps(v, c, i) AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed
 """
+
+SQL["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                     '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), cut AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), f AS (
+  SELECT lang, words, phrase, count(*) AS f FROM (
+    SELECT lang, k AS words, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM cut, range(1, 5) g(k) WHERE len(w) >= k)
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words >= 2 AND f >= 30
+), cuts AS (
+  SELECT lang, phrase, k, array_to_string(w[1:k], ' ') AS front, array_to_string(w[k + 1:], ' ') AS rest, a
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, 2000000::HUGEINT * c.a // (x.f + y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.front JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 2000000::HUGEINT * c.a // (x.f + y.f), k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, range(2, 4) g(m), range(1, 4) h(s) WHERE m < words AND s + m - 1 <= words GROUP BY 1, 2
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN inside i USING (lang, phrase) WHERE NOT coalesce(100 * longer >= 80 * a, false)
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept QUALIFY rank <= 2000
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM best JOIN totals USING (lang)
+"""
