@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, jaccard, lm, mixing, phrases, quality, resample, sharding, substring, topk, urls, warc
+from nearkin.llm import ann, bpe, jaccard, lm, mixing, phrases, quality, resample, sharding, substring, topk, urls, warc
 from nearkin.session import ship
 
 QUERIES = {}
@@ -103,6 +103,12 @@ def op10_temperature_mix(spark, sf_dir):
     return mixing.temperature_mix(documents, "source", F.col("n_tokens"), repetition_limit=2.0).rows
 
 
+@query
+def op11_cross_polytope(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", k=20)
+
+
 @query
 def op12_phrase_collocations(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
