@@ -172,6 +172,15 @@ def lsi_embed(spark, sf_dir):
     return lsi.lsi_embed(rows, names, table, S.LSI_DIMS)[0]
 
 
+@query
+def lsi_leading(spark, sf_dir):
+    """The three strongest latent directions, after as many passes as four digits need."""
+    rows, names = terms.tfidf_rows(*weighing(spark, sf_dir))
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found, _ = lsi.lsi_embed(rows, names, table, 3, power_steps=S.LEADING_STEPS, exact_steps=S.LEADING_STEPS // 2)
+    return found.select("doc_id", *[F.round(F.col("embedding")[i], 4).alias(f"direction_{i + 1}") for i in range(3)])
+
+
 @query
 def word2vec_train(spark, sf_dir):
     model = words.train_word2vec(tokens(spark, sf_dir), S.W2V_SIZE, min_count=S.W2V_MIN_COUNT)

@@ -58,6 +58,34 @@ DOC_SAMPLE = sample("doc_sample", "documents", "doc_id", S.N_QUERIES)
 VEC_SAMPLE = sample("vec_sample", "embeddings", "vec_id", S.N_QUERIES)
 
 
+# ------------------------------------------------------------------ LSI
+
+LSI_ROUNDS = 700
+
+
+def power_iteration(number: int, matrix: str) -> list[str]:
+    """u<n>: the leading eigenvector of a symmetric matrix given as rows (r, row), and the matrix without it."""
+    return [
+        f"""it{number}(i, v) AS (SELECT 0, list(1.0::DOUBLE + r % 7 ORDER BY r) FROM {matrix} UNION ALL
+  SELECT i + 1, list_transform(y, lambda e: e / size) FROM (SELECT i, y, sqrt(list_dot_product(y, y)) AS size FROM (
+  SELECT i, list(list_dot_product(row, v) ORDER BY r) AS y FROM it{number}, {matrix} WHERE i < {LSI_ROUNDS} GROUP BY i)))""",
+        f"u{number} AS MATERIALIZED (SELECT v FROM it{number} WHERE i = {LSI_ROUNDS})",
+        f"""l{number} AS MATERIALIZED (SELECT list_dot_product(v, list(list_dot_product(row, v) ORDER BY r)) AS value FROM {matrix}, u{number} GROUP BY v)""",
+        f"""g{number + 1} AS MATERIALIZED (SELECT r, list_transform(list_zip(row, v), lambda x: x[1] - value * v[r] * x[2]) AS row
+  FROM {matrix}, u{number}, l{number})""",
+        f"""d{number} AS (SELECT doc_id, v[r] * sqrt(value) * (SELECT CASE WHEN arg_max(x, abs(x)) < 0 THEN -1 ELSE 1 END FROM (
+  SELECT sum(w * v[r]) AS x FROM unit_weights JOIN places USING (doc_id), u{number} GROUP BY term)) AS x FROM places, u{number}, l{number})""",
+    ]
+
+
+LSI = [TOK, TERMS, VOCAB, TFIDF,
+       "unit_weights AS MATERIALIZED (SELECT doc_id, term, w / length AS w FROM weighted JOIN lengths USING (doc_id))",
+       "places AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM (SELECT DISTINCT doc_id FROM unit_weights))",
+       "near AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.w * b.w) AS g FROM unit_weights a JOIN unit_weights b USING (term) GROUP BY ALL)",
+       """g1 AS MATERIALIZED (SELECT x.r, list(coalesce(g, 0) ORDER BY y.r) AS row FROM places x CROSS JOIN places y
+  LEFT JOIN near ON a = x.doc_id AND b = y.doc_id GROUP BY x.r)""",
+       *power_iteration(1, "g1"), *power_iteration(2, "g2"), *power_iteration(3, "g3")]
+
 # ------------------------------------------------------------------ MinHash
 
 def signature_parts(num_perm: int, n: int) -> list[str]:
@@ -288,6 +316,8 @@ def oracles() -> dict[str, str]:
         "vocabulary": select([TOK, TERMS, VOCAB], "SELECT * FROM vocab"),
         "tfidf": select([TOK, TERMS, VOCAB, TFIDF],
                         "SELECT doc_id, term, round(w / length, 6) AS tfidf FROM weighted JOIN lengths USING (doc_id)"),
+        "lsi_leading": select(LSI, f"""SELECT doc_id, {', '.join(f'round(coalesce(d{i}.x, 0), 4) + 0.0 AS direction_{i}' for i in (1, 2, 3))}
+  FROM documents {' '.join(f'LEFT JOIN d{i} USING (doc_id)' for i in (1, 2, 3))}""").replace("WITH ", "WITH RECURSIVE ", 1),
         "mean_pool": select([TOK, TERMS, f"""known AS (SELECT term, {pool} FROM terms GROUP BY term
   HAVING sum(tf) >= {S.W2V_MIN_COUNT})"""],
                             f"""SELECT d.doc_id, [{means}] AS embedding FROM documents d

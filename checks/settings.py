@@ -6,6 +6,7 @@ SWEEP_QUERIES = 500
 MAX_DOCS = 500
 MAX_FEATURES = 50_000
 LSI_DIMS = 200
+LEADING_STEPS = 10
 W2V_SIZE = 200
 W2V_MIN_COUNT = 2
 POOL_DIM = 8

@@ -1,7 +1,18 @@
-"""Latent semantic vectors: truncated SVD of the TF-IDF table without centring."""
+"""Latent semantic vectors: truncated SVD of the TF-IDF table without centring.
+
+The term side (terms x width) is a table of row blocks from the random start to the directions, never an array on the driver
+or in a task. Documents lie in blocks of bounded size. In a pass, every document block gets the rows of the basis that
+its terms need, adds up its part of A Q and gives off its part of A'(A Q) for these terms; sums are made by term block. The
+sums are made orthonormal by a QR of the rows of each task and of the triangles, 16 at a time. What reaches the driver
+is a few width x width matrices.
+
+Passes that only turn the basis towards the strongest directions may send single precision: their sums are made orthonormal
+in doubles as they are, so it costs no accuracy but a noise that the last pass, in doubles, sees as a hardly different start.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,134 +21,457 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
-from nearkin.operators.adding import PARTIAL, partial_batches, summed
 from nearkin.operators.terms import tfidf_rows
-from nearkin.plans.scale import spread, written
+from nearkin.plans.scale import written
 
 OVERSAMPLES = 10
-MAX_BASIS_BYTES = 512 << 20
-DOCS_AT_ONCE = 64
-MIN_DOCS_PER_TASK = 2_048
-TERM_BLOCK = 64  # terms that travel in one row of a partial sum
+TERM_BLOCK = 128  # terms that travel in one row
+BLOCK_ENTRIES = 4 << 20  # entries of a document block
+BLOCK_DOCS = 32_768
+PART_ENTRIES = 1 << 18  # entries that travel in one row
+FAN_IN = 16  # matrices that one task of a tree takes
+RANK_LIMIT = 1e-10  # directions weaker than this, in proportion to the strongest, are dropped
+DENSE_FACTOR = 64
+SOUND_LIMIT = 1e-5  # below this the columns are made orthonormal twice
+
+BASIS = "block int, v binary"
 
 
 @dataclass
 class LsiModel:
-    """Terms in index order, their directions (terms x k) and the k singular values."""
+    """Terms in index order, the blocks (block, v) of their directions (terms x k), and the k singular values."""
 
     terms: list[str]
-    directions: np.ndarray
+    directions: DataFrame
     singular_values: np.ndarray
 
+    @property
+    def k(self) -> int:
+        return len(self.singular_values)
 
-def _blocks(batch: pa.RecordBatch):
-    """Dense pieces of a sparse batch: (row range, term numbers present, values)."""
-    idx, val = batch.column(1), batch.column(2)
-    cuts = np.asarray(idx.offsets)
-    at, weight = idx.flatten().to_numpy(), val.flatten().to_numpy()
-    cuts = cuts - cuts[0]
-    for first in range(0, batch.num_rows, DOCS_AT_ONCE):
-        last = min(first + DOCS_AT_ONCE, batch.num_rows)
-        begin, end = cuts[first], cuts[last]
-        present, column = np.unique(at[begin:end], return_inverse=True)
-        dense = np.zeros((last - first, len(present)))
-        dense[np.repeat(np.arange(last - first), np.diff(cuts[first:last + 1])), column] = weight[begin:end]
-        yield first, last, present, dense
-
-
-def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) in one pass; each task adds up its rows, Spark adds up the tasks."""
-    shared = rows.sparkSession.sparkContext.broadcast(basis)
-    terms, width = basis.shape
-
-    def multiply(batches):
-        q = shared.value
-        total = np.zeros((-(-terms // TERM_BLOCK) * TERM_BLOCK, width))
-        used = False
-        for batch in batches:
-            for _, _, present, dense in _blocks(batch):
-                total[present] += dense.T @ (dense @ q[present])
-                used = True
-        if used:
-            blocks = total.reshape(-1, TERM_BLOCK * width)
-            hit = np.flatnonzero(blocks.any(axis=1))
-            yield from partial_batches(hit, blocks[hit])
-
-    keys, sums = summed(rows.mapInArrow(multiply, PARTIAL))  # at most terms x width numbers
-    shared.unpersist()
-    out = np.zeros((-(-terms // TERM_BLOCK), TERM_BLOCK * width))
-    out[keys] = sums
-    return out.reshape(-1, width)[:terms]
-
-
-def _orthonormal(columns: np.ndarray) -> np.ndarray:
-    """An orthonormal basis of the columns: Cholesky QR twice, Householder QR where that fails."""
-    basis = columns
-    try:
-        for _ in range(2):
-            basis = basis @ np.linalg.inv(np.linalg.cholesky(basis.T @ basis)).T
-    except np.linalg.LinAlgError:
-        return np.linalg.qr(columns)[0]
-    if np.abs(basis.T @ basis - np.eye(basis.shape[1])).max() > 1e-10:
-        return np.linalg.qr(columns)[0]
-    return basis
-
-
-def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, power_steps: int = 5) -> LsiModel:
-    """Randomized range finder on the term side, then a small eigenproblem.
-
-    One pass over the rows per step and one more at the end; the basis (terms x (k + 10)) depends on the vocabulary cut
-    and not on the number of documents.
-    """
-    width = min(k + OVERSAMPLES, len(terms))
-    if len(terms) * width * 8 > MAX_BASIS_BYTES:
-        raise ValueError("the basis does not fit a task: lower max_features or k")
-    # every task gives off one partial sum as large as the basis: as few tasks as keep the slots busy
+
+@dataclass
+class DocumentBlocks:
+    """A sparse table in blocks of documents: their ids, their entries by term, and which terms of a term block they need."""
+
+    table: DataFrame
+    id_type: str
+    blocks: int
+
+    def documents(self) -> DataFrame:
+        return self.table.where("doc_id is not null").select("g", F.col("at"), "doc_id")
+
+    def entries(self) -> DataFrame:
+        return self.table.where("term is not null").select("g", "at", "term", "doc", "v")
+
+    def needs(self) -> DataFrame:
+        return self.table.where("ids is not null").select("g", F.col("at").alias("block"), "ids")
+
+
+def _bytes(parts: list[np.ndarray]) -> pa.Array:
+    return pa.array([p.tobytes() for p in parts], pa.binary())
+
+
+def document_blocks(rows: DataFrame) -> DocumentBlocks:
+    """Sparse rows (doc_id, idx, val) cut into blocks by the hash of the id; `rows` should be a written table."""
     slots = rows.sparkSession.sparkContext.defaultParallelism
-    rows = rows.coalesce(int(min(-(-rows.count() // MIN_DOCS_PER_TASK) or 1, 2 * slots)))
-    basis = _orthonormal(np.random.RandomState(seed).randn(len(terms), width))
-    for _ in range(power_steps):
-        basis = _orthonormal(_gram_times(rows, basis))
-    small = basis.T @ _gram_times(rows, basis)
-    values, turn = np.linalg.eigh((small + small.T) / 2)
-    order = np.argsort(-values)[:k]
-    directions = basis @ turn[:, order]
-    # the entry of largest magnitude of every direction is positive
-    top = directions[np.argmax(np.abs(directions), axis=0), np.arange(directions.shape[1])]
-    directions = directions * np.where(top < 0, -1.0, 1.0)
-    return LsiModel(terms, directions, np.sqrt(np.maximum(values[order], 0)))
+    n, entries = rows.agg(F.count("*"), F.coalesce(F.sum(F.size("idx")), F.lit(0))).first()
+    blocks = max(1, min(slots, n), -(-entries // BLOCK_ENTRIES), -(-n // BLOCK_DOCS))
+    kind = dict(rows.dtypes)["doc_id"]
+    names = ["g", "at", "doc_id", "term", "doc", "v", "ids"]
 
+    def pack(g: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        lengths = np.asarray(table.column("idx").value_lengths())
+        term, weight = np.asarray(table.column("idx").flatten()), np.asarray(table.column("val").flatten())
+        doc = np.repeat(np.arange(table.num_rows, dtype=np.int32), lengths)
+        order = np.lexsort((doc, term))
+        term, doc, weight = term[order].astype(np.int32), doc[order], weight[order]
+        needed = np.unique(term)
+        first = np.flatnonzero(np.diff(needed // TERM_BLOCK, prepend=-1))
+        ids = [x.astype(np.uint8) for x in np.split(needed % TERM_BLOCK, first[1:])] if len(needed) else []
+        cuts = np.arange(PART_ENTRIES, len(term), PART_ENTRIES)
+        parts = [np.split(x, cuts) for x in (term, doc, weight)] if len(term) else [[], [], []]
 
-def project(rows: DataFrame, model: LsiModel, documents: DataFrame) -> DataFrame:
-    """(doc_id, embedding) for every document; one without known terms is the zero vector."""
-    shared = rows.sparkSession.sparkContext.broadcast(model.directions)
-    k = model.directions.shape[1]
+        def batch(at: np.ndarray, doc_id=None, entries=None, need=None) -> pa.RecordBatch:
+            size = len(at)
+            columns = [pa.array(np.full(size, g, np.int32)), pa.array(at.astype(np.int32)),
+                       pa.nulls(size, table.schema.field("doc_id").type) if doc_id is None else doc_id]
+            columns += [pa.nulls(size, pa.binary())] * 3 if entries is None else [_bytes(x) for x in entries]
+            columns += [pa.nulls(size, pa.binary()) if need is None else _bytes(need)]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        yield batch(np.arange(table.num_rows), doc_id=table.column("doc_id"))
+        yield batch(np.arange(len(parts[0])), entries=parts)
+        yield batch(needed[first] // TERM_BLOCK if len(needed) else needed, need=ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for g, part in _runs(batch, "g"):
+                if g != now:
+                    if held:
+                        yield from pack(now, held)
+                    now, held = g, []
+                held.append(part)
+        if held:
+            yield from pack(now, held)
+
+    schema = f"g int, at int, doc_id {kind}, term binary, doc binary, v binary, ids binary"
+    numbered = rows.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    return DocumentBlocks(written(numbered.repartitionById(blocks, F.col("g")).sortWithinPartitions("g").mapInArrow(run, schema)), kind, blocks)
+
+
+def _runs(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The parts of a batch between changes of these integer columns, with their values."""
+    keys = np.stack([np.asarray(batch.column(c)) for c in columns], axis=1)
+    cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+        if lo < hi:
+            key = keys[lo].tolist()
+            yield (key[0] if len(key) == 1 else tuple(key)), batch.slice(lo, hi - lo)
+
+
+def _matrix(data: bytes, width: int, kind: type = np.float64) -> np.ndarray:
+    return np.frombuffer(data, kind).reshape(-1, width)
+
+
+@dataclass
+class Basis:
+    """Blocks (block, v) of a matrix of this kind of numbers, and the matrix that makes its columns orthonormal."""
 
-    def embed(batches):
+    blocks: DataFrame
+    kind: type
+    turn: np.ndarray
+
+    @property
+    def width(self) -> int:
+        return self.turn.shape[1]
+
+
+# ---------------------------------------------------------------- the basis as a table
+
+def _in_tree(parts: DataFrame, combine: Callable[[list[np.ndarray]], np.ndarray], width: int) -> np.ndarray | None:
+    """Matrices (v) of one width combined FAN_IN at a time until one task's share is left; that one comes to the driver."""
+    def run(batches):
+        held = []
+        for batch in batches:
+            for data in batch.column(0):
+                held.append(_matrix(data.as_py(), width))
+                if len(held) == FAN_IN:
+                    held = [combine(held)]
+        if held:
+            yield pa.RecordBatch.from_arrays([_bytes([combine(held)])], names=["v"])
+
+    parts = parts.select("v")
+    while (n := parts.count()) > FAN_IN:
+        parts = written(parts.repartition(-(-n // FAN_IN)).mapInArrow(run, "v binary"))
+    left = [_matrix(r.v, width) for r in parts.collect()]  # FAN_IN matrices at most
+    return combine(left) if left else None
+
+
+def _triangle(parts: list[np.ndarray]) -> np.ndarray:
+    return np.linalg.qr(np.concatenate(parts), mode="r")
+
+
+def _whitening(triangle: np.ndarray) -> tuple[np.ndarray, bool]:
+    """T so that the columns of Z T are orthonormal, for Z with this triangle, without the directions that Z hardly has;
+    and whether once is enough."""
+    _, size, turned = np.linalg.svd(triangle)
+    kept = size > RANK_LIMIT * size[0] if len(size) and size[0] > 0 else np.zeros(len(size), bool)
+    return turned[: len(size)][kept].T / size[kept], bool(kept.any()) and size[kept][-1] > SOUND_LIMIT * size[0]
+
+
+def _turned(basis: Basis, turn: np.ndarray) -> DataFrame:
+    """Blocks of the columns of the basis times a matrix, in doubles."""
+    turn, kind = basis.turn @ turn, basis.kind
+
+    def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = np.zeros((batch.num_rows, k))
-            for first, last, present, dense in _blocks(batch):
-                out[first:last] = dense @ shared.value[present]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), kernels.list_column(out, pa.float64())], names=["doc_id", "embedding"]
-            )
-
-    known = rows.mapInArrow(embed, "doc_id bigint, embedding array<double>")
-    zero = F.array_repeat(F.lit(0.0), k)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _bytes([_matrix(x.as_py(), len(turn), kind) @ turn for x in batch.column(1)])], names=["block", "v"])
+
+    return basis.blocks.mapInArrow(run, BASIS)
+
+
+def _with_triangles(batches: Iterator[tuple[int, np.ndarray]], width: int) -> Iterator[pa.RecordBatch]:
+    """Blocks as rows (block, v, r), and a last row with the triangle of all of them."""
+    names, held, size, triangle = ["block", "v", "r"], [], 0, []
+    for block, rows in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), _bytes([rows]), pa.nulls(1, pa.binary())], names=names)
+        held.append(rows.astype(np.float64))
+        size += len(rows)
+        if size > 8 * width:
+            triangle, held, size = [_triangle(triangle + held)], [], 0
+    if held or triangle:
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), _bytes([_triangle(triangle + held)])], names=names)
+
+
+SUMS = BASIS + ", r binary"
+
+
+def _start(spark: SparkSession, terms: int, width: int, seed: int) -> DataFrame:
+    def run(batches):
+        def blocks():
+            for batch in batches:
+                for block in batch.column(0).to_pylist():
+                    rows = min(TERM_BLOCK, terms - block * TERM_BLOCK)
+                    yield block, np.random.default_rng([seed, block]).standard_normal((rows, width))
+
+        yield from _with_triangles(blocks(), width)
+
+    return written(spark.range(-(-terms // TERM_BLOCK)).selectExpr("cast(id as int) as block").mapInArrow(run, SUMS))
+
+
+def _orthonormal(sums: DataFrame, width: int, kind: type = np.float64) -> Basis:
+    """The basis of sums (block, v, r); it is written anew and measured again where the sums are nearly dependent."""
+    triangles = sums.where("r is not null").select(F.col("r").alias("v"))
+    turn, sound = _whitening(_in_tree(triangles, _triangle, width))
+    basis = Basis(sums.where("block is not null").select("block", "v"), kind, turn)
+    if sound or not turn.size:
+        return basis
+    width = basis.width
+
+    def run(batches):
+        yield from _with_triangles(((b, _matrix(v, width)) for batch in batches for b, v in zip(*(c.to_pylist() for c in batch.columns))), width)
+
+    again = written(_turned(basis, np.eye(width)).mapInArrow(run, SUMS))
+    turn, _ = _whitening(_in_tree(again.where("r is not null").select(F.col("r").alias("v")), _triangle, width))
+    return Basis(again.where("block is not null").select("block", "v"), np.float64, turn)
+
+
+# ---------------------------------------------------------------- a pass
+
+def _needed_rows(basis: Basis, docs: DocumentBlocks, wire: type) -> DataFrame:
+    """(g, block, v): the rows of the basis that each document block needs, as numbers of the kind `wire`."""
+    turn, kind = basis.turn, basis.kind
+
+    def run(batches):
+        now, rows = None, None
+        for batch in batches:
+            blocks, roles = batch.column("block").to_pylist(), batch.column("role").to_pylist()
+            out = []
+            for i, (block, role) in enumerate(zip(blocks, roles)):
+                if role == 0:
+                    now, rows = block, (_matrix(batch.column("v")[i].as_py(), len(turn), kind) @ turn).astype(wire)
+                elif block == now:
+                    out.append((i, rows[np.frombuffer(batch.column("ids")[i].as_py(), np.uint8)]))
+            if out:
+                at = pa.array([i for i, _ in out])
+                yield pa.RecordBatch.from_arrays([batch.column("g").take(at), batch.column("block").take(at), _bytes([v for _, v in out])], names=["g", "block", "v"])
+
+    nothing = F.lit(None)
+    both = basis.blocks.select("block", F.lit(0).alias("role"), nothing.cast("int").alias("g"), "v", nothing.cast("binary").alias("ids")).unionByName(
+        docs.needs().select("block", F.lit(1).alias("role"), "g", nothing.cast("binary").alias("v"), "ids"))
+    return both.repartition("block").sortWithinPartitions("block", "role").mapInArrow(run, "g int, block int, v binary")
+
+
+def _over_blocks(docs: DocumentBlocks, basis: Basis, finish: Callable, schema: str, wire: type = np.float64, with_ids: bool = False) -> DataFrame:
+    """finish(product, entries, ids) for each document block; product is its part of A Q, one row per document with
+    entries, entries its (term, doc, value) by term."""
+    width = basis.width
+
+    def run(batches):
+        now, state = None, None
+
+        def done():
+            if state and state["y"] is not None:
+                yield from finish(state["y"], state["entries"], state["ids"])
+
+        for batch in batches:
+            for (g, kind), part in _runs(batch, "g", "kind"):
+                if g != now:
+                    yield from done()
+                    now, state = g, {"ids": [], "parts": [], "y": None, "entries": None}
+                if kind == 0:
+                    state["ids"].append(part.column("doc_id"))
+                elif kind == 1:
+                    state["parts"] += list(zip(*(part.column(c).to_pylist() for c in ("term", "doc", "v"))))
+                elif state["parts"]:
+                    if state["entries"] is None:
+                        state["entries"] = [np.frombuffer(b"".join(x), t) for x, t in zip(zip(*state["parts"]), (np.int32, np.int32, np.float64))]
+                        state["entries"][2] = state["entries"][2].astype(wire)
+                        state["y"] = np.zeros((int(state["entries"][1].max()) + 1, width), wire)
+                    for block, v in zip(part.column("at").to_pylist(), part.column("v")):
+                        _add_product(state["y"], state["entries"], block, _matrix(v.as_py(), width, wire))
+        yield from done()
+
+    none = {c: F.lit(None).cast("binary").alias(c) for c in ("term", "doc", "v")}
+    no_id = F.lit(None).cast(docs.id_type).alias("doc_id")
+    both = docs.entries().select("g", F.lit(1).alias("kind"), "at", no_id, "term", "doc", "v").unionByName(
+        _needed_rows(basis, docs, wire).select("g", F.lit(2).alias("kind"), F.col("block").alias("at"), no_id, none["term"], none["doc"], "v"))
+    if with_ids:
+        both = both.unionByName(docs.documents().select("g", F.lit(0).alias("kind"), "at", "doc_id", none["term"], none["doc"], none["v"]))
+    return both.repartitionById(docs.blocks, F.col("g")).sortWithinPartitions("g", "kind", "at").mapInArrow(run, schema)
+
+
+def _segment(entries: list[np.ndarray], block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of a term block: its terms, their numbers among these, documents, values."""
+    term, doc, value = entries
+    lo, hi = np.searchsorted(term, [block * TERM_BLOCK, (block + 1) * TERM_BLOCK])
+    new = np.diff(term[lo:hi], prepend=-1) != 0
+    return term[lo:hi][new] % TERM_BLOCK, np.cumsum(new) - 1, doc[lo:hi], value[lo:hi]
+
+
+def _sparse_times(row: np.ndarray, column: np.ndarray, value: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that occur in a sparse matrix and their products with a dense one: through a small dense matrix where
+    that is not much larger than the entries, else entry by entry."""
+    rows, at = np.unique(row, return_inverse=True)
+    if len(rows) * len(other) <= DENSE_FACTOR * len(value):
+        small = np.zeros((len(rows), len(other)), other.dtype)
+        small[at, column] = value
+        return rows, small @ other
+    order = np.argsort(at, kind="stable")
+    starts = np.searchsorted(at[order], np.arange(len(rows)))
+    return rows, np.add.reduceat(value[order, None] * other[column[order]], starts, axis=0)
+
+
+def _add_product(y: np.ndarray, entries: list[np.ndarray], block: int, rows: np.ndarray) -> None:
+    _, local, doc, value = _segment(entries, block)
+    docs, sums = _sparse_times(doc, local, value, rows)
+    y[docs] += sums
+
+
+def _transposed_product(y: np.ndarray, entries: list[np.ndarray], block: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, local, doc, value = _segment(entries, block)
+    docs, at = np.unique(doc, return_inverse=True)
+    return ids.astype(np.uint8), _sparse_times(local, at, value, y[docs])[1]
+
+
+def _gram_times(docs: DocumentBlocks, basis: Basis, terms: int, wire: type) -> DataFrame:
+    """A'(A Q) as blocks of the kind `wire`, with the triangles of the tasks' rows: a written table (block, v, r)."""
+    width = basis.width
+
+    def give(y, entries, _):
+        blocks = np.unique(entries[0] // TERM_BLOCK).tolist()
+        for at in range(0, len(blocks), 64):
+            some = blocks[at: at + 64]
+            ids, parts = zip(*(_transposed_product(y, entries, block) for block in some))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), _bytes(ids), _bytes(parts)], names=["block", "ids", "v"])
+
+    def add(batches):
+        def blocks():
+            now, total = None, None
+            for batch in batches:
+                for block, ids, v in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                    if block != now:
+                        if now is not None:
+                            yield now, total
+                        now, total = block, np.zeros((min(TERM_BLOCK, terms - block * TERM_BLOCK), width), wire)
+                    total[np.frombuffer(ids.as_py(), np.uint8)] += _matrix(v.as_py(), width, wire)
+            if now is not None:
+                yield now, total
+
+        yield from _with_triangles(blocks(), width)
+
+    parts = _over_blocks(docs, basis, give, "block int, ids binary, v binary", wire)
+    return written(parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, SUMS))
+
+
+def _products(docs: DocumentBlocks, basis: Basis) -> DataFrame:
+    """(doc_id, y): the rows of A Q, for documents with entries; packed doubles."""
+    def give(y, _, ids):
+        ids = pa.chunked_array(ids).combine_chunks()
+        ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+        for at in range(0, len(y), 4096):
+            yield pa.RecordBatch.from_arrays([ids.slice(at, min(4096, len(y) - at)), kernels.packed_column(y[at: at + 4096])], names=["doc_id", "y"])
+
+    return _over_blocks(docs, basis, give, f"doc_id {docs.id_type}, y binary", with_ids=True)
+
+
+def _gram_within(products: DataFrame, width: int) -> np.ndarray:
+    """Y'Y of the rows of a written table (doc_id, y)."""
+    def run(batches):
+        total = np.zeros((width, width))
+        for batch in batches:
+            if batch.num_rows:
+                y = kernels.unpacked(batch.column(0))
+                total += y.T @ y
+        yield pa.RecordBatch.from_arrays([_bytes([total])], names=["v"])
+
+    small = _in_tree(written(products.select("y").mapInArrow(run, "v binary")), np.add.reduce, width)
+    return np.zeros((width, width)) if small is None else small
+
+
+def _embedded(products: DataFrame, turn: np.ndarray, id_type: str, documents: DataFrame) -> DataFrame:
+    """(doc_id, embedding): the rows times a matrix; documents without a row get zeros."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), kernels.list_column(kernels.unpacked(batch.column(1)) @ turn, pa.float64())], names=["doc_id", "embedding"])
+
+    known = products.mapInArrow(run, f"doc_id {id_type}, embedding array<double>")
     return documents.select("doc_id").join(known, "doc_id", "left").select(
-        "doc_id", F.coalesce("embedding", zero).alias("embedding")
-    )
+        "doc_id", F.coalesce("embedding", F.array_repeat(F.lit(0.0), turn.shape[1])).alias("embedding"))
+
+
+def _signs(basis: Basis, turn: np.ndarray) -> np.ndarray:
+    """The sign of the entry of largest magnitude of every column of the basis times a matrix; of equal ones the first term's."""
+    turn, kind = basis.turn @ turn, basis.kind
+
+    def run(batches):
+        top, at, sign = np.full(turn.shape[1], -1.0), np.zeros(turn.shape[1], np.int64), np.ones(turn.shape[1])
+        for batch in batches:
+            for block, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = _matrix(v.as_py(), len(turn), kind) @ turn
+                place = np.abs(rows).argmax(axis=0)
+                value, term = rows[place, np.arange(rows.shape[1])], block * TERM_BLOCK + place
+                better = (np.abs(value) > top) | ((np.abs(value) == top) & (term < at))
+                top[better], at[better], sign[better] = np.abs(value)[better], term[better], np.where(value < 0, -1.0, 1.0)[better]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(top), dtype=np.int32)), pa.array(top), pa.array(-at), pa.array(sign)], names=["c", "top", "at", "sign"])
+
+    found = basis.blocks.mapInArrow(run, "c int, top double, at bigint, sign double")
+    best = found.groupBy("c").agg(F.max(F.struct("top", "at", "sign")).alias("best")).select("c", "best.sign").collect()  # a row for each column
+    out = np.ones(turn.shape[1])
+    for c, sign in best:
+        out[c] = sign
+    return out
+
+
+def _fit(docs: DocumentBlocks, terms: list[str], k: int, seed: int, power_steps: int, oversamples: int, exact_steps: int) -> tuple[LsiModel, DataFrame | None, np.ndarray]:
+    """The model, the written products of the documents with the last basis, and the matrix from these to embeddings."""
+    spark, width = docs.table.sparkSession, min(k + oversamples, len(terms))
+    if not width:
+        return LsiModel(terms, spark.createDataFrame([], BASIS), np.zeros(k)), None, np.zeros((0, k))
+    basis = _orthonormal(_start(spark, len(terms), width, seed), width)
+    for step in range(power_steps):
+        wire = np.float32 if step < power_steps - exact_steps else np.float64
+        sums = _gram_times(docs, basis, len(terms), wire)
+        if sums.isEmpty():  # no document has a term
+            break
+        basis = _orthonormal(sums, basis.width, wire)
+    products = written(_products(docs, basis))
+    values, spin = np.linalg.eigh(_gram_within(products, basis.width))
+    order = np.argsort(-values)[:k]
+    turn = spin[:, order] * _signs(basis, spin[:, order])
+    missing = k - len(order)  # a corpus of lower rank: directions without weight
+    turn = np.hstack([turn, np.zeros((len(turn), missing))])
+    singular = np.append(np.sqrt(np.maximum(values[order], 0)), np.zeros(missing))
+    return LsiModel(terms, _turned(basis, turn), singular), products, turn
+
+
+def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, power_steps: int = 5, oversamples: int = OVERSAMPLES, exact_steps: int = 0) -> LsiModel:
+    """Randomized range finder on the term side, then a small eigenproblem. One pass over the documents per step and half a
+    one at the end; the last `exact_steps` steps send doubles, the others single precision."""
+    return _fit(document_blocks(rows), terms, k, seed, power_steps, oversamples, exact_steps)[0]
+
+
+def project(rows: DataFrame, model: LsiModel, documents: DataFrame) -> DataFrame:
+    """(doc_id, embedding) for every document; one without known terms is the zero vector."""
+    docs = document_blocks(rows)
+    return _embedded(_products(docs, Basis(model.directions, np.float64, np.eye(model.k))), np.eye(model.k), docs.id_type, documents)
 
 
 def lsi_embed(
-    rows: DataFrame, terms: list[str], documents: DataFrame, k: int = 200, seed: int = 42, power_steps: int = 5
+    rows: DataFrame, terms: list[str], documents: DataFrame, k: int = 200, seed: int = 42, power_steps: int = 5, oversamples: int = OVERSAMPLES,
+    exact_steps: int = 0,
 ) -> tuple[DataFrame, LsiModel]:
     """Embeddings of all documents and the fitted model, from sparse TF-IDF rows."""
-    rows = spread(written(rows), "doc_id")
-    model = fit_lsi(rows, terms, k, seed, power_steps)
-    return project(rows, model, documents), model
+    docs = document_blocks(written(rows))
+    model, products, turn = _fit(docs, terms, k, seed, power_steps, oversamples, exact_steps)
+    if products is None:
+        return documents.select("doc_id", F.array_repeat(F.lit(0.0), k).alias("embedding")), model
+    return _embedded(products, turn, docs.id_type, documents), model
 
 
 def embed_texts(tokens: DataFrame, vocab: DataFrame, n_docs: int, model: LsiModel) -> DataFrame:
@@ -145,19 +479,33 @@ def embed_texts(tokens: DataFrame, vocab: DataFrame, n_docs: int, model: LsiMode
     rows, names = tfidf_rows(tokens, vocab, n_docs)
     if names != model.terms:
         raise ValueError("the vocabulary is not the one the model was fitted on")
-    return project(rows, model, tokens)
+    return project(written(rows), model, tokens)
+
+
+def direction_rows(model: LsiModel) -> DataFrame:
+    """(at, direction): a row for each term in index order."""
+    width = model.k
+
+    def run(batches):
+        for batch in batches:
+            for block, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = _matrix(v.as_py(), width)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block * TERM_BLOCK + np.arange(len(rows), dtype=np.int64)), kernels.list_column(rows, pa.float64())], names=["at", "direction"])
+
+    return model.directions.mapInArrow(run, "at bigint, direction array<double>")
 
 
 def save_model(spark: SparkSession, model: LsiModel, path: str) -> None:
-    """The model as two tables: a row for each term, and the singular values."""
-    rows = pa.table({"at": np.arange(len(model.terms)), "term": model.terms,
-                     "direction": kernels.list_column(model.directions, pa.float64())})
-    spark.createDataFrame(rows).write.mode("overwrite").parquet(f"{path}/terms")
-    spark.createDataFrame(pa.table({"at": np.arange(len(model.singular_values)), "value": model.singular_values})).write.mode("overwrite").parquet(f"{path}/values")
+    """The model as three tables: a row for each term, the blocks of directions, and the singular values."""
+    names = spark.createDataFrame(pa.table({"at": np.arange(len(model.terms)), "term": model.terms}))
+    names.write.mode("overwrite").parquet(f"{path}/terms")
+    model.directions.write.mode("overwrite").parquet(f"{path}/directions")
+    spark.createDataFrame(pa.table({"at": np.arange(model.k), "value": model.singular_values})).write.mode("overwrite").parquet(f"{path}/values")
 
 
 def load_model(spark: SparkSession, path: str) -> LsiModel:
-    """A saved model; its size was bounded when it was fitted."""
-    rows = spark.read.parquet(f"{path}/terms").orderBy("at").toArrow()
+    """A saved model; its terms were bounded when it was fitted."""
+    names = spark.read.parquet(f"{path}/terms").orderBy("at").toArrow().column("term").to_pylist()
     values = spark.read.parquet(f"{path}/values").orderBy("at").toArrow().column("value").to_numpy()
-    return LsiModel(rows.column("term").to_pylist(), kernels.matrix(rows.column("direction")), values)
+    return LsiModel(names, spark.read.parquet(f"{path}/directions"), values)

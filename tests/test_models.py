@@ -46,6 +46,66 @@ def test_lsi_does_not_depend_on_partitions(spark, documents):
     assert one.singular_values == pytest.approx(many.singular_values, rel=1e-9)
 
 
+def test_lsi_does_not_depend_on_the_limits(spark, documents, monkeypatch):
+    """Many small blocks and trees of several levels give the same vectors."""
+    rows, names, _, _ = small_matrix(spark, documents)
+    rows = lsi.written(rows)
+    plain = lsi.fit_lsi(rows, names, 4, power_steps=12, exact_steps=6)
+    for name, value in {"BLOCK_ENTRIES": 300, "PART_ENTRIES": 50, "FAN_IN": 2}.items():
+        monkeypatch.setattr(lsi, name, value)
+    other = lsi.fit_lsi(rows, names, 4, power_steps=12, exact_steps=6)
+    assert plain.singular_values == pytest.approx(other.singular_values, rel=1e-9)
+    got = np.array([r["direction"] for r in lsi.direction_rows(other).orderBy("at").collect()])
+    monkeypatch.undo()
+    expected = np.array([r["direction"] for r in lsi.direction_rows(plain).orderBy("at").collect()])
+    assert got.shape == (len(names), 4) and np.abs(got - expected).max() < 1e-6
+    assert np.abs(got.T @ got - np.eye(4)).max() < 1e-9
+
+
+@pytest.mark.parametrize("factor", [0, 1000])
+def test_sparse_products_small_and_entry_by_entry(monkeypatch, factor):
+    monkeypatch.setattr(lsi, "DENSE_FACTOR", factor)
+    rng = np.random.default_rng(1)
+    dense = np.where(rng.random((40, 12)) < 0.1, rng.normal(size=(40, 12)), 0.0)
+    (row, column), other = np.nonzero(dense), rng.normal(size=(12, 5))
+    order = rng.permutation(len(row))
+    rows, product = lsi._sparse_times(row[order], column[order], dense[row, column][order], other)
+    assert rows.tolist() == sorted(set(row.tolist())) and np.allclose(product, (dense @ other)[rows])
+
+
+def test_lsi_of_lower_rank_than_asked(spark):
+    docs = spark.createDataFrame([(1, "cat dog"), (2, "cat dog"), (3, "bird fish snake"), (4, "")], "doc_id bigint, text string")
+    rows, names, _, dense = small_matrix(spark, docs)
+    embedded, model = lsi.lsi_embed(rows, names, docs, 4)
+    size = np.linalg.svd(dense, compute_uv=False)
+    assert model.singular_values == pytest.approx([size[0], size[1], 0, 0], abs=1e-9)
+    got = np.array([r["embedding"] for r in embedded.orderBy("doc_id").collect()])
+    assert got.shape == (4, 4) and got @ got.T == pytest.approx(np.vstack([dense @ dense.T]), abs=1e-9)
+
+
+def test_lsi_without_terms(spark):
+    docs = spark.createDataFrame([(1, ""), (2, None)], "doc_id bigint, text string")
+    rows, names, _, _ = small_matrix(spark, docs)
+    embedded, model = lsi.lsi_embed(rows, names, docs, 3)
+    assert names == [] and [r["embedding"] for r in embedded.collect()] == [[0.0] * 3] * 2 and not model.singular_values.any()
+
+
+def test_orthonormal_columns_of_a_table(spark):
+    """Nearly dependent columns: measured twice, and what is dependent is dropped."""
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=(300, 5)) @ np.diag([1, 1, 1e-7, 1, 1])
+    dense[:, 4] = dense[:, 0] + dense[:, 1]
+
+    def blocks(batches):
+        yield from lsi._with_triangles(((b, dense[b * 128: (b + 1) * 128]) for batch in batches for b in batch.column(0).to_pylist()), 5)
+
+    sums = lsi.written(spark.range(3, numPartitions=2).selectExpr("cast(id as int) as block").mapInArrow(blocks, lsi.SUMS))
+    basis = lsi._orthonormal(sums, 5)
+    rows = {r.block: np.frombuffer(r.v).reshape(-1, 4) for r in lsi._turned(basis, np.eye(basis.width)).collect()}
+    whole = np.concatenate([rows[b] for b in range(3)])
+    assert basis.width == 4 and np.abs(whole.T @ whole - np.eye(4)).max() < 1e-12
+
+
 def pooled(spark, rows, pool):
     tokens = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
     vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "word string, vector array<double>")
