@@ -290,6 +290,25 @@ def pq_train(spark, sf_dir):
     return codebooks(spark, sf_dir).select("m", "code", rounded_list("centroid"))
 
 
+def best_codebooks(spark, sf_dir) -> DataFrame:
+    return pq.train_codebooks(vectors(spark, sf_dir), S.PQ_M, S.PQ_KS, S.ROUNDS, starts=S.PQ_STARTS)
+
+
+@query
+def pq_train_best(spark, sf_dir):
+    """Of several starts the one with the least inertia, for each sub-space."""
+    return best_codebooks(spark, sf_dir).select("m", "code", rounded_list("centroid"))
+
+
+@query
+def pq_inertia(spark, sf_dir):
+    """Inertia of the codebooks of one start and of the best of several."""
+    table = vectors(spark, sf_dir)
+    made = {1: written(codebooks(spark, sf_dir)), S.PQ_STARTS: written(best_codebooks(spark, sf_dir))}
+    tagged = [pq.codebook_inertia(table, books).withColumn("starts", F.lit(n)) for n, books in made.items()]
+    return rounded(union_by_name(tagged), "inertia")
+
+
 @query
 def pq_encode(spark, sf_dir):
     return pq.encode(vectors(spark, sf_dir), codebooks(spark, sf_dir))

@@ -186,14 +186,15 @@ def nearest(name: str, sub: str, centres: str) -> str:
   FROM {sub} s JOIN {centres} c USING (m))) WHERE d <= low + 1e-9 * size GROUP BY doc_id, m)"""
 
 
-def kmeans(prefix: str, table: str, m: int, ks: int, rounds: int) -> list[str]:
-    """Parts up to <prefix>_c (m, code, c) and <prefix>_sub (doc_id, m, x)."""
+def kmeans(prefix: str, table: str, m: int, ks: int, rounds: int, start: int = 0) -> list[str]:
+    """Parts up to <prefix>_c (m, code, c) and <prefix>_sub (doc_id, m, x). Every start has its own order of ids."""
+    first = md5_order("doc_id") if start == 0 else f"md5('{start}:' || doc_id), doc_id"
     width = S.DIM // m
     sub = f"{prefix}_sub"
     parts = [
         f"{sub} AS (SELECT doc_id, m::INTEGER AS m, v[m * {width} + 1:(m + 1) * {width}] AS x FROM {table}, range({m}) r(m))",
         f"""{prefix}_c0 AS (SELECT m, code, x AS c FROM {sub} JOIN (SELECT doc_id,
-  (row_number() OVER (ORDER BY {md5_order('doc_id')}) - 1)::INTEGER AS code FROM {table}) USING (doc_id) WHERE code < {ks})""",
+  (row_number() OVER (ORDER BY {first}) - 1)::INTEGER AS code FROM {table}) USING (doc_id) WHERE code < {ks})""",
     ]
     for i in range(rounds):
         old, new = f"{prefix}_c{i}", f"{prefix}_c{i + 1}" if i + 1 < rounds else f"{prefix}_c"
@@ -207,6 +208,21 @@ def kmeans(prefix: str, table: str, m: int, ks: int, rounds: int) -> list[str]:
 
 
 PQ_BOOKS = [VEC, *kmeans("pq", "vec", S.PQ_M, S.PQ_KS, S.ROUNDS)]
+
+
+def inertia(name: str, sub: str, centres: str) -> str:
+    return f"""{name} AS (SELECT m, sum(d) AS inertia FROM (SELECT s.doc_id, s.m, min(list_distance(s.x, c.c) ** 2) AS d
+  FROM {sub} s JOIN {centres} c USING (m) GROUP BY s.doc_id, s.m) GROUP BY m)"""
+
+
+STARTS = range(S.PQ_STARTS)
+PQ_BEST = [
+    VEC, *[part for i in STARTS for part in kmeans(f"pq{i}", "vec", S.PQ_M, S.PQ_KS, S.ROUNDS, i)],
+    *[inertia(f"pq{i}_far", f"pq{i}_sub", f"pq{i}_c") for i in STARTS],
+    "pq_starts AS (" + " UNION ALL ".join(f"SELECT {i} AS start, * FROM pq{i}_far" for i in STARTS) + ")",
+    "pq_least AS (SELECT * FROM pq_starts QUALIFY row_number() OVER (PARTITION BY m ORDER BY inertia, start) = 1)",
+    "pq_best AS (" + " UNION ALL ".join(f"SELECT c.* FROM pq{i}_c c JOIN pq_least USING (m) WHERE start = {i}" for i in STARTS) + ")",
+]
 PQ_CODES = [*PQ_BOOKS, nearest("pq_code", "pq_sub", "pq_c")]
 PQ_TABLE = [VEC_SAMPLE, """pq_far AS (SELECT s.doc_id AS qid, m, code, list_distance(x, c) ** 2 AS d
   FROM pq_sub s JOIN pq_c USING (m) WHERE s.doc_id IN (SELECT qid FROM vec_sample))"""]
@@ -349,6 +365,9 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "pq_subvectors": select([VEC], f"""SELECT doc_id, m::INTEGER AS m, {round_list(f'v[m * {S.DIM // S.PQ_M} + 1:(m + 1) * {S.DIM // S.PQ_M}]')} AS part
   FROM vec, range({S.PQ_M}) r(m)"""),
         "pq_train": select(PQ_BOOKS, f"SELECT m, code, {round_list('c')} AS centroid FROM pq_c"),
+        "pq_train_best": select(PQ_BEST, f"SELECT m, code, {round_list('c')} AS centroid FROM pq_best"),
+        "pq_inertia": select(PQ_BEST, f"""SELECT m, round(inertia, 6) AS inertia, 1::INTEGER AS starts FROM pq0_far
+  UNION ALL SELECT m, round(inertia, 6), {S.PQ_STARTS}::INTEGER FROM pq_least"""),
         "pq_encode": select(PQ_CODES, "SELECT doc_id, list(code ORDER BY m) AS codes FROM pq_code GROUP BY doc_id"),
         "pq_encode_small": select([SMALL_VEC, *PQ_CODES[1:]], "SELECT doc_id, list(code ORDER BY m) AS codes FROM pq_code GROUP BY doc_id"),
         "inner_product_topk_raw": select([SMALL_VEC, VEC_SAMPLE, vector_topk("raw_found", "vec", "list_dot_product(a.v, b.v)")],

@@ -19,6 +19,7 @@ SIGNATURE_BITS = 128
 N_BITS = 16
 PQ_M = 8
 PQ_KS = 256
+PQ_STARTS = 3
 CELLS = 16
 NPROBE = 4
 ROUNDS = 5

@@ -138,9 +138,40 @@ def hyperplanes(n_bits: int, dim: int, seed: int = 42) -> np.ndarray:
 
 def nearest_centre(block: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Number of the nearest centre; the lowest one within the tie width, which grows with the vectors."""
-    scale = (block * block).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :]
-    distance = scale - 2.0 * (block @ centres.T)
-    return np.argmax(distance <= distance.min(axis=1, keepdims=True) + TIE * scale, axis=1)
+    return nearest_with_distance(block, centres)[0]
+
+
+def nearest_with_distance(block: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest centre and the squared distance of the nearest one, through one matrix that is changed in place."""
+    lengths, sizes = np.einsum("ij,ij->i", block, block), np.einsum("ij,ij->i", centres, centres)
+    apart = block @ (-2.0 * centres.T)
+    apart += sizes  # the squared distance without the row's own length
+    least = apart.min(axis=1)
+    apart -= TIE * sizes
+    return np.argmax(apart <= (least + TIE * lengths)[:, None], axis=1), np.maximum(least + lengths, 0.0)
+
+
+def sums_by_code(rows: np.ndarray, code: np.ndarray, codes: int) -> np.ndarray:
+    """How many rows have each code, and the sum of these rows: an array (codes, 1 + width)."""
+    out = np.zeros((codes, 1 + rows.shape[1]))
+    order = np.argsort(code, kind="stable")
+    first = np.flatnonzero(np.diff(code[order], prepend=-1))
+    there = code[order][first]
+    out[there, 0] = np.diff(np.append(first, len(order)))
+    if len(there):
+        out[there, 1:] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+def uniform(number: np.ndarray, *salt: int) -> np.ndarray:
+    """A number in [0, 1) for each 64-bit number, the same on any partitioning."""
+    x = number.view(np.uint64).copy()
+    for value in (0, *salt):
+        x += np.uint64(0x9E3779B97F4A7C15 * (value + 1) % 2**64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
 def nearest_codes(vectors: np.ndarray, codebooks: np.ndarray) -> np.ndarray:

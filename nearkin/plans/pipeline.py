@@ -30,7 +30,10 @@ class PipelineConfig:
     max_features: int = 50_000
     pq_m: int = 8
     pq_ks: int = 256
-    pq_rounds: int = 5
+    pq_rounds: int = 10
+    pq_starts: int = 3
+    pq_seeding: str = "distance"
+    pq_tolerance: float | None = 0.005
     pq_normalize: bool = False
     num_perm: int = 128
     threshold: float = 0.8
@@ -81,7 +84,9 @@ def run_pipeline(
     # product quantization
     unit = l2_normalize(F.col("vector")).alias("vector")
     plain = vectors.select("doc_id", unit) if c.pq_normalize else vectors
-    write_table(pq.train_codebooks(plain, c.pq_m, c.pq_ks, c.pq_rounds), "codebooks", f"{out}/codebooks")
+    books = pq.train_codebooks(
+        plain, c.pq_m, c.pq_ks, c.pq_rounds, c.pq_starts, c.pq_seeding, c.pq_tolerance, reseed=True)
+    write_table(books, "codebooks", f"{out}/codebooks")
     codebooks = read_table(spark, "codebooks", f"{out}/codebooks")
     write_table(pq.encode(plain, codebooks), "codes", f"{out}/codes")
     codes = read_table(spark, "codes", f"{out}/codes")
