@@ -15,6 +15,8 @@ SHINGLE_BASE = 1_000_003  # multiplier that folds the words of a shingle into on
 TIE = 1e-9  # numbers closer than this, in proportion to what they are made of, count as equal
 TIE_DIGITS = 9  # scores that agree to so many significant digits count as equal
 UNROLLED = 2_000_000
+DENSE_GAIN = 300  # a word goes into the matrix product if at least one in so many pairs shares it
+DENSE_WORDS = 2_048
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype=np.float64) -> np.ndarray:
@@ -233,7 +235,8 @@ class CodeDistanceScorer:
 
 
 class JaccardScorer:
-    """Jaccard similarity of sets of words, through the lists of queries that hold a word."""
+    """Jaccard similarity of sets of words. Shared words are counted in two ways: those that many queries and many rows have
+    by a matrix product of zeros and ones, all others through the lists of queries that hold a word."""
 
     digits = None  # a division of two counts is the same number everywhere
 
@@ -247,13 +250,31 @@ class JaccardScorer:
         self.counts = np.bincount(word, minlength=len(self.words))
         self.begins = np.cumsum(self.counts) - self.counts
 
+    def _by_product(self, row: np.ndarray, word: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shared words among the frequent ones (queries x rows), and which words these are."""
+        queries = len(self.sizes)
+        meetings = self.counts * np.bincount(word, minlength=len(self.counts))
+        frequent = np.flatnonzero(meetings * DENSE_GAIN >= max(queries * rows, 1))
+        frequent = frequent[np.argsort(-meetings[frequent], kind="stable")[:DENSE_WORDS]]
+        column = np.full(len(self.counts), -1)
+        column[frequent] = np.arange(len(frequent))
+        ours, theirs = (np.zeros((n, len(frequent)), np.float32) for n in (queries, rows))
+        within = np.arange(self.counts[frequent].sum()) - np.repeat(np.cumsum(self.counts[frequent]) - self.counts[frequent], self.counts[frequent])
+        held = np.repeat(self.begins[frequent], self.counts[frequent]) + within
+        ours[self.holders[held], np.repeat(np.arange(len(frequent)), self.counts[frequent])] = 1
+        hit = column[word] >= 0
+        theirs[row[hit], column[word[hit]]] = 1
+        return (ours @ theirs.T).astype(np.float64), column >= 0  # counts far below 2**24 are exact
+
     def __call__(self, corpus: pa.Array) -> np.ndarray:
         sizes = np.diff(np.asarray(corpus.offsets)).astype(np.int64)
         found = pc.index_in(corpus.flatten(), value_set=self.words)
         hit = found.is_valid().to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(sizes)), sizes)[hit]
         word = found.drop_null().to_numpy()
-        shared = np.zeros(len(self.sizes) * len(sizes))
+        shared, dense = self._by_product(row, word, len(sizes))
+        shared = shared.ravel()
+        row, word = row[~dense[word]], word[~dense[word]]
         lists = np.cumsum(self.counts[word]) if len(word) else np.zeros(0, np.int64)
         # list entries are unrolled some millions at a time
         cuts = np.searchsorted(lists, np.arange(1, lists[-1] // UNROLLED + 1) * UNROLLED) if len(lists) else []
@@ -263,7 +284,7 @@ class JaccardScorer:
             query = self.holders[np.repeat(self.begins[word[piece]], count) + within]
             shared += np.bincount(query * len(sizes) + np.repeat(row[piece], count), minlength=len(shared))
         shared = shared.reshape(len(self.sizes), len(sizes))
-        union = self.sizes[:, None] + sizes[None, :] - shared
+        union = (self.sizes[:, None] + sizes[None, :]) - shared
         return np.divide(shared, union, out=np.zeros_like(union), where=union > 0)
 
 

@@ -262,3 +262,21 @@ def test_what_is_not_a_number_takes_no_place(spark):
     found = search.inner_product_topk(df, queries, 5).orderBy("rank").collect()
     assert [r["doc_id"] for r in found] == [7, 6, 5, 4, 3]
     assert hyperplane.hyperplane_signatures(df, 8).count() == 13
+
+
+@pytest.mark.parametrize("gain, words_", [(0, 0), (1, 3), (10**9, 2_048)])
+def test_shared_words_by_product_and_by_lists_are_the_same(monkeypatch, gain, words_):
+    import pyarrow as pa
+
+    from nearkin.functions import kernels
+
+    monkeypatch.setattr(kernels, "DENSE_GAIN", gain)
+    monkeypatch.setattr(kernels, "DENSE_WORDS", words_)
+    rng = np.random.default_rng(5)
+    sets = [sorted({f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 40)) if x < 60}) for _ in range(70)]
+    asked, corpus = pa.array(sets[:30], pa.list_(pa.string())), pa.array(sets[20:], pa.list_(pa.string()))
+    scores = kernels.JaccardScorer(asked)(corpus)
+    for i, a in enumerate(sets[:30]):
+        for j, b in enumerate(sets[20:]):
+            union = len(set(a) | set(b))
+            assert scores[i, j] == (len(set(a) & set(b)) / union if union else 0.0)
