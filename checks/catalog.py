@@ -356,6 +356,18 @@ def merge_csv(spark, sf_dir):
     return read_merged(spark, f"{folder}/*/*.csv", f"{folder}/merged")
 
 
+@query
+def merge_csv_quoted(spark, sf_dir):
+    """The same with column names that hold line breaks, commas and quotes; two headers agree in their first line."""
+    folder = f"{scratch_folder(spark)}/csv-{uuid.uuid4().hex}"
+    names = {"id\nof item": "item_id", "id\nof doc": "doc_id", 'id, "page"': "page_id"}
+    parts = {"items": ("benchmark", "item_id", "text"), "labels": ("labels", "doc_id", "quality"), "pages": ("pages", "page_id", "url")}
+    for (name, (source, key, value)), odd in zip(parts.items(), names):
+        write_csv(spark.read.parquet(f"{sf_dir}/{source}.parquet").select(F.col(key).alias(odd), value), f"{folder}/{name}")
+    merged = read_merged(spark, f"{folder}/*/*.csv")
+    return merged.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in merged.columns])
+
+
 @query
 def pq_topk(spark, sf_dir):
     return rounded(pq_answers(spark, sf_dir), "score")

@@ -320,6 +320,9 @@ def oracles() -> dict[str, str]:
   UNION ALL SELECT NULL, html, NULL, NULL, page_id, url FROM pages""",
         "merge_csv": """SELECT item_id::VARCHAR AS item_id, text, NULL::VARCHAR AS doc_id, NULL::VARCHAR AS quality, NULL::VARCHAR AS toxic
   FROM benchmark UNION ALL SELECT NULL, NULL, doc_id::VARCHAR, quality::VARCHAR, toxic::VARCHAR FROM labels""",
+        "merge_csv_quoted": """SELECT item_id::VARCHAR AS item_id, text, NULL::VARCHAR AS doc_id, NULL::VARCHAR AS quality, NULL::VARCHAR AS page_id,
+  NULL::VARCHAR AS url FROM benchmark UNION ALL SELECT NULL, NULL, doc_id::VARCHAR, quality::VARCHAR, NULL, NULL FROM labels
+  UNION ALL SELECT NULL, NULL, NULL, NULL, page_id::VARCHAR, url FROM pages""",
         "tokenize": select([TOK], "SELECT * FROM tok"),
         "joined_text": select([TOK], "SELECT doc_id, array_to_string(tokens, ' ') AS joined FROM tok"),
         "first_n_docs": select([TOK], f"SELECT * FROM tok ORDER BY doc_id LIMIT {S.MAX_DOCS}"),

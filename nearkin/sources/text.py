@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import functools
+from concurrent.futures import ThreadPoolExecutor
+from io import TextIOWrapper
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +18,9 @@ MISSING = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+HEAD_BYTES = 1 << 16
+PATHS_AT_ONCE = 16
+
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     missing = [n for n in names if n not in df.columns]
@@ -41,8 +49,9 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 def merge_csv(spark: SparkSession, pattern: str, target: str | None = None, **options) -> DataFrame:
     """Unites all CSV files that match a path pattern, leaving out the file or folder `target`.
 
-    `target` is a path; a relative one also names what ends in all of its parts. Files with the same header line are
-    read together, so the plan has one branch for each header and not for each file.
+    `target` is a path; a relative one also names what ends in all of its parts. Files with the same header are
+    read together, so the plan has one branch for each header and not for each file. Of every file the first record is read
+    to sort the files by it, and then the whole file once.
     """
     listed = spark.read.format("binaryFile").load(pattern).select("path")
     if target:
@@ -53,18 +62,40 @@ def merge_csv(spark: SparkSession, pattern: str, target: str | None = None, **op
         named = F.array(*[F.lit(x) for x in parts])
         absolute = target.startswith("/") or "://" in target
         listed = listed.where(F.slice(own, 1, n) != named if absolute else ~F.exists(at, lambda x: x == named))
-    first = spark.read.text(pattern, wholetext=False).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
-        F.monotonically_increasing_id().alias("line"))
-    headers = first.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    key = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    path_key = F.regexp_replace(F.col("path"), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    groups = listed.join(headers.select(key.alias("key"), "header"), path_key == F.col("key"), "left") \
-        .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    rows = sorted(groups.collect(), key=lambda row: row["paths"][0])  # file names, by header
-    if not rows:
+    headers = headers_of(listed)
+    rows = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()  # file names, by header
+    found = [(row["header"], row["paths"]) for row in rows if row["header"] is not None]
+    unread = [path for row in rows if row["header"] is None for path in row["paths"]]
+    with ThreadPoolExecutor(PATHS_AT_ONCE) as pool:  # in stores that only Spark reads, Spark looks at the heads one by one
+        heads = list(pool.map(lambda path: spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns, unread))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, paths in [*found, *((head, [path]) for head, path in zip(heads, unread))]:
+        groups.setdefault(tuple(header), []).extend(paths)
+    if not groups:
         raise FileNotFoundError(f"no CSV files match {pattern}")
-    return union_by_name([read_csv(spark, row["paths"], **options) for row in rows])
+    return union_by_name([read_csv(spark, sorted(paths), **options) for paths in sorted(groups.values(), key=min)])
+
+
+def headers_of(files: DataFrame) -> DataFrame:
+    """(path, header): the first record of each CSV file, parsed as CSV: a name may hold commas, quotes and line breaks.
+
+    Tasks open the files and read no further than that record. Null where a file is in a store that only Spark reads.
+    """
+    def read(batches):
+        for batch in batches:
+            headers = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    store, name = FileSystem.from_uri(path)
+                except (pa.ArrowException, ValueError, OSError):
+                    headers.append(None)
+                    continue
+                with TextIOWrapper(store.open_input_stream(name, buffer_size=HEAD_BYTES), "utf-8-sig", newline="") as head:
+                    headers.append(next((record for record in csv.reader(head) if record), []))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(headers, pa.list_(pa.string()))], names=["path", "header"])
+
+    parts = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").repartition(parts, "path").mapInArrow(read, "path string, header array<string>")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -38,6 +38,30 @@ def test_many_files_make_few_branches(spark, tmp_path):
     assert merged._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
 
 
+def test_headers_are_parsed_as_csv(spark, tmp_path):
+    """Names that hold line breaks, commas and quotes, a mark in front, empty files, and the same header in two spellings."""
+    (tmp_path / "1.csv").write_text('"x\ny",p\n1,2\n')
+    (tmp_path / "2.csv").write_text('"x\nz",p\n3,4\n')
+    (tmp_path / "3.csv").write_text('"a, ""b""",p\n5,6\n"q\nr",7\n')
+    (tmp_path / "4.csv").write_bytes('\ufeff"x\ny","p"\n8,9\n'.encode())
+    (tmp_path / "5.csv").write_text("")
+    merged = text.merge_csv(spark, f"{tmp_path}/*.csv")
+    assert merged.columns == ["x\ny", "p", "x\nz", 'a, "b"']
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted([
+        ("1", "2", None, None), ("8", "9", None, None), (None, "4", "3", None), (None, "6", None, "5"), (None, "7", None, "q\nr")], key=repr)
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 4
+
+
+def test_headers_in_a_store_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    (tmp_path / "1.csv").write_text('"x\ny",p\n1,2\n')
+    (tmp_path / "2.csv").write_text('"x\nz",p\n3,4\n')
+    monkeypatch.setattr(text, "headers_of", lambda files: files.select("path", F.lit(None).cast("array<string>").alias("header")))
+    merged = text.merge_csv(spark, f"{tmp_path}/*.csv")
+    assert merged.columns == ["x\ny", "p", "x\nz"] and merged.count() == 2
+
+
 def test_text_column_is_required(spark, tmp_path):
     (tmp_path / "x.csv").write_text("id,body\n7,hello\n")
     with pytest.raises(ValueError, match="plot.*available.*body"):
