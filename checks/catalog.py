@@ -278,6 +278,14 @@ def hyperplane_topk(spark, sf_dir):
     return rounded(found, "score")
 
 
+@query
+def hyperplane_topk_wide(spark, sf_dir):
+    """The same with few planes: large buckets, so that nearly every query has its k rows."""
+    table, asked = vectors(spark, sf_dir), rows_of(vectors(spark, sf_dir), vector_sample(spark, sf_dir))
+    signed, queries = (hyperplane.hyperplane_signatures(df, S.WIDE_BITS) for df in (table, asked))
+    return rounded(hyperplane.hyperplane_topk(signed, as_queries(queries), S.K), "score")
+
+
 @query
 def pq_subvectors(spark, sf_dir):
     table = vectors(spark, sf_dir)
@@ -524,6 +532,14 @@ def pipeline_recall(spark, sf_dir):
     return metrics.select("method", "n_queries", known.alias("recall"))
 
 
+@query
+def pipeline_shingles(spark, sf_dir):
+    """A run whose MinHash answers are ranked on and measured by shingle sets, with the number of rows compared."""
+    config = pipeline.PipelineConfig(basis="shingle", methods=("lsh", "flat"), lsi_dims=S.DIM, power_steps=1)
+    metrics = pipeline.run_pipeline(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), config)
+    return rounded(metrics.select("method", "n_queries", "n_candidates", "recall"), "recall")
+
+
 # ------------------------------------------------------------------ sinks: written and read back
 
 def folder_of(spark) -> str:

@@ -173,8 +173,8 @@ def signed(n_bits: int) -> list[str]:
     return [VEC, plane_table(n_bits), SIGNED]
 
 
-def plane_pairs() -> list[str]:
-    return [*signed(S.N_BITS), VEC_SAMPLE, """pairs AS (SELECT q.doc_id AS qid, c.doc_id
+def plane_pairs(n_bits: int = S.N_BITS) -> list[str]:
+    return [*signed(n_bits), VEC_SAMPLE, """pairs AS (SELECT q.doc_id AS qid, c.doc_id
   FROM signed q JOIN signed c USING (bucket) WHERE q.doc_id IN (SELECT qid FROM vec_sample))"""]
 
 
@@ -257,6 +257,15 @@ RECALLS = [*ALL_METHODS, "recalls AS (" + " UNION ALL ".join([
 ]) + ")"]
 
 
+SHINGLE_WORDS = f"""words AS (SELECT doc_id, list_distinct(CASE WHEN len(tokens) = 0 THEN []
+  WHEN len(tokens) < {S.SHINGLE_N} THEN [array_to_string(tokens, ' ')]
+  ELSE list_transform(range(1, len(tokens) - {S.SHINGLE_N} + 2),
+  lambda i: array_to_string(tokens[i:i + {S.SHINGLE_N} - 1], ' ')) END) AS words FROM tok)"""
+SHINGLE_RUN = [
+    *[SHINGLE_WORDS if part is WORDS else part for part in LSH_TOPK], *jaccard_parts("jaccard_found", "doc_sample"),
+    f"recalls AS ({recall('lsh', 'doc_sample', 'jaccard_found', 'lsh_found')})"]
+
+
 def report(method: str, samples: str, truth: str, found: str, count: str) -> str:
     def top(table: str) -> str:
         return f"coalesce((SELECT list(doc_id ORDER BY rank) FROM {table} x WHERE x.qid = s.qid AND rank <= 5), [])"
@@ -313,6 +322,10 @@ def oracles() -> dict[str, str]:
     points = " UNION ALL ".join(
         f"SELECT {p}::INTEGER AS percent, round(quantile_cont(jaccard, {p / 100}), 6) AS value FROM drawn" for p in PERCENTS
     )
+    plane_found = f"""{found} (SELECT *,
+  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id)::INTEGER AS rank FROM (
+  SELECT qid, p.doc_id, {COSINE} AS score FROM pairs p JOIN vec a ON a.doc_id = qid JOIN vec b ON b.doc_id = p.doc_id
+  WHERE qid <> p.doc_id)) WHERE rank <= {S.K}"""
     series = ", ".join(f"max(CASE WHEN threshold = {t} THEN recall END) AS recall_{round(t * 100)}" for t in THRESHOLDS)
     return {
         "union_by_name": """SELECT doc_id, text, lang, NULL::BIGINT AS item_id, NULL::BIGINT AS page_id, NULL::VARCHAR AS url FROM documents
@@ -361,10 +374,8 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "hyperplane_buckets": select(signed(S.N_BITS), "SELECT bucket, doc_id FROM signed"),
         "hyperplane_bucket_sizes": select(signed(S.N_BITS), "SELECT bucket, count(*) AS n_docs FROM signed GROUP BY bucket"),
         "hyperplane_candidates": select(plane_pairs(), "SELECT * FROM pairs"),
-        "hyperplane_topk": select(plane_pairs(), f"""{found} (SELECT *,
-  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id)::INTEGER AS rank FROM (
-  SELECT qid, p.doc_id, {COSINE} AS score FROM pairs p JOIN vec a ON a.doc_id = qid JOIN vec b ON b.doc_id = p.doc_id
-  WHERE qid <> p.doc_id)) WHERE rank <= {S.K}"""),
+        "hyperplane_topk": select(plane_pairs(), plane_found),
+        "hyperplane_topk_wide": select(plane_pairs(S.WIDE_BITS), plane_found),
         "pq_subvectors": select([VEC], f"""SELECT doc_id, m::INTEGER AS m, {round_list(f'v[m * {S.DIM // S.PQ_M} + 1:(m + 1) * {S.DIM // S.PQ_M}]')} AS part
   FROM vec, range({S.PQ_M}) r(m)"""),
         "pq_train": select(PQ_BOOKS, f"SELECT m, code, {round_list('c')} AS centroid FROM pq_c"),
@@ -386,6 +397,9 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "pipeline_recall": select(RECALLS, """SELECT 'lsh' AS method, count(*) AS n_queries, round(avg(recall), 6) AS recall
   FROM recalls WHERE method = 'lsh' UNION ALL SELECT 'flat', count(*), 1.0::DOUBLE FROM doc_sample
   UNION ALL SELECT 'pq', count(*), NULL FROM doc_sample"""),
+        "pipeline_shingles": select(SHINGLE_RUN, """SELECT 'lsh' AS method, count(*) AS n_queries,
+  (SELECT count(*) FROM cand WHERE qid <> doc_id) AS n_candidates, round(avg(recall), 6) AS recall FROM recalls
+  UNION ALL SELECT 'flat', count(*), count(*) * ((SELECT count(*) FROM documents) - 1), 1.0::DOUBLE FROM doc_sample"""),
         "saved_documents": "SELECT doc_id, text FROM documents",
         "saved_tokens": select([TOK], "SELECT doc_id, array_to_string(tokens, ' ') AS joined FROM tok"),
         "saved_embeddings": select([VEC], f"SELECT doc_id, {round_list('v')} AS embedding FROM vec"),

@@ -17,6 +17,7 @@ SWEEP_SHINGLE_N = 3
 DIM = 64
 SIGNATURE_BITS = 128
 N_BITS = 16
+WIDE_BITS = 5
 PQ_M = 8
 PQ_KS = 256
 PQ_STARTS = 3

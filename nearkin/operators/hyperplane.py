@@ -66,6 +66,18 @@ def hyperplane_topk(signed: DataFrame, queries: DataFrame, k: int = 10, exclude_
     pairs = _pairs(corpus, asked)
     if exclude_self:
         pairs = pairs.filter("qid <> doc_id")
+    return rank_topk(_scored(pairs), k, digits=kernels.TIE_DIGITS)
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
     score = F.try_divide(dot(F.col("q_vector"), F.col("vector")), F.col("q_length") * F.col("length"))
-    scored = pairs.withColumn("score", F.coalesce(score, F.lit(0.0)))
-    return rank_topk(scored, k, digits=kernels.TIE_DIGITS)
+    return pairs.withColumn("score", F.coalesce(score, F.lit(0.0)))
+
+
+def rerank(pairs: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """Candidate pairs (qid, doc_id), a written table, ranked by cosine; a query's own row is left out."""
+    corpus = vectors.filter("vector is not null").select("doc_id", "vector", norm(F.col("vector")).alias("length"))
+    asked = queries.select("qid", "q_vector", norm(F.col("q_vector")).alias("q_length"))
+    met = checked_join(corpus, pairs.filter("qid <> doc_id"), ["doc_id"], 32, "doc_id")
+    met = checked_join(met, asked, ["qid"], F.size("q_vector") * 8 + 24, "doc_id")
+    return rank_topk(_scored(met), k, digits=kernels.TIE_DIGITS)

@@ -87,9 +87,11 @@ def score_candidates(pairs: DataFrame, words: DataFrame, queries: DataFrame, exc
     Words are fetched for the documents of a pair only. While candidates are looked for, nothing but keys is copied from
     band to band.
     """
-    if exclude_self:
-        pairs = pairs.filter("qid <> doc_id")
-    pairs = written(pairs)
+    return score_pairs(written(pairs.filter("qid <> doc_id") if exclude_self else pairs), words, queries)
+
+
+def score_pairs(pairs: DataFrame, words: DataFrame, queries: DataFrame) -> DataFrame:
+    """The same for pairs that are a written table."""
     pairs = checked_join(words.select("doc_id", "words"), pairs, ["doc_id"], 32, "doc_id")
     asked = queries.select("qid", "q_words")
     row_bytes = F.length(F.array_join("q_words", " ")) + F.size("q_words") * 16 + 16

@@ -111,3 +111,34 @@ def test_saved_indices_are_measured_again(spark, documents, tmp_path):
         evaluate_indices(spark, str(tmp_path), ("graph",))
     with pytest.raises(ValueError, match="multiple"):
         run_pipeline(spark, documents, PipelineConfig(lsi_dims=15, pq_ks=16, max_docs=80), f"{tmp_path}/odd")
+
+
+def test_run_with_all_methods_and_one_of_our_own(spark, documents, tmp_path):
+    from nearkin.operators.ranking import rank_topk
+    from nearkin.plans.methods import METHODS, Method
+
+    config = PipelineConfig(lsi_dims=16, pq_ks=16, pq_rounds=2, num_perm=32, n_queries=15, max_docs=90, power_steps=1, n_bits=3, cells=4, nprobe=4,
+                            methods=("pq", "lsh", "flat", "hyperplane", "ivf"), basis="shingle", threshold=0.3)
+    metrics = {r["method"]: r for r in run_pipeline(spark, documents, config, str(tmp_path)).collect()}
+    assert set(metrics) == set(METHODS)
+    assert metrics["flat"]["recall"] == metrics["ivf"]["recall"] == 1.0  # all cells are probed
+    assert metrics["flat"]["n_candidates"] == metrics["pq"]["n_candidates"] == metrics["ivf"]["n_candidates"] == 15 * 89
+    assert 0 < metrics["hyperplane"]["n_candidates"] < 15 * 89 and 0 < metrics["hyperplane"]["recall"] < 1
+    assert all(0 < r["lookup_time"] <= r["avg_time"] for r in metrics.values())
+    assert all(metrics[m]["lookup_time"] < metrics[m]["avg_time"] for m in ("lsh", "hyperplane"))
+
+    def ids_in_order(saved, sample, k):
+        pairs = sample.crossJoin(saved.table("embeddings").select("doc_id")).filter("qid <> doc_id")
+        return rank_topk(pairs.withColumn("score", -F.col("doc_id").cast("double")), k)
+
+    own = evaluate_indices(spark, str(tmp_path), {"first": Method("cosine", ids_in_order)}, n_queries=15).collect()
+    assert [(r["method"], r["n_queries"], r["n_candidates"]) for r in own] == [("first", 15, None)] and 0 < own[0]["recall"] < 1
+
+
+def test_run_on_word_vectors(spark, documents, tmp_path):
+    config = PipelineConfig(embedding="w2v", lsi_dims=8, n_queries=10, max_docs=60, methods=("flat",), w2v_epochs=1, num_perm=16)
+    assert run_pipeline(spark, documents, config, str(tmp_path)).first()["recall"] == 1.0
+    assert spark.read.parquet(f"{tmp_path}/embeddings").selectExpr("size(embedding) as n").distinct().collect() == [(8,)]
+    for odd in ({"embedding": "x"}, {"basis": "x"}, {"methods": ("x",)}):
+        with pytest.raises(ValueError, match="unknown"):
+            run_pipeline(spark, documents, PipelineConfig(**odd), f"{tmp_path}/odd")
