@@ -126,6 +126,66 @@ def minhash(numbers: np.ndarray, row: np.ndarray, rows: int, a: np.ndarray, b: n
     return out
 
 
+def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A 64-bit key for each band of each signature."""
+    parts = signatures[:, : bands * rows].astype(np.uint64).reshape(len(signatures), bands, rows)
+    key = np.full(parts.shape[:2], 0x9E3779B97F4A7C15, np.uint64)
+    for at in range(rows):
+        key = (key ^ parts[:, :, at]) * np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+class BandIndex:
+    """Bucket keys of queries (queries x bands), sorted band by band."""
+
+    def __init__(self, keys: np.ndarray):
+        self.order = np.argsort(keys, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(keys, self.order, axis=0)
+
+    def pairs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all queries and rows that share a bucket of some band, each pair once."""
+        rows, found = len(keys), [np.zeros(0, np.int64)]
+        for band in range(keys.shape[1]):
+            own = self.sorted[:, band]
+            first, last = (np.searchsorted(own, keys[:, band], side) for side in ("left", "right"))
+            hit = np.flatnonzero(last > first)
+            many = last[hit] - first[hit]
+            place = np.repeat(first[hit] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            found.append(self.order[place, band] * rows + np.repeat(hit, many))
+        return np.divmod(np.unique(np.concatenate(found)), max(rows, 1))
+
+
+class PairJaccard:
+    """Jaccard similarity of given pairs of word sets; queries are the sets given first."""
+
+    def __init__(self, queries: pa.Array):
+        self.sizes = np.diff(np.asarray(queries.offsets)).astype(np.int64)
+        coded = queries.flatten().dictionary_encode()
+        self.words = coded.dictionary
+        self.stride = max(len(self.words), 1)
+        holder = np.repeat(np.arange(len(queries)), self.sizes)
+        self.held = np.sort(holder * self.stride + coded.indices.to_numpy(zero_copy_only=False))
+
+    def __call__(self, query: np.ndarray, row: np.ndarray, corpus: pa.Array) -> np.ndarray:
+        sizes = np.diff(np.asarray(corpus.offsets)).astype(np.int64)
+        found = pc.fill_null(pc.index_in(corpus.flatten(), value_set=self.words), -1).to_numpy()
+        begin = np.cumsum(sizes) - sizes
+        shared = np.zeros(len(query))
+        load = np.cumsum(sizes[row])
+        cuts = np.searchsorted(load, np.arange(1, (load[-1] if len(load) else 0) // UNROLLED + 1) * UNROLLED)
+        for piece in np.split(np.arange(len(query)), cuts):  # some millions of words at a time
+            many = sizes[row[piece]]
+            word = found[np.repeat(begin[row[piece]] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+            owner = np.repeat(np.arange(len(piece)), many)[word >= 0]
+            key = query[piece][owner] * self.stride + word[word >= 0]
+            at = np.minimum(np.searchsorted(self.held, key), max(len(self.held) - 1, 0))
+            hit = self.held[at] == key if len(self.held) else np.zeros(len(key), bool)
+            shared[piece] = np.bincount(owner[hit], minlength=len(piece))
+        union = self.sizes[query] + sizes[row] - shared
+        return np.divide(shared, union, out=np.zeros(len(query)), where=union > 0)
+
+
 # ---------------------------------------------------------------- vectors
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:

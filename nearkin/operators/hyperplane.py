@@ -78,6 +78,6 @@ def rerank(pairs: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 10
     """Candidate pairs (qid, doc_id), a written table, ranked by cosine; a query's own row is left out."""
     corpus = vectors.filter("vector is not null").select("doc_id", "vector", norm(F.col("vector")).alias("length"))
     asked = queries.select("qid", "q_vector", norm(F.col("q_vector")).alias("q_length"))
-    met = checked_join(corpus, pairs.filter("qid <> doc_id"), ["doc_id"], 32, "doc_id")
+    met = checked_join(corpus, pairs.filter("qid <> doc_id"), ["doc_id"], 32, "qid", skewed="small")
     met = checked_join(met, asked, ["qid"], F.size("q_vector") * 8 + 24, "doc_id")
     return rank_topk(_scored(met), k, digits=kernels.TIE_DIGITS)

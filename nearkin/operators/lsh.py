@@ -13,10 +13,14 @@ from nearkin.functions import kernels
 from nearkin.functions.banding import band_keys, band_texts
 from nearkin.functions.text import jaccard
 from nearkin.operators.ranking import rank_topk
-from nearkin.plans.scale import checked_join, written
+from nearkin.operators.search import NEIGHBORS, as_arrow, keep_best, whole
+from nearkin.plans.scale import MAX_BROADCAST_BYTES, checked_join, collect_bounded, skew_join, written
 
 HEAVY_BUCKET = 256
 SET_BLOCK = 4_096
+MAX_HOT_BANDS = 12
+MAX_BAND_QUERIES = 65_536
+PAIRS_AT_ONCE = 4_000_000
 
 
 def minhash_signatures(corpus: DataFrame, num_perm: int = 128, shingle_n: int = 5, seed: int = 1) -> DataFrame:
@@ -75,10 +79,39 @@ def candidates(keyed: DataFrame, queries: DataFrame, within: tuple[str, ...] = (
     return met.filter(F.col("band") == _first_shared_band("keys", "q_keys")).drop("band", "key", "keys", "q_keys")
 
 
+def bounded_queries(queries: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> pa.Table | None:
+    """The query set on its way to all tasks, or None if it is too large for that."""
+    table = collect_bounded(queries, MAX_BAND_QUERIES, max_bytes)
+    return None if table is None else table.combine_chunks()
+
+
+def pairs_in_place(keyed: DataFrame, table: pa.Table) -> DataFrame:
+    """(qid, doc_id) of all documents in a bucket of a query (qid, q_keys). Rows stay where they are: a task looks its
+    rows' keys up in the sorted keys of the queries, so a hot bucket gives its pairs and nothing else."""
+    shared = keyed.sparkSession.sparkContext.broadcast(table)
+
+    def look_up(batches):
+        asked = shared.value
+        if not asked.num_rows:
+            return
+        qids, index = asked.column("qid").to_numpy(), kernels.BandIndex(kernels.matrix(asked.column("q_keys"), np.int64))
+        step = max(1, PAIRS_AT_ONCE // len(qids))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                query, row = index.pairs(kernels.matrix(part.column(1), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(qids[query]), part.column(0).take(pa.array(row))], names=["qid", "doc_id"])
+
+    return keyed.select("doc_id", "keys").mapInArrow(look_up, "qid bigint, doc_id bigint")
+
+
 def lsh_candidates(keyed: DataFrame, queries: DataFrame) -> DataFrame:
     """(qid, doc_id) of all documents in a bucket of the query, the query itself included."""
-    queries = written(queries.select("qid", "q_keys"))
-    return candidates(keyed.select("doc_id", "keys"), queries).select("qid", "doc_id")
+    queries = queries.select("qid", "q_keys")
+    table = bounded_queries(queries)
+    if table is not None:
+        return pairs_in_place(keyed, table)
+    return candidates(keyed.select("doc_id", "keys"), written(queries)).select("qid", "doc_id")
 
 
 def score_candidates(pairs: DataFrame, words: DataFrame, queries: DataFrame, exclude_self: bool = True) -> DataFrame:
@@ -92,23 +125,71 @@ def score_candidates(pairs: DataFrame, words: DataFrame, queries: DataFrame, exc
 
 def score_pairs(pairs: DataFrame, words: DataFrame, queries: DataFrame) -> DataFrame:
     """The same for pairs that are a written table."""
-    pairs = checked_join(words.select("doc_id", "words"), pairs, ["doc_id"], 32, "doc_id")
+    pairs = checked_join(words.select("doc_id", "words"), pairs, ["doc_id"], 32, "qid", skewed="small")
     asked = queries.select("qid", "q_words")
     row_bytes = F.length(F.array_join("q_words", " ")) + F.size("q_words") * 16 + 16
     met = checked_join(pairs, asked, ["qid"], row_bytes, "doc_id")
     return met.withColumn("score", jaccard(F.col("q_words"), F.col("words")))
 
 
+def ranked_in_place(keyed: DataFrame, table: pa.Table, k: int, exclude_self: bool = True) -> DataFrame:
+    """(qid, doc_id, score) of at most k candidates per query and task, for queries (qid, q_keys, q_words). Candidates are
+    found and scored where they lie."""
+    shared = keyed.sparkSession.sparkContext.broadcast(table)
+
+    def rank(batches):
+        asked = shared.value
+        if not asked.num_rows:
+            return
+        qids, index = asked.column("qid").to_numpy(), kernels.BandIndex(kernels.matrix(asked.column("q_keys"), np.int64))
+        scorer = kernels.PairJaccard(whole(asked.column("q_words")))
+        step, best = max(1, PAIRS_AT_ONCE // len(qids)), None
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                ids = part.column(0).to_numpy()
+                query, row = index.pairs(kernels.matrix(part.column(1), np.int64))
+                if exclude_self:
+                    other = qids[query] != ids[row]
+                    query, row = query[other], row[other]
+                new = [qids[query], ids[row], scorer(query, row, part.column(2))]
+                best = keep_best(new if best is None else best, [x[:0] for x in new] if best is None else new, k, None)
+        if best is not None:
+            yield as_arrow(best, pa.RecordBatch)
+
+    return keyed.select("doc_id", "keys", "words").mapInArrow(rank, NEIGHBORS)
+
+
 def lsh_topk(keyed: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True) -> DataFrame:
     """Candidates re-ranked by Jaccard over `words`; may give fewer than k rows.
 
-    Needs keys and words on the corpus, q_keys and q_words on the queries.
+    Needs keys and words on the corpus, q_keys and q_words on the queries. A query set of measured size goes to all tasks;
+    a larger one is joined on the buckets.
     """
+    table = bounded_queries(queries.select("qid", "q_keys", "q_words"))
+    if table is not None:
+        return rank_topk(ranked_in_place(keyed, table, k, exclude_self), k)
     queries = written(queries.select("qid", "q_keys", "q_words"))
     pairs = candidates(keyed.select("doc_id", "keys"), queries.drop("q_words")).select("qid", "doc_id")
     return rank_topk(score_candidates(pairs, keyed, queries, exclude_self), k)
 
 
+def _subset_weights(sets: DataFrame) -> DataFrame:
+    """(hot, n_big): weight of all sets (hot, w) that agree with a set in a hot bucket, by inclusion and exclusion.
+
+    A set gives a row for every choice of its hot bands. Sets that agree in all chosen bands are counted by the choice and its
+    keys; with the sign of the choice's size these sums add up to the sets that agree in any. No two sets are compared.
+    """
+    places = F.filter(F.transform("hot", lambda key, band: F.when(key != 0, band)), lambda band: band.isNotNull())
+    chosen = sets.select("hot", "w", places.alias("places")).withColumn(
+        "choice", F.explode(F.expr("sequence(1L, shiftleft(1L, size(places)) - 1L)")))
+    taken = F.expr("filter(transform(places, (band, at) -> IF(shiftright(choice, at) & 1L = 1L, struct(band, hot[band]), NULL)), x -> x IS NOT NULL)")
+    chosen = written(chosen.withColumn("taken", taken).select(
+        "hot", "w", F.xxhash64("taken").alias("key"), F.when(F.size("taken") % 2 == 1, 1).otherwise(-1).alias("sign")))
+    together = chosen.groupBy("key").agg(F.sum("w").alias("n"))
+    return skew_join(chosen.select("hot", "key", "sign"), together, ["key"], "hot").groupBy("hot").agg(F.sum(F.col("sign") * F.col("n")).alias("n_big"))
+
+
 def _shared_weight(sets: DataFrame) -> DataFrame:
     """(hot, n_big): weight of all sets (hot, w) that agree with a set in a hot bucket.
 
@@ -142,8 +223,9 @@ def candidate_counts(keyed: DataFrame, heavy: int = HEAVY_BUCKET) -> DataFrame:
 
     `weight` documents have the same keys in all bands and are folded into one row, so copies
     cost nothing. Buckets of more than `heavy` rows are never paired row by row: rows are folded
-    again by the set of their hot buckets, and these sets are compared in blocks. Rows of small
-    buckets are paired within them, leaving out what was counted before.
+    again by the set of their hot buckets, and these sets are counted by inclusion and exclusion (or
+    compared in blocks, where one has more than MAX_HOT_BANDS hot bands). Rows of small buckets are
+    paired within them, leaving out what was counted before.
     """
     groups = keyed.groupBy("keys").agg(F.min("doc_id").alias("gid"), F.count("*").alias("weight"))
     groups = written(groups)
@@ -160,7 +242,8 @@ def candidate_counts(keyed: DataFrame, heavy: int = HEAVY_BUCKET) -> DataFrame:
     info = written(placed.join(lists, "gid").select("gid", "weight", "big", "small", hot.alias("hot")))
 
     sets = written(info.filter(F.size("big") > 0).groupBy("hot").agg(F.sum("weight").alias("w")))
-    big_counts = _shared_weight(sets)
+    most = sets.agg(F.max(F.size(F.filter("hot", lambda key: key != 0)))).first()[0] or 0
+    big_counts = _subset_weights(sets) if most <= MAX_HOT_BANDS else _shared_weight(sets)
 
     left = info.select("gid", "big", "small", F.explode("small").alias("at"))
     right = info.select(

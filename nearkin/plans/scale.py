@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 256 << 20
 MAX_BROADCAST_ROWS = 4_000_000
-SALTS = 16
+HEAVY_ROWS = 1_000_000
 
 _own_folder: dict[str, str] = {}
 
@@ -78,24 +78,31 @@ def collect_bounded(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST
     return table.drop_columns("_over")
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], salt_from: str, salts: int = SALTS) -> DataFrame:
-    """Inner join in which a hot key is spread over several tasks.
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], salt_from: str) -> DataFrame:
+    """Inner join in which a key with very many rows on the left is spread over as many tasks as it needs.
 
-    Each left row goes to one of `salts` slices of its key, picked by the column `salt_from`;
-    each right row is sent to all of them.
+    Keys are counted first. One with more than HEAVY_ROWS rows is cut into slices by the column `salt_from`, and the right
+    rows of this key alone are sent to all of its slices; other keys are joined as they are.
     """
-    sliced = left.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int"))
-    copied = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return sliced.join(copied, keys + ["_salt"]).drop("_salt")
+    heavy = left.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > HEAVY_ROWS)
+    heavy = written(heavy.select(*keys, F.ceil(F.col("_n") / HEAVY_ROWS).cast("int").alias("_slices")))
+    if heavy.isEmpty():
+        return left.join(right, keys)
+    named = F.broadcast(heavy) if fits_broadcast(heavy, 16 * len(keys) + 16) else heavy
+    slices = F.coalesce("_slices", F.lit(1))
+    sliced = left.join(named, keys, "left").withColumn("_slice", F.pmod(F.xxhash64(salt_from), slices).cast("int")).drop("_slices")
+    copied = right.join(named, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("_slices")
+    return sliced.join(copied, [*keys, "_slice"]).drop("_slice")
 
 
 def checked_join(
-    large: DataFrame, small: DataFrame, keys: list[str], row_bytes: Column | int, salt_from: str
+    large: DataFrame, small: DataFrame, keys: list[str], row_bytes: Column | int, salt_from: str, skewed: str = "large"
 ) -> DataFrame:
-    """Inner join that broadcasts `small` when its measured size allows, and salts the keys if not.
+    """Inner join that broadcasts `small` when its measured size allows, and spreads heavy keys if not.
 
-    `small` should be a written table, since it is read once for the measurement.
+    `small` should be a written table, since it is read once for the measurement. `skewed` says which side can have
+    many rows of one key; `salt_from` is a column of that side.
     """
     if fits_broadcast(small, row_bytes):
         return large.join(F.broadcast(small), keys)
-    return salted_join(large, small, keys, salt_from)
+    return skew_join(large, small, keys, salt_from) if skewed == "large" else skew_join(small, large, keys, salt_from)

@@ -5,14 +5,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from nearkin.functions import kernels
 from nearkin.functions import text as T
 from nearkin.functions.banding import band_keys, best_bands
-from nearkin.operators.lsh import candidates, lsh_candidates, lsh_topk, minhash_signatures, score_candidates
+from nearkin.operators.lsh import PAIRS_AT_ONCE, lsh_candidates, lsh_topk, minhash_signatures
 from nearkin.operators.ranking import as_queries, rows_of
-from nearkin.plans.scale import written
+from nearkin.operators.search import MAX_QUERIES, NEIGHBORS, as_arrow, keep_best, query_passes, whole
+from nearkin.plans.scale import MAX_BROADCAST_BYTES, written
 
 NUM_PERMS = (128, 256, 512)
 THRESHOLDS = (0.45, 0.55, 0.65)
@@ -34,6 +38,46 @@ def sweep_features(tokens: DataFrame, settings: list[tuple[int, float]], shingle
     return signed.select("doc_id", "words", F.inline(F.array(*variants)))
 
 
+def _signed(tokens: DataFrame, settings: list[tuple[int, float]], shingle_n: int) -> DataFrame:
+    """(doc_id, signature, words): one signature, long enough for all settings."""
+    signed = minhash_signatures(tokens.select("doc_id", "tokens"), max(n for n, _ in settings), shingle_n)
+    return signed.select("doc_id", "signature", T.token_set(F.col("tokens")).alias("words"))
+
+
+def _swept(corpus: DataFrame, table: pa.Table, settings: list[tuple[int, float]], k: int) -> DataFrame:
+    """(setting, qid, doc_id, score): at most k candidates per setting, query and task. A pair is scored once for all settings."""
+    bands = [best_bands(t, n) for n, t in settings]
+    shared = corpus.sparkSession.sparkContext.broadcast(table)
+
+    def sweep(batches):
+        asked = shared.value
+        if not asked.num_rows:
+            return
+        signatures = kernels.matrix(asked.column("signature"), np.int64)
+        qids, scorer = asked.column("qid").to_numpy(), kernels.PairJaccard(whole(asked.column("words")))
+        indices = [kernels.BandIndex(kernels.band_hashes(signatures, b, r)) for b, r in bands]
+        step, best = max(1, PAIRS_AT_ONCE // len(qids)), [None] * len(bands)
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                ids, own = part.column(0).to_numpy(), kernels.matrix(part.column(1), np.int64)
+                pairs = [np.ravel_multi_index(index.pairs(kernels.band_hashes(own, b, r)), (len(qids), len(ids))) for index, (b, r) in zip(indices, bands)]
+                every = np.unique(np.concatenate(pairs))
+                query, row = np.divmod(every, len(ids))
+                every, query, row = (x[qids[query] != ids[row]] for x in (every, query, row))
+                score = scorer(query, row, part.column(2))
+                for i, mine in enumerate(pairs):
+                    hit = np.isin(every, mine)
+                    new = [qids[query[hit]], ids[row[hit]], score[hit]]
+                    best[i] = keep_best(new if best[i] is None else best[i], [x[:0] for x in new] if best[i] is None else new, k, None)
+        for i, kept in enumerate(best):
+            if kept is not None:
+                rows = as_arrow(kept, pa.RecordBatch)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, i, np.int32)), *rows.columns], names=["setting", *rows.schema.names])
+
+    return corpus.mapInArrow(sweep, f"setting int, {NEIGHBORS}")
+
+
 def lsh_sweep(
     tokens: DataFrame, sample: DataFrame, truth: DataFrame, k: int = 10,
     settings: list[tuple[int, float]] | None = None, shingle_n: int = 3,
@@ -41,18 +85,13 @@ def lsh_sweep(
     """(method, num_perm, threshold, recall) of banded MinHash for every setting."""
     settings = settings or grid()
     sample = written(sample)
-    corpus = sweep_features(tokens, settings, shingle_n)
-    queries = written(as_queries(sweep_features(rows_of(tokens, sample), settings, shingle_n)))
-    keyed = corpus.select("setting", "doc_id", "keys")
-    pairs = candidates(keyed, queries.select("setting", "qid", "q_keys"), within=("setting",)).select("setting", "qid", "doc_id")
-    words = tokens.select("doc_id", T.token_set(F.col("tokens")).alias("words"))
-    scored = score_candidates(pairs, words, queries.filter("setting = 0").select("qid", "q_words"))
+    queries = _signed(rows_of(tokens, sample), settings, shingle_n).withColumnRenamed("doc_id", "qid")
+    corpus, found = _signed(tokens, settings, shingle_n), None
+    for table in query_passes(written(queries), MAX_QUERIES, MAX_BROADCAST_BYTES):
+        part = _swept(corpus, table.combine_chunks(), settings, k)
+        found = part if found is None else found.unionAll(part)
     order = Window.partitionBy("setting", "qid").orderBy(F.desc("score"), "doc_id")
-    best = (
-        scored.select("setting", "qid", "doc_id", "score")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-    )
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     hits = (
         best.join(truth.select("qid", "doc_id"), ["qid", "doc_id"], "left_semi")
         .groupBy("setting", "qid").agg(F.count("*").alias("hits"))

@@ -99,10 +99,12 @@ def brute_counts(keys):
     return {d: sum(any(x == y for x, y in zip(k, other)) for other in keys.values()) for d, k in keys.items()}
 
 
-@pytest.mark.parametrize("heavy", [1, 3, 10, 1000])
-def test_counts_with_hot_buckets(spark, heavy, monkeypatch):
-    """A third of all rows shares buckets, partly as copies and partly as near copies."""
+@pytest.mark.parametrize("heavy, hot_bands", [(1, 12), (3, 12), (10, 12), (1000, 12), (3, 0)])
+def test_counts_with_hot_buckets(spark, heavy, hot_bands, monkeypatch):
+    """A third of all rows shares buckets, partly as copies and partly as near copies. Sets are counted by inclusion and
+    exclusion, or compared in blocks where that would be too many choices of bands."""
     monkeypatch.setattr(lsh, "SET_BLOCK", 16)
+    monkeypatch.setattr(lsh, "MAX_HOT_BANDS", hot_bands)
     rng = np.random.RandomState(3)
     keys = {}
     for d in range(240):
@@ -127,7 +129,7 @@ def test_counts_with_hot_buckets(spark, heavy, monkeypatch):
     assert (stats["min_candidates"], stats["max_candidates"]) == (values.min(), values.max())
 
 
-def test_candidates_by_salted_join(spark, documents, monkeypatch):
+def test_candidates_in_place_and_by_joins(spark, documents, monkeypatch):
     from nearkin.plans import scale
 
     tokens = tokens_of(documents)
@@ -138,11 +140,48 @@ def test_candidates_by_salted_join(spark, documents, monkeypatch):
     qids = [r["qid"] for r in queries.collect()]
     assert pairs == sorted((q, d) for q in qids for d in keys if any(x == y for x, y in zip(keys[q], keys[d])))
     best = lsh.lsh_topk(keyed, queries).orderBy("qid", "rank").collect()
+    monkeypatch.setattr(lsh, "PAIRS_AT_ONCE", 100)
+    assert sorted(map(tuple, lsh.lsh_candidates(keyed, queries).collect())) == pairs
+    assert lsh.lsh_topk(keyed, queries).orderBy("qid", "rank").collect() == best
+    monkeypatch.setattr(lsh, "MAX_BAND_QUERIES", 1)  # too many to send: joined on the buckets
+    assert sorted(map(tuple, lsh.lsh_candidates(keyed, queries).collect())) == pairs
     monkeypatch.setattr(scale, "MAX_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(scale, "HEAVY_ROWS", 3)  # nearly all keys are heavy
     assert sorted(map(tuple, lsh.lsh_candidates(keyed, queries).collect())) == pairs
     assert lsh.lsh_topk(keyed, queries).orderBy("qid", "rank").collect() == best
 
 
+def test_heavy_keys_are_sliced_and_others_are_not(spark, monkeypatch):
+    from nearkin.plans import scale
+
+    monkeypatch.setattr(scale, "HEAVY_ROWS", 50)
+    left = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(900)] + [(None, -1)], "key string, at int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("none", 4), (None, 5)], "key string, v int")
+    plain = sorted(map(tuple, left.join(right, ["key"]).collect()))
+    assert sorted(map(tuple, scale.skew_join(left, right, ["key"], "at").collect())) == plain and len(plain) == 1201
+    monkeypatch.setattr(scale, "HEAVY_ROWS", 10_000)
+    assert sorted(map(tuple, scale.skew_join(left, right, ["key"], "at").collect())) == plain
+
+
+def test_pairs_of_shared_bands_and_their_similarity():
+    rng = np.random.default_rng(2)
+    asked, keys = rng.integers(0, 6, (15, 4)), rng.integers(0, 6, (40, 4))
+    query, row = kernels.BandIndex(asked).pairs(keys)
+    assert list(zip(query.tolist(), row.tolist())) == [(q, r) for q in range(15) for r in range(40) if (asked[q] == keys[r]).any()]
+    sets = [sorted({f"w{x}" for x in rng.integers(0, 12, rng.integers(0, 9))}) for _ in range(55)]
+    scores = kernels.PairJaccard(pa.array(sets[:15], pa.list_(pa.string())))(query, row, pa.array(sets[15:], pa.list_(pa.string())))
+    for q, r, score in zip(query, row, scores):
+        a, b = set(sets[q]), set(sets[15 + r])
+        assert score == (len(a & b) / len(a | b) if a | b else 0.0)
+    assert len(kernels.BandIndex(asked).pairs(keys[:0])[0]) == 0
+
+
+def test_band_hashes_tell_bands_apart():
+    signatures = np.array([[1, 2, 3, 4, 9], [1, 2, 4, 3, 9], [2, 1, 3, 4, 8]])
+    keys = kernels.band_hashes(signatures, 2, 2)
+    assert keys.shape == (3, 2) and keys[0, 0] == keys[1, 0] != keys[2, 0] and keys[0, 1] == keys[2, 1] != keys[1, 1]
+
+
 def test_shingle_basis_ranks_on_shingles(spark):
     rows = [(1, list("abcd")), (2, list("abcd")), (3, list("dcba"))]
     df = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
