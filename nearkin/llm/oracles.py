@@ -183,7 +183,7 @@ WITH p AS (
            || 'source-payload-digest: ' || payload_digest || eol || 'http-header: ' || replace(http, eol, eol || 'http-header: ') || eol
   FROM s
 )
-SELECT page_id, warc_type, record_id, refers_to, target_uri, payload_digest,
+SELECT page_id, warc_type, record_id, refers_to, target_uri, '1970-01-01T00:00:00Z' AS date, payload_digest, content_type, block,
        'sha256:' || sha256(block) AS block_digest, strlen(block) AS content_length,
        'WARC/1.1' || eol || 'WARC-Type: ' || warc_type || eol || 'WARC-Record-ID: ' || record_id || eol
          || 'WARC-Date: 1970-01-01T00:00:00Z' || eol || 'WARC-Target-URI: ' || target_uri || eol || 'WARC-Refers-To: ' || refers_to || eol

@@ -75,7 +75,8 @@ def op6_url_filter(spark, sf_dir):
 @query
 def op7_warc_derivatives(spark, sf_dir):
     return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))).select(
-        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "header", "payload_digest", "block_digest", "content_length")
+        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "date", "header", "payload_digest", "block_digest", "content_type",
+        "content_length", "block")
 
 
 @query

@@ -14,8 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearkin.llm.quality import let
+
 EOL = "\r\n"
-#: Named characters that are written out in the text; the ampersand comes last.
+#: Named characters that are written out in the text.
 ENTITIES = {
     "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&copy;": "©", "&middot;": "·",
     "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&amp;": "&",
@@ -30,9 +32,17 @@ BREAKS = (
 
 
 def written_out(text: Column) -> Column:
-    for name, character in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(character))
-    return text
+    """The text with its named characters written out. It is cut at ampersands once; what stands between one and the next
+    semicolon is looked up."""
+    names = F.create_map(*[F.lit(x) for name, character in ENTITIES.items() for x in (name[1:], character)])
+
+    def one(part: Column) -> Column:
+        end = F.locate(";", part)
+        known = F.concat(F.try_element_at(names, F.substring(part, F.lit(1), end)), F.substring(part, end + 1, F.length(part)))
+        return F.coalesce(known, F.concat(F.lit("&"), part))
+
+    return let(F.split(text, "&"), lambda parts: F.concat(
+        F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), "")))
 
 
 def plain_text(html: Column) -> Column:
@@ -43,7 +53,7 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, r"[ \t\r\n\f]+", " ")
     text = F.regexp_replace(text, BREAKS, "\n")
     text = written_out(F.regexp_replace(text, r"<[^>]*>", ""))
-    return F.regexp_replace(F.regexp_replace(text, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
+    return F.btrim(F.regexp_replace(text, r" *\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def digest(value: Column) -> Column:

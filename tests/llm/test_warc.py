@@ -36,6 +36,16 @@ def test_records_are_linked_and_digests_hold(spark):
     assert text[1, "metadata"].startswith("title: A & B\r\nlanguage: fr\r\n")
 
 
+def test_named_characters(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "&", "&&lt;;", "&amp;lt;", "x &nbsp;&copy;y&unknown; &lt", "&amp;&amp;amp;", "&#39;&apos;&quot;;&gt", "é&hellip;é&mdash;", "; & ;&lt;&LT;"]
+    for text, found in zip(texts, spark.createDataFrame([(t,) for t in texts], "t string").select(warc.written_out(F.col("t"))).collect()):
+        for name, character in warc.ENTITIES.items():
+            text = text.replace(name, character)
+        assert found[0] == text
+
+
 def test_long_page_files_and_empty_table(spark, tmp_path):
     responses, derived = records(spark, [(1, "http://x.com/", "<p>word</p>" * 50_000, None, None)])
     assert derived.where("warc_type = 'conversion'").first().block == "\n".join(["word"] * 50_000)
