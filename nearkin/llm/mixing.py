@@ -8,7 +8,7 @@ which that happens, the documents that still fit in are taken in hash order.
 Budgets of sources are whole tokens, and only integers are compared. Where no budget is given, no source's is below its
 tokens, so that rounding costs no document.
 
-A null source is a source of its own, a null token count counts as 0. A source without tokens has no weight: it is left
+A mix that would repeat a source more than MAX_EPOCHS times is refused. A null source is a source of its own, a null token count counts as 0. A source without tokens has no weight: it is left
 out where a budget is given, and taken once where none is, except that a table without any tokens has no entropy to meet and
 gives no rows for one. Repeated rows are documents of their own. An empty table gives no rows.
 """
@@ -24,6 +24,7 @@ from nearkin.llm.quality import unused
 from nearkin.plans.scale import fits_broadcast, written
 
 PROBES = 16
+MAX_EPOCHS = 10_000
 
 
 @dataclass
@@ -101,10 +102,15 @@ def temperature_mix(
         "*", F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1)).alias("blocks"),
         (share_of if budget else F.greatest("tokens", share_of)).alias("budget")))
 
+    most = weights.agg(F.max(F.col("budget") / F.greatest("tokens", F.lit(1)))).first()[0] or 0
+    if most > MAX_EPOCHS:
+        raise ValueError(f"a source would be repeated {most:.0f} times: give a budget, or a target nearer to the sources' own shares")
+
     small = fits_broadcast(weights, F.length(source) * 4 + 64)
-    blocks_of = weights.select(source, "blocks")
+    count = unused(df, "_blocks")
+    blocks_of = weights.select(source, F.col("blocks").alias(count))
     placed = marked.join(F.broadcast(blocks_of) if small else blocks_of, source) \
-        .withColumn(block, F.pmod(F.col(order), F.col("blocks"))).drop("blocks")
+        .withColumn(block, F.pmod(F.col(order), F.col(count))).drop(count)
     sizes = written(placed.groupBy(source, block).agg(F.sum(n).alias("size")))
     epochs = weights.select(source, "budget", F.explode(F.sequence(
         F.lit(0), F.expr("greatest(budget - 1, 0) div greatest(tokens, 1)").cast("int"))).alias("epoch"), "tokens")

@@ -22,20 +22,21 @@ from nearkin.plans.scale import written
 
 BLOCK_ROWS = 8192
 GROUP = 64
+BLOCK_BYTES = 64 << 20
 LIMIT = 1 << 63
 
 
 def integer_codes(vector: Column, scale: int = 1024) -> Column:
-    """floor(scale * x) of each component as longs; null for vectors that are null or hold a null, a value that is not
-    finite or one whose code is no long (scale * x below -2**63, or 2**63 and more)."""
-    codes = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    """floor(scale * x) of each component as longs; null for vectors that are null or hold a null or a value that is not
+    finite. A finite component whose code is no long is an error: there is no integer score for it."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
-    def fits(x: Column) -> Column:
+    def code(x: Column) -> Column:
         scaled = x.cast("double") * scale
-        return (scaled >= F.lit(-float(LIMIT))) & (scaled < F.lit(float(LIMIT)))
+        fits = (scaled >= F.lit(-float(LIMIT))) & (scaled < F.lit(float(LIMIT)))
+        return F.when(fits, F.floor(scaled)).otherwise(F.raise_error(F.lit("a component is too large for an integer code")).cast("bigint"))
 
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & fits(x))
-    return F.when(F.coalesce(sound, F.lit(False)), codes)
+    return F.when(F.coalesce(finite, F.lit(False)), F.transform(vector, code))
 
 
 def postings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,8 +93,9 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
     that repeat an id are candidates of their own, a repeated query counts once. Vectors of different lengths meet on
     the terms that both have. No query or no row gives an empty table. A score that does not fit a long is an error.
 
-    Queries go out in blocks of `block_queries`, a bound by rows; each block makes one pass over the rows, which
-    are never shuffled: k rows per query and task are.
+    Queries go out in blocks of at most about `block_queries` rows and BLOCK_BYTES; each block makes one pass over the rows,
+    which are never shuffled: k rows per query and task are. A block's winners are written and its queries given back before the next
+    one is fetched.
     """
     columns = rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(codes_col).alias("codes")).dropna()
     asked = queries.select(F.col(id_col).cast("bigint").alias("id"), F.col(codes_col).alias("codes")).dropna()
@@ -142,9 +144,10 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
         return run
 
     spark = rows.sparkSession
-    n = asked.count()
-    passes = max(1, -(-n // block_queries))
+    n, size = asked.agg(F.count("*"), F.coalesce(F.sum(8 * F.size("codes")), F.lit(0))).first()
+    passes = max(1, -(-n // block_queries), -(-size // BLOCK_BYTES))
     numbered = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(passes)))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = None
     for number in range(passes):
         block = numbered.where(F.col("block") == number).select("id", "codes").toArrow().combine_chunks()
@@ -153,7 +156,9 @@ def topk(rows: DataFrame, queries: DataFrame, id_col: str, codes_col: str, k: in
         if isinstance(codes, pa.ChunkedArray):
             codes = codes.chunk(0) if codes.num_chunks else pa.array([], pa.list_(pa.int64()))
         sent = spark.sparkContext.broadcast(by_term(postings(codes)))
-        part = columns.mapInArrow(tidy(task(ids, sent)), schema)
-        found = part if found is None else found.unionAll(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        best_rows = columns.mapInArrow(tidy(task(ids, sent)), schema).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        if passes > 1:  # a query is in one block only
+            best_rows = written(best_rows)
+            sent.destroy()
+        found = best_rows if found is None else found.unionAll(best_rows)
+    return found.select("query_id", "rank", "vec_id", "score")

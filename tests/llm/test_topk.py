@@ -27,7 +27,7 @@ def test_like_brute_force_with_ties_and_repeats(spark, block):
 
 def test_unsound_vectors_take_no_part(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 0.0]), (4, [float("inf"), 0.0]), (None, [1.0, 1.0]),
-            (5, [1e30, 0.0]), (6, [-0.5, 0.25])]
+            (5, None), (6, [-0.5, 0.25])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     coded = df.select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
     assert [tuple(r) for r in topk.topk(coded, coded, "vec_id", "codes").orderBy("query_id").collect()] == [(0, 1, 6, 0), (6, 1, 0, 0)]
@@ -50,3 +50,20 @@ def test_a_score_beyond_a_long_is_an_error(spark):
     coded = df.select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
     with pytest.raises(Exception, match="do not fit a long"):
         topk.topk(coded, coded, "vec_id", "codes").collect()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_a_component_beyond_a_code_is_an_error(spark, kind):
+    df = spark.createDataFrame([(0, [1e30, 0.0]), (1, [1.0, 0.0])], f"vec_id bigint, embedding array<{kind}>")
+    coded = df.select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
+    with pytest.raises(Exception, match="too large for an integer code"):
+        topk.topk(coded, coded, "vec_id", "codes").collect()
+
+
+def test_blocks_of_few_bytes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 40)
+    rows = [(i, [float(i % 7), 1.0 / (i + 1)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    coded = df.select("vec_id", topk.integer_codes(F.col("embedding")).alias("codes"))
+    plain = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    assert {tuple(r) for r in topk.topk(coded, coded, "vec_id", "codes", k=3).collect()} == brute_force(plain, plain, 3)
