@@ -13,7 +13,7 @@ from nearkin.functions import text as T
 from nearkin.functions import vectors as V
 from nearkin.functions.banding import best_bands
 from nearkin.functions.hashing import md5_number
-from nearkin.operators import hyperplane, ivf, lsh, lsi, pairs, pq, search, terms, words
+from nearkin.operators import cells, hyperplane, ivf, lsh, lsi, pairs, pq, search, terms, words
 from nearkin.operators.ranking import as_queries, first_n, query_sample, rows_of
 from nearkin.plans import evaluate, features, pipeline, sweep
 from nearkin.plans.scale import scratch_folder, spread, written
@@ -389,6 +389,34 @@ def ivf_topk(spark, sf_dir):
     return rounded(ivf.ivf_topk(placed, centres, asked_vectors(spark, sf_dir), S.K, S.NPROBE), "score")
 
 
+def cell_index(spark, sf_dir):
+    return cells.build(vectors(spark, sf_dir), S.CELLS, S.ROUNDS)
+
+
+@query
+def cosine_topk_cells(spark, sf_dir):
+    """The exact answers, without looking into cells that cannot hold one."""
+    found, _ = cells.exact_topk(cell_index(spark, sf_dir), asked_vectors(spark, sf_dir), S.K)
+    return rounded(found, "score")
+
+
+@query
+def cells_compared(spark, sf_dir):
+    """How many rows each query is compared with by that search."""
+    index = cell_index(spark, sf_dir)
+    return cells.rows_compared(index, cells.exact_topk(index, asked_vectors(spark, sf_dir), S.K)[1])
+
+
+@query
+def ivf_codes_topk(spark, sf_dir):
+    """Probed cells searched by residual codes, a short list ranked by vectors."""
+    index = cell_index(spark, sf_dir)
+    books = written(pq.train_codebooks(cells.residuals(index), S.PQ_M, S.RESIDUAL_KS, S.ROUNDS))
+    coded = written(cells.with_codes(index, books))
+    asked = asked_vectors(spark, sf_dir)
+    return rounded(cells.reranked_topk(coded, index.centres, books, asked, S.K, S.NPROBE, S.REFINE), "score")
+
+
 def cosine_truth(spark, sf_dir, n=S.N_QUERIES):
     return search.cosine_topk(vectors(spark, sf_dir), asked_vectors(spark, sf_dir, n), S.K)
 

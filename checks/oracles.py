@@ -239,6 +239,33 @@ IVF = [VEC, VEC_SAMPLE, UNIT, *kmeans("cell", "unit", 1, S.CELLS, S.ROUNDS), nea
   SELECT p.qid, b.doc_id, list_dot_product(a.v, b.v) AS score FROM probes p JOIN placed USING (code)
   JOIN unit b ON b.doc_id = placed.doc_id JOIN unit a ON a.doc_id = p.qid WHERE p.qid <> b.doc_id)) WHERE rank <= {S.K})"""]
 
+# the angle of each cell, the k-th score among the nearest cell's rows, and the cells whose bound reaches it
+CELL_BOUNDS = [
+    *[part.replace(f"place <= {S.NPROBE}", "place <= 1") for part in IVF],
+    "cell_u AS (SELECT code, list_transform(c, lambda y: y / sqrt(list_dot_product(c, c))) AS u FROM cell_c)",
+    """cell_w AS (SELECT code, count(*) AS n, acos(greatest(least(min(list_dot_product(v, u)), 1.0), -1.0)) AS width
+  FROM placed JOIN cell_u USING (code) JOIN unit USING (doc_id) GROUP BY code)""",
+    f"kth AS (SELECT qid, score AS least FROM ivf_found WHERE rank = {S.K})",
+    """looked AS (SELECT s.qid, code FROM vec_sample s JOIN unit a ON a.doc_id = s.qid CROSS JOIN cell_u JOIN cell_w USING (code)
+  LEFT JOIN kth USING (qid) LEFT JOIN probes p USING (qid, code) WHERE p.qid IS NOT NULL OR least IS NULL
+  OR cos(greatest(acos(greatest(least(list_dot_product(a.v, u), 1.0), -1.0)) - width, 0)) >= least - 1e-8 * (1 + abs(least)))""",
+]
+RESIDUAL_CODES = [
+    *IVF, """res AS (SELECT doc_id, list_transform(list_zip(unit.v, c), lambda x: x[1] - x[2]) AS v
+  FROM placed JOIN unit USING (doc_id) JOIN cell_c USING (code))""",
+    *kmeans("res", "res", S.PQ_M, S.RESIDUAL_KS, S.ROUNDS), nearest("res_code", "res_sub", "res_c"),
+    f"""res_ip AS (SELECT s.qid, r.m, r.code, list_dot_product(a.v[r.m * {S.DIM // S.PQ_M} + 1:(r.m + 1) * {S.DIM // S.PQ_M}], r.c) AS ip
+  FROM vec_sample s JOIN unit a ON a.doc_id = s.qid CROSS JOIN res_c r)""",
+    f"""short AS (SELECT qid, doc_id FROM (SELECT qid, doc_id, row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id) AS place
+  FROM (SELECT p.qid, placed.doc_id, any_value(list_dot_product(a.v, c.c)) + sum(ip) AS score FROM probes p JOIN placed USING (code)
+  JOIN cell_c c ON c.code = placed.code JOIN unit a ON a.doc_id = p.qid JOIN res_code rc ON rc.doc_id = placed.doc_id
+  JOIN res_ip t ON t.qid = p.qid AND t.m = rc.m AND t.code = rc.code WHERE p.qid <> placed.doc_id GROUP BY p.qid, placed.doc_id))
+  WHERE place <= {S.REFINE * S.K})""",
+    f"""short_found AS (SELECT * FROM (SELECT *,
+  row_number() OVER (PARTITION BY qid ORDER BY {significant('score')} DESC, doc_id)::INTEGER AS rank FROM (
+  SELECT s.qid, s.doc_id, list_dot_product(a.v, b.v) AS score FROM short s JOIN unit a ON a.doc_id = s.qid JOIN unit b ON b.doc_id = s.doc_id))
+  WHERE rank <= {S.K})"""]
+
 # ------------------------------------------------------------------ evaluation
 
 
@@ -391,6 +418,10 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "pq_topk": select(PQ_TOPK, f"{found} pq_found"),
         "ivf_topk": select(IVF, f"{found} ivf_found"),
         "cosine_topk": select(COSINE_TOPK, f"{found} cosine_found"),
+        "cosine_topk_cells": select(COSINE_TOPK, f"{found} cosine_found"),
+        "cells_compared": select(CELL_BOUNDS, """SELECT qid, (sum(n) - count(o.doc_id))::BIGINT AS n_rows FROM looked JOIN cell_w USING (code)
+  LEFT JOIN placed o ON o.doc_id = qid AND o.code = looked.code GROUP BY qid"""),
+        "ivf_codes_topk": select(RESIDUAL_CODES, f"{found} short_found"),
         "inner_product_topk": select([VEC, VEC_SAMPLE, *FLAT_TOPK], f"{found} flat_found"),
         "jaccard_topk": select([TOK, WORDS, DOC_SAMPLE, *jaccard_parts("jaccard_found", "doc_sample")],
                                "SELECT qid, doc_id, score, rank FROM jaccard_found"),

@@ -23,6 +23,8 @@ PQ_KS = 256
 PQ_STARTS = 3
 CELLS = 16
 NPROBE = 4
+RESIDUAL_KS = 32
+REFINE = 2
 ROUNDS = 5
 N_SAMPLES = 2_000
 SEED = 42

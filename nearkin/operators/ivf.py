@@ -72,7 +72,11 @@ def ivf_topk(
     that probe it. The rows stay where they were read, so a cell with a third of all rows is still scored by many
     tasks.
     """
-    asked = written(probes(queries, centres, nprobe))
+    return probed_topk(placed, written(probes(queries, centres, nprobe)), k, exclude_self)
+
+
+def probed_topk(placed: DataFrame, asked: DataFrame, k: int, exclude_self: bool = True) -> DataFrame:
+    """Cosine top-k among the vectors of the cells that are asked for: a written table (qid, vector, cell) of unit vectors."""
     placed = placed.select("doc_id", "vector", "cell")
     found = None
     for table in query_passes(asked, MAX_PROBES, MAX_BROADCAST_BYTES):
