@@ -13,7 +13,7 @@ from nearkin.functions import text as T
 from nearkin.functions import vectors as V
 from nearkin.functions.banding import best_bands
 from nearkin.functions.hashing import md5_number
-from nearkin.operators import cells, hyperplane, ivf, lsh, lsi, pairs, pq, search, terms, words
+from nearkin.operators import cells, hyperplane, ivf, lsh, lsi, pairs, pq, search, skipgram, terms, words
 from nearkin.operators.ranking import as_queries, first_n, query_sample, rows_of
 from nearkin.plans import evaluate, features, pipeline, sweep
 from nearkin.plans.scale import scratch_folder, spread, written
@@ -194,6 +194,14 @@ def word2vec_embed(spark, sf_dir):
     return words.mean_pool(corpus, words.word_vectors(model))
 
 
+@query
+def skipgram_two_rounds(spark, sf_dir):
+    """Word vectors after two epochs on one block of words, with fixed start values and draws."""
+    found = skipgram.train_skipgram(
+        tokens(spark, sf_dir), S.SG_SIZE, S.SG_WINDOW, S.SG_MIN_COUNT, epochs=2, draws=S.SG_DRAWS, rate=S.SG_RATE, steps=1, seed=S.SEED, blocks=1)
+    return found.select("word", rounded_list("vector"))
+
+
 def md5_word_vectors(counts: DataFrame) -> DataFrame:
     """Vectors made from the md5 of every word that occurs at least twice."""
     known = counts.groupBy("term").agg(F.sum("tf").alias("total")).filter(F.col("total") >= S.W2V_MIN_COUNT)

@@ -9,6 +9,7 @@ from nearkin.functions.kernels import SHINGLE_BASE as BASE
 from nearkin.functions.kernels import hyperplanes
 from nearkin.functions.text import ENGLISH_STOP_WORDS
 from nearkin.operators.pairs import PERCENTS
+from nearkin.operators.skipgram import EPS, FACTOR, FOLD, PRIME, START
 from nearkin.plans.sweep import THRESHOLDS, grid
 
 
@@ -133,6 +134,51 @@ def jaccard_parts(name: str, samples: str) -> list[str]:
     ]
 
 
+# ------------------------------------------------------------------ skip-gram
+
+def skipgram_parts() -> list[str]:
+    """Two epochs on one block: u<e>, v<e> (pos, v, g) after e of them."""
+    axes = range(S.SG_SIZE)
+    number = [md5_number(f"'{S.SEED}:' || word || ':{i}'") for i in axes]
+    start = ", ".join(f"({x} % {START} / ({START} / 2.0::DOUBLE) - 1.0::DOUBLE) / {2 * S.SG_SIZE}" for x in number)
+    zeros = ", ".join("0.0::DOUBLE" for _ in axes)
+    parts = [
+        TOK,
+        f"""sg_words AS MATERIALIZED (SELECT word, n AS total, row_number() OVER (ORDER BY word) - 1 AS pos FROM (
+  SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM tok) GROUP BY word HAVING count(*) >= {S.SG_MIN_COUNT}))""",
+        "sg_at AS MATERIALIZED (SELECT doc_id, unnest(tokens) AS word, unnest(range(len(tokens))) AS i FROM tok)",
+        f"""sg_near AS (SELECT p.word AS pw, q.word AS qw FROM (SELECT *, unnest([j for j in range(-{S.SG_WINDOW}, {S.SG_WINDOW + 1}) if j <> 0]) AS j FROM sg_at) p
+  JOIN sg_at q ON p.doc_id = q.doc_id AND q.i = p.i + p.j)""",
+        """sg_pairs AS MATERIALIZED (SELECT a.pos AS c, b.pos AS x, count(*)::DOUBLE AS n FROM sg_near
+  JOIN sg_words a ON a.word = pw JOIN sg_words b ON b.word = qw GROUP BY ALL)""",
+        "sg_upto AS MATERIALIZED (SELECT pos, sum(pow(total, 0.75)) OVER (ORDER BY pos) AS upto FROM sg_words)",
+        f"u0 AS MATERIALIZED (SELECT pos, [{start}] AS v, 0.0::DOUBLE AS g FROM sg_words)",
+        f"v0 AS MATERIALIZED (SELECT pos, [{zeros}] AS v, 0.0::DOUBLE AS g FROM sg_words)",
+    ]
+    for e in (0, 1):
+        draws = []
+        for draw in range(1, S.SG_DRAWS + 1):
+            h = f"((c * {FOLD} + x) % {PRIME})"
+            for salt in (e, draw, S.SEED):
+                h = f"(({h} * {FACTOR} + {salt + 1}) % {PRIME})"
+            draws.append(f"SELECT c, n, 0 AS hit, ({h} * {FACTOR}) % {PRIME} / {PRIME}.0::DOUBLE * (SELECT max(upto) FROM sg_upto) AS share FROM sg_pairs")
+        parts += [
+            f"""sg_met{e} AS MATERIALIZED (SELECT c, x AS o, n, 1 AS hit FROM sg_pairs UNION ALL SELECT c, t.pos, n, hit FROM (
+  {' UNION ALL '.join(draws)}) d ASOF JOIN sg_upto t ON d.share < t.upto)""",
+            f"""sg_pull{e} AS MATERIALIZED (SELECT c, o, n * (hit - 1 / (1 + exp(-list_dot_product(a.v, b.v)))) AS pull, a.v AS av, b.v AS bv
+  FROM sg_met{e} JOIN u{e} a ON a.pos = c JOIN v{e} b ON b.pos = o)""",
+        ]
+        for side, key, other in (("u", "c", "bv"), ("v", "o", "av")):
+            sums = ", ".join(f"sum(pull * {other}[{i + 1}])" for i in axes)
+            parts += [
+                f"{side}_slope{e} AS (SELECT {key} AS pos, [{sums}] AS s FROM sg_pull{e} GROUP BY {key})",
+                f"""{side}{e + 1} AS MATERIALIZED (SELECT pos, list_transform(list_zip(v, s), lambda y: y[1] + {S.SG_RATE}::DOUBLE * y[2] / sqrt(g + {EPS!r}::DOUBLE)) AS v, g
+  FROM (SELECT o.pos, v, coalesce(s, [{zeros}]) AS s, g + coalesce(list_dot_product(s, s) / {S.SG_SIZE}, 0) AS g
+  FROM {side}{e} o LEFT JOIN {side}_slope{e} USING (pos)))""",
+            ]
+    return parts
+
+
 # ------------------------------------------------------------------ vectors
 
 VEC = "vec AS (SELECT vec_id AS doc_id, embedding::DOUBLE[] AS v FROM embeddings)"
@@ -444,6 +490,7 @@ near AS (SELECT DISTINCT q.doc_id AS qid, c.doc_id FROM bands q JOIN bands c USI
         "saved_jaccard_sample": select(DRAWS, "SELECT draw, a_id, b_id, jaccard FROM drawn"),
         "word2vec_vocabulary": select([TOK, TERMS], f"""SELECT term AS word, {S.W2V_SIZE}::INTEGER AS dim
   FROM terms GROUP BY term HAVING sum(tf) >= {S.W2V_MIN_COUNT}"""),
+        "skipgram_two_rounds": select(skipgram_parts(), f"SELECT word, {round_list('v')} AS vector FROM u2 JOIN sg_words USING (pos)"),
         "query_sample": select([DOC_SAMPLE], "SELECT qid FROM doc_sample"),
         "recall_per_query": select(RECALLS, "SELECT method, qid, round(recall, 6) AS recall FROM recalls"),
         "method_recall": select(RECALLS, """SELECT method, count(*) AS n_queries, round(avg(recall), 6) AS recall

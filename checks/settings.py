@@ -10,6 +10,11 @@ LEADING_STEPS = 10
 W2V_SIZE = 200
 W2V_MIN_COUNT = 2
 POOL_DIM = 8
+SG_SIZE = 4
+SG_WINDOW = 2
+SG_MIN_COUNT = 20
+SG_DRAWS = 2
+SG_RATE = 0.05
 NUM_PERM = 128
 THRESHOLD = 0.8
 SHINGLE_N = 5

@@ -15,6 +15,7 @@ from nearkin.functions.vectors import l2_normalize
 from nearkin.operators import hyperplane, ivf, lsh, pq, terms
 from nearkin.operators.lsi import lsi_embed
 from nearkin.operators.ranking import first_n, query_sample
+from nearkin.operators.skipgram import train_skipgram
 from nearkin.operators.words import mean_pool, train_word2vec, word_vectors
 from nearkin.plans import evaluate
 from nearkin.plans.features import tokens_of
@@ -44,7 +45,7 @@ class PipelineConfig:
     n_queries: int = 200
     power_steps: int = 5
     stop_words: tuple[str, ...] = field(default=ENGLISH_STOP_WORDS)
-    embedding: str = "lsi"  # or w2v, of lsi_dims dimensions as well
+    embedding: str = "lsi"  # or w2v (Spark's trainer) or sgns (trained by word blocks), of lsi_dims dimensions as well
     w2v_min_count: int = 2
     w2v_epochs: int = 5
     basis: str = "token"  # or shingle: the sets that MinHash answers are ranked on and measured by
@@ -54,7 +55,7 @@ class PipelineConfig:
     nprobe: int = 4
 
 
-EMBEDDINGS = ("lsi", "w2v")
+EMBEDDINGS = ("lsi", "w2v", "sgns")
 
 
 def _timed(df: DataFrame, n_queries: int) -> tuple[DataFrame, float, int]:
@@ -133,6 +134,8 @@ def _embedded(tokens: DataFrame, n_docs: int, c: PipelineConfig) -> DataFrame:
     if c.embedding == "w2v":
         model = train_word2vec(tokens, c.lsi_dims, min_count=c.w2v_min_count, epochs=c.w2v_epochs)
         return mean_pool(tokens, word_vectors(model))
+    if c.embedding == "sgns":
+        return mean_pool(tokens, train_skipgram(tokens, c.lsi_dims, min_count=c.w2v_min_count, epochs=c.w2v_epochs))
     vocab = written(terms.vocabulary(terms.term_counts(tokens), c.max_features))
     rows, names = terms.tfidf_rows(tokens, vocab, n_docs)
     if c.lsi_dims > len(names):
