@@ -4,10 +4,11 @@ A window is n consecutive words. A word is removed if a window around it has the
 document of a smaller id, or in the same one further in front. Suffixes are sampled where it loses nothing: of each
 window the k-word gram of least hash is its anchor, so equal windows have equal anchors at equal places. A suffix starts at
 each anchor and keeps the words in front of it that its windows need. Anchors that occur once in the whole
-corpus are dropped; for the rest, suffixes are grouped by a prefix of variable length: its first words, and all k words
-where more than group_rows suffixes share those. A task takes groups up to a bounded number of suffixes, sorts all
-window suffixes, and reads the tree off the common prefix lengths of neighbours: nodes as deep as a window are
-its repeats, whose first leaf stays.
+corpus are dropped; for the rest, suffixes are grouped by a prefix of variable length: its first two words, all k words where
+more than group_rows texts share those, and all n words of a window where an anchor is in more than crowd_texts texts. Of
+the last the least start is found by a minimum that is combined before the shuffle, so no such group is held by a task.
+A task takes the other groups up to a bounded number of suffixes, sorts all window suffixes, and reads the tree off
+the common prefix lengths of neighbours: nodes as deep as a window are its repeats, whose first leaf stays.
 
 Defined results: null texts have no words. Rows without an id take no part and keep all words. Rows of the same id and
 text are one document, and each gets its result; of different texts under one id, the smaller text hash
@@ -25,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrays import Words, slices, tidy, windows, words_of
+from nearkin.llm.arrays import STEP, Words, mixed, slices, tidy, windows, words_of
 from nearkin.llm.postings import gather, scatter, shard_count
 from nearkin.llm.quality import unused
-from nearkin.plans.scale import written
+from nearkin.plans.scale import fits_broadcast, written
 
 SHORT = 2
 TREE_ROWS = 10_000
@@ -144,6 +145,32 @@ def suffix_rows(n: int, k: int):
     return run, "prefix bigint, id bigint, node bigint, start bigint, count bigint, context binary"
 
 
+def window_rows(n: int, k: int):
+    """The windows of the documents' crowded anchors, a row for each: two hashes of its words, id, node and start."""
+    names = ["h1", "h2", "id", "node", "start"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, 2):
+                ids, nodes = np.asarray(piece.column(0)), np.asarray(piece.column(1))
+                words = words_of(piece.column(2))
+                start, place, grams = anchors(words, n, k)
+                if len(start) == 0:
+                    continue
+                wanted, doc = piece.column(3), words.doc
+                salt = np.arange(len(ids), dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
+                known = np.sort(np.asarray(wanted.flatten()).view(np.uint64) ^ salt[np.repeat(np.arange(len(ids)), np.asarray(wanted.value_lengths()))])
+                mine = grams[place] ^ salt[doc[start]]
+                start = start[known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine]
+                owner = doc[start]
+                first, second = windows(words.hash, n)[start], windows(mixed(words.hash ^ STEP), n)[start]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(ids[owner]), pa.array(nodes[owner]),
+                    pa.array((start - words.bound[owner]).astype(np.int64))], names=names)
+
+    return run, "h1 bigint, h2 bigint, id bigint, node bigint, start bigint"
+
+
 def repeats_in_tree(ids: np.ndarray, nodes: np.ndarray, starts: np.ndarray, counts: np.ndarray, contexts: list[bytes],
                     n: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and window number of every window suffix that is not the first leaf of its node at depth n."""
@@ -240,7 +267,7 @@ def without_repeats(fields: list[str], place: int, n: int):
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 20, k: int = 8,
-                   group_rows: int = 20_000) -> DataFrame:
+                   group_rows: int = 20_000, crowd_texts: int = 5_000) -> DataFrame:
     """The rows of df with n_words, n_removed and kept: the words left, joined by one space."""
     id_name, node, mark = (unused(df, x) for x in ("_id", "_node", "_marks"))
     columns = [F.col(f"`{c}`") for c in df.columns]
@@ -253,8 +280,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shards = shard_count(slim, "text")
     blobs = scatter(slim, lambda column: anchor_postings(column, n, k), shards, columns=3)
     repeated = written(gather(blobs, repeated_anchors, shards, "node bigint, anchor bigint, short bigint"))
-    crowded = repeated.groupBy("short").count().where(F.col("count") > group_rows).select("short", F.lit(True).alias("long"))
-    wanted = repeated.join(crowded, "short", "left").join(firsts, "node").groupBy("id", "node").agg(
+    def near(keys: DataFrame) -> DataFrame:
+        return F.broadcast(keys) if fits_broadcast(keys, 16) else keys
+
+    crowds = written(repeated.groupBy("anchor").count().where(F.col("count") > crowd_texts).select("anchor"))
+    hot = None if crowds.isEmpty() else repeated.join(near(crowds), "anchor", "left_semi")
+    repeated = repeated if hot is None else repeated.join(near(crowds), "anchor", "left_anti")
+    crowded = written(repeated.groupBy("short").count().where(F.col("count") > group_rows).select("short", F.lit(True).alias("long")))
+    wanted = repeated.join(near(crowded), "short", "left").join(firsts, "node").groupBy("id", "node").agg(
         F.collect_list(F.struct("anchor", F.coalesce("long", F.lit(False)).alias("long"))).alias(mark))
 
     def to_docs(found: DataFrame, how: str) -> DataFrame:
@@ -265,6 +298,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = to_docs(wanted, "inner").select(id_name, node, F.col(text_col), mark, *columns).mapInArrow(tidy(rows_of), rows_schema)
     marks_of, marks_schema = tree_marks(n)
     found = rows.repartition(shards, "prefix").sortWithinPartitions("prefix").mapInArrow(tidy(marks_of), marks_schema)
+    if hot is not None:  # a window of its own for each row: the first of equal ones by a minimum that is combined before the shuffle
+        asked = hot.join(firsts, "node").groupBy("id", "node").agg(F.collect_list("anchor").alias(mark))
+        windows_of, windows_schema = window_rows(n, k)
+        single = written(to_docs(asked, "inner").select(id_name, node, F.col(text_col), mark).mapInArrow(tidy(windows_of), windows_schema))
+        own = ["id", "node", "start"]
+        stay = single.groupBy("h1", "h2").agg(F.min(F.struct(*own)).alias("first")).select("first.*")
+        found = found.unionByName(single.select(*own).join(stay, own, "left_anti").withColumn("count", F.lit(1).cast("bigint")))
     copies = slim.select("id", "node").distinct().join(firsts.withColumnRenamed("id", "first"), "node").where(F.col("id") > F.col("first"))
     marks = found.unionByName(copies.select("id", "node", F.lit(0).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("count"))) \
         .groupBy("id", "node").agg(F.collect_list(F.struct("start", "count")).alias(mark))

@@ -19,11 +19,12 @@ def brute_force(documents, n):
     return kept
 
 
-@pytest.mark.parametrize("n, k, seed", [(20, 8, 3), (20, 8, 4), (6, 3, 5), (9, 9, 6)])
-def test_windows_follow_the_definition(spark, n, k, seed):
+@pytest.mark.parametrize("n, k, seed, crowd", [(20, 8, 3, 5000), (20, 8, 4, 3), (6, 3, 5, 5), (9, 9, 6, 1), (6, 3, 7, 0)])
+def test_windows_follow_the_definition(spark, n, k, seed, crowd):
+    """Anchors in more than `crowd` texts go through single windows, the others through trees."""
     rows = odd_rows(seed)
     df = frame(spark, rows)
-    found = substring.remove_repeats(df, n=n, k=k, group_rows=5)
+    found = substring.remove_repeats(df, n=n, k=k, group_rows=5, crowd_texts=crowd)
     assert found.columns == [*df.columns, "n_words", "n_removed", "kept"]
     found = found.collect()
     assert len(found) == len(rows)
@@ -33,11 +34,12 @@ def test_windows_follow_the_definition(spark, n, k, seed):
         assert (r.n_words, r.n_removed, r.kept) == (len(words(r.text)), len(words(r.text)) - len(own), " ".join(own))
 
 
-def test_one_passage_in_most_documents_and_periodic_text(spark):
+@pytest.mark.parametrize("crowd", [50, 5000])
+def test_one_passage_in_most_documents_and_periodic_text(spark, crowd):
     passage = " ".join(f"p{i}" for i in range(50))
     rows = [(i, f"a{i} {passage} b{i}", None, None, None, None, None, None) for i in range(300)]
     rows += [(1000 + i, "t u " * 60, None, None, None, None, None, None) for i in range(2)]
-    found = {r.doc_id: r for r in substring.remove_repeats(frame(spark, rows)).collect()}
+    found = {r.doc_id: r for r in substring.remove_repeats(frame(spark, rows), crowd_texts=crowd).collect()}
     assert found[0].n_removed == 0 and all(found[i].kept == f"a{i} b{i}" for i in range(1, 300))
     assert found[1000].kept == " ".join(["t", "u"]) and found[1001].kept == ""
 
