@@ -51,3 +51,10 @@ def test_filter_keeps_columns_and_empty_tables(spark):
         n, _, _, _, repeated = counts(text)
         assert n >= 50 and 2 * repeated <= n
     assert quality.quality_filter(df.where("false")).count() == 0
+
+
+def test_order_by_rejection_per_cost_is_not_moved_by_noise():
+    """Costs that differ by less than noise count as equal; the given order decides between equal rules."""
+    for jitter in (0.0, 0.001, -0.001):
+        measures = {"dear": (0.9 + jitter, 0.5), "cheap": (0.101 + jitter, 0.2), "cheap too": (0.1 - jitter, 0.2), "never": (0.1, 0.0), "strong": (0.102, 0.4)}
+        assert sorted(measures, key=quality.worth_of(measures, 0.1)) == ["strong", "cheap", "cheap too", "dear", "never"]
