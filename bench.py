@@ -46,7 +46,17 @@ def throughput(spark, sf_dir: str) -> dict[str, float]:
     corpus = written(lsh_features(tokens))
     text_queries = written(as_queries(rows_of(corpus, query_sample(tokens, 2_000))))
     words = corpus.select("doc_id", "words")
+    # the size of the published figures: all documents as vectors of 200 numbers, 2,000 of them as queries
+    latent = written(QUERIES["lsi_embed"](spark, sf_dir).withColumnRenamed("embedding", "vector"))
+    latent_unit = written(latent.select("doc_id", l2_normalize(F.col("vector")).alias("vector")))
+    drawn = query_sample(latent, 2_000)
+    latent_asked = written(rows_of(latent, drawn).withColumnRenamed("doc_id", "qid"))
+    unit_asked = written(rows_of(latent_unit, drawn).withColumnRenamed("doc_id", "qid"))
+    latent_books = written(pq.train_codebooks(latent))
+    latent_codes = written(pq.encode(latent, latent_books))
     jobs = {
+        "flat_200": (latent_asked.count(), lambda: search.inner_product_topk(latent_unit, unit_asked)),
+        "pq_200": (latent_asked.count(), lambda: pq.pq_topk(latent_codes, latent_books, latent_asked)),
         "flat": (vectors.count(), lambda: search.inner_product_topk(unit, unit.withColumnRenamed("doc_id", "qid"))),
         "pq": (vectors.count(), lambda: pq.pq_topk(codes, books, asked)),
         "lsh_candidates": (text_queries.count(), lambda: lsh.lsh_candidates(corpus, text_queries)),

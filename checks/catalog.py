@@ -69,18 +69,18 @@ def asked_vectors(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
     return rows_of(vectors(spark, sf_dir), vector_sample(spark, sf_dir, n)).withColumnRenamed("doc_id", "qid")
 
 
-def asked_words(spark, sf_dir, n=S.N_QUERIES) -> DataFrame:
-    asked = rows_of(tokens(spark, sf_dir), document_sample(spark, sf_dir, n))
+def asked_words(spark, sf_dir, n=S.N_QUERIES, corpus=None) -> DataFrame:
+    asked = rows_of(corpus or tokens(spark, sf_dir), document_sample(spark, sf_dir, n))
     return features.words_of(asked).withColumnRenamed("doc_id", "qid")
 
 
-def lsh_corpus(spark, sf_dir) -> DataFrame:
+def lsh_corpus(spark, sf_dir, corpus=None) -> DataFrame:
     """Keys and words as a table: a search reads the columns it needs."""
-    return written(features.lsh_features(tokens(spark, sf_dir), S.NUM_PERM, S.THRESHOLD, S.SHINGLE_N))
+    return written(features.lsh_features(corpus or tokens(spark, sf_dir), S.NUM_PERM, S.THRESHOLD, S.SHINGLE_N))
 
 
-def lsh_queries(spark, sf_dir) -> DataFrame:
-    asked = rows_of(tokens(spark, sf_dir), document_sample(spark, sf_dir))
+def lsh_queries(spark, sf_dir, corpus=None) -> DataFrame:
+    asked = rows_of(corpus or tokens(spark, sf_dir), document_sample(spark, sf_dir))
     return as_queries(features.lsh_features(asked, S.NUM_PERM, S.THRESHOLD, S.SHINGLE_N))
 
 
@@ -232,8 +232,8 @@ def lsh_candidates(spark, sf_dir):
     return lsh.lsh_candidates(lsh_corpus(spark, sf_dir), lsh_queries(spark, sf_dir))
 
 
-def lsh_answers(spark, sf_dir):
-    return lsh.lsh_topk(lsh_corpus(spark, sf_dir), lsh_queries(spark, sf_dir), S.K)
+def lsh_answers(spark, sf_dir, corpus=None):
+    return lsh.lsh_topk(lsh_corpus(spark, sf_dir, corpus), lsh_queries(spark, sf_dir, corpus), S.K)
 
 
 @query
@@ -446,9 +446,9 @@ def inner_product_topk(spark, sf_dir):
     return rounded(flat_answers(spark, sf_dir), "score")
 
 
-def jaccard_truth(spark, sf_dir, n=S.N_QUERIES):
-    corpus = features.words_of(tokens(spark, sf_dir))
-    return search.jaccard_topk(corpus, asked_words(spark, sf_dir, n), S.K)
+def jaccard_truth(spark, sf_dir, n=S.N_QUERIES, corpus=None):
+    words = features.words_of(corpus or tokens(spark, sf_dir))
+    return search.jaccard_topk(words, asked_words(spark, sf_dir, n, corpus), S.K)
 
 
 @query
@@ -465,10 +465,10 @@ def query_sample_(spark, sf_dir):
 
 def recalls(spark, sf_dir) -> dict[str, DataFrame]:
     asked, asked_docs = vector_sample(spark, sf_dir), document_sample(spark, sf_dir)
-    cosine = written(cosine_truth(spark, sf_dir))
+    cosine, corpus = written(cosine_truth(spark, sf_dir)), written(tokens(spark, sf_dir))
     return {
         "pq": evaluate.recall_per_query(asked, cosine, pq_answers(spark, sf_dir), S.K),
-        "lsh": evaluate.recall_per_query(asked_docs, jaccard_truth(spark, sf_dir), lsh_answers(spark, sf_dir), S.K),
+        "lsh": evaluate.recall_per_query(asked_docs, jaccard_truth(spark, sf_dir, corpus=corpus), lsh_answers(spark, sf_dir, corpus), S.K),
         "flat": evaluate.recall_per_query(asked, cosine, flat_answers(spark, sf_dir), S.K),
     }
 
@@ -515,9 +515,9 @@ def jaccard_percentiles(spark, sf_dir):
 
 
 def sweep_table(spark, sf_dir):
-    sample = document_sample(spark, sf_dir, S.SWEEP_QUERIES)
-    table = sweep.lsh_sweep(tokens(spark, sf_dir), sample, jaccard_truth(spark, sf_dir, S.SWEEP_QUERIES), S.K)
-    n = S.SWEEP_QUERIES
+    n, corpus = S.SWEEP_QUERIES, written(tokens(spark, sf_dir))
+    sample = document_sample(spark, sf_dir, n)
+    table = sweep.lsh_sweep(corpus, sample, jaccard_truth(spark, sf_dir, n, corpus), S.K)
     asked = vector_sample(spark, sf_dir, n)
     cosine = written(cosine_truth(spark, sf_dir, n))
     fixed = evaluate.method_recall({
