@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions.vectors import l2_normalize
-from nearkin.operators import hyperplane, ivf, lsh, pq, search
+from nearkin.operators import cells, hyperplane, ivf, lsh, pq, search
 from nearkin.operators.ranking import as_queries, rank_topk, rows_of
 from nearkin.plans.scale import written
 from nearkin.sources.tables import read_table
@@ -98,12 +98,27 @@ def _probed_rows(saved: Saved, sample: DataFrame) -> int:
     return int(rows) - probes.join(own, ["qid", "cell"], "left_semi").count()
 
 
+def _cell_index(saved: Saved) -> cells.CellIndex:
+    return cells.index_of(saved.table("cells"), saved.table("codebooks", "centres"))
+
+
+def _cells(saved: Saved, sample: DataFrame, k: int) -> DataFrame:
+    return cells.exact_topk(_cell_index(saved), saved.asked_vectors(sample), k)[0]
+
+
+def _rows_in_cells(saved: Saved, sample: DataFrame, k: int = 10) -> int:
+    index = _cell_index(saved)
+    looked = cells.exact_topk(index, saved.asked_vectors(sample), k)[1]
+    return int(cells.rows_compared(index, looked).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0])
+
+
 METHODS: dict[str, Method] = {
     "pq": Method("cosine", _pq, scored=_all_rows),
     "lsh": Method("jaccard", _lsh, look_up=_lsh_pairs),
     "flat": Method("cosine", _flat, scored=_all_rows),
     "hyperplane": Method("cosine", _hyperplane, look_up=_hyperplane_pairs),
     "ivf": Method("cosine", _ivf, scored=_probed_rows),
+    "cells": Method("cosine", _cells, scored=_rows_in_cells),
 }
 
 

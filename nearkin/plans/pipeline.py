@@ -106,7 +106,7 @@ def run_pipeline(
     # hyperplane buckets and cells
     if "hyperplane" in c.methods:
         write_table(hyperplane.hyperplane_signatures(vectors, c.n_bits), "buckets", f"{out}/buckets")
-    if "ivf" in c.methods:
+    if {"ivf", "cells"} & set(c.methods):
         write_table(ivf.train_cells(vectors, c.cells, c.pq_rounds), "codebooks", f"{out}/centres")
         write_table(ivf.assign_cells(vectors, read_table(spark, "codebooks", f"{out}/centres")), "cells", f"{out}/cells")
 

@@ -118,10 +118,11 @@ def test_run_with_all_methods_and_one_of_our_own(spark, documents, tmp_path):
     from nearkin.plans.methods import METHODS, Method
 
     config = PipelineConfig(lsi_dims=16, pq_ks=16, pq_rounds=2, num_perm=32, n_queries=15, max_docs=90, power_steps=1, n_bits=3, cells=4, nprobe=4,
-                            methods=("pq", "lsh", "flat", "hyperplane", "ivf"), basis="shingle", threshold=0.3)
+                            methods=("pq", "lsh", "flat", "hyperplane", "ivf", "cells"), basis="shingle", threshold=0.3)
     metrics = {r["method"]: r for r in run_pipeline(spark, documents, config, str(tmp_path)).collect()}
     assert set(metrics) == set(METHODS)
-    assert metrics["flat"]["recall"] == metrics["ivf"]["recall"] == 1.0  # all cells are probed
+    assert metrics["flat"]["recall"] == metrics["ivf"]["recall"] == metrics["cells"]["recall"] == 1.0  # all cells are probed
+    assert 0 < metrics["cells"]["n_candidates"] <= 15 * 89
     assert metrics["flat"]["n_candidates"] == metrics["pq"]["n_candidates"] == metrics["ivf"]["n_candidates"] == 15 * 89
     assert 0 < metrics["hyperplane"]["n_candidates"] < 15 * 89 and 0 < metrics["hyperplane"]["recall"] < 1
     assert all(0 < r["lookup_time"] <= r["avg_time"] for r in metrics.values())
