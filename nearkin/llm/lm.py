@@ -3,7 +3,7 @@
 Words become ids by their place in the sorted array of word hashes. From the highest order down, tasks send the distinct
 grams of their text with counts to the shard of the gram's context; a shard adds them up and writes its sorted hashes and counts, its contexts'
 totals, and sends each gram without its first word to the next lower order, where counts are numbers of distinct
-left neighbours. Contexts of frequent words are spread over all shards. The files lie in the shared folder, which
+left neighbours (those of grams that begin with a start mark stay numbers of occurrences, as nothing can stand in front). Contexts of frequent words are spread over all shards. The files lie in the shared folder, which
 workers must see as files; they are written under another name and renamed, so a repeated task leaves the same files.
 
 P_j(w | c) = max(count - D(count), 0) / total(c) + gamma(c) * P_{j-1}(w | shorter c), where the discounts D for counts 1, 2
@@ -49,6 +49,11 @@ def model_folder(spark: SparkSession) -> str:
     return path
 
 
+def small(values: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds all of them."""
+    return values.astype(np.min_scalar_type(int(values.max()))) if len(values) else values.astype(np.uint8)
+
+
 def save(folder: str, name: str, values: np.ndarray) -> None:
     """Writes an array so that it is there whole or not at all."""
     other = os.path.join(folder, f"{name}.{uuid.uuid4().hex}.part")
@@ -233,7 +238,7 @@ def add_words(folder: str, shards: int):
     def handle(shard: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         (key,), count = totals([np.frombuffer(parts[0], np.uint64)], np.frombuffer(parts[1], np.uint32))
         save(folder, f"word-{shard}-key", key)
-        save(folder, f"word-{shard}-count", count)
+        save(folder, f"word-{shard}-count", small(count))
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(key)], pa.int64()),
                                           pa.array([int(count.sum())], pa.int64())], names=["shard", "words", "tokens"])
 
@@ -309,15 +314,18 @@ def add_grams(model: Model, j: int):
         key = gram_hash(ids)
         order = np.argsort(key)
         save(folder, f"gram{j}-{shard}-key", key[order])
-        save(folder, f"gram{j}-{shard}-count", count[order].astype(np.uint32))
+        save(folder, f"gram{j}-{shard}-count", small(count[order]))
         kinds = [count == 1, count == 2, count >= 3]
         if j > 1:
             context = gram_hash(ids[:-1])
             own, at = np.unique(context, return_inverse=True)
-            sums = [np.bincount(at, weights=w, minlength=len(own)).astype(np.uint32 if i else np.uint64)
+            group = np.argsort(at, kind="stable")
+            first = np.searchsorted(at[group], np.arange(len(own)))
+            sums = [np.add.reduceat(w[group].astype(np.uint64), first).astype(np.uint32 if i else np.uint64) if len(own) else w.astype(np.uint64)
                     for i, w in enumerate([count, *kinds])]
             yield rows("context", packed(own % np.uint64(shards), [own, *sums]))
-            shorter, left = totals(ids[1:], np.ones(len(count), np.uint32))
+            # no word stands in front of a start mark: such grams keep their counts
+            shorter, left = totals(ids[1:], np.where(ids[1] == model.offsets[-1], count, 1))
             vocabulary = Vocabulary(folder, model.offsets)
             frequency = []
             for column in shorter:
@@ -349,9 +357,12 @@ def add_contexts(model: Model, j: int):
     def handle(shard: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         context = np.frombuffer(parts[0], np.uint64)
         own, at = np.unique(context, return_inverse=True)
+        group = np.argsort(at, kind="stable")
+        first = np.searchsorted(at[group], np.arange(len(own)))
         save(model.folder, f"context{j}-{shard}-key", own)
         for name, part, kind in zip(("total", "k1", "k2", "k3"), parts[1:], (np.uint64, np.uint32, np.uint32, np.uint32)):
-            save(model.folder, f"context{j}-{shard}-{name}", np.bincount(at, weights=np.frombuffer(part, kind), minlength=len(own)))
+            values = np.frombuffer(part, kind)[group].astype(np.uint64)
+            save(model.folder, f"context{j}-{shard}-{name}", small(np.add.reduceat(values, first) if len(own) else values))
         yield pa.RecordBatch.from_arrays([pa.array([len(own)], pa.int64())], names=["contexts"])
 
     return handle, "contexts bigint"

@@ -27,7 +27,9 @@ def brute_force(train, texts, order):
         for i in range(order - 1, len(row)):
             grams[order][tuple(row[i - order + 1: i + 1])] += 1
     for j in range(order - 1, 0, -1):
-        grams[j] = Counter(g[1:] for g in grams[j + 1])
+        grams[j] = Counter()
+        for g, c in grams[j + 1].items():
+            grams[j][g[1:]] += c if g[1] == "<s>" else 1
     words = Counter(t for text in train for t in tokens(text))
     d, followers = {}, {j: defaultdict(list) for j in grams}
     for j, counts in grams.items():
