@@ -12,7 +12,8 @@ number of distinct training tokens; a context that was not seen passes its proba
 order - 1 start marks and followed by an end, which is a token.
 
 Null texts count as empty: one token, the end. Null ids are in training. Rows that repeat are counted and scored each time.
-With no training text every token has probability 1. Extra columns are kept.
+With no training text every token has probability 1. Of extra columns those named in `keep` stay; added ones get underscores in front
+where a name is taken.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from nearkin.llm.arrays import STEP, mixed, slices, tidy, words_of
 from nearkin.llm.postings import by_shard, packed, packed_schema, shard_count
+from nearkin.llm.quality import unused
 from nearkin.plans.scale import scratch_folder, written
 
 #: Fixed value: stands for the end of a text among the word hashes.
@@ -397,7 +399,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
     """The columns `keep` with n_tokens, n_known, base_score (add-one unigram), score (log10) and perplexity of each text."""
     kept = df.select(F.col(text_col), *keep)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:]]
-    names = [*keep, "n_tokens", "n_known", "base_score", "score", "perplexity"]
+    added = [unused(df.select(*keep), x) for x in ("n_tokens", "n_known", "base_score", "score", "perplexity")]
+    names = [*keep, *added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -409,7 +412,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
                 yield pa.RecordBatch.from_arrays([
                     *piece.columns[1:], pa.array(n), pa.array(known), pa.array(plain), pa.array(total), pa.array(10 ** (-total / n))], names=names)
 
-    return kept.mapInArrow(tidy(run), ", ".join(fields + ["n_tokens bigint, n_known bigint, base_score double, score double, perplexity double"]))
+    return kept.mapInArrow(tidy(run), ", ".join(fields + [f"`{x}` {kind}" for x, kind in zip(added, ("bigint", "bigint", "double", "double", "double"))]))
 
 
 def held_out(id_col: str) -> Column:

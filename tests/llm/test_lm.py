@@ -108,3 +108,11 @@ def test_query_scores_by_more_than_one_word_of_context(spark, data, monkeypatch)
     monkeypatch.setattr(lm, "train", watched)
     queries.op5_lm_scoring(spark, data)
     assert made[0].order == 3
+
+
+def test_kept_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b", 0.5, 7)], "doc_id bigint, text string, score double, n_tokens int")
+    found = lm.score(df, lm.train(df, order=2), keep=("doc_id", "score", "n_tokens"))
+    assert found.columns == ["doc_id", "score", "n_tokens", "_n_tokens", "n_known", "base_score", "_score", "perplexity"]
+    row = found.first()
+    assert (row.score, row.n_tokens, row["_n_tokens"], row.n_known) == (0.5, 7, 3, 3)
