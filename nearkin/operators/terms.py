@@ -8,6 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from nearkin.functions import kernels
 from nearkin.plans.scale import fits_broadcast
 
 
@@ -31,10 +32,11 @@ def term_counts(tokens: DataFrame) -> DataFrame:
     """(doc_id, tokens) -> (doc_id, term, tf). A document is one row, so its terms are counted where it lies."""
     def count(batches):
         for batch in batches:
-            row, term, tf, terms = _counted(batch)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(row)), terms.take(pa.array(term)), pa.array(tf, pa.int64())],
-                names=["doc_id", "term", "tf"])
+            for part in kernels.pieces(batch, "tokens"):
+                row, term, tf, terms = _counted(part)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(row)), terms.take(pa.array(term)), pa.array(tf, pa.int64())],
+                    names=["doc_id", "term", "tf"])
 
     kind = dict(tokens.dtypes)["doc_id"]
     return tokens.select("doc_id", "tokens").mapInArrow(count, f"doc_id {kind}, term string, tf bigint")
@@ -69,10 +71,11 @@ def _weights(tokens: DataFrame, listed: pa.Table, make, schema: str) -> DataFram
         for batch in batches:
             if not len(idf):
                 return
-            row, term, tf, _ = _counted(batch, terms)
-            weight = tf * idf[term]
-            length = np.sqrt(np.bincount(row, weights=weight * weight, minlength=batch.num_rows))
-            yield make(batch.column("doc_id"), row, term, weight / length[row], terms)
+            for part in kernels.pieces(batch, "tokens"):
+                row, term, tf, _ = _counted(part, terms)
+                weight = tf * idf[term]
+                length = np.sqrt(np.bincount(row, weights=weight * weight, minlength=part.num_rows))
+                yield make(part.column("doc_id"), row, term, weight / length[row], terms)
 
     return tokens.select("doc_id", "tokens").mapInArrow(weigh, schema)
 
