@@ -34,14 +34,15 @@ def minhash_signatures(corpus: DataFrame, num_perm: int = 128, shingle_n: int =
 
     def sign(batches):
         for batch in batches:
-            tokens = batch.column(at)
-            lengths = np.diff(np.asarray(tokens.offsets)).astype(np.int64)
-            numbers, row = kernels.shingle_numbers(kernels.word_numbers(tokens.flatten()), lengths, shingle_n)
-            signature = kernels.minhash(numbers, row, batch.num_rows, a, b)
-            yield pa.RecordBatch.from_arrays(
-                batch.columns + [kernels.list_column(signature, pa.int32())],
-                names=batch.schema.names + ["signature"],
-            )
+            for part in kernels.pieces(batch, at):
+                tokens = part.column(at)
+                lengths = np.diff(np.asarray(tokens.offsets)).astype(np.int64)
+                numbers, row = kernels.shingle_numbers(kernels.word_numbers(tokens.flatten()), lengths, shingle_n)
+                signature = kernels.minhash(numbers, row, part.num_rows, a, b)
+                yield pa.RecordBatch.from_arrays(
+                    part.columns + [kernels.list_column(signature, pa.int32())],
+                    names=part.schema.names + ["signature"],
+                )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in corpus.schema.fields)
     return corpus.mapInArrow(sign, f"{schema}, signature array<int>")
@@ -145,8 +146,7 @@ def ranked_in_place(keyed: DataFrame, table: pa.Table, k: int, exclude_self: boo
         scorer = kernels.PairJaccard(whole(asked.column("q_words")))
         step, best = max(1, PAIRS_AT_ONCE // len(qids)), None
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            for part in kernels.pieces(batch, 2, step):
                 ids = part.column(0).to_numpy()
                 query, row = index.pairs(kernels.matrix(part.column(1), np.int64))
                 if exclude_self:
