@@ -98,10 +98,9 @@ def _scan(corpus: DataFrame, table: pa.Table, make_scorer, k: int, exclude_self:
         step = max(1, SCORES_AT_ONCE // len(qids))
         best = None
         for batch in batches:
-            ids, items = batch.column(0).to_numpy(), batch.column(1)
-            for at in range(0, batch.num_rows, step):
-                scores = scorer(items.slice(at, step))
-                new = winners(qids, ids[at:at + step], scores, k, exclude_self, scorer.digits)
+            for part in kernels.pieces(batch, 1, step):
+                scores = scorer(part.column(1))
+                new = winners(qids, part.column(0).to_numpy(), scores, k, exclude_self, scorer.digits)
                 best = new if best is None else keep_best(best, new, k, scorer.digits)
         if best is not None:
             yield as_arrow(best, pa.RecordBatch)
