@@ -32,6 +32,8 @@ PART_ENTRIES = 1 << 18  # entries that travel in one row
 FAN_IN = 16  # matrices that one task of a tree takes
 RANK_LIMIT = 1e-10  # directions weaker than this, in proportion to the strongest, are dropped
 DENSE_FACTOR = 64
+DENSE_CELLS = 1 << 22  # of a small dense matrix
+GATHERED = 2_048  # rows that are gathered for one product
 SOUND_LIMIT = 1e-5  # below this the columns are made orthonormal twice
 
 BASIS = "block int, v binary"
@@ -81,28 +83,31 @@ def document_blocks(rows: DataFrame) -> DocumentBlocks:
     names = ["g", "at", "doc_id", "term", "doc", "v", "ids"]
 
     def pack(g: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        lengths = np.asarray(table.column("idx").value_lengths())
-        term, weight = np.asarray(table.column("idx").flatten()), np.asarray(table.column("val").flatten())
-        doc = np.repeat(np.arange(table.num_rows, dtype=np.int32), lengths)
-        order = np.lexsort((doc, term))
-        term, doc, weight = term[order].astype(np.int32), doc[order], weight[order]
-        needed = np.unique(term)
+        doc_ids = pa.concat_arrays([part.column("doc_id") for part in held])
+        lengths = np.concatenate([np.asarray(part.column("idx").value_lengths()) for part in held])
+        doc = np.repeat(np.arange(len(doc_ids), dtype=np.int32), lengths)
+        term = np.concatenate([np.asarray(part.column("idx").flatten()) for part in held]).astype(np.int32, copy=False)
+        order = np.argsort(term, kind="stable")  # documents are in order already
+        term, doc = term[order], doc[order]
+        weight = np.concatenate([np.asarray(part.column("val").flatten()) for part in held])
+        held.clear()
+        weight = weight[order]
+        del order
+        needed = term[_bounds(term)[:-1]]
         first = np.flatnonzero(np.diff(needed // TERM_BLOCK, prepend=-1))
         ids = [x.astype(np.uint8) for x in np.split(needed % TERM_BLOCK, first[1:])] if len(needed) else []
-        cuts = np.arange(PART_ENTRIES, len(term), PART_ENTRIES)
-        parts = [np.split(x, cuts) for x in (term, doc, weight)] if len(term) else [[], [], []]
 
         def batch(at: np.ndarray, doc_id=None, entries=None, need=None) -> pa.RecordBatch:
             size = len(at)
             columns = [pa.array(np.full(size, g, np.int32)), pa.array(at.astype(np.int32)),
-                       pa.nulls(size, table.schema.field("doc_id").type) if doc_id is None else doc_id]
+                       pa.nulls(size, doc_ids.type) if doc_id is None else doc_id]
             columns += [pa.nulls(size, pa.binary())] * 3 if entries is None else [_bytes(x) for x in entries]
             columns += [pa.nulls(size, pa.binary()) if need is None else _bytes(need)]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        yield batch(np.arange(table.num_rows), doc_id=table.column("doc_id"))
-        yield batch(np.arange(len(parts[0])), entries=parts)
+        yield batch(np.arange(len(doc_ids)), doc_id=doc_ids)
+        for at, lo in enumerate(range(0, len(term), PART_ENTRIES)):
+            yield batch(np.array([at]), entries=[[x[lo: lo + PART_ENTRIES]] for x in (term, doc, weight)])
         yield batch(needed[first] // TERM_BLOCK if len(needed) else needed, need=ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,25 +279,31 @@ def _over_blocks(docs: DocumentBlocks, basis: Basis, finish: Callable, schema: s
         now, state = None, None
 
         def done():
-            if state and state["y"] is not None:
-                yield from finish(state["y"], state["entries"], state["ids"])
+            if not state or not state["rows"]:
+                return
+            entries = [np.concatenate(x) for x in zip(*state.pop("parts"))]
+            term, doc, value = entries
+            needed = np.concatenate(state.pop("rows"))  # the rows of the basis, in the order of the block's terms
+            order = np.argsort(doc, kind="stable")
+            local = (np.cumsum(np.diff(term, prepend=-1) != 0, dtype=np.int32) - 1)[order]
+            bounds = np.searchsorted(doc[order], np.arange(int(doc.max()) + 2))
+            y = _sums(bounds, local, value[order], needed)
+            del needed, order, local
+            yield from finish(y, entries, state["ids"])
 
         for batch in batches:
             for (g, kind), part in _runs(batch, "g", "kind"):
                 if g != now:
                     yield from done()
-                    now, state = g, {"ids": [], "parts": [], "y": None, "entries": None}
+                    now, state = g, {"ids": [], "parts": [], "rows": []}
                 if kind == 0:
                     state["ids"].append(part.column("doc_id"))
                 elif kind == 1:
-                    state["parts"] += list(zip(*(part.column(c).to_pylist() for c in ("term", "doc", "v"))))
+                    for entries in zip(*(part.column(c) for c in ("term", "doc", "v"))):
+                        term, doc, value = (np.frombuffer(x.as_py(), t) for x, t in zip(entries, (np.int32, np.int32, np.float64)))
+                        state["parts"].append((term, doc, value.astype(wire, copy=False)))
                 elif state["parts"]:
-                    if state["entries"] is None:
-                        state["entries"] = [np.frombuffer(b"".join(x), t) for x, t in zip(zip(*state["parts"]), (np.int32, np.int32, np.float64))]
-                        state["entries"][2] = state["entries"][2].astype(wire)
-                        state["y"] = np.zeros((int(state["entries"][1].max()) + 1, width), wire)
-                    for block, v in zip(part.column("at").to_pylist(), part.column("v")):
-                        _add_product(state["y"], state["entries"], block, _matrix(v.as_py(), width, wire))
+                    state["rows"] += [_matrix(v.as_py(), width, wire) for v in part.column("v")]
         yield from done()
 
     none = {c: F.lit(None).cast("binary").alias(c) for c in ("term", "doc", "v")}
@@ -304,37 +315,38 @@ def _over_blocks(docs: DocumentBlocks, basis: Basis, finish: Callable, schema: s
     return both.repartitionById(docs.blocks, F.col("g")).sortWithinPartitions("g", "kind", "at").mapInArrow(run, schema)
 
 
-def _segment(entries: list[np.ndarray], block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The entries of a term block: its terms, their numbers among these, documents, values."""
-    term, doc, value = entries
-    lo, hi = np.searchsorted(term, [block * TERM_BLOCK, (block + 1) * TERM_BLOCK])
-    new = np.diff(term[lo:hi], prepend=-1) != 0
-    return term[lo:hi][new] % TERM_BLOCK, np.cumsum(new) - 1, doc[lo:hi], value[lo:hi]
+def _sums(bounds: np.ndarray, column: np.ndarray, value: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Row i is the sum of value[j] * other[column[j]] for j from bounds[i] to bounds[i + 1]. Rows of equal length are
+    made together, by one matrix product of a few thousand gathered rows at a time."""
+    length = np.diff(bounds)
+    out = np.zeros((len(length), other.shape[1]), other.dtype)
+    order = np.argsort(length, kind="stable")
+    first = np.flatnonzero(np.diff(length[order], prepend=0))
+    for lo, hi in zip(first, [*first[1:], len(order)]):
+        size = int(length[order[lo]])
+        step = max(1, GATHERED // size)
+        for at in range(lo, hi, step):
+            rows = order[at: min(at + step, hi)]
+            taken = bounds[rows][:, None] + np.arange(size)
+            out[rows] = np.matmul(value[taken][:, None, :], other[column[taken]])[:, 0]
+    return out
+
+
+def _bounds(key: np.ndarray) -> np.ndarray:
+    """Where the runs of equal keys begin, and the end of the last one."""
+    return np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
 
 
 def _sparse_times(row: np.ndarray, column: np.ndarray, value: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows that occur in a sparse matrix and their products with a dense one: through a small dense matrix where
-    that is not much larger than the entries, else entry by entry."""
+    that is not much larger than the entries, else by sums of gathered rows."""
     rows, at = np.unique(row, return_inverse=True)
-    if len(rows) * len(other) <= DENSE_FACTOR * len(value):
+    if len(rows) * len(other) <= min(DENSE_FACTOR * len(value), DENSE_CELLS):
         small = np.zeros((len(rows), len(other)), other.dtype)
         small[at, column] = value
         return rows, small @ other
     order = np.argsort(at, kind="stable")
-    starts = np.searchsorted(at[order], np.arange(len(rows)))
-    return rows, np.add.reduceat(value[order, None] * other[column[order]], starts, axis=0)
-
-
-def _add_product(y: np.ndarray, entries: list[np.ndarray], block: int, rows: np.ndarray) -> None:
-    _, local, doc, value = _segment(entries, block)
-    docs, sums = _sparse_times(doc, local, value, rows)
-    y[docs] += sums
-
-
-def _transposed_product(y: np.ndarray, entries: list[np.ndarray], block: int) -> tuple[np.ndarray, np.ndarray]:
-    ids, local, doc, value = _segment(entries, block)
-    docs, at = np.unique(doc, return_inverse=True)
-    return ids.astype(np.uint8), _sparse_times(local, at, value, y[docs])[1]
+    return rows, _sums(_bounds(at[order]), column[order], value[order], other)
 
 
 def _gram_times(docs: DocumentBlocks, basis: Basis, terms: int, wire: type) -> DataFrame:
@@ -342,11 +354,18 @@ def _gram_times(docs: DocumentBlocks, basis: Basis, terms: int, wire: type) -> D
     width = basis.width
 
     def give(y, entries, _):
-        blocks = np.unique(entries[0] // TERM_BLOCK).tolist()
-        for at in range(0, len(blocks), 64):
-            some = blocks[at: at + 64]
-            ids, parts = zip(*(_transposed_product(y, entries, block) for block in some))
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), _bytes(ids), _bytes(parts)], names=["block", "ids", "v"])
+        term, doc, value = entries
+        bounds = _bounds(term)
+        needed = term[bounds[:-1]]
+        first = _bounds(needed // TERM_BLOCK)  # of the terms of a term block
+        for at in range(0, len(first) - 1, 64):
+            cuts = first[at: at + 65]
+            own = needed[cuts[0]: cuts[-1]]
+            sums = _sums(bounds[cuts[0]: cuts[-1] + 1], doc, value, y)
+            inner = cuts[1:-1] - cuts[0]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(needed[cuts[:-1]] // TERM_BLOCK, pa.int32()), _bytes(np.split((own % TERM_BLOCK).astype(np.uint8), inner)),
+                _bytes(np.split(sums, inner))], names=["block", "ids", "v"])
 
     def add(batches):
         def blocks():

@@ -150,3 +150,27 @@ def test_texts_outside_the_corpus(spark, documents, tmp_path):
         assert np.allclose(r["embedding"], expected[r["doc_id"]])
     strange = spark.createDataFrame([(1, ["nowhere"]), (2, [])], "doc_id bigint, tokens array<string>")
     assert all(set(r["embedding"]) == {0.0} for r in lsi.embed_texts(strange, vocab, n, model).collect())
+
+
+def test_sums_of_gathered_rows(monkeypatch):
+    """Rows of many lengths, empty ones and pieces of any size give the sums of the sparse matrix."""
+    rng = np.random.default_rng(2)
+    length = np.array([0, 3, 1, 3, 0, 70, 1, 2, 3, 0])
+    bounds = np.append(0, np.cumsum(length))
+    column, value, other = rng.integers(0, 9, bounds[-1]), rng.normal(size=bounds[-1]), rng.normal(size=(9, 4))
+    dense = np.zeros((len(length), 9))
+    np.add.at(dense, (np.repeat(np.arange(len(length)), length), column), value)
+    for size in (1, 5, 1000):
+        monkeypatch.setattr(lsi, "GATHERED", size)
+        assert np.allclose(lsi._sums(bounds, column, value, other), dense @ other)
+    assert lsi._sums(np.zeros(1, int), column[:0], value[:0], other).shape == (0, 4)
+
+
+def test_small_dense_matrix_is_bounded(monkeypatch):
+    """Entries so many that the factor alone would allow a matrix of any size."""
+    monkeypatch.setattr(lsi, "DENSE_FACTOR", 10**9)
+    monkeypatch.setattr(lsi, "DENSE_CELLS", 100)
+    made, zeros = [], np.zeros
+    monkeypatch.setattr(lsi.np, "zeros", lambda shape, *kind: made.append(np.prod(shape)) or zeros(shape, *kind))
+    rows, product = lsi._sparse_times(np.arange(60), np.arange(60) % 7, np.ones(60), np.eye(7))
+    assert max(made) == 60 * 7 and len(made) == 1 and np.array_equal(product, np.eye(7)[np.arange(60) % 7])
