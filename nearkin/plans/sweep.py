@@ -38,6 +38,13 @@ def sweep_features(tokens: DataFrame, settings: list[tuple[int, float]], shingle
     return signed.select("doc_id", "words", F.inline(F.array(*variants)))
 
 
+def _side_by_side(tokens: DataFrame, settings: list[tuple[int, float]], shingle_n: int) -> DataFrame:
+    """(doc_id, words, keys_0, keys_1, ...): the keys of every setting beside the words, which are held once."""
+    signed = _signed(tokens, settings, shingle_n)
+    keys = [band_keys(F.col("signature"), *best_bands(t, n)).alias(f"keys_{i}") for i, (n, t) in enumerate(settings)]
+    return signed.select("doc_id", "words", *keys)
+
+
 def _signed(tokens: DataFrame, settings: list[tuple[int, float]], shingle_n: int) -> DataFrame:
     """(doc_id, signature, words): one signature, long enough for all settings."""
     signed = minhash_signatures(tokens.select("doc_id", "tokens"), max(n for n, _ in settings), shingle_n)
@@ -135,11 +142,12 @@ def sweep_times(
     settings = settings or grid()
     sample = written(sample)
     n = max(sample.count(), 1)
-    corpus = written(sweep_features(tokens, settings, shingle_n))
-    queries = written(as_queries(rows_of(corpus, sample)))
+    corpus = written(_side_by_side(tokens, settings, shingle_n))
+    queries = written(rows_of(corpus, sample))
     rows = []
     for i, (num_perm, threshold) in enumerate(settings):
-        keyed, asked = (df.filter(F.col("setting") == i).drop("setting") for df in (corpus, queries))
+        keyed, asked = (df.select("doc_id", "words", F.col(f"keys_{i}").alias("keys")) for df in (corpus, queries))
+        asked = as_queries(asked)
         times = []
         for job in (lsh_candidates, lambda a, b: lsh_topk(a, b, k)):
             start = time.perf_counter()

@@ -143,3 +143,17 @@ def test_run_on_word_vectors(spark, documents, tmp_path):
     for odd in ({"embedding": "x"}, {"basis": "x"}, {"methods": ("x",)}):
         with pytest.raises(ValueError, match="unknown"):
             run_pipeline(spark, documents, PipelineConfig(**odd), f"{tmp_path}/odd")
+
+
+def test_timed_settings_read_their_own_keys_and_words_once(spark, monkeypatch):
+    """The timed table has a row for each document, with the keys that the settings have as rows of their own."""
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b"]), (3, [])], "doc_id bigint, tokens array<string>")
+    settings, made = sweep.grid((16, 32), (0.45, 0.65)), []
+    monkeypatch.setattr(sweep, "written", lambda t, write=sweep.written: made.append(t.columns) or write(t))
+    wide = {r.doc_id: r for r in sweep._side_by_side(df, settings, 3).collect()}
+    rows = sweep.sweep_features(df, settings, 3).collect()
+    assert len(wide) == 3 and len(rows) == 12
+    assert all(wide[r.doc_id][f"keys_{r.setting}"] == r["keys"] and wide[r.doc_id].words == r.words for r in rows)
+    sample = spark.createDataFrame([(1,), (2,)], "qid bigint")
+    times = sweep.sweep_times(df, sample, 2, settings, 3).collect()
+    assert [(t.num_perm, t.threshold) for t in times] == settings and all("setting" not in columns for columns in made)
