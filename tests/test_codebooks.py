@@ -102,3 +102,15 @@ def test_sums_by_code_and_uniform_numbers():
     assert not kernels.sums_by_code(rows[:0], code[:0], 2).any()
     u = kernels.uniform(np.arange(20_000), 3, 1)
     assert 0 <= u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.01 and (u != kernels.uniform(np.arange(20_000), 3, 2)).all()
+
+
+def test_nearest_centres_by_parts(monkeypatch):
+    """No matrix of distances is larger than the bound, and the parts give what the whole gives."""
+    rng = np.random.default_rng(6)
+    rows, centres = rng.normal(size=(500, 5)), rng.normal(size=(30, 5))
+    centres[7] = centres[3]
+    apart = ((rows[:, None] - centres) ** 2).sum(axis=2)
+    for cells in (1, 100, 1 << 16):
+        monkeypatch.setattr(kernels, "CACHED_CELLS", cells)
+        code, least = kernels.nearest_with_distance(rows, centres)
+        assert np.array_equal(code, apart.argmin(axis=1)) and np.allclose(least, apart.min(axis=1)) and 7 not in code

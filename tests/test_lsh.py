@@ -202,3 +202,13 @@ def test_examples_list_the_smallest_candidates(spark):
 def test_band_table(spark):
     df = spark.createDataFrame([(1, [1, 2, 3, 4, 5])], "doc_id bigint, signature array<int>")
     assert [tuple(r) for r in lsh.band_table(df, 2, 2).collect()] == [(1, 0, "1-2"), (1, 1, "3-4")]
+
+
+def test_minhash_at_the_edges_of_the_prime():
+    """Numbers whose products fold to the prime itself, or to one less than twice the prime."""
+    p = kernels.MERSENNE_31
+    x = [0, 1, 2, (1 << 30) - 1, 1 << 30, p - 2, p - 1]
+    pairs = [(1, 0), (1, p - 1), (p - 1, p - 1), (p - 1, 1), (2, 1)]
+    a, b = (np.array(part, np.uint64) for part in zip(*pairs))
+    got = kernels.minhash(np.array(x, np.uint64), np.arange(len(x)), len(x) + 1, a, b)
+    assert got.dtype == np.int32 and got.tolist() == [[(v * f + s) % p for f, s in pairs] for v in x] + [[p] * len(pairs)]
