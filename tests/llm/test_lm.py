@@ -1,11 +1,14 @@
 import math
+import os
 import re
 import string
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from nearkin.llm import lm, queries
+from nearkin.plans.scale import SHUFFLE_CLEANUP
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 TEXTS = [
@@ -116,3 +119,49 @@ def test_kept_columns_of_any_name(spark):
     assert found.columns == ["doc_id", "score", "n_tokens", "_n_tokens", "n_known", "base_score", "_score", "perplexity"]
     row = found.first()
     assert (row.score, row.n_tokens, row["_n_tokens"], row.n_known) == (0.5, 7, 3, 3)
+
+
+@pytest.mark.parametrize("size", [0, 1, 5, 5000])
+def test_keys_without_their_first_bits_are_found(tmp_path, monkeypatch, size):
+    monkeypatch.setattr(lm, "INDEXED", 1)
+    rng = np.random.default_rng(size)
+    keys = np.unique(np.concatenate([rng.integers(0, 2**64, size, np.uint64), np.arange(size // 5, dtype=np.uint64) + np.uint64(7 << 48),
+                                     np.arange(size // 5, dtype=np.uint64) * np.uint64(1 << 14)]))
+    counts = rng.integers(1, 1000, len(keys)).astype(np.uint64)
+    lm.save_keys(str(tmp_path), "gram3-0", keys)
+    lm.save_counts(str(tmp_path), "gram3-0-count", counts)
+    asked = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 2**64, 100, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    (found,) = lm.Arrays(str(tmp_path)).find("gram3", np.zeros(len(asked), np.uint64), asked, ("count",))
+    known = dict(zip(keys.tolist(), counts.tolist()))
+    assert found.tolist() == [known.get(k, 0) for k in asked.tolist()]
+
+
+@pytest.mark.parametrize("words", [3, 250, 70_000])
+def test_packed_grams_come_back(words):
+    rng = np.random.default_rng(words)
+    width = (words + 1).bit_length() + 7 >> 3
+    made = []
+    for _ in range(3):  # rows of several tasks are joined
+        ids = [rng.integers(0, words + 2, 400).astype(np.uint32) for _ in range(3)]
+        made.append((rng.integers(0, 4, 400).astype(np.uint64), ids, rng.integers(1, 9, 400)))
+    rows = [row for shard, ids, count in made for row in lm.packed_grams(shard, ids, count, width).to_pylist()]
+    for number in range(4):
+        parts = [b"".join(row[f"c{i}"] for row in rows if row["shard"] == number) for i in range(5)]
+        ids, count = lm.unpacked_grams(parts, 3, width)
+        expected = sorted(g for shard, own, n in made for *g, at in zip(*own, n, shard) if at == number)
+        assert sorted(zip(*ids, count)) == [tuple(g) for g in expected]
+
+
+def test_model_takes_little_disk(spark, documents, monkeypatch):
+    """Contexts with one occurrence are grams of the order below and are not stored again; shuffles go with their queries."""
+    folders = []
+    made = lm.model_folder
+    monkeypatch.setattr(lm, "model_folder", lambda spark: folders.append(made(spark)) or folders[-1])
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    lm.train(documents, order=3)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    files = {f: np.load(os.path.join(folders[0], f)) for f in os.listdir(folders[0])}
+    grams = sum(len(v) for f, v in files.items() if re.fullmatch(r"gram[12]-\d+-key.npy", f))
+    totals = [v for f, v in files.items() if re.fullmatch(r"context\d-\d+-total.npy", f)]
+    assert all((v > 1).all() for v in totals) and sum(map(len, totals)) < grams / 2
+    assert all(v.dtype == np.uint8 for f, v in files.items() if re.search(r"-(count|total|k\d).npy", f))
