@@ -75,7 +75,7 @@ def anchor_postings(column: pa.Array, n: int, k: int) -> tuple[np.ndarray, ...]:
     return row[first], key[first], short[first], many.astype(np.uint64)
 
 
-def repeated_anchors(key: np.ndarray, node: np.ndarray, short: np.ndarray, many: np.ndarray) -> list[np.ndarray]:
+def repeated_anchors(key: np.ndarray, node: np.ndarray, short: np.ndarray, many: np.ndarray) -> Iterator[list[np.ndarray]]:
     """Of all postings of a shard those whose anchor occurs in two texts, or twice in one."""
     order = np.lexsort((node, key))
     key, node, short, many = key[order], node[order], short[order], many[order]
@@ -83,11 +83,11 @@ def repeated_anchors(key: np.ndarray, node: np.ndarray, short: np.ndarray, many:
     new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])  # a text that several tasks have sent
     key, node, short, many = key[new], node[new], short[new], many[new]
     if len(key) == 0:
-        return [x.view(np.int64) for x in (node, key, short)]
+        return
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(first, len(key)))
     stays = np.repeat((size > 1) | (np.maximum.reduceat(many, first) > 0), size)
-    return [x[stays].view(np.int64) for x in (node, key, short)]
+    yield [x[stays].view(np.int64) for x in (node, key, short)]
 
 
 def suffix_rows(n: int, k: int):
