@@ -6,6 +6,9 @@ its terms need, adds up its part of A Q and gives off its part of A'(A Q) for th
 sums are made orthonormal by a QR of the rows of each task and of the triangles, 16 at a time. What reaches the driver
 is a few width x width matrices.
 
+A basis of bounded size goes to every task instead (`DocumentRows`): then documents are read where they lie, and the sums of
+a task, one row for each term, are all that is shuffled.
+
 Passes that only turn the basis towards the strongest directions may send single precision: their sums are made orthonormal
 in doubles as they are, so it costs no accuracy but a noise that the last pass, in doubles, sees as a hardly different start.
 """
@@ -17,12 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import kernels
 from nearkin.operators.terms import tfidf_rows
-from nearkin.plans.scale import written
+from nearkin.plans.scale import shuffles_freed, written
 
 OVERSAMPLES = 10
 TERM_BLOCK = 128  # terms that travel in one row
@@ -34,6 +39,8 @@ RANK_LIMIT = 1e-10  # directions weaker than this, in proportion to the stronges
 DENSE_FACTOR = 64
 DENSE_CELLS = 1 << 22  # of a small dense matrix
 GATHERED = 2_048  # rows that are gathered for one product
+SHARED_BYTES = 128 << 20  # of a basis that goes to every task, in doubles
+TASK_ENTRIES = 8 << 20  # entries that a task adds up at least before it gives its sums off, if all slots have work
 SOUND_LIMIT = 1e-5  # below this the columns are made orthonormal twice
 
 BASIS = "block int, v binary"
@@ -70,6 +77,27 @@ class DocumentBlocks:
         return self.table.where("ids is not null").select("g", F.col("at").alias("block"), "ids")
 
 
+@dataclass
+class DocumentRows:
+    """Sparse rows (doc_id, idx, val) as they are, and by how many tasks a pass reads them."""
+
+    table: DataFrame
+    id_type: str
+    tasks: int
+
+    def read(self) -> DataFrame:
+        return self.table.select("doc_id", "idx", "val").coalesce(self.tasks)
+
+
+def documents_of(rows: DataFrame, terms: int, width: int) -> DocumentRows | DocumentBlocks:
+    """A written table of sparse rows, ready for passes with a basis of this size."""
+    if terms * width * 8 > SHARED_BYTES:
+        return document_blocks(rows)
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    entries = rows.agg(F.coalesce(F.sum(F.size("idx")), F.lit(0))).first()[0]
+    return DocumentRows(rows, dict(rows.dtypes)["doc_id"], slots * max(1, -(-entries // (TASK_ENTRIES * slots))))
+
+
 def _bytes(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tobytes() for p in parts], pa.binary())
 
@@ -85,13 +113,12 @@ def document_blocks(rows: DataFrame) -> DocumentBlocks:
     def pack(g: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids = pa.concat_arrays([part.column("doc_id") for part in held])
         lengths = np.concatenate([np.asarray(part.column("idx").value_lengths()) for part in held])
-        doc = np.repeat(np.arange(len(doc_ids), dtype=np.int32), lengths)
         term = np.concatenate([np.asarray(part.column("idx").flatten()) for part in held]).astype(np.int32, copy=False)
-        order = np.argsort(term, kind="stable")  # documents are in order already
-        term, doc = term[order], doc[order]
         weight = np.concatenate([np.asarray(part.column("val").flatten()) for part in held])
         held.clear()
-        weight = weight[order]
+        order = np.argsort(term, kind="stable")  # documents are in order already
+        weight, term = weight[order], term[order]
+        doc = np.repeat(np.arange(len(doc_ids), dtype=np.int32), lengths)[order]
         del order
         needed = term[_bounds(term)[:-1]]
         first = np.flatnonzero(np.diff(needed // TERM_BLOCK, prepend=-1))
@@ -279,31 +306,38 @@ def _over_blocks(docs: DocumentBlocks, basis: Basis, finish: Callable, schema: s
         now, state = None, None
 
         def done():
-            if not state or not state["rows"]:
+            if not state or not state["filled"]:
                 return
-            entries = [np.concatenate(x) for x in zip(*state.pop("parts"))]
-            term, doc, value = entries
-            needed = np.concatenate(state.pop("rows"))  # the rows of the basis, in the order of the block's terms
+            term, doc, value = state["entries"]
+            bounds = np.append(0, np.cumsum(np.bincount(doc)))
             order = np.argsort(doc, kind="stable")
-            local = (np.cumsum(np.diff(term, prepend=-1) != 0, dtype=np.int32) - 1)[order]
-            bounds = np.searchsorted(doc[order], np.arange(int(doc.max()) + 2))
-            y = _sums(bounds, local, value[order], needed)
-            del needed, order, local
-            yield from finish(y, entries, state["ids"])
+            sorted_value = value[order]
+            local = np.cumsum(np.diff(term, prepend=-1) != 0, dtype=np.int32)
+            local -= 1
+            local = local[order]
+            del order
+            y = _sums(bounds, local, sorted_value, state.pop("needed"))
+            del local, sorted_value
+            yield from finish(y, state.pop("entries"), state["ids"])
 
         for batch in batches:
             for (g, kind), part in _runs(batch, "g", "kind"):
                 if g != now:
                     yield from done()
-                    now, state = g, {"ids": [], "parts": [], "rows": []}
+                    now, state = g, {"ids": [], "parts": [], "filled": 0}
                 if kind == 0:
                     state["ids"].append(part.column("doc_id"))
                 elif kind == 1:
-                    for entries in zip(*(part.column(c) for c in ("term", "doc", "v"))):
-                        term, doc, value = (np.frombuffer(x.as_py(), t) for x, t in zip(entries, (np.int32, np.int32, np.float64)))
-                        state["parts"].append((term, doc, value.astype(wire, copy=False)))
-                elif state["parts"]:
-                    state["rows"] += [_matrix(v.as_py(), width, wire) for v in part.column("v")]
+                    state["parts"] += [_entries(*x, wire) for x in zip(*(part.column(c) for c in ("term", "doc", "v")))]
+                elif state["parts"] or "entries" in state:
+                    if "entries" not in state:  # all of them came before; the rows that their terms need go where they belong
+                        state["entries"] = _joined(state.pop("parts"))
+                        state["parts"] = []
+                        state["needed"] = np.empty((len(_bounds(state["entries"][0])) - 1, width), wire)
+                    for v in part.column("v"):
+                        rows = _matrix(v.as_py(), width, wire)
+                        state["needed"][state["filled"]: state["filled"] + len(rows)] = rows
+                        state["filled"] += len(rows)
         yield from done()
 
     none = {c: F.lit(None).cast("binary").alias(c) for c in ("term", "doc", "v")}
@@ -315,6 +349,20 @@ def _over_blocks(docs: DocumentBlocks, basis: Basis, finish: Callable, schema: s
     return both.repartitionById(docs.blocks, F.col("g")).sortWithinPartitions("g", "kind", "at").mapInArrow(run, schema)
 
 
+def _entries(term: pa.Scalar, doc: pa.Scalar, value: pa.Scalar, kind: type) -> list[np.ndarray]:
+    """Terms, documents and values of one row of a document block."""
+    return [np.frombuffer(x.as_py(), t).astype(to, copy=False) for x, t, to in (
+        (term, np.int32, np.int32), (doc, np.int32, np.int32), (value, np.float64, kind))]
+
+
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The columns of all parts, one after the other, so that only one of them is there twice."""
+    out = []
+    for _ in range(len(parts[0])):
+        out.append(np.concatenate([part.pop(0) for part in parts]))
+    return out
+
+
 def _sums(bounds: np.ndarray, column: np.ndarray, value: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Row i is the sum of value[j] * other[column[j]] for j from bounds[i] to bounds[i + 1]. Rows of equal length are
     made together, by one matrix product of a few thousand gathered rows at a time."""
@@ -349,7 +397,58 @@ def _sparse_times(row: np.ndarray, column: np.ndarray, value: np.ndarray, other:
     return rows, _sums(_bounds(at[order]), column[order], value[order], other)
 
 
-def _gram_times(docs: DocumentBlocks, basis: Basis, terms: int, wire: type) -> DataFrame:
+def _shared_basis(basis: Basis, terms: int, wire: type) -> Broadcast:
+    """All rows of a basis of bounded size, for every task."""
+    rows = np.zeros((terms, basis.width), wire)
+    for batch in basis.blocks.select("block", "v").toArrow().to_batches():
+        for block, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows[block * TERM_BLOCK: (block + 1) * TERM_BLOCK] = _matrix(v.as_py(), len(basis.turn), basis.kind) @ basis.turn
+    return basis.blocks.sparkSession.sparkContext.broadcast(rows)
+
+
+def _times(part: pa.RecordBatch, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The product of sparse rows (doc_id, idx, val) with a dense matrix; bounds, terms and values of the rows."""
+    bounds = np.append(0, np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(part.column(1)), 0), np.int64)))
+    term, value = np.asarray(part.column(1).flatten()), np.asarray(part.column(2).flatten()).astype(other.dtype, copy=False)
+    return _sums(bounds, term, value, other), bounds, term, value
+
+
+def _row_sums(docs: DocumentRows, shared: Broadcast, terms: int, width: int, wire: type) -> DataFrame:
+    """(block, ids, v): each task's part of A'(A Q) for the terms that it meets."""
+    def run(batches):
+        basis, total, met = shared.value, None, np.zeros(terms, bool)
+        for batch in batches:
+            for part in kernels.pieces(batch, 1):
+                y, bounds, term, value = _times(part, basis)
+                total = np.zeros((terms, width), wire) if total is None else total
+                doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(bounds))
+                order = np.argsort(term, kind="stable")
+                own = _bounds(term[order])
+                there = term[order[own[:-1]]]
+                met[there] = True
+                total[there] += _sums(own, doc[order], value[order], y)
+        for at in range(0, terms if total is not None else 0, 64 * TERM_BLOCK):
+            known = at + np.flatnonzero(met[at: at + 64 * TERM_BLOCK])
+            first = _bounds(known // TERM_BLOCK)
+            if len(known):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(known[first[:-1]] // TERM_BLOCK, pa.int32()), _bytes(np.split((known % TERM_BLOCK).astype(np.uint8), first[1:-1])),
+                    _bytes(np.split(total[known], first[1:-1]))], names=["block", "ids", "v"])
+
+    return docs.read().mapInArrow(run, "block int, ids binary, v binary")
+
+
+def _row_products(docs: DocumentRows, shared: Broadcast) -> DataFrame:
+    """(doc_id, y): the rows of A Q; packed doubles."""
+    def run(batches):
+        for batch in batches:
+            for part in kernels.pieces(batch, 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), kernels.packed_column(_times(part, shared.value)[0])], names=["doc_id", "y"])
+
+    return docs.read().mapInArrow(run, f"doc_id {docs.id_type}, y binary")
+
+
+def _gram_times(docs: DocumentRows | DocumentBlocks, basis: Basis, terms: int, wire: type) -> DataFrame:
     """A'(A Q) as blocks of the kind `wire`, with the triangles of the tasks' rows: a written table (block, v, r)."""
     width = basis.width
 
@@ -382,19 +481,33 @@ def _gram_times(docs: DocumentBlocks, basis: Basis, terms: int, wire: type) -> D
 
         yield from _with_triangles(blocks(), width)
 
-    parts = _over_blocks(docs, basis, give, "block int, ids binary, v binary", wire)
-    return written(parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, SUMS))
+    def sums(parts: DataFrame) -> DataFrame:
+        with shuffles_freed(parts.sparkSession):
+            return written(parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, SUMS))
+
+    if isinstance(docs, DocumentBlocks):
+        return sums(_over_blocks(docs, basis, give, "block int, ids binary, v binary", wire))
+    shared = _shared_basis(basis, terms, wire)
+    found = sums(_row_sums(docs, shared, terms, width, wire))
+    shared.destroy()
+    return found
 
 
-def _products(docs: DocumentBlocks, basis: Basis) -> DataFrame:
-    """(doc_id, y): the rows of A Q, for documents with entries; packed doubles."""
+def _products(docs: DocumentRows | DocumentBlocks, basis: Basis, terms: int) -> DataFrame:
+    """(doc_id, y): the rows of A Q, for documents with entries; packed doubles, a written table."""
     def give(y, _, ids):
         ids = pa.chunked_array(ids).combine_chunks()
         ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
         for at in range(0, len(y), 4096):
             yield pa.RecordBatch.from_arrays([ids.slice(at, min(4096, len(y) - at)), kernels.packed_column(y[at: at + 4096])], names=["doc_id", "y"])
 
-    return _over_blocks(docs, basis, give, f"doc_id {docs.id_type}, y binary", with_ids=True)
+    if isinstance(docs, DocumentBlocks):
+        with shuffles_freed(basis.blocks.sparkSession):
+            return written(_over_blocks(docs, basis, give, f"doc_id {docs.id_type}, y binary", with_ids=True))
+    shared = _shared_basis(basis, terms, np.float64)
+    found = written(_row_products(docs, shared))
+    shared.destroy()
+    return found
 
 
 def _gram_within(products: DataFrame, width: int) -> np.ndarray:
@@ -447,7 +560,7 @@ def _signs(basis: Basis, turn: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fit(docs: DocumentBlocks, terms: list[str], k: int, seed: int, power_steps: int, oversamples: int, exact_steps: int) -> tuple[LsiModel, DataFrame | None, np.ndarray]:
+def _fit(docs: DocumentRows | DocumentBlocks, terms: list[str], k: int, seed: int, power_steps: int, oversamples: int, exact_steps: int) -> tuple[LsiModel, DataFrame | None, np.ndarray]:
     """The model, the written products of the documents with the last basis, and the matrix from these to embeddings."""
     spark, width = docs.table.sparkSession, min(k + oversamples, len(terms))
     if not width:
@@ -459,7 +572,7 @@ def _fit(docs: DocumentBlocks, terms: list[str], k: int, seed: int, power_steps:
         if sums.isEmpty():  # no document has a term
             break
         basis = _orthonormal(sums, basis.width, wire)
-    products = written(_products(docs, basis))
+    products = _products(docs, basis, len(terms))
     values, spin = np.linalg.eigh(_gram_within(products, basis.width))
     order = np.argsort(-values)[:k]
     turn = spin[:, order] * _signs(basis, spin[:, order])
@@ -472,13 +585,13 @@ def _fit(docs: DocumentBlocks, terms: list[str], k: int, seed: int, power_steps:
 def fit_lsi(rows: DataFrame, terms: list[str], k: int = 200, seed: int = 42, power_steps: int = 5, oversamples: int = OVERSAMPLES, exact_steps: int = 0) -> LsiModel:
     """Randomized range finder on the term side, then a small eigenproblem. One pass over the documents per step and half a
     one at the end; the last `exact_steps` steps send doubles, the others single precision."""
-    return _fit(document_blocks(rows), terms, k, seed, power_steps, oversamples, exact_steps)[0]
+    return _fit(documents_of(written(rows), len(terms), k + oversamples), terms, k, seed, power_steps, oversamples, exact_steps)[0]
 
 
 def project(rows: DataFrame, model: LsiModel, documents: DataFrame) -> DataFrame:
     """(doc_id, embedding) for every document; one without known terms is the zero vector."""
-    docs = document_blocks(rows)
-    return _embedded(_products(docs, Basis(model.directions, np.float64, np.eye(model.k))), np.eye(model.k), docs.id_type, documents)
+    docs = documents_of(rows, len(model.terms), model.k)
+    return _embedded(_products(docs, Basis(model.directions, np.float64, np.eye(model.k)), len(model.terms)), np.eye(model.k), docs.id_type, documents)
 
 
 def lsi_embed(
@@ -486,7 +599,7 @@ def lsi_embed(
     exact_steps: int = 0,
 ) -> tuple[DataFrame, LsiModel]:
     """Embeddings of all documents and the fitted model, from sparse TF-IDF rows."""
-    docs = document_blocks(written(rows))
+    docs = documents_of(written(rows), len(terms), k + oversamples)
     model, products, turn = _fit(docs, terms, k, seed, power_steps, oversamples, exact_steps)
     if products is None:
         return documents.select("doc_id", F.array_repeat(F.lit(0.0), k).alias("embedding")), model

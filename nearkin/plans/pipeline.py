@@ -20,7 +20,7 @@ from nearkin.operators.words import mean_pool, train_word2vec, word_vectors
 from nearkin.plans import evaluate
 from nearkin.plans.features import tokens_of
 from nearkin.plans.methods import METHODS, Method, Saved, truth_of
-from nearkin.plans.scale import scratch_folder, spread, written
+from nearkin.plans.scale import scratch_folder, shuffles_freed, spread, written
 from nearkin.sources.metrics import write_json
 from nearkin.sources.tables import read_table, write_table
 from nearkin.sources.text import read_tokens, write_tokens
@@ -117,9 +117,8 @@ def run_pipeline(
     bands, rows = best_bands(c.threshold, c.num_perm)
     write_table(lsh.band_table(signed, bands, rows), "bands", f"{out}/bands")
     keyed = lsh.with_keys(signed, bands, rows).select("doc_id", "keys")
-    members = F.col("tokens") if c.basis == "token" else shingles(F.col("tokens"), c.shingle_n)
-    words = tokens.select("doc_id", token_set(members).alias("words"))
-    write_table(keyed.join(words, "doc_id"), "features", f"{out}/features")
+    with shuffles_freed(spark):
+        write_table(_features(keyed, tokens, c), "features", f"{out}/features", "zstd")
 
     # flat index
     write_table(vectors.select("doc_id", l2_normalize(F.col("vector")).alias("embedding")), "embeddings", f"{out}/flat")
@@ -129,6 +128,15 @@ def run_pipeline(
     return metrics
 
 
+def _features(keyed: DataFrame, tokens: DataFrame, c: PipelineConfig) -> DataFrame:
+    """(doc_id, words, keys) of (doc_id, keys). Token sets are smaller than their tokens and are made before the join, shingles
+    are several times their tokens and are made behind it."""
+    if c.basis == "token":
+        return keyed.join(tokens.select("doc_id", token_set(F.col("tokens")).alias("words")), "doc_id")
+    shingled = token_set(shingles(F.col("tokens"), c.shingle_n)).alias("words")
+    return keyed.join(tokens.select("doc_id", "tokens"), "doc_id").select("doc_id", shingled, "keys")
+
+
 def _embedded(tokens: DataFrame, n_docs: int, c: PipelineConfig) -> DataFrame:
     """(doc_id, embedding) by the chosen model."""
     if c.embedding == "w2v":

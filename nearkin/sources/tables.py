@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearkin.plans.scale import small_batches
 from nearkin.sources.text import require_columns
 
 # columns each kind of table must have, and the column a reader usually filters on
@@ -21,10 +22,11 @@ KINDS: dict[str, tuple[tuple[str, ...], str | None]] = {
 }
 
 
-def write_table(df: DataFrame, kind: str, path: str) -> None:
+def write_table(df: DataFrame, kind: str, path: str, codec: str = "snappy") -> None:
     columns, split_by = KINDS[kind]
-    writer = require_columns(df, *columns).select(*columns).write.mode("overwrite")
-    (writer.partitionBy(split_by) if split_by else writer).parquet(path)
+    writer = require_columns(df, *columns).select(*columns).write.mode("overwrite").option("compression", codec)
+    with small_batches(df.sparkSession):
+        (writer.partitionBy(split_by) if split_by else writer).parquet(path)
 
 
 def read_table(spark: SparkSession, kind: str, path: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearkin.plans.scale import small_batches
+
 # The strings a CSV reader of the Python data world takes as missing.
 MISSING = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -122,7 +124,9 @@ def read_documents(
 
 def write_tokens(tokens: DataFrame, path: str) -> None:
     """(doc_id, tokens, joined) as Parquet."""
-    tokens.select("doc_id", "tokens", F.array_join("tokens", " ").alias("joined")).write.mode("overwrite").parquet(path)
+    with small_batches(tokens.sparkSession):
+        listed = tokens.select("doc_id", "tokens", F.array_join("tokens", " ").alias("joined"))
+        listed.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

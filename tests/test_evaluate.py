@@ -3,9 +3,10 @@ from pyspark.sql import functions as F
 
 from nearkin.operators import pairs, search
 from nearkin.operators.ranking import query_sample, rows_of
-from nearkin.plans import evaluate, sweep
+from nearkin.plans import evaluate, pipeline, sweep
 from nearkin.plans.features import tokens_of, words_of
 from nearkin.plans.pipeline import PipelineConfig, evaluate_indices, run_pipeline
+from nearkin.sources.text import write_tokens
 
 
 def neighbors(spark, rows):
@@ -157,3 +158,22 @@ def test_timed_settings_read_their_own_keys_and_words_once(spark, monkeypatch):
     sample = spark.createDataFrame([(1,), (2,)], "qid bigint")
     times = sweep.sweep_times(df, sample, 2, settings, 3).collect()
     assert [(t.num_perm, t.threshold) for t in times] == settings and all("setting" not in columns for columns in made)
+
+
+@pytest.mark.parametrize("basis", ["token", "shingle"])
+def test_features_shuffle_the_smaller_sets(spark, basis):
+    """Shingles repeat every token, so they were the most that a run put on disk."""
+    config = pipeline.PipelineConfig(basis=basis, shingle_n=2)
+    tokens = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, []), (3, ["c"])], "doc_id bigint, tokens array<string>")
+    keyed = spark.createDataFrame([(1, [7]), (2, [8]), (3, [9])], "doc_id bigint, keys array<bigint>")
+    found = pipeline._features(keyed, tokens, config)
+    assert set(found.columns) == {"doc_id", "words", "keys"}
+    sets = {r.doc_id: sorted(r.words) for r in found.collect()}
+    assert sets == {1: ["a", "b"] if basis == "token" else ["a b", "b a"], 2: [], 3: ["c"]}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.index("array_distinct") < plan.index("Join")) == (basis == "shingle")
+
+
+def test_a_run_packs_its_lists_of_words(spark, documents, tmp_path):
+    write_tokens(tokens_of(documents), str(tmp_path / "tokens"))
+    assert list((tmp_path / "tokens").glob("*.zstd.parquet"))

@@ -1,7 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from nearkin.operators import lsi, terms, words
+from nearkin.plans import scale
 from nearkin.plans.features import tokens_of
 
 
@@ -174,3 +177,31 @@ def test_small_dense_matrix_is_bounded(monkeypatch):
     monkeypatch.setattr(lsi.np, "zeros", lambda shape, *kind: made.append(np.prod(shape)) or zeros(shape, *kind))
     rows, product = lsi._sparse_times(np.arange(60), np.arange(60) % 7, np.ones(60), np.eye(7))
     assert max(made) == 60 * 7 and len(made) == 1 and np.array_equal(product, np.eye(7)[np.arange(60) % 7])
+
+
+def test_lsi_by_a_shared_basis_and_by_document_blocks(spark, documents, monkeypatch):
+    """A basis that fits goes to every task and documents stay where they are; a larger one goes out by blocks."""
+    rows, names, ids, _ = small_matrix(spark, documents)
+    rows = scale.written(rows)
+    plan = lsi.documents_of(rows, len(names), 14).read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    found = []
+    for limit in (lsi.SHARED_BYTES, 0):
+        monkeypatch.setattr(lsi, "SHARED_BYTES", limit)
+        assert isinstance(lsi.documents_of(rows, len(names), 14), (lsi.DocumentRows, lsi.DocumentBlocks)[limit == 0])
+        table, model = lsi.lsi_embed(rows, names, documents, 4, power_steps=12, exact_steps=6)
+        found.append(({r.doc_id: r.embedding for r in table.collect()}, model.singular_values))
+    assert found[0][0].keys() == found[1][0].keys() and sorted(found[0][0]) == ids
+    assert np.allclose(found[0][1], found[1][1])
+    assert all(np.allclose(found[0][0][d], found[1][0][d], atol=1e-6) for d in found[0][0])
+
+
+def test_written_tables_send_bounded_batches(spark):
+    """Wide rows filled batches of 64 MB, which a task holds outside the heap and in its worker."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    wide = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).mapInArrow(sizes, "n bigint")
+    assert scale.written(wide).agg(F.max("n")).first()[0] <= scale.BATCH_BYTES + (2 << 20)
+    assert spark.conf.get(scale.BATCH_SIZE, None) is None
