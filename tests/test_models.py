@@ -205,3 +205,14 @@ def test_written_tables_send_bounded_batches(spark):
     wide = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).mapInArrow(sizes, "n bigint")
     assert scale.written(wide).agg(F.max("n")).first()[0] <= scale.BATCH_BYTES + (2 << 20)
     assert spark.conf.get(scale.BATCH_SIZE, None) is None
+
+
+def test_pooling_by_parts_gives_the_same_means(spark, monkeypatch):
+    """A large table of word vectors was joined to a row for every word of every document."""
+    rows = [(1, ["a", "b", "b"]), (2, ["c", None, "zz"]), (3, []), (4, ["zz"]), (4, ["d", "a"]), (None, ["e", "e"]), (6, None)]
+    corpus = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
+    table = spark.createDataFrame([(w, [float(i), 1.0]) for i, w in enumerate("abcde")], "word string, vector array<double>")
+    whole = sorted(map(str, words.mean_pool(corpus, table).collect()))
+    monkeypatch.setattr(words, "POOL_BYTES", 40)
+    monkeypatch.setattr(words, "pool_by_join", None)
+    assert sorted(map(str, words.mean_pool(corpus, table).collect())) == whole
